@@ -46,17 +46,26 @@ def person_key(label: Column) -> Column:
     return F.lower(F.trim(F.when(has, inner).otherwise(label)))
 
 
+def dedupe_keyed(items: Column, label: str = "label", key: str = "key") -> Column:
+    """Ordered distinct over an array of (label, key) structs: a left fold
+    whose accumulator carries the keys seen so far (first one wins)."""
+    init = F.struct(F.array().cast("array<string>").alias("keys"), F.array().cast("array<string>").alias("labels"))
+
+    def step(acc, e):
+        return F.when(e[label].isNull() | (e[label] == "") | F.array_contains(acc["keys"], e[key]), acc).otherwise(
+            F.struct(F.concat(acc["keys"], F.array(e[key])).alias("keys"),
+                     F.concat(acc["labels"], F.array(e[label])).alias("labels")))
+    return F.aggregate(items, init, step, lambda acc: acc["labels"])
+
+
 def unique_people(labels: Column) -> Column:
     """Ordered distinct by email key, first spelling wins, blanks dropped (A1).
 
-    A per-row fold over a bounded array (the recipients of one item); no
-    shuffle is involved.
+    One key per element, then a linear fold; a per-row operation on a
+    bounded array (the recipients of one item), no shuffle involved.
     """
-    def step(acc, x):
-        dup = F.exists(acc, lambda y: person_key(y) == person_key(x))
-        return F.when((x == "") | x.isNull() | dup, acc).otherwise(F.concat(acc, F.array(x)))
-    return F.aggregate(F.filter(labels, lambda x: x.isNotNull() & (x != "")),
-                       F.array().cast("array<string>"), step)
+    keyed = F.transform(labels, lambda x: F.struct(x.alias("label"), person_key(x).alias("key")))
+    return dedupe_keyed(keyed)
 
 
 def is_resource(attendee: Column) -> Column:

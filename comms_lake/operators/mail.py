@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import times as TM
+from ..session import literal_table, materialize
 from .ordered import prefix_sums
 
 # --- fixed values (reference constants) -----------------------------------
@@ -33,22 +34,22 @@ def folder_closure(folders: DataFrame, max_depth: int = CLOSURE_MAX_DEPTH) -> Da
     """(folder_id, ancestor_id, depth) for every folder and its ancestors
     up to ``max_depth - 1`` steps, stopping at a missing or self parent (J2).
 
-    Bounded iterative self-join: each level is one equi-join of the frontier
-    with the folder dimension, so the work is depth x folders, never a
-    recursion over messages.
+    A parent chain: level d is one left join of level d-1's ancestor column
+    with the folder dimension, so the plan is linear in the depth and the
+    work is depth x folders; messages are never recursed over.
     """
     dim = folders.select("folder_id", "parent_id")
-    level = folders.select("folder_id", F.col("folder_id").alias("ancestor_id"), F.lit(0).alias("depth"))
-    out = level
-    for depth in range(1, max_depth):
-        step = (level.alias("l").join(dim.alias("d"), F.col("l.ancestor_id") == F.col("d.folder_id"))
-                .filter(F.col("d.parent_id").isNotNull() & (F.col("d.parent_id") != "")
-                        & (F.col("d.parent_id") != F.col("l.ancestor_id")))
-                .select(F.col("l.folder_id"), F.col("d.parent_id").alias("ancestor_id"),
-                        F.lit(depth).alias("depth")))
-        out = out.unionByName(step)
-        level = step
-    return out
+    chain = folders.select("folder_id", F.col("folder_id").alias("a0"))
+    for d in range(1, max_depth):
+        step = dim.select(F.col("folder_id").alias(f"a{d - 1}"), F.col("parent_id").alias(f"__p{d}"))
+        chain = chain.join(step, f"a{d - 1}", "left").withColumn(
+            f"a{d}", F.when(F.col(f"__p{d}").isNotNull() & (F.col(f"__p{d}") != "")
+                            & (F.col(f"__p{d}") != F.col(f"a{d - 1}")), F.col(f"__p{d}"))).drop(f"__p{d}")
+    levels = F.array(*[F.struct(F.col(f"a{d}").alias("ancestor_id"), F.lit(d).alias("depth"))
+                       for d in range(max_depth)])
+    # a null level ends the chain; later levels are null too (left joins on null)
+    return (chain.select("folder_id", F.inline(levels))
+            .filter(F.col("ancestor_id").isNotNull()))
 
 
 def excluded_folder_ids(folders: DataFrame, exclude_names: list[str]) -> DataFrame:
@@ -58,10 +59,10 @@ def excluded_folder_ids(folders: DataFrame, exclude_names: list[str]) -> DataFra
     are ignored, like the reference's 404 branch.
     """
     spark = folders.sparkSession
-    names = spark.createDataFrame([(n.strip(),) for n in exclude_names if n.strip()], "ancestor_id string")
+    names = literal_table(spark, [(n.strip(),) for n in exclude_names if n.strip()], "ancestor_id string")
     roots = names.join(folders.select(F.col("folder_id").alias("ancestor_id")), "ancestor_id", "left_semi")
-    return (folder_closure(folders).join(roots, "ancestor_id", "left_semi")
-            .select("folder_id").distinct())
+    return materialize(folder_closure(folders).join(roots, "ancestor_id", "left_semi")
+                       .select("folder_id").distinct(), "excluded_folders")
 
 
 # -- marks --------------------------------------------------------------------
@@ -140,7 +141,7 @@ def run_mail(flags: DataFrame, cap: int) -> DataFrame:
     seq = prefix_sums(flags.withColumn("key", key), ["profile"], ["received", "id"],
                       F.date_trunc("day", F.col("received")),
                       {"counted_cum": counted, "resets_cum": reset})
-    seq = seq.withColumn("counted_before", F.col("counted_cum") - counted.cast("bigint"))
+    seq = materialize(seq.withColumn("counted_before", F.col("counted_cum") - counted.cast("bigint")), "mail_seq")
 
     cap_stop = (seq.filter(~F.col("known") & (F.col("counted_before") >= cap))
                 .groupBy("profile").agg(F.min("key").alias("cap_stop_key")))

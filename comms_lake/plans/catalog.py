@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mail_queries
+from . import calendar_queries, mail_queries
 
-_MODULES = [mail_queries]
+_MODULES = [mail_queries, calendar_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

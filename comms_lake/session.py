@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
@@ -68,3 +70,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` once as parquet under the shared checkpoint
+    folder and read it back.
+
+    Used where one intermediate feeds several branches (so it is not
+    recomputed per branch) and where a lost executor must not replay a long
+    lineage. One write job; the re-read carries file statistics for AQE and
+    supports column pruning. Never a local checkpoint.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str):
+    """Small fixed table as a local relation (with size statistics, so the
+    planner can broadcast it), unlike ``createDataFrame`` on a list."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
+               for r in rows]
+    if not structs:
+        return spark.createDataFrame([], st)
+    return spark.range(1).select(F.inline(F.array(*structs)))

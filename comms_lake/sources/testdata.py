@@ -16,6 +16,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import literal_table
+
 # --- fixed values of the test mapping -------------------------------------
 N_PROFILES = 3                      # profile = user_id % 3
 EXCLUDE_FOLDERS = ["junkemail", "deleteditems", "drafts"]   # profile default
@@ -53,6 +55,19 @@ def _user_entry(u: Column, upper: bool = False) -> Column:
         (F.upper(addr) if upper else addr).alias("address")).alias("emailAddress"))
 
 
+def _user_name(u: Column) -> Column:
+    return F.concat(F.lit("Usuario "), u.cast("string"))
+
+
+def _name_address(name: Column) -> Column:
+    return F.concat(F.lower(F.replace(name, F.lit("#"), F.lit("."))), F.lit("@example.com"))
+
+
+def _attendee(kind: Column, name: Column, address: Column) -> Column:
+    return F.struct(kind.alias("type"),
+                    F.struct(name.alias("name"), address.alias("address")).alias("emailAddress"))
+
+
 class TestViews:
     """Spark views for one scale-factor directory (lazy, cached per object)."""
 
@@ -91,7 +106,7 @@ class TestViews:
 
     @cached_property
     def folders(self) -> DataFrame:
-        return self.spark.createDataFrame(FOLDERS, "folder_id string, display_name string, parent_id string")
+        return literal_table(self.spark, FOLDERS, "folder_id string, display_name string, parent_id string")
 
     @cached_property
     def tree(self) -> DataFrame:
@@ -146,6 +161,70 @@ class TestViews:
         return (m.groupBy("profile").agg(F.min("received").alias("first_seen"))
                 .select("profile", (F.col("first_seen") + F.make_dt_interval(days=days)).alias("marca")))
 
+    # -- calendar ----------------------------------------------------------------
+    @cached_property
+    def timed(self) -> DataFrame:
+        """Calendar events from ``events``: timed (start=ts, end=ts+floor(value)
+        minutes) or all-day (event_id % 10 = 0, 1-3 literal days)."""
+        e = self.events
+        u, eid = F.col("user_id"), F.col("event_id")
+        room_no = (eid % 4).cast("string")
+        room = _attendee(F.lit("resource"), F.concat(F.lit("Sala "), room_no),
+                         F.concat(F.lit("sala"), room_no, F.lit("@example.com")))
+        people = F.array(_attendee(F.lit("required"), _user_name(u + 1), _user_address(u + 1)),
+                         _attendee(F.lit("optional"), _user_name(u + 7), _user_address(u + 7)),
+                         _attendee(F.lit("required"), _user_name(u), F.upper(_user_address(u))))
+        all_day = eid % 10 == 0
+        day0 = F.date_trunc("day", "ts").cast("timestamp_ntz")
+        start = F.when(all_day, day0).otherwise(F.col("ts"))
+        end = F.when(all_day, day0 + F.make_dt_interval(days=(F.lit(1) + eid % 3).cast("int"))).otherwise(
+            F.col("ts") + F.make_dt_interval(mins=F.floor("value").cast("int")))
+        join = (F.when(F.col("event_type").isin("click", "purchase"),
+                       F.concat(F.lit("https://teams.microsoft.com/l/meetup-join/"), eid.cast("string")))
+                .when(F.col("event_type") == "view", F.concat(F.lit("https://meet.example.com/j/"), eid.cast("string")))
+                .otherwise(F.lit("")))
+        return e.select(
+            F.lit("timed").alias("calendar"), (u % N_PROFILES).alias("profile"),
+            F.concat(F.lit("e"), eid.cast("string")).alias("id"), "event_id",
+            F.initcap("event_type").alias("subject"),
+            start.alias("start_ts"), end.alias("end_ts"), all_day.alias("all_day"),
+            (eid % 13 == 0).alias("cancelled"), join.alias("join_url"),
+            (F.col("event_type") == "click").alias("is_online"),
+            F.when(F.col("event_type") == "purchase", F.lit("teamsForBusiness")).otherwise(F.lit("unknown")).alias("provider"),
+            _user_name(u).alias("org_name"), _user_address(u).alias("org_address"),
+            F.when(eid % 4 == 0, F.concat(people, F.array(room))).otherwise(people).alias("attendees"),
+            F.when(eid % 3 == 0, F.concat(F.lit("Sala "), room_no)).otherwise(F.lit("")).alias("location"))
+
+    @cached_property
+    def spans(self) -> DataFrame:
+        """Multi-day events from orders: start=o_orderdate, end=start +
+        (o_orderkey % 70) days; organizer = customer; attendees = suppliers of
+        the order's lines in (l_linenumber, l_suppkey, l_partkey) order, rooms
+        when suppkey % 5 = 0."""
+        li = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+        su = self.table("supplier").select("s_suppkey", "s_name")
+        att = (li.join(su, li.l_suppkey == su.s_suppkey)
+               .groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
+                   "l_linenumber", "l_suppkey", "l_partkey",
+                   _attendee(F.when(F.col("l_suppkey") % 5 == 0, F.lit("resource")).otherwise(F.lit("required")),
+                             F.col("s_name"), _name_address(F.col("s_name"))).alias("a")))).alias("__a"))
+               .select(F.col("l_orderkey").alias("o_orderkey"), F.transform("__a", lambda x: x["a"]).alias("attendees")))
+        cu = self.table("customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+        o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+        k = F.col("o_orderkey")
+        return (o.join(cu, "o_custkey", "left").join(att, "o_orderkey", "left").select(
+            F.lit("spans").alias("calendar"), (F.col("o_custkey") % N_PROFILES).alias("profile"),
+            F.concat(F.lit("o"), k.cast("string")).alias("id"), k.alias("event_id"),
+            F.concat(F.lit("Pedido "), k.cast("string")).alias("subject"),
+            F.col("o_orderdate").alias("start_ts"),
+            (F.col("o_orderdate") + F.make_dt_interval(days=(k % 70).cast("int"))).alias("end_ts"),
+            (k % 2 == 0).alias("all_day"), (F.col("o_orderstatus") == "F").alias("cancelled"),
+            F.lit("").alias("join_url"), F.lit(False).alias("is_online"), F.lit("").alias("provider"),
+            F.col("c_name").alias("org_name"), _name_address(F.col("c_name")).alias("org_address"),
+            F.coalesce("attendees", F.array().cast(
+                "array<struct<type:string,emailAddress:struct<name:string,address:string>>>")).alias("attendees"),
+            F.lit("").alias("location")))
+
     # -- documents, pages, cues ------------------------------------------------
     @cached_property
     def docs(self) -> DataFrame:
@@ -208,13 +287,47 @@ SQL_VIEWS: dict[str, str] = {
                lang AS folder_id, source AS profile FROM documents""",
     "v_html": "SELECT page_id AS id, html AS body FROM pages",
     "v_cues": "SELECT conv_id AS meeting, turn AS pos, role AS speaker, text FROM conversations",
+    "v_timed": f"""
+        SELECT 'timed' AS calendar, user_id % {N_PROFILES} AS profile, 'e' || event_id AS id, event_id,
+          upper(left(event_type, 1)) || lower(substr(event_type, 2)) AS subject,
+          CASE WHEN event_id % 10 = 0 THEN date_trunc('day', ts) ELSE ts END AS start_ts,
+          CASE WHEN event_id % 10 = 0 THEN date_trunc('day', ts) + to_days(CAST(1 + event_id % 3 AS INTEGER))
+               ELSE ts + to_minutes(CAST(floor(value) AS BIGINT)) END AS end_ts,
+          event_id % 10 = 0 AS all_day, event_id % 13 = 0 AS cancelled,
+          CASE WHEN event_type IN ('click', 'purchase') THEN 'https://teams.microsoft.com/l/meetup-join/' || event_id
+               WHEN event_type = 'view' THEN 'https://meet.example.com/j/' || event_id ELSE '' END AS join_url,
+          event_type = 'click' AS is_online,
+          CASE WHEN event_type = 'purchase' THEN 'teamsForBusiness' ELSE 'unknown' END AS provider,
+          'Usuario ' || user_id AS org_name, 'u' || user_id || '@example.com' AS org_address,
+          [struct_pack(type := 'required', name := 'Usuario ' || (user_id + 1), address := 'u' || (user_id + 1) || '@example.com'),
+           struct_pack(type := 'optional', name := 'Usuario ' || (user_id + 7), address := 'u' || (user_id + 7) || '@example.com'),
+           struct_pack(type := 'required', name := 'Usuario ' || user_id, address := upper('u' || user_id || '@example.com'))]
+          || CASE WHEN event_id % 4 = 0 THEN [struct_pack(type := 'resource', name := 'Sala ' || (event_id % 4),
+                                                          address := 'sala' || (event_id % 4) || '@example.com')]
+                  ELSE [] END AS attendees,
+          CASE WHEN event_id % 3 = 0 THEN 'Sala ' || (event_id % 4) ELSE '' END AS location
+        FROM events""",
+    "v_span_att": """
+        SELECT l_orderkey AS o_orderkey,
+          list(struct_pack(type := CASE WHEN l_suppkey % 5 = 0 THEN 'resource' ELSE 'required' END,
+                           name := s_name, address := lower(replace(s_name, '#', '.')) || '@example.com')
+               ORDER BY l_linenumber, l_suppkey, l_partkey) AS attendees
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey""",
+    "v_spans": f"""
+        SELECT 'spans' AS calendar, o_custkey % {N_PROFILES} AS profile, 'o' || o_orderkey AS id,
+          o_orderkey AS event_id, 'Pedido ' || o_orderkey AS subject, o_orderdate AS start_ts,
+          o_orderdate + to_days(CAST(o_orderkey % 70 AS INTEGER)) AS end_ts, o_orderkey % 2 = 0 AS all_day,
+          o_orderstatus = 'F' AS cancelled, '' AS join_url, false AS is_online, '' AS provider,
+          c_name AS org_name, lower(replace(c_name, '#', '.')) || '@example.com' AS org_address,
+          coalesce(a.attendees, []) AS attendees, '' AS location
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN v_span_att a USING (o_orderkey)""",
 }
 
 # Which views each view reads (to emit CTEs in dependency order).
 SQL_DEPS: dict[str, list[str]] = {
     "v_messages": ["v_events"], "v_tree": ["v_folders"], "v_first": ["v_messages"],
     "v_index": ["v_first"], "v_internet_index": ["v_first"], "v_skip": ["v_first"],
-    "v_fail": ["v_first"], "v_state": ["v_first"],
+    "v_fail": ["v_first"], "v_state": ["v_first"], "v_spans": ["v_span_att"],
 }
 
 
