@@ -22,16 +22,22 @@ def normalize_name(col) -> Column:
     """No angle brackets, no edge quotes/spaces, whitespace collapsed (X11)."""
     text = F.replace(F.replace(one_line(col), F.lit("<"), F.lit("")), F.lit(">"), F.lit(""))
     text = F.regexp_replace(text, "^" + NAME_EDGE_CLASS + "+|" + NAME_EDGE_CLASS + "+$", "")
-    return F.regexp_replace(text, WHITESPACE_CLASS + "+", " ")
+    # one_line left single spaces only; dropping brackets can make runs of them
+    return F.regexp_replace(text, " {2,}", " ")
 
 
 def person_label(name, address) -> Column:
     """``Name <email>``, ``<email>`` or '' when there is no address."""
-    email = normalize_email(address)
-    nm = normalize_name(name)
-    return (F.when(email == "", F.lit(""))
-            .when((nm == "") | (F.lower(nm) == email), F.concat(F.lit("<"), email, F.lit(">")))
-            .otherwise(F.concat(nm, F.lit(" <"), email, F.lit(">"))))
+    # bind email and name once: inside higher-order lambdas there is no
+    # common-subexpression elimination, so each use would re-run the regexes
+    pair = F.struct(normalize_email(address).alias("e"), normalize_name(name).alias("n"))
+
+    def label(r):
+        email, nm = r["e"], r["n"]
+        return (F.when(email == "", F.lit(""))
+                .when((nm == "") | (F.lower(nm) == email), F.concat(F.lit("<"), email, F.lit(">")))
+                .otherwise(F.concat(nm, F.lit(" <"), email, F.lit(">"))))
+    return F.transform(F.array(pair), label)[0]
 
 
 def person_of(entry: Column) -> Column:

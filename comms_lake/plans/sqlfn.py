@@ -22,7 +22,7 @@ def normalize_email(x: str) -> str:
 
 def normalize_name(x: str) -> str:
     return (f"regexp_replace(regexp_replace(replace(replace({one_line(x)}, '<', ''), '>', ''), "
-            f"'^{EDGE}+|{EDGE}+$', '', 'g'), '{WS}+', ' ', 'g')")
+            f"'^{EDGE}+|{EDGE}+$', '', 'g'), ' {{2,}}', ' ', 'g')")
 
 
 def person_label(name: str, address: str) -> str:
