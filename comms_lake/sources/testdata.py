@@ -225,6 +225,51 @@ class TestViews:
                 "array<struct<type:string,emailAddress:struct<name:string,address:string>>>")).alias("attendees"),
             F.lit("").alias("location")))
 
+    # -- meetings ----------------------------------------------------------------
+    @cached_property
+    def online_meetings(self) -> DataFrame:
+        """Join URL -> online meeting id for Teams events (event_id % 6 <> 0);
+        consecutive event ids share a meeting; event_id % 8 = 0 also lists a
+        second id for the same URL."""
+        t = self.timed.filter(F.col("join_url").contains("teams.microsoft") & (F.col("event_id") % 6 != 0))
+        one = t.select("join_url", F.concat(F.lit("om"), F.expr("event_id div 2").cast("string")).alias("meeting_id"))
+        two = t.filter(F.col("event_id") % 8 == 0).select(
+            "join_url", F.concat(F.lit("omx"), F.col("event_id").cast("string")).alias("meeting_id"))
+        return one.unionByName(two)
+
+    @cached_property
+    def transcripts(self) -> DataFrame:
+        """One transcript per conversation, VTT rebuilt from its turns in order."""
+        c = self.cues
+        pos = F.col("pos")
+        secs = pos * 7
+        h, m, sc = (secs / 3600).cast("int"), ((secs / 60).cast("int") % 60), secs % 60
+
+        def p2(x):
+            return F.lpad(x.cast("string"), 2, "0")
+        stamp = (F.when(pos % 3 == 0, F.concat(h.cast("string"), F.lit(":"), p2(m), F.lit(":"), p2(sc), F.lit(".000")))
+                 .when(pos % 3 == 1, F.concat(p2(m), F.lit(":"), p2(sc), F.lit(",000")))
+                 .otherwise(F.concat(p2(h), F.lit(":"), p2(m), F.lit(":"), p2(sc), F.lit(".000"))))
+        e = secs + 5
+        end = F.concat(p2((e / 3600).cast("int")), F.lit(":"), p2((e / 60).cast("int") % 60), F.lit(":"),
+                       p2(e % 60), F.lit(".000"))
+        voice = (F.when(F.col("speaker") == "user", F.concat(F.lit("<v Ana Pérez>"), "text", F.lit("</v>")))
+                 .when(F.col("speaker") == "assistant", F.concat(F.lit("<v.loud Asistente Virtual>"), "text", F.lit("</v>")))
+                 .otherwise(F.col("text")))
+        block = F.concat_ws("\n", (pos + 1).cast("string"), F.concat(stamp, F.lit(" --> "), end), voice)
+        g = c.groupBy("meeting").agg(F.array_sort(F.collect_list(F.struct("pos", block.alias("b")))).alias("__b"))
+        return g.select(
+            F.concat(F.lit("om"), F.col("meeting").cast("string")).alias("meeting_id"),
+            F.concat(F.lit("t"), F.col("meeting").cast("string")).alias("transcript_id"),
+            (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("meeting").cast("int"))).alias("created"),
+            (F.col("meeting") % 7 != 3).alias("attributed"),
+            F.concat(F.lit("WEBVTT\n\n"), F.array_join(F.transform("__b", lambda x: x["b"]), "\n\n")).alias("vtt"))
+
+    @cached_property
+    def seen_transcripts(self) -> DataFrame:
+        return self.cues.filter(F.col("meeting") % 5 == 0).select(
+            F.concat(F.lit("t"), F.col("meeting").cast("string")).alias("transcript_id")).distinct()
+
     # -- documents, pages, cues ------------------------------------------------
     @cached_property
     def docs(self) -> DataFrame:
@@ -313,6 +358,34 @@ SQL_VIEWS: dict[str, str] = {
                            name := s_name, address := lower(replace(s_name, '#', '.')) || '@example.com')
                ORDER BY l_linenumber, l_suppkey, l_partkey) AS attendees
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey""",
+    "v_online": """
+        SELECT join_url, 'om' || (event_id // 2) AS meeting_id FROM v_timed
+        WHERE contains(join_url, 'teams.microsoft') AND event_id % 6 <> 0
+        UNION ALL
+        SELECT join_url, 'omx' || event_id FROM v_timed
+        WHERE contains(join_url, 'teams.microsoft') AND event_id % 6 <> 0 AND event_id % 8 = 0""",
+    "v_transcripts": """
+        SELECT 'om' || meeting AS meeting_id, 't' || meeting AS transcript_id,
+          TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(meeting AS BIGINT)) AS created,
+          meeting % 7 <> 3 AS attributed,
+          'WEBVTT' || chr(10) || chr(10) || string_agg(block, chr(10) || chr(10) ORDER BY pos) AS vtt
+        FROM (
+          SELECT meeting, pos,
+            CAST(pos + 1 AS VARCHAR) || chr(10) ||
+            CASE WHEN pos % 3 = 0 THEN CAST(pos * 7 // 3600 AS VARCHAR) || ':' || lpad(CAST((pos * 7 // 60) % 60 AS VARCHAR), 2, '0')
+                                      || ':' || lpad(CAST(pos * 7 % 60 AS VARCHAR), 2, '0') || '.000'
+                 WHEN pos % 3 = 1 THEN lpad(CAST((pos * 7 // 60) % 60 AS VARCHAR), 2, '0') || ':'
+                                      || lpad(CAST(pos * 7 % 60 AS VARCHAR), 2, '0') || ',000'
+                 ELSE lpad(CAST(pos * 7 // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST((pos * 7 // 60) % 60 AS VARCHAR), 2, '0')
+                      || ':' || lpad(CAST(pos * 7 % 60 AS VARCHAR), 2, '0') || '.000' END
+            || ' --> ' || lpad(CAST((pos * 7 + 5) // 3600 AS VARCHAR), 2, '0') || ':'
+            || lpad(CAST(((pos * 7 + 5) // 60) % 60 AS VARCHAR), 2, '0') || ':'
+            || lpad(CAST((pos * 7 + 5) % 60 AS VARCHAR), 2, '0') || '.000' || chr(10) ||
+            CASE WHEN speaker = 'user' THEN '<v Ana Pérez>' || text || '</v>'
+                 WHEN speaker = 'assistant' THEN '<v.loud Asistente Virtual>' || text || '</v>'
+                 ELSE text END AS block
+          FROM v_cues) GROUP BY meeting""",
+    "v_seen_transcripts": "SELECT DISTINCT 't' || meeting AS transcript_id FROM v_cues WHERE meeting % 5 = 0",
     "v_spans": f"""
         SELECT 'spans' AS calendar, o_custkey % {N_PROFILES} AS profile, 'o' || o_orderkey AS id,
           o_orderkey AS event_id, 'Pedido ' || o_orderkey AS subject, o_orderdate AS start_ts,
@@ -328,6 +401,7 @@ SQL_DEPS: dict[str, list[str]] = {
     "v_messages": ["v_events"], "v_tree": ["v_folders"], "v_first": ["v_messages"],
     "v_index": ["v_first"], "v_internet_index": ["v_first"], "v_skip": ["v_first"],
     "v_fail": ["v_first"], "v_state": ["v_first"], "v_spans": ["v_span_att"],
+    "v_online": ["v_timed"], "v_transcripts": ["v_cues"], "v_seen_transcripts": ["v_cues"],
 }
 
 
