@@ -45,7 +45,7 @@ def to_local(ts_utc_ntz, zone: str = UTC) -> Column:
 
 def offset_text(utc_ntz: Column, local_ntz: Column) -> Column:
     """``+HH:MM`` offset between local and UTC wall time."""
-    minutes = F.timestampdiff("MINUTE", utc_ntz, local_ntz)
+    minutes = F.timestamp_diff("MINUTE", utc_ntz, local_ntz)
     sign = F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+"))
     am = F.abs(minutes)
     return F.concat(sign, F.lpad((am / 60).cast("int").cast("string"), 2, "0"), F.lit(":"),
