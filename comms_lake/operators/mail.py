@@ -15,9 +15,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from ..functions import text as X
 from ..functions import times as TM
-from ..session import literal_table, materialize
+from ..session import literal_table
 from .ordered import prefix_sums
 
 # --- fixed values (reference constants) -----------------------------------
@@ -61,8 +63,8 @@ def excluded_folder_ids(folders: DataFrame, exclude_names: list[str]) -> DataFra
     spark = folders.sparkSession
     names = literal_table(spark, [(n.strip(),) for n in exclude_names if n.strip()], "ancestor_id string")
     roots = names.join(folders.select(F.col("folder_id").alias("ancestor_id")), "ancestor_id", "left_semi")
-    return materialize(folder_closure(folders).join(roots, "ancestor_id", "left_semi")
-                       .select("folder_id").distinct(), "excluded_folders")
+    return (folder_closure(folders).join(roots, "ancestor_id", "left_semi")
+            .select("folder_id").distinct())
 
 
 # -- marks --------------------------------------------------------------------
@@ -119,10 +121,10 @@ def classify(messages: DataFrame, marks: DataFrame, index_ids: DataFrame, intern
     valid = F.col("received").isNotNull()
     failing = ~known & ~excluded & valid & F.coalesce("__fails", F.lit(False))
     strike3 = failing & (F.coalesce("prior_strikes", F.lit(0)) + 1 >= WRITE_FAILURES_BEFORE_SKIP)
-    return (joined.withColumn("known", known).withColumn("excluded", excluded)
-            .withColumn("failing", failing).withColumn("strike3", strike3)
-            .withColumn("alias_only", F.coalesce("__known_inet", F.lit(False)) & ~F.coalesce("__known_id", F.lit(False))
-                        & (F.col("internet_id") != ""))
+    alias_only = (F.coalesce("__known_inet", F.lit(False)) & ~F.coalesce("__known_id", F.lit(False))
+                  & (F.col("internet_id") != ""))
+    return (joined.withColumns({"known": known, "excluded": excluded, "failing": failing,
+                                "strike3": strike3, "alias_only": alias_only})
             .drop("__known_id", "__known_inet", "__excluded", "__fails"))
 
 
@@ -138,10 +140,13 @@ def run_mail(flags: DataFrame, cap: int) -> DataFrame:
     key = F.struct("received", "id")
     counted = ~F.col("known") & ~(F.col("failing") & ~F.col("strike3"))
     reset = ~F.col("failing")
-    seq = prefix_sums(flags.withColumn("key", key), ["profile"], ["received", "id"],
+    seq = prefix_sums(flags.withColumns({"key": key}), ["profile"], ["received", "id"],
                       F.date_trunc("day", F.col("received")),
                       {"counted_cum": counted, "resets_cum": reset})
-    seq = materialize(seq.withColumn("counted_before", F.col("counted_cum") - counted.cast("bigint")), "mail_seq")
+    # three branches read the sequence (cap stop, error stop, rows): keep it
+    # once; a lost block is recomputed from the short lineage
+    seq = seq.withColumn("counted_before", F.col("counted_cum") - counted.cast("bigint")).persist(
+        StorageLevel.MEMORY_AND_DISK)
 
     cap_stop = (seq.filter(~F.col("known") & (F.col("counted_before") >= cap))
                 .groupBy("profile").agg(F.min("key").alias("cap_stop_key")))
@@ -160,7 +165,7 @@ def run_mail(flags: DataFrame, cap: int) -> DataFrame:
                .when(F.col("strike3"), F.lit("skipped"))
                .when(F.col("failing"), F.lit("failed"))
                .otherwise(F.lit("written")))
-    return out.withColumn("processed", processed).withColumn("outcome", outcome)
+    return out.withColumns({"processed": processed, "outcome": outcome})
 
 
 def run_summary(run: DataFrame, marks: DataFrame, cap: int) -> DataFrame:

@@ -27,9 +27,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     order column). Output columns are named after the ``values`` keys.
     """
     tmp = {name: f"__v_{name}" for name in values}
-    staged = df.withColumn("__bucket", bucket)
-    for name, expr in values.items():
-        staged = staged.withColumn(tmp[name], expr.cast("bigint"))
+    staged = df.withColumns({"__bucket": bucket, **{tmp[n]: e.cast("bigint") for n, e in values.items()}})
     per_bucket = staged.groupBy(*keys, "__bucket").agg(
         *[F.sum(tmp[n]).alias(f"__b_{n}") for n in values])
     over_buckets = (Window.partitionBy(*keys).orderBy("__bucket")
@@ -40,6 +38,5 @@ def prefix_sums(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     in_bucket = (Window.partitionBy(*keys, "__bucket").orderBy(*order)
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = staged.join(offsets, [*keys, "__bucket"], "inner")
-    for n in values:
-        out = out.withColumn(n, F.col(f"__o_{n}") + F.sum(tmp[n]).over(in_bucket))
+    out = out.withColumns({n: F.col(f"__o_{n}") + F.sum(tmp[n]).over(in_bucket) for n in values})
     return out.drop("__bucket", *tmp.values(), *[f"__o_{n}" for n in values])
