@@ -37,6 +37,8 @@ FOLDERS = [
     ("purchase", "Compras", "inbox"),
     ("error", "Errores", "junkemail"),
     ("signup", "Altas", "deleteditems"),
+    ("en", "Entrada EN", "inbox"),
+    ("fr", "Entrée FR", "inbox"),
 ]
 
 
@@ -278,6 +280,48 @@ class TestViews:
             F.left(F.col("text"), F.lit(80)).alias("subject"), F.col("text").alias("body"),
             F.col("lang").alias("folder_id"), F.col("source").alias("profile"))
 
+    @cached_property
+    def doc_messages(self) -> DataFrame:
+        """Documents as received messages with recipients and attachments:
+        received = 2024-01-01 + 7 min x doc_id; ``from`` has no address when
+        doc_id % 6 = 0 (sender fallback); attachments are the line items whose
+        l_orderkey equals doc_id; the listing fails when doc_id % 50 = 0."""
+        d = self.table("documents")
+        li = self.table("lineitem")
+        atts = (li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
+            "l_linenumber", F.concat(F.lit("pieza-"), F.col("l_partkey").cast("string"), F.lit(".pdf")).alias("name"),
+            F.lit("application/pdf").alias("content_type"),
+            F.floor("l_extendedprice").cast("bigint").alias("size")))).alias("__a"))
+            .select(F.col("l_orderkey").alias("doc_id"),
+                    F.transform("__a", lambda x: F.struct(x["name"].alias("name"), x["content_type"].alias("content_type"),
+                                                          x["size"].alias("size"))).alias("atts")))
+        src = F.col("source")
+        entry = lambda n, a: F.struct(F.struct(n.alias("name"), a.alias("address")).alias("emailAddress"))
+        fail = F.col("doc_id") % 50 == 0
+        return d.join(atts, "doc_id", "left").join(
+            self.folders.select(F.col("folder_id").alias("lang"), F.col("display_name").alias("carpeta")), "lang", "left"
+        ).select(
+            "doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
+            F.concat(F.lit("<d"), F.col("doc_id").cast("string"), F.lit("@docs>")).alias("internet_id"),
+            F.left("text", F.lit(80)).alias("subject"),
+            (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+             + F.make_dt_interval(mins=(F.col("doc_id") * 7).cast("int"))).alias("received"),
+            entry(F.concat(F.lit("Autor "), src),
+                  F.when(F.col("doc_id") % 6 == 0, F.lit("")).otherwise(F.concat(src, F.lit("@example.com")))).alias("from_entry"),
+            entry(F.concat(F.lit("Buzón "), src), F.concat(F.lit("buzon."), src, F.lit("@example.com"))).alias("sender_entry"),
+            F.array(entry(F.concat(F.lit("Lector "), F.col("lang")), F.concat(F.col("lang"), F.lit("@example.com"))),
+                    entry(F.concat(F.lit("Autor "), src), F.upper(F.concat(src, F.lit("@example.com"))))).alias("to_entries"),
+            F.when(F.col("doc_id") % 4 == 0, F.array(entry(F.lit("Copia"), F.lit("copia@example.com")))).otherwise(
+                F.array().cast("array<struct<emailAddress:struct<name:string,address:string>>>")).alias("cc_entries"),
+            F.concat(F.lit("conv-"), F.expr("doc_id div 3").cast("string")).alias("conversation_id"),
+            F.coalesce("carpeta", F.lit("")).alias("carpeta"),
+            F.when(fail, F.array().cast("array<struct<name:string,content_type:string,size:bigint>>")).otherwise(
+                F.coalesce("atts", F.array().cast("array<struct<name:string,content_type:string,size:bigint>>"))).alias("attachments"),
+            fail.alias("attachments_error"),
+            F.lit("text").alias("content_type"), F.col("text").alias("content"), F.lit("").alias("preview"),
+            F.lit("acme").alias("empresa"), F.concat(src, F.lit("@example.com")).alias("cuenta"),
+            F.lit("2024-02-01T00:00:00+00:00").alias("ingestado"), F.col("lang"))
+
     @cached_property
     def html(self) -> DataFrame:
         return self.table("pages").select(F.col("page_id").alias("id"), F.col("html").alias("body"))
@@ -331,6 +375,26 @@ SQL_VIEWS: dict[str, str] = {
         SELECT doc_id, 'd' || doc_id AS id, left(text, 80) AS subject, text AS body,
                lang AS folder_id, source AS profile FROM documents""",
     "v_html": "SELECT page_id AS id, html AS body FROM pages",
+    "v_atts": """
+        SELECT l_orderkey AS doc_id,
+          list(struct_pack(name := 'pieza-' || l_partkey || '.pdf', content_type := 'application/pdf',
+                           size := CAST(floor(l_extendedprice) AS BIGINT)) ORDER BY l_linenumber, 'pieza-' || l_partkey || '.pdf',
+                           CAST(floor(l_extendedprice) AS BIGINT)) AS atts
+        FROM lineitem GROUP BY l_orderkey""",
+    "v_docmail": """
+        SELECT d.doc_id, 'd' || d.doc_id AS id, '<d' || d.doc_id || '@docs>' AS internet_id, left(d.text, 80) AS subject,
+          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(d.doc_id * 7 AS BIGINT)) AS received,
+          'Autor ' || d.source AS from_name, CASE WHEN d.doc_id % 6 = 0 THEN '' ELSE d.source || '@example.com' END AS from_address,
+          'Buzón ' || d.source AS sender_name, 'buzon.' || d.source || '@example.com' AS sender_address,
+          [struct_pack(name := 'Lector ' || d.lang, address := d.lang || '@example.com'),
+           struct_pack(name := 'Autor ' || d.source, address := upper(d.source || '@example.com'))] AS to_list,
+          CASE WHEN d.doc_id % 4 = 0 THEN [struct_pack(name := 'Copia', address := 'copia@example.com')]
+               ELSE [] END AS cc_list,
+          'conv-' || (d.doc_id // 3) AS conversation_id, coalesce(f.display_name, '') AS carpeta,
+          CASE WHEN d.doc_id % 50 = 0 THEN [] ELSE coalesce(a.atts, []) END AS attachments,
+          d.doc_id % 50 = 0 AS attachments_error, d.text AS body_text, 'acme' AS empresa,
+          d.source || '@example.com' AS cuenta, '2024-02-01T00:00:00+00:00' AS ingestado, d.lang
+        FROM documents d LEFT JOIN v_atts a USING (doc_id) LEFT JOIN v_folders f ON f.folder_id = d.lang""",
     "v_cues": "SELECT conv_id AS meeting, turn AS pos, role AS speaker, text FROM conversations",
     "v_timed": f"""
         SELECT 'timed' AS calendar, user_id % {N_PROFILES} AS profile, 'e' || event_id AS id, event_id,
@@ -400,7 +464,7 @@ SQL_VIEWS: dict[str, str] = {
 SQL_DEPS: dict[str, list[str]] = {
     "v_messages": ["v_events"], "v_tree": ["v_folders"], "v_first": ["v_messages"],
     "v_index": ["v_first"], "v_internet_index": ["v_first"], "v_skip": ["v_first"],
-    "v_fail": ["v_first"], "v_state": ["v_first"], "v_spans": ["v_span_att"],
+    "v_fail": ["v_first"], "v_state": ["v_first"], "v_spans": ["v_span_att"], "v_docmail": ["v_atts", "v_folders"],
     "v_online": ["v_timed"], "v_transcripts": ["v_cues"], "v_seen_transcripts": ["v_cues"],
 }
 
