@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 
 from ..functions import text as X
 from ..functions import times as TM
-from ..session import literal_table
+from ..session import literal_table, with_params
 from .ordered import prefix_sums
 
 # --- fixed values (reference constants) -----------------------------------
@@ -74,7 +74,7 @@ def effective_marks(messages: DataFrame, state: DataFrame, run_at: DataFrame,
     """Per profile: saved mark, or ``run_at - backfill_days`` on a first
     run (F2); ``source`` says which."""
     profiles = messages.select("profile").distinct()
-    return (profiles.join(state, "profile", "left").crossJoin(run_at)
+    return (with_params(profiles.join(state, "profile", "left"), run_at)
             .select("profile",
                     F.coalesce("marca", F.col("run_at") - F.make_dt_interval(days=F.lit(backfill_days)))
                     .alias("mark"),

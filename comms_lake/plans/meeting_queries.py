@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import vtt as V
 from ..operators import meetings as MT
+from ..session import with_params
 from ..sources.testdata import MEETINGS_LOOKBACK_DAYS, TestViews, sql_with
 from . import sqlfn as Q
 
@@ -20,7 +21,7 @@ def _window(v: TestViews):
 
 
 def _candidates(v: TestViews):
-    return MT.candidates(v.timed.crossJoin(_window(v)), F.col("window_start"), F.col("now"))
+    return MT.candidates(with_params(v.timed, _window(v)), F.col("window_start"), F.col("now"))
 
 
 def q_meeting_candidates(spark, sf_dir):
