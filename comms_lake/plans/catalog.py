@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import calendar_queries, doc_queries, mail_queries, meeting_queries, ops_queries, text_queries
+from . import calendar_queries, doc_queries, mail_queries, meeting_queries, ops_queries, stream_queries, text_queries
 
-_MODULES = [mail_queries, calendar_queries, meeting_queries, text_queries, doc_queries, ops_queries]
+_MODULES = [mail_queries, calendar_queries, meeting_queries, text_queries, doc_queries, ops_queries, stream_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
