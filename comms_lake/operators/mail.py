@@ -97,12 +97,13 @@ def first_occurrence(df: DataFrame) -> DataFrame:
 
 def classify(messages: DataFrame, marks: DataFrame, index_ids: DataFrame, internet_index: DataFrame,
              skipped: DataFrame, excluded_folders: DataFrame, failures: DataFrame,
-             overlap_minutes: int) -> DataFrame:
+             overlap_minutes: int, remembered: DataFrame | None = None) -> DataFrame:
     """Cursor filter (F1), first occurrence (W1) and per-row flags.
 
     known: id written or skipped before, or non-empty internet id recorded
     (J4, J5); excluded: folder in an excluded subtree (J3); failing and
-    strike3 from this run's write outcome (W5).
+    strike3 from this run's write outcome (W5); free: known, or an id the
+    exclusion memory holds (re-evaluated, but it never uses the cap).
     """
     cand = (messages.join(marks.select("profile", "mark"), "profile")
             .filter(F.col("received") >= F.col("mark") - F.make_dt_interval(mins=F.lit(overlap_minutes))))
@@ -111,6 +112,11 @@ def classify(messages: DataFrame, marks: DataFrame, index_ids: DataFrame, intern
     inet = internet_index.distinct().withColumn("__known_inet", F.lit(True))
     excl = excluded_folders.withColumn("__excluded", F.lit(True))
     fl = failures.select("profile", "id", "prior_strikes").withColumn("__fails", F.lit(True))
+    if remembered is not None:
+        firsts = firsts.join(remembered.select("profile", "id").distinct().withColumn("__mem", F.lit(True)),
+                             ["profile", "id"], "left")
+    else:
+        firsts = firsts.withColumn("__mem", F.lit(False))
     joined = (firsts.join(known_ids, ["profile", "id"], "left")
               .join(inet, ["profile", "internet_id"], "left")
               .join(excl, "folder_id", "left")
@@ -123,9 +129,10 @@ def classify(messages: DataFrame, marks: DataFrame, index_ids: DataFrame, intern
     strike3 = failing & (F.coalesce("prior_strikes", F.lit(0)) + 1 >= WRITE_FAILURES_BEFORE_SKIP)
     alias_only = (F.coalesce("__known_inet", F.lit(False)) & ~F.coalesce("__known_id", F.lit(False))
                   & (F.col("internet_id") != ""))
-    return (joined.withColumns({"known": known, "excluded": excluded, "failing": failing,
+    free = known | F.coalesce("__mem", F.lit(False))
+    return (joined.withColumns({"known": known, "free": free, "excluded": excluded, "failing": failing,
                                 "strike3": strike3, "alias_only": alias_only})
-            .drop("__known_id", "__known_inet", "__excluded", "__fails"))
+            .drop("__known_id", "__known_inet", "__excluded", "__fails", "__mem"))
 
 
 def run_mail(flags: DataFrame, cap: int) -> DataFrame:
@@ -138,7 +145,7 @@ def run_mail(flags: DataFrame, cap: int) -> DataFrame:
     extends a failure run but never triggers the stop itself).
     """
     key = F.struct("received", "id")
-    counted = ~F.col("known") & ~(F.col("failing") & ~F.col("strike3"))
+    counted = ~F.col("free") & ~(F.col("failing") & ~F.col("strike3"))
     reset = ~F.col("failing")
     seq = prefix_sums(flags.withColumns({"key": key}), ["profile"], ["received", "id"],
                       F.date_trunc("day", F.col("received")),
@@ -148,7 +155,7 @@ def run_mail(flags: DataFrame, cap: int) -> DataFrame:
     seq = seq.withColumn("counted_before", F.col("counted_cum") - counted.cast("bigint")).persist(
         StorageLevel.MEMORY_AND_DISK)
 
-    cap_stop = (seq.filter(~F.col("known") & (F.col("counted_before") >= cap))
+    cap_stop = (seq.filter(~F.col("free") & (F.col("counted_before") >= cap))
                 .groupBy("profile").agg(F.min("key").alias("cap_stop_key")))
     # failure runs: the resets counted so far name the run a failure belongs to
     in_run = Window.partitionBy("profile", "resets_cum").orderBy("received", "id")
