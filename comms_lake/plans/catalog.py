@@ -7,9 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import calendar_queries, doc_queries, mail_queries, meeting_queries, ops_queries, stream_queries, text_queries
+from . import (calendar_queries, doc_queries, mail_queries, meeting_queries, misc_queries, ops_queries,
+               stream_queries, text_queries)
 
-_MODULES = [mail_queries, calendar_queries, meeting_queries, text_queries, doc_queries, ops_queries, stream_queries]
+_MODULES = [mail_queries, calendar_queries, meeting_queries, text_queries, doc_queries, ops_queries, stream_queries,
+            misc_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
