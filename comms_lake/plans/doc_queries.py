@@ -243,4 +243,8 @@ ORACLE = {
                         PARTITION BY profile, id ORDER BY received, pos) AS rn0 FROM v_messages) WHERE rn0 = 1)))
             WHERE rn <= 200)
           GROUP BY profile, scope, target_date)""", upto="marks"),
+    "path_collisions": sql_with(f"""
+        SELECT profile, id, path FROM ({_paths_sql(
+            "(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY profile, id ORDER BY received, pos) AS rn "
+            "FROM v_messages) WHERE rn = 1)", "'acme-' || profile")})""", "v_messages"),
 }

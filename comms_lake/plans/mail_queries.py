@@ -378,7 +378,6 @@ ORACLE = {
         "SELECT folder_id, ancestor_id, CAST(depth AS BIGINT) AS depth FROM tclosure", "v_tree",
         extra={"tclosure": _closure("v_tree").format(self="tclosure")},
         extra_deps={"tclosure": ["v_tree"]})[len("WITH "):],
-    "path_collisions": None,  # slug needs NFKD: unit-tested, rows-only here
     "tie_groups": sql_with("""
         SELECT profile, strftime(date_trunc('hour', received), '%Y-%m-%d %H:%M:%S') AS bucket, count(*) AS n,
                count(*) > 50 AS grows_page, count(*) > 1000 AS skips_second
