@@ -66,18 +66,30 @@ def day_spine(days: DataFrame, keys: list[str]) -> DataFrame:
 
 def day_sort_key() -> Column:
     """L3: all-day first, then start, then id (null start first), as one
-    string: a fixed-width prefix keeps string order equal to tuple order and
-    sorts faster than a struct inside ``array_sort``."""
+    fixed-width-prefix string: string order equals tuple order, and a flat
+    string compares much faster than a struct inside ``array_sort``.
+
+    Used as ``F.col("k")`` when ``with_sort_key`` already added it per event
+    (before the day expansion), else computed here."""
     return F.concat(F.when(F.col("all_day"), F.lit("0")).otherwise(F.lit("1")),
                     F.coalesce(F.date_format("start_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(" " * 26)),
                     F.coalesce(F.col("id"), F.lit("")))
 
 
+def with_sort_key(events: DataFrame) -> DataFrame:
+    """Per-event L3 key, computed once instead of once per event day."""
+    return events.withColumn("k", day_sort_key())
+
+
+def _k(df: DataFrame) -> Column:
+    return F.col("k") if "k" in df.columns else day_sort_key()
+
+
 def day_rollup(days: DataFrame, keys: list[str]) -> DataFrame:
     """A4: per day the event count and the ordered id list."""
     return (days.groupBy(*keys, "day")
             .agg(F.count("*").alias("n_events"),
-                 F.array_sort(F.collect_list(F.struct(day_sort_key().alias("k"), F.col("id").alias("id"))))
+                 F.array_sort(F.collect_list(F.struct(_k(days).alias("k"), F.col("id").alias("id"))))
                  .alias("__evs"))
             .withColumn("ids", F.transform("__evs", lambda e: e["id"])).drop("__evs"))
 
@@ -86,28 +98,25 @@ def day_people(days: DataFrame, keys: list[str]) -> DataFrame:
     """A3: participants of a day's ordered events, first seen wins.
 
     Needs ``people`` and ``people_keys`` (see ``with_people``), computed once
-    per event before the day expansion. One grouped collect per day (a
-    day's agenda is small), events sorted, then the ordered distinct keys
-    (``array_distinct`` keeps first occurrences) mapped back to the first
-    label with ``array_position``: native array code, no per-element fold.
+    per event before the day expansion. Flat (day, person) rows are reduced
+    to the first sighting per (day, email) by a grouped ``min`` (hash
+    aggregation, merged map-side), then each day's survivors (one per
+    distinct person) are ordered by that first sighting.
     """
-    g = (days.groupBy(*keys, "day")
-         .agg(F.array_sort(F.collect_list(F.struct(
-             day_sort_key().alias("k"), F.col("people").alias("labels"), F.col("people_keys").alias("keys"))))
-             .alias("__evs")))
-    flat = g.select(*keys, "day",
-                    F.flatten(F.transform("__evs", lambda e: e["labels"])).alias("__labels"),
-                    F.flatten(F.transform("__evs", lambda e: e["keys"])).alias("__keys"))
-    firsts = F.transform(F.array_distinct("__keys"),
-                         lambda k: F.element_at("__labels", F.array_position("__keys", k).cast("int")))
-    return flat.select(*keys, "day", F.filter(firsts, lambda x: x != "").alias("people"))
+    exp = days.select(*keys, "day", _k(days).alias("k"),
+                      F.posexplode(F.arrays_zip(F.col("people").alias("label"), F.col("people_keys").alias("email")))
+                      .alias("pos", "p"))
+    first = (exp.groupBy(*keys, "day", F.col("p.email").alias("email"))
+             .agg(F.min(F.struct("k", "pos", F.col("p.label").alias("label"))).alias("m")))
+    return (first.groupBy(*keys, "day").agg(F.array_sort(F.collect_list("m")).alias("__p"))
+            .select(*keys, "day", F.filter(F.transform("__p", lambda m: m["label"]), lambda x: x != "").alias("people")))
 
 
 def with_people(events: DataFrame) -> DataFrame:
     """A2: organizer-first participants without rooms, plus their email keys."""
     org = F.struct(F.struct(F.col("org_name").alias("name"), F.col("org_address").alias("address")).alias("emailAddress"))
-    return (events.withColumn("people", P.event_people(org, F.col("attendees")))
-            .withColumn("people_keys", F.transform("people", P.person_key)))
+    return with_sort_key(events.withColumn("people", P.event_people(org, F.col("attendees")))
+                         .withColumn("people_keys", F.transform("people", P.person_key)))
 
 
 def attendee_cap(labels: Column, shown: int = ATTENDEES_SHOWN) -> Column:
