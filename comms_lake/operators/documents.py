@@ -107,3 +107,58 @@ def parse_frontmatter(df: DataFrame, content_col: str = "content") -> DataFrame:
     decoded = F.from_json(F.concat(F.lit('{"v":'), raw, F.lit("}")), "v string")["v"]
     value = F.when(quoted, F.coalesce(decoded, F.regexp_replace(raw, '^"+|"+$', ""))).otherwise(raw)
     return e.withColumns({"key": key, "value": value})
+
+
+# --- fixed values: day document labels -------------------------------------
+ALL_DAY = "Todo el día"
+NO_EVENTS = "Sin eventos."
+NO_SUBJECT = "(sin asunto)"
+
+
+def event_block(zone: str = TM.UTC) -> Column:
+    """One event's block (computed once per event, before any day
+    expansion). Needs subject, all_day, start_ts, end_ts, id, org_*,
+    people, place, teams, cancelled, excerpt."""
+    subject = F.when(X.one_line("subject") == "", F.lit(NO_SUBJECT)).otherwise(X.one_line("subject"))
+    hm = lambda c: F.coalesce(F.date_format(TM.to_local(c, zone), "HH:mm"), F.lit("??:??"))
+    header = F.when(F.col("all_day"), F.concat(F.lit(f"## {ALL_DAY} · "), subject)).otherwise(
+        F.concat(F.lit("## "), hm("start_ts"), F.lit("–"), hm("end_ts"), F.lit(" · "), subject))
+    org = P.person_label(F.col("org_name"), F.col("org_address"))
+    lines = [header,
+             F.concat(F.lit("- id_origen: "), X.one_line("id")),
+             F.concat(F.lit("- organizador: "), org),
+             F.concat(F.lit("- participantes: "), F.array_join("people", "; ")),
+             F.concat(F.lit("- lugar: "), F.col("place")),
+             F.concat(F.lit("- teams: "), F.when(F.col("teams"), F.lit("sí")).otherwise(F.lit("no"))),
+             F.when(F.col("cancelled"), F.lit("- estado: cancelado")),
+             F.when(F.col("excerpt") != "", F.concat(F.lit("- resumen: "), F.col("excerpt")))]
+    return F.concat_ws("\n", *[F.regexp_replace(x, X.WHITESPACE_CLASS + "+$", "") for x in lines])
+
+
+def render_day(days: DataFrame, keys: list[str], ingestado: str, zone: str = TM.UTC) -> DataFrame:
+    """One day document per (keys, day): frontmatter with the ordered
+    ids and participants, then the ordered event blocks (or ``Sin
+    eventos.``). ``days`` has one row per (event, day) with ``k`` (L3 key),
+    ``block``, ``people``, ``people_keys``; spine days arrive with a null id."""
+    ev = days.filter(F.col("id").isNotNull())
+    g = (ev.groupBy(*keys, "day").agg(
+        F.array_sort(F.collect_list(F.struct("k", "id", "block"))).alias("__e"), F.count("*").alias("n")))
+    from ..operators.calendar import day_people
+    ppl = day_people(ev, keys)
+    spine = days.select(*keys, "day", "empresa", "cuenta").distinct()
+    j = spine.join(g, [*keys, "day"], "left").join(ppl, [*keys, "day"], "left")
+    ids = F.coalesce(F.transform("__e", lambda e: e["id"]), F.array().cast("array<string>"))
+    blocks = F.coalesce(F.transform("__e", lambda e: e["block"]), F.array().cast("array<string>"))
+    d = F.date_format("day", "yyyy-MM-dd")
+    doc = F.concat_ws(
+        "\n", F.lit("---"), F.lit("fuente: calendario"),
+        F.concat(F.lit("empresa: "), X.yaml_quote("empresa")), F.concat(F.lit("cuenta: "), X.yaml_quote("cuenta")),
+        F.concat(F.lit("fecha: "), d, F.lit("T00:00:00+00:00") if zone == TM.UTC else TM.local_iso(F.to_timestamp_ntz(d), zone)),
+        F.concat(F.lit("creationDate: "), d),
+        X.yaml_list("id_origen", ids),
+        X.yaml_list("participantes", F.coalesce("people", F.array().cast("array<string>"))),
+        F.concat(F.lit("asunto: "), X.yaml_quote(F.concat(F.lit("Agenda "), d))),
+        F.lit("proyecto:"), F.concat(F.lit("eventos: "), F.coalesce("n", F.lit(0)).cast("string")),
+        F.lit(f"ingestado: {ingestado}"), F.lit("---"), F.lit(""),
+        F.when(F.size(blocks) == 0, F.lit(NO_EVENTS)).otherwise(F.array_join(blocks, "\n\n")))
+    return j.select(*keys, "day", F.concat(F.regexp_replace(doc, "\n+$", ""), F.lit("\n")).alias("content"))
