@@ -162,3 +162,46 @@ def render_day(days: DataFrame, keys: list[str], ingestado: str, zone: str = TM.
         F.lit(f"ingestado: {ingestado}"), F.lit("---"), F.lit(""),
         F.when(F.size(blocks) == 0, F.lit(NO_EVENTS)).otherwise(F.array_join(blocks, "\n\n")))
     return j.select(*keys, "day", F.concat(F.regexp_replace(doc, "\n+$", ""), F.lit("\n")).alias("content"))
+
+
+NO_TRANSCRIPT = "(transcripción vacía)"
+
+
+def meeting_paths(rows: DataFrame, empresa: Column, zone: str = TM.UTC) -> DataFrame:
+    """K3 + W6: ``reuniones/<empresa>/<date>-<slug>.md`` with collision
+    suffixes by transcript id, and the VTT sidecar name next to it."""
+    d = rows.withColumns({
+        "dir": F.concat(F.lit("reuniones/"), empresa),
+        "stem": F.concat(F.date_format(TM.to_local("started", zone), "yyyy-MM-dd"), F.lit("-"),
+                         X.slug_ascii("subject", "reunion"))})
+    from pyspark.sql import Window
+    w = Window.partitionBy("dir", F.lower("stem")).orderBy("started", "transcript_id")
+    d = d.withColumns({"arrival": F.row_number().over(w), "h6": X.sha_hex("transcript_id", 6)})
+    name = F.when(F.col("arrival") == 1, F.col("stem")).otherwise(F.concat_ws("-", "stem", "h6"))
+    return d.withColumns({"path": F.concat(F.col("dir"), F.lit("/"), name, F.lit(".md")),
+                          "vtt_name": F.concat(name, F.lit(".vtt"))})
+
+
+def render_meeting(meetings: DataFrame, cue_lines: DataFrame, ingestado: str, zone: str = TM.UTC) -> DataFrame:
+    """K3: the transcript document. ``meetings`` has transcript_id, started,
+    subject, org_*, people, attributed, empresa, cuenta, vtt_name;
+    ``cue_lines`` has transcript_id, block_pos, voice_pos, line (one
+    transcript's cues are collected into its own document)."""
+    lines = (cue_lines.groupBy("transcript_id")
+             .agg(F.array_sort(F.collect_list(F.struct("block_pos", "voice_pos", "line"))).alias("__l")))
+    j = meetings.join(lines, "transcript_id", "left")
+    body = F.coalesce(F.array_join(F.transform("__l", lambda x: x["line"]), "\n"), F.lit(""))
+    fecha = TM.local_iso("started", zone)
+    doc = F.concat_ws(
+        "\n", F.lit("---"), F.lit("fuente: reunion"),
+        F.concat(F.lit("empresa: "), X.yaml_quote("empresa")), F.concat(F.lit("cuenta: "), X.yaml_quote("cuenta")),
+        F.concat(F.lit("fecha: "), fecha), F.concat(F.lit("creationDate: "), F.left(fecha, F.lit(10))),
+        F.concat(F.lit("id_origen: "), X.yaml_quote("transcript_id")),
+        X.yaml_list("participantes", F.col("people")),
+        F.concat(F.lit("asunto: "), X.yaml_quote("subject")), F.lit("proyecto:"),
+        F.concat(F.lit("organizador: "), X.yaml_quote(P.person_label(F.col("org_name"), F.col("org_address")))),
+        F.concat(F.lit("vtt: "), X.yaml_quote("vtt_name")),
+        F.when(~F.col("attributed"), F.lit("hablantes: sin-atribucion")),
+        F.lit(f"ingestado: {ingestado}"), F.lit("---"), F.lit(""), F.lit("## Transcripción"), F.lit(""),
+        F.when(body == "", F.lit(NO_TRANSCRIPT)).otherwise(body))
+    return j.withColumn("content", F.concat(F.regexp_replace(doc, "\n+$", ""), F.lit("\n")))

@@ -69,7 +69,32 @@ def q_cue_roundtrip(spark, sf_dir):
         F.count_if(F.col("line") == F.col("expected")).alias("n_match"))
 
 
+INGESTADO = "2024-02-01T00:00:00+00:00"
+
+
+def q_meeting_documents(spark, sf_dir):
+    """K3 + W10: one document per new transcript (first event per meeting),
+    its cue lines in order, and the VTT sidecar name."""
+    from ..operators import calendar as C
+    from ..operators import documents as DOC
+    v = TestViews(spark, sf_dir)
+    firsts = MT.first_event_per_meeting(MT.with_meeting_id(_candidates(v), v.online_meetings))
+    t = MT.new_transcripts(C.with_people(firsts), v.transcripts, v.seen_transcripts, F.col("window_start"))
+    t = t.withColumns({"started": F.coalesce("created", "start_ts"),
+                       "empresa": F.concat(F.lit("acme-"), F.col("profile").cast("string")),
+                       "cuenta": F.concat(F.lit("u"), F.col("profile").cast("string"), F.lit("@example.com"))})
+    t = DOC.meeting_paths(t, F.col("empresa"))
+    cues = V.vtt_cues(v.transcripts.join(t.select("transcript_id"), "transcript_id", "left_semi"), "vtt",
+                      F.col("attributed"))
+    lines = cues.select("transcript_id", "block_pos", "voice_pos",
+                        V.cue_line(F.col("start"), F.col("speaker"), F.col("text")).alias("line"))
+    docs = DOC.render_meeting(t, lines, INGESTADO)
+    return docs.select("transcript_id", "path", F.octet_length("content").cast("bigint").alias("n_bytes"),
+                       F.sha1(F.encode("content", "UTF-8")).alias("sha1"))
+
+
 QUERIES = {
+    "meeting_documents": q_meeting_documents,
     "meeting_candidates": q_meeting_candidates,
     "meeting_transcripts": q_meeting_transcripts,
     "unmatched_meetings": q_unmatched_meetings,
@@ -148,6 +173,22 @@ def _msql(body: str, ctes: dict[str, str], deps: dict[str, list[str]]) -> str:
     return sql_with(body, extra=ctes, extra_deps=deps)
 
 
+def _yq(x: str) -> str:
+    from .text_queries import _yaml_quote_sql
+    return _yaml_quote_sql(x)
+
+
+def _yl(key: str, lst: str) -> str:
+    from .doc_queries import _yaml_list_sql
+    return _yaml_list_sql(key, lst)
+
+
+def _slug_meeting() -> str:
+    from .text_queries import _slug_tail
+    return _slug_tail("regexp_replace(lower(regexp_replace(strip_accents(coalesce(subject, '')), '[^\\x00-\\x7f]', '', 'g')), "
+                      "'[^a-z0-9]+', '-', 'g')", "reunion", 60)
+
+
 ORACLE = {
     "meeting_candidates": _msql("SELECT profile, id, join_url FROM cands", _M_CTES, _M_DEPS),
     "meeting_transcripts": _msql("""
@@ -179,4 +220,37 @@ ORACLE = {
         FULL JOIN (SELECT transcript_id, block_pos - 1 AS pos, '[' || start || '] ' || speaker || ': ' || text AS line
                    FROM cues) p ON e.transcript_id = p.transcript_id AND e.pos = p.pos
         GROUP BY coalesce(e.transcript_id, p.transcript_id)""", _CUE_CTES, _CUE_DEPS),
+    "meeting_documents": _msql(f"""
+        SELECT transcript_id, dir || '/' || nm || '.md' AS path, CAST(strlen(doc) AS BIGINT) AS n_bytes, sha1(doc) AS sha1
+        FROM (SELECT p.*, regexp_replace(concat_ws(chr(10), '---', 'fuente: reunion',
+                'empresa: "acme-' || profile || '"', 'cuenta: "u' || profile || '@example.com"',
+                'fecha: ' || strftime(started, '%Y-%m-%dT%H:%M:%S') || '+00:00',
+                'creationDate: ' || strftime(started, '%Y-%m-%d'), 'id_origen: "' || transcript_id || '"',
+                {_yl('participantes', Q.event_people('org_name', 'org_address', 'attendees'))},
+                'asunto: ' || {_yq('subject')}, 'proyecto:',
+                'organizador: ' || {_yq(Q.person_label('org_name', 'org_address'))},
+                'vtt: ' || {_yq("nm || '.vtt'")},
+                CASE WHEN NOT attributed THEN 'hablantes: sin-atribucion' END,
+                'ingestado: {INGESTADO}', '---', '', '## Transcripción', '',
+                CASE WHEN coalesce(l.body, '') = '' THEN '(transcripción vacía)' ELSE l.body END), '\\n+$', '', 'g')
+                || chr(10) AS doc
+              FROM paths p LEFT JOIN lines l USING (transcript_id))""",
+                                {**_M_CTES, **_CUE_CTES, **{
+        "firsts": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY start_ts, id) AS rn
+                     FROM withid WHERE meeting_id IS NOT NULL) WHERE rn = 1""",
+        "nt": """SELECT f.*, t.transcript_id, t.created, t.attributed, coalesce(t.created, f.start_ts) AS started
+                 FROM firsts f JOIN v_transcripts t USING (meeting_id)
+                 WHERE t.transcript_id NOT IN (SELECT transcript_id FROM v_seen_transcripts)
+                   AND (t.created IS NULL OR t.created >= f.window_start)""",
+        "paths": f"""SELECT *, CASE WHEN arrival = 1 THEN stem ELSE stem || '-' || left(sha1(transcript_id), 6) END AS nm
+                 FROM (SELECT *, row_number() OVER (PARTITION BY dir, lower(stem) ORDER BY started, transcript_id) AS arrival
+                       FROM (SELECT *, 'reuniones/acme-' || profile AS dir,
+                                    strftime(started, '%Y-%m-%d') || '-' || {_slug_meeting()} AS stem FROM nt))""",
+        "lines": """SELECT transcript_id, string_agg('[' || start || '] ' || speaker || ': ' || text, chr(10)
+                                                 ORDER BY block_pos, voice_pos) AS body
+                    FROM cues WHERE text <> '' GROUP BY transcript_id"""}},
+                                {**_M_DEPS, **_CUE_DEPS, "firsts": ["withid"],
+                                 "nt": ["firsts", "v_transcripts", "v_seen_transcripts"], "paths": ["nt"],
+                                 "lines": ["cues"]}),
 }
+
