@@ -80,7 +80,57 @@ def q_payload_quarantine(spark, sf_dir):
     return D.validate_payloads(p).select("event_id", "kind_effective", "error_code")
 
 
+def _addr_txt(name, address):
+    """``name <email>`` when both, else whichever is present."""
+    n, a = F.coalesce(name, F.lit("")), F.coalesce(address, F.lit(""))
+    return F.when((n != "") & (a != ""), F.concat(n, F.lit(" <"), a, F.lit(">"))).when(n != "", n).otherwise(a)
+
+
+def _digest_events(v: TestViews, teams_only: bool = False):
+    """Events of each target day (F6 digest window: the day's midnight to
+    23:59:59) projected to digest rows (F14), first 200 by start (cap)."""
+    from ..operators import calendar as C
+    ev = v.timed
+    if teams_only:
+        ev = ev.filter(C.is_teams(F.col("join_url"), F.col("is_online"), F.col("provider")))
+    d = C.event_days(ev)
+    day0 = F.col("day").cast("timestamp_ntz")
+    d = d.filter((F.col("start_ts") < day0 + F.make_dt_interval(secs=F.lit(86399)))
+                 & (F.coalesce("end_ts", "start_ts") > day0))
+    d = d.withColumns({
+        "organizer_txt": _addr_txt(F.col("org_name"), F.col("org_address")),
+        "attendees_txt": F.filter(F.transform("attendees", lambda a: _addr_txt(a["emailAddress"]["name"],
+                                                                               a["emailAddress"]["address"])),
+                                  lambda x: x != ""),
+        "body_text": F.lit(""), "target_date": F.col("day"), "days": F.lit(1)})
+    return D.earliest_per_scope(d, ["profile", "target_date"])
+
+
+def q_digest_calendar(spark, sf_dir):
+    d = D.calendar_digest(_digest_events(TestViews(spark, sf_dir)), ["profile"], INGESTED_AT)
+    return d.select("profile", "path", F.col("event_count").cast("bigint"), _sha(F.col("content")).alias("sha1"))
+
+
+def q_digest_meetings(spark, sf_dir):
+    """A12 + J9 + W10: Teams meetings of each day with their transcripts;
+    a meeting without Teams data stays, with zero transcripts."""
+    from ..operators import meetings as MT
+    v = TestViews(spark, sf_dir)
+    m = MT.with_meeting_id(_digest_events(v, teams_only=True), v.online_meetings)
+    ts = (v.transcripts.groupBy("meeting_id").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("created").alias("created"), F.col("transcript_id").alias("transcript_id"), F.col("vtt").alias("vtt"))))
+        .alias("__t"))
+        .select("meeting_id", F.transform("__t", lambda x: F.struct(x["transcript_id"].alias("transcript_id"),
+                                                                    x["created"].alias("created"),
+                                                                    x["vtt"].alias("vtt"))).alias("transcripts")))
+    d = D.meetings_digest(m.join(ts, "meeting_id", "left"), ["profile"], INGESTED_AT)
+    return d.select("profile", "path", F.col("meeting_count").cast("bigint"), "transcript_count",
+                    _sha(F.col("content")).alias("sha1"))
+
+
 QUERIES = {
+    "digest_calendar": q_digest_calendar,
+    "digest_meetings": q_digest_meetings,
     "mail_documents": q_mail_documents,
     "frontmatter_roundtrip": q_frontmatter_roundtrip,
     "dry_run_plan": q_dry_run_plan,
@@ -164,6 +214,81 @@ def _paths_sql(src: str, empresa: str) -> str:
                                  strftime(received, '%H%M') || '-' || {_slug_sql} AS stem FROM {src})))"""
 
 
+def _cal_digest_sql(meetings: bool) -> str:
+    from .calendar_queries import _cal_ctes
+    addr = ("CASE WHEN coalesce({n}, '') <> '' AND coalesce({a}, '') <> '' THEN {n} || ' <' || {a} || '>' "
+            "WHEN coalesce({n}, '') <> '' THEN {n} ELSE coalesce({a}, '') END")
+    att = (f"list_filter(list_transform(attendees, lambda a: {addr.format(n='a.name', a='a.address')}), "
+           "lambda x: x <> '')")
+    cap = "CASE WHEN len(l) > 10 THEN array_to_string(l[1:10], ', ') || ' (+' || (len(l) - 10) || ' more)' ELSE array_to_string(l, ', ') END"
+    s, e = "coalesce(strftime(start_ts, '%Y-%m-%d %H:%M'), '')", "coalesce(strftime(end_ts, '%Y-%m-%d %H:%M'), '')"
+    org = addr.format(n="org_name", a="org_address")
+    teams = ("coalesce(join_url, '') <> '' AND (coalesce(is_online, false) OR lower(coalesce(provider, '')) = "
+             "'teamsforbusiness' OR contains(join_url, 'teams.microsoft'))")
+    head = [f"'## ' || {s} || ' ' || " + ("CASE WHEN coalesce(subject, '') = '' THEN '(no subject)' ELSE subject END"
+                                          + ("" if meetings else " || CASE WHEN cancelled THEN ' (cancelled)' ELSE '' END")),
+            "''", f"'- **Start:** ' || {s}", f"'- **End:** ' || {e}",
+            f"'- **Organizer:** ' || CASE WHEN ({org}) = '' THEN '(unknown organizer)' ELSE {org} END",
+            f"CASE WHEN len(l) > 0 THEN '- **Attendees:** ' || {cap} END"]
+    if meetings:
+        tblock = ("concat_ws(chr(10), '### Transcript ' || i || CASE WHEN t.created IS NOT NULL THEN ' (' || "
+                  "strftime(t.created, '%Y-%m-%d %H:%M') || ')' ELSE '' END, '', CASE WHEN coalesce(t.tid, '') <> '' "
+                  "THEN '- **Transcript ID:** `' || t.tid || '`' || chr(10) END, CASE WHEN trim(coalesce(t.vtt, '')) <> '' "
+                  "THEN '```vtt' || chr(10) || replace(t.vtt, '```', '` ` `') || chr(10) || '```' "
+                  "ELSE '_(transcript content unavailable)_' END, '')")
+        rest = ["CASE WHEN coalesce(join_url, '') <> '' THEN '- **Teams join:** ' || join_url END",
+                "CASE WHEN coalesce(id, '') <> '' THEN '- **Event ID:** `' || id || '`' END",
+                "CASE WHEN coalesce(meeting_id, '') <> '' THEN '- **Online meeting ID:** `' || meeting_id || '`' END",
+                "'- **Transcripts available:** ' || len(coalesce(ts, []))", "''",
+                f"CASE WHEN len(coalesce(ts, [])) > 0 THEN array_to_string(list_transform(ts, lambda t, i: {tblock}), chr(10)) END"]
+    else:
+        rest = ["CASE WHEN coalesce(location, '') <> '' THEN '- **Location:** ' || location END",
+                "CASE WHEN coalesce(join_url, '') <> '' THEN '- **Teams join:** ' || join_url END",
+                "CASE WHEN coalesce(id, '') <> '' THEN '- **Event ID:** `' || id || '`' END",
+                "''", "'### Body excerpt (max 400 chars)'", "''", "'_(body unavailable)_'", "''"]
+    sec = "concat_ws(chr(10), " + ", ".join(head + rest) + ")"
+    kind = "meetings" if meetings else "calendar"
+    counts = ("'meeting_count: ' || n, 'transcript_count: ' || nt" if meetings else "'event_count: ' || n")
+    title = ("'# Teams meetings + transcripts, ' || d || ' to ' || d" if meetings else "'# Outlook calendar, ' || d || ' to ' || d")
+    note = ("'_' || n || ' meeting(s), ' || nt || ' transcript(s) ingested via /ingest-outlook meetings. Transcripts "
+            "are stored verbatim in VTT format._'" if meetings else
+            "'_' || n || ' event(s) ingested via /ingest-outlook calendar. Body excerpts truncated to 400 chars to limit bulk PII._'")
+    folder = "Meetings" if meetings else "Calendar"
+    extra_cols = ", nt AS transcript_count" if meetings else ""
+    count_name = "meeting_count" if meetings else "event_count"
+    ctes = dict(_cal_ctes("g_", "WHERE calendar = 'timed'"))
+    deps = {"g_ev": ["v_timed", "v_spans"], "g_b": ["g_ev"], "g_days": ["g_b"]}
+    ctes = {k: ctes[k] for k in ("g_ev", "g_b", "g_days")}
+    filt = f"WHERE {teams}" if meetings else ""
+    ctes["win"] = f"""
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile, day ORDER BY start_ts NULLS FIRST, id) AS rn
+                       FROM g_days WHERE start_ts < CAST(day AS TIMESTAMP) + INTERVAL 86399 SECOND
+                         AND coalesce(end_ts, start_ts) > CAST(day AS TIMESTAMP)) {filt.replace('WHERE', 'WHERE rn <= 200 AND') if meetings else 'WHERE rn <= 200'}"""
+    deps["win"] = ["g_days"]
+    if meetings:
+        ctes["res"] = "SELECT join_url, min(meeting_id) AS meeting_id FROM v_online GROUP BY join_url"
+        ctes["tl"] = ("SELECT meeting_id, list(struct_pack(tid := transcript_id, created := created, vtt := vtt) "
+                      "ORDER BY created, transcript_id) AS ts FROM v_transcripts GROUP BY meeting_id")
+        ctes["rows"] = "SELECT w.*, r.meeting_id, tl.ts FROM win w LEFT JOIN res r USING (join_url) LEFT JOIN tl USING (meeting_id)"
+        deps.update({"res": ["v_online"], "tl": ["v_transcripts"], "rows": ["win", "res", "tl"]})
+        src_rows = "rows"
+        ntexpr = "sum(len(coalesce(ts, [])))"
+    else:
+        src_rows = "win"
+        ntexpr = "0"
+    body = f"""
+        SELECT profile, 'External Inputs/Outlook/{folder}/' || d || '.md' AS path, CAST(n AS BIGINT) AS {count_name}{extra_cols},
+          sha1(concat_ws(chr(10), '---', 'type: external-input', 'source: outlook', 'kind: {kind}', 'date_range: ' || d || '..' || d,
+               {counts}, 'ingested_at: {INGESTED_AT}', 'entity_ids:', '  outlook_event:', ids, '---', '', {title}, '', {note}, '')
+               || regexp_replace(secs, '{X.WHITESPACE_CLASS}+$', '', 'g') || chr(10)) AS sha1
+        FROM (SELECT profile, strftime(day, '%Y-%m-%d') AS d, count(*) AS n, CAST({ntexpr} AS BIGINT) AS nt,
+                array_to_string(list('    - ' || id ORDER BY start_ts NULLS FIRST, id), chr(10)) AS ids,
+                string_agg(sec, chr(10) ORDER BY start_ts NULLS FIRST, id) AS secs
+              FROM (SELECT *, {sec} AS sec FROM (SELECT *, {att} AS l FROM {src_rows}))
+              GROUP BY profile, day)"""
+    return sql_with(body, extra=ctes, extra_deps=deps)
+
+
 ORACLE = {
     "mail_documents": sql_with(f"""
         SELECT id, path, CAST(strlen(doc) AS BIGINT) AS n_bytes, sha1(doc) AS sha1
@@ -212,7 +337,7 @@ ORACLE = {
             'message_count: ' || n, 'ingested_at: {INGESTED_AT}', 'entity_ids:', '  outlook:', ids, '---', '',
             '# Outlook mail ' || kind || ' ' || scope || ', ' || d || ' to ' || d, '',
             '_' || n || ' message(s) ingested via /ingest-outlook mail. Bodies truncated to 500 chars to limit bulk PII._',
-            '') || {NL} || body) AS sha1
+            '') || body) AS sha1
         FROM (
           SELECT profile, scope, strftime(target_date, '%Y-%m-%d') AS d, count(*) AS n,
             {_slug_tail("regexp_replace(lower(scope), '[^a-z0-9]+', '-', 'g')", X.PLAIN_SLUG_FALLBACK, None)} AS slug,
@@ -247,4 +372,6 @@ ORACLE = {
         SELECT profile, id, path FROM ({_paths_sql(
             "(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY profile, id ORDER BY received, pos) AS rn "
             "FROM v_messages) WHERE rn = 1)", "'acme-' || profile")})""", "v_messages"),
+    "digest_calendar": _cal_digest_sql(False),
+    "digest_meetings": _cal_digest_sql(True),
 }
