@@ -128,7 +128,25 @@ def q_digest_meetings(spark, sf_dir):
                     _sha(F.col("content")).alias("sha1"))
 
 
+def q_document_sink(spark, sf_dir):
+    """K1: rendered message documents appended to the document store twice;
+    the second append adds nothing (ids already stored)."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.landed import append_documents
+    r = _rendered(TestViews(spark, sf_dir))
+    p = M.collision_paths(r, F.col("empresa")).select(
+        "id", "path", "content", "empresa", F.date_format("received", "yyyy-MM-dd").alias("fecha_dia"))
+    store = scratch_path(spark, f"docs-{uuid.uuid4().hex}")
+    append_documents(p, store)
+    stored = append_documents(p, store)
+    return stored.select("id", "path", F.octet_length("content").cast("bigint").alias("n_bytes"),
+                         F.sha1(F.encode("content", "UTF-8")).alias("sha1"))
+
+
 QUERIES = {
+    "document_sink": q_document_sink,
     "digest_calendar": q_digest_calendar,
     "digest_meetings": q_digest_meetings,
     "mail_documents": q_mail_documents,
@@ -375,3 +393,4 @@ ORACLE = {
     "digest_calendar": _cal_digest_sql(False),
     "digest_meetings": _cal_digest_sql(True),
 }
+ORACLE["document_sink"] = ORACLE["mail_documents"]

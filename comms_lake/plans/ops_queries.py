@@ -4,6 +4,7 @@ shared checkpoint folder and read back through the source readers."""
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from ..operators import ops as O
 from ..operators.ordered import prefix_sums
 from ..session import scratch_path
 from ..sources import landed as L
-from ..sources.testdata import N_PROFILES, TestViews
+from ..sources.testdata import N_PROFILES, TestViews, sql_with
 
 PAGE_SIZE = 50
 CALENDAR_MAX_PAGES = 40
@@ -132,7 +133,23 @@ def q_calendar_list(spark, sf_dir):
     return O.calendar_kinds(cals).select("id", "name", "kind")
 
 
+def q_index_scan(spark, sf_dir):
+    """S13 + K4 + K7: the id index as an append-only text file (blank lines
+    and repeated appends included) and the tab-separated skip list, read
+    back as tables."""
+    v = TestViews(spark, sf_dir)
+    root = scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    v.index_ids.select(F.explode(F.array(F.col("id"), F.lit(""), F.concat(F.lit("  "), F.col("id")))).alias("value")) \
+        .write.mode("overwrite").text(os.path.join(root, "ids"))
+    v.skipped.select(F.concat_ws("\t", F.col("id"), F.lit("2024-02-01T00:00:00+00:00"), F.lit("write failed 3 times"))
+                     .alias("value")).write.mode("overwrite").text(os.path.join(root, "skipped"))
+    idx = L.read_index(spark, os.path.join(root, "ids")).select("id", F.lit("index").alias("source"))
+    sk = L.read_skip_list(spark, os.path.join(root, "skipped")).select("id", F.lit("skip").alias("source"))
+    return idx.unionByName(sk)
+
+
 QUERIES = {
+    "index_scan": q_index_scan,
     "run_summary": q_run_summary,
     "audit_by_action": q_audit_by_action,
     "capped_scans": q_capped_scans,
@@ -149,6 +166,8 @@ _granted_list = "[" + ", ".join(f"'{s}'" for s in _GRANTED) + "]"
 _required_rows = ", ".join(f"({i}, '{s}')" for i, s in enumerate(O.CORPORATE_SCOPES))
 
 ORACLE = {
+    "index_scan": sql_with("SELECT DISTINCT id, 'index' AS source FROM v_index UNION ALL SELECT id, 'skip' FROM v_skip",
+                           "v_index", "v_skip"),
     "run_summary": """
         SELECT 'perfil-' || (user_id % 5) AS perfil, count(*) AS runs,
                sum(CAST(floor(value) AS BIGINT) % 50) AS correo_nuevos, sum(event_id % 4) AS reuniones,

@@ -129,3 +129,18 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole frontmatter documents with their file path."""
     return (spark.read.option("wholetext", True).text(path)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")))
+
+
+def append_documents(docs: DataFrame, path: str) -> DataFrame:
+    """K1: append immutable documents, partitioned by company and local day.
+
+    Ids already stored are anti-joined away first, so re-running the same
+    batch (or a replay after a crash) writes nothing new; only the
+    ``(empresa, fecha_dia)`` partitions of new documents receive files."""
+    spark = docs.sparkSession
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    new = docs.join(spark.read.parquet(path).select("id"), "id", "left_anti") if exists else docs
+    new.write.mode("append").partitionBy("empresa", "fecha_dia").parquet(path)
+    return spark.read.parquet(path)
