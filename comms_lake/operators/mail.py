@@ -251,6 +251,52 @@ def collision_paths(rows: DataFrame, empresa: Column, zone: str = TM.UTC) -> Dat
     return d.withColumn("path", F.concat(F.col("dir"), F.lit("/"), name, F.lit(".md")))
 
 
+def plan_against_existing(rows: DataFrame, existing: DataFrame, empresa: Column, zone: str = TM.UTC) -> DataFrame:
+    """J15 + W6: plan document paths for a new run next to files written by
+    earlier runs (``existing``: id, path).
+
+    An id already stored under one of its own candidate names is
+    ``already`` (an earlier run wrote it but may have stopped before the
+    index). Otherwise the bare name goes to the first new arrival unless a
+    stored file holds it, and a hashed name skips the numbered variants
+    stored files hold. All joins are on (directory, stem) keys.
+    """
+    d = rows.withColumn("dir", F.concat(F.lit("correo/"), empresa, F.lit("/"),
+                                        F.date_format(TM.to_local("received", zone), "yyyy-MM-dd")))
+    d = d.withColumn("stem", X.fit_path_stem(F.col("dir"), F.concat(TM.hhmm("received", zone), F.lit("-"),
+                                                                    X.slug_ascii("subject")), ".md"))
+    d = d.withColumn("h6", X.sha_hex("id", 6))
+    ex = existing.select(F.col("id").alias("ex_id"), F.lower("path").alias("ex_path"))
+    # stored names parsed back into (dir, stem, suffix)
+    parts = ex.select("ex_id", "ex_path",
+                      F.regexp_extract("ex_path", "^(.*)/[^/]*$", 1).alias("dir_l"),
+                      F.regexp_extract("ex_path", "/([^/]*)\\.md$", 1).alias("name"))
+    bare = parts.select("dir_l", F.col("name").alias("stem_l"), F.lit(True).alias("bare_taken")).distinct()
+    hashed = (parts.filter(F.col("name").rlike("-[0-9a-f]{6}(-\\d+)?$"))
+              .select("dir_l", F.regexp_extract("name", "^(.*-[0-9a-f]{6})(-\\d+)?$", 1).alias("h_l"))
+              .groupBy("dir_l", "h_l").agg(F.count("*").alias("h_taken")))
+    mine = d.join(ex, F.col("ex_id") == F.col("id"), "left_semi")
+    fresh = d.join(ex, F.col("ex_id") == F.col("id"), "left_anti")
+    fresh = (fresh.join(bare, (F.lower("dir") == F.col("dir_l")) & (F.lower("stem") == F.col("stem_l")), "left")
+             .drop("dir_l", "stem_l"))
+    w = Window.partitionBy("dir", F.lower("stem")).orderBy("received", "id")
+    fresh = fresh.withColumn("arrival", F.row_number().over(w)
+                             + F.when(F.coalesce("bare_taken", F.lit(False)), 1).otherwise(0))
+    fresh = (fresh.join(hashed, (F.lower("dir") == F.col("dir_l"))
+                        & (F.lower(F.concat_ws("-", "stem", "h6")) == F.col("h_l")), "left").drop("dir_l", "h_l"))
+    later = Window.partitionBy("dir", F.lower("stem"), "h6", F.col("arrival") > 1).orderBy("received", "id")
+    fresh = fresh.withColumn("h_rank", F.when(F.col("arrival") > 1, F.row_number().over(later)
+                                              + F.coalesce("h_taken", F.lit(0))))
+    name = (F.when(F.col("arrival") == 1, F.col("stem"))
+            .when(F.col("h_rank") == 1, F.concat_ws("-", "stem", "h6"))
+            .otherwise(F.concat_ws("-", F.col("stem"), F.col("h6"), F.col("h_rank").cast("string"))))
+    planned = fresh.select("profile", "id", F.concat(F.col("dir"), F.lit("/"), name, F.lit(".md")).alias("path"),
+                           F.lit("planned").alias("status"))
+    known = (mine.join(existing.select("id", "path"), "id")
+             .select("profile", "id", "path", F.lit("already").alias("status")))
+    return planned.unionByName(known)
+
+
 def tie_groups(messages: DataFrame, bucket: Column) -> DataFrame:
     """Listing tie groups per (profile, bucket) with the page rules:
     more than a page needs a bigger page, more than 1000 forces a skip."""

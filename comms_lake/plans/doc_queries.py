@@ -145,7 +145,18 @@ def q_document_sink(spark, sf_dir):
                          F.sha1(F.encode("content", "UTF-8")).alias("sha1"))
 
 
+def q_path_plan_existing(spark, sf_dir):
+    """A first run wrote the documents of even event ids; the next run
+    re-reads everything and plans against the stored files."""
+    v = TestViews(spark, sf_dir)
+    firsts = M.first_occurrence(v.messages)
+    empresa = F.concat(F.lit("acme-"), F.col("profile").cast("string"))
+    stored = M.collision_paths(firsts.filter(F.col("event_id") % 2 == 0), empresa).select("id", "path")
+    return M.plan_against_existing(firsts, stored, empresa)
+
+
 QUERIES = {
+    "path_plan_existing": q_path_plan_existing,
     "document_sink": q_document_sink,
     "digest_calendar": q_digest_calendar,
     "digest_meetings": q_digest_meetings,
@@ -394,3 +405,31 @@ ORACLE = {
     "digest_meetings": _cal_digest_sql(True),
 }
 ORACLE["document_sink"] = ORACLE["mail_documents"]
+_FIRSTS = ("(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY profile, id ORDER BY received, pos) AS rn "
+           "FROM v_messages) WHERE rn = 1)")
+ORACLE["path_plan_existing"] = sql_with(f"""
+    SELECT profile, id, dir || '/' || CASE WHEN arrival = 1 THEN stem WHEN h_rank = 1 THEN stem || '-' || h6
+                                           ELSE stem || '-' || h6 || '-' || h_rank END || '.md' AS path, 'planned' AS status
+    FROM f4
+    UNION ALL
+    SELECT f.profile, f.id, p1.path, 'already' FROM firsts f JOIN p1 USING (id)""", "v_messages", extra={
+    "firsts": f"SELECT * FROM {_FIRSTS}",
+    "p1": f"SELECT id, path FROM ({_paths_sql('(SELECT * FROM firsts WHERE event_id % 2 = 0)', "'acme-' || profile")})",
+    "parts": """SELECT id AS ex_id, lower(path) AS ex_path, regexp_extract(lower(path), '^(.*)/[^/]*$', 1) AS dir_l,
+                       regexp_extract(lower(path), '/([^/]*)\\.md$', 1) AS name FROM p1""",
+    "bare": "SELECT DISTINCT dir_l, name AS stem_l FROM parts",
+    "hashed": """SELECT dir_l, regexp_extract(name, '^(.*-[0-9a-f]{6})(-\\d+)?$', 1) AS h_l, count(*) AS h_taken
+                 FROM parts WHERE regexp_matches(name, '-[0-9a-f]{6}(-\\d+)?$') GROUP BY 1, 2""",
+    "d": f"""SELECT *, 'correo/acme-' || profile || '/' || strftime(received, '%Y-%m-%d') AS dir,
+                    strftime(received, '%H%M') || '-' || {_slug_sql} AS stem, left(sha1(id), 6) AS h6 FROM firsts""",
+    "fresh": """SELECT d.*, b.stem_l IS NOT NULL AS bare_taken FROM d
+                LEFT JOIN bare b ON lower(d.dir) = b.dir_l AND lower(d.stem) = b.stem_l
+                WHERE d.id NOT IN (SELECT ex_id FROM parts)""",
+    "f2": """SELECT *, row_number() OVER (PARTITION BY dir, lower(stem) ORDER BY received, id)
+                    + CASE WHEN bare_taken THEN 1 ELSE 0 END AS arrival FROM fresh""",
+    "f3": """SELECT f2.*, coalesce(h.h_taken, 0) AS h_taken FROM f2
+             LEFT JOIN hashed h ON lower(f2.dir) = h.dir_l AND lower(f2.stem || '-' || f2.h6) = h.h_l""",
+    "f4": """SELECT *, CASE WHEN arrival > 1 THEN row_number() OVER (
+                 PARTITION BY dir, lower(stem), h6, arrival > 1 ORDER BY received, id) + h_taken END AS h_rank FROM f3""",
+}, extra_deps={"firsts": ["v_messages"], "p1": ["firsts"], "parts": ["p1"], "bare": ["parts"], "hashed": ["parts"],
+               "d": ["firsts"], "fresh": ["d", "bare", "parts"], "f2": ["fresh"], "f3": ["f2", "hashed"], "f4": ["f3"]})

@@ -91,3 +91,15 @@ def test_known_rows_do_not_use_the_cap(spark):
     rows = [("k1", "", at(1), "inbox"), ("k2", "", at(2), "inbox"), ("n1", "", at(3), "inbox"), ("n2", "", at(4), "inbox")]
     got, _ = run_once(spark, rows, cap=1, index=["k1", "k2"])
     assert got == {"k1": "known", "k2": "known", "n1": "written"}
+
+
+def test_plan_against_stored_files(spark):
+    import hashlib
+    m = msgs(spark, [("new", "", at(1), "inbox"), ("old", "", at(1), "inbox"), ("twin", "", at(1), "inbox")])
+    stored = spark.createDataFrame([("old", "correo/acme/2024-03-01/0901-asunto.md")], "id string, path string")
+    plan = {r["id"]: (r["path"], r["status"]) for r in
+            M.plan_against_existing(m, stored, F.lit("acme")).collect()}
+    assert plan["old"] == ("correo/acme/2024-03-01/0901-asunto.md", "already")     # written before the index
+    h = lambda s: hashlib.sha1(s.encode()).hexdigest()[:6]
+    assert plan["new"] == (f"correo/acme/2024-03-01/0901-asunto-{h('new')}.md", "planned")   # bare name is taken
+    assert plan["twin"] == (f"correo/acme/2024-03-01/0901-asunto-{h('twin')}.md", "planned")
