@@ -101,9 +101,7 @@ def literal_table(spark: SparkSession, rows: list[tuple], schema: str):
 
 
 def with_params(df, params):
-    """Attach a one-row parameter table (e.g. the run time) to every row with
-    a broadcast equi-join on a constant key: one row, so the broadcast size
-    is bounded by construction, and no cartesian product is planned."""
-    from pyspark.sql import functions as F
-    one = params.withColumn("__one", F.lit(1))
-    return df.withColumn("__one", F.lit(1)).join(F.broadcast(one), "__one").drop("__one")
+    """Attach a one-row parameter table (e.g. the run time) to every row as
+    scalar subqueries: each value is computed once, then used as a
+    constant; no join (and so no cartesian product) is planned."""
+    return df.withColumns({c: params.select(c).scalar() for c in params.columns})
