@@ -155,7 +155,41 @@ def q_path_plan_existing(spark, sf_dir):
     return M.plan_against_existing(firsts, stored, empresa)
 
 
+PAYLOAD = ("kind string, vault_root string, folder_or_query string, target_date string, days int, "
+           "messages array<struct<id:string, internal_date:string, subject:string>>")
+
+
+def q_payload_scan(spark, sf_dir):
+    """S9 + F12 + F14: mail digest payloads land as JSON lines (every third
+    with a byte-order mark, every fifth without ``kind``) and are read back,
+    validated and counted."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.landed import read_payloads
+    items = _digest_items(TestViews(spark, sf_dir))
+    g = items.groupBy("profile", "scope", "target_date").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("id"), F.date_format("received", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+                                             .alias("internal_date"), F.col("subject")))).alias("messages"),
+        F.min("id").alias("first_id"))
+    h = F.abs(F.hash("first_id"))
+    payload = F.to_json(F.struct(
+        F.when(h % 5 == 0, F.lit(None)).otherwise(F.lit("mail")).alias("kind"),
+        F.concat(F.lit("/vaults/"), F.col("profile").cast("string")).alias("vault_root"),
+        F.col("scope").alias("folder_or_query"), F.date_format("target_date", "yyyy-MM-dd").alias("target_date"),
+        F.lit(1).alias("days"), F.col("messages")))
+    line = F.when(h % 3 == 0, F.concat(F.lit("\ufeff"), payload)).otherwise(payload)
+    path = scratch_path(spark, f"payloads-{uuid.uuid4().hex}")
+    g.select(line.alias("value")).write.mode("overwrite").text(path)
+    p = read_payloads(spark, path, PAYLOAD).withColumns({
+        "has_vault_root": F.col("vault_root").isNotNull(), "has_folder_or_query": F.col("folder_or_query").isNotNull()})
+    v = D.validate_payloads(p)
+    return v.select(F.col("vault_root"), "folder_or_query", "target_date", "kind_effective", "error_code",
+                    F.size("messages").cast("bigint").alias("n_messages"))
+
+
 QUERIES = {
+    "payload_scan": q_payload_scan,
     "path_plan_existing": q_path_plan_existing,
     "document_sink": q_document_sink,
     "digest_calendar": q_digest_calendar,
@@ -433,3 +467,10 @@ ORACLE["path_plan_existing"] = sql_with(f"""
                  PARTITION BY dir, lower(stem), h6, arrival > 1 ORDER BY received, id) + h_taken END AS h_rank FROM f3""",
 }, extra_deps={"firsts": ["v_messages"], "p1": ["firsts"], "parts": ["p1"], "bare": ["parts"], "hashed": ["parts"],
                "d": ["firsts"], "fresh": ["d", "bare", "parts"], "f2": ["fresh"], "f3": ["f2", "hashed"], "f4": ["f3"]})
+ORACLE["payload_scan"] = MQ._mail_sql("""
+    SELECT '/vaults/' || profile AS vault_root, folder_id AS folder_or_query, strftime(CAST(received AS DATE), '%Y-%m-%d') AS target_date,
+           'mail' AS kind_effective, '' AS error_code, CAST(count(*) AS BIGINT) AS n_messages
+    FROM (SELECT *, row_number() OVER (PARTITION BY profile, folder_id, CAST(received AS DATE) ORDER BY received DESC, id DESC) AS rn
+          FROM (SELECT * EXCLUDE (rn0) FROM (SELECT *, row_number() OVER (PARTITION BY profile, id ORDER BY received, pos) AS rn0
+                FROM v_messages) WHERE rn0 = 1))
+    WHERE rn <= 200 GROUP BY profile, folder_id, CAST(received AS DATE)""", upto="marks")

@@ -144,3 +144,13 @@ def append_documents(docs: DataFrame, path: str) -> DataFrame:
     new = docs.join(spark.read.parquet(path).select("id"), "id", "left_anti") if exists else docs
     new.write.mode("append").partitionBy("empresa", "fecha_dia").parquet(path)
     return spark.read.parquet(path)
+
+
+def read_payloads(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Landed digest payloads (one JSON document per line). A leading
+    byte-order mark is stripped before parsing; a missing ``kind`` means
+    mail; unparseable lines keep their raw text with null fields."""
+    raw = spark.read.text(path).select(F.regexp_replace("value", "^\\uFEFF+", "").alias("raw"))
+    parsed = raw.select("raw", F.from_json("raw", schema).alias("p"))
+    return parsed.select("raw", "p.*").withColumn(
+        "kind", F.coalesce(F.nullif(F.col("kind"), F.lit("")), F.lit("mail")))
