@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions import times as TM
 from ..operators import digest as D
 from ..operators import documents as DOC
 from ..operators import mail as M

@@ -4,7 +4,6 @@ import datetime as dt
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from comms_lake.streaming import jobs as J
 
