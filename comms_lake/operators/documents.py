@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions import people as P
 from ..functions import text as X
 from ..functions import times as TM
-from ..functions.html import html_to_text
+from ..functions.html import strip_markup, tidy_text
+from ..functions.vtt import html_unescape
 
 # --- fixed values (reference labels) ---------------------------------------
 NO_NAME = "(sin nombre)"
@@ -24,14 +25,13 @@ FRONTMATTER_MAX_LINES = 200
 
 def with_body_text(df: DataFrame) -> DataFrame:
     """HTML bodies to text, empty bodies fall back to the preview,
-    newlines normalized. Only HTML rows go through the HTML rewrite."""
+    newlines normalized. One pass: the markup rewrite runs on HTML rows only
+    (plain rows hand the decoder a null)."""
     is_html = F.lower(X.s("content_type")) == "html"
-    html_rows = html_to_text(df.filter(is_html), "content", "__bt")
-    rest = df.filter(~is_html).withColumn("__bt", X.s("content"))
-    both = html_rows.unionByName(rest)
-    body = F.when(F.trim(F.regexp_replace(F.col("__bt"), X.WHITESPACE_CLASS, " ")) == "", X.s("preview")).otherwise(
-        F.col("__bt"))
-    return both.withColumn("body_text", X.normalize_newlines(body)).drop("__bt")
+    decoded = html_unescape(F.when(is_html, strip_markup("content")))
+    text = F.when(is_html, tidy_text(decoded)).otherwise(X.s("content"))
+    body = F.when(F.trim(F.regexp_replace(text, X.WHITESPACE_CLASS, " ")) == "", X.s("preview")).otherwise(text)
+    return df.withColumn("body_text", X.normalize_newlines(body))
 
 
 def attachment_lines(atts: Column) -> Column:
