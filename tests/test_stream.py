@@ -31,7 +31,7 @@ def test_stream_runs_are_idempotent(spark):
 
     def run():
         s = J.MailStream(spark, os.path.join(root, "state"), folders, ["junkemail"], fails, 100, 10, start)
-        s.run(landing, schema, max_files=1)
+        s.run(landing, schema, max_files=J.FILES_PER_DAY)   # one day per run
         return s
 
     s = run()
