@@ -64,3 +64,22 @@ def test_run_log_round_trip(spark, tmp_path):
     back = {r["perfil"]: r for r in L.read_run_log(spark, path).collect()}
     assert back["acme"]["correo_nuevos"] == 3 and back["acme"]["reuniones_nota"] == "1 sin datos de Teams"
     assert back["-"]["estado"] == "error: 2 correos sin escribir" and len(back["-"]["notas"]) == 1
+
+
+def test_calendar_digest_exact_text(spark):
+    schema = ("profile bigint, target_date date, days int, start_ts timestamp_ntz, end_ts timestamp_ntz, id string, "
+              "subject string, cancelled boolean, organizer_txt string, attendees_txt array<string>, location string, "
+              "join_url string, body_text string")
+    ev = spark.createDataFrame([(0, dt.date(2024, 3, 1), 1, dt.datetime(2024, 3, 1, 9), dt.datetime(2024, 3, 1, 10),
+                                 "e1", "Reunión", True, "Ana <ana@x>", [f"p{i}" for i in range(12)], "Sala 1", "", "")],
+                               schema)
+    r = D.calendar_digest(ev, ["profile"], "2024-03-02T00:00:00+00:00").first()
+    assert r["path"] == "External Inputs/Outlook/Calendar/2024-03-01.md"
+    assert r["content"] == (
+        "---\ntype: external-input\nsource: outlook\nkind: calendar\ndate_range: 2024-03-01..2024-03-01\n"
+        "event_count: 1\ningested_at: 2024-03-02T00:00:00+00:00\nentity_ids:\n  outlook_event:\n    - e1\n---\n\n"
+        "# Outlook calendar, 2024-03-01 to 2024-03-01\n\n"
+        "_1 event(s) ingested via /ingest-outlook calendar. Body excerpts truncated to 400 chars to limit bulk PII._\n"
+        "## 2024-03-01 09:00 Reunión (cancelled)\n\n- **Start:** 2024-03-01 09:00\n- **End:** 2024-03-01 10:00\n"
+        "- **Organizer:** Ana <ana@x>\n- **Attendees:** p0, p1, p2, p3, p4, p5, p6, p7, p8, p9 (+2 more)\n"
+        "- **Location:** Sala 1\n- **Event ID:** `e1`\n\n### Body excerpt (max 400 chars)\n\n_(body unavailable)_\n")
