@@ -83,3 +83,29 @@ def test_calendar_digest_exact_text(spark):
         "## 2024-03-01 09:00 Reunión (cancelled)\n\n- **Start:** 2024-03-01 09:00\n- **End:** 2024-03-01 10:00\n"
         "- **Organizer:** Ana <ana@x>\n- **Attendees:** p0, p1, p2, p3, p4, p5, p6, p7, p8, p9 (+2 more)\n"
         "- **Location:** Sala 1\n- **Event ID:** `e1`\n\n### Body excerpt (max 400 chars)\n\n_(body unavailable)_\n")
+
+
+def test_meetings_digest_exact_text(spark):
+    schema = ("profile bigint, target_date date, days int, start_ts timestamp_ntz, end_ts timestamp_ntz, id string, "
+              "subject string, organizer_txt string, attendees_txt array<string>, join_url string, meeting_id string, "
+              "body_text string, transcripts array<struct<transcript_id:string,created:timestamp_ntz,vtt:string>>")
+    vtt = "WEBVTT\n\n00:00:01.000 --> 00:00:02.000\n<v Ana>hola</v>"
+    d, t = dt.date(2024, 3, 1), dt.datetime
+    m = spark.createDataFrame([
+        (0, d, 1, t(2024, 3, 1, 9), t(2024, 3, 1, 10), "e1", "Sync", "Ana <ana@x>", [], "https://teams.microsoft.com/x",
+         "om1", "", [{"transcript_id": "t1", "created": t(2024, 3, 1, 10, 5), "vtt": vtt}]),
+        (0, d, 1, t(2024, 3, 1, 11), t(2024, 3, 1, 11, 30), "e2", "Otra", "", [], "", None, "", None)], schema)
+    r = D.meetings_digest(m, ["profile"], "2024-03-02T00:00:00+00:00").first()
+    assert (r["meeting_count"], r["transcript_count"]) == (2, 1)
+    assert r["content"] == (
+        "---\ntype: external-input\nsource: outlook\nkind: meetings\ndate_range: 2024-03-01..2024-03-01\n"
+        "meeting_count: 2\ntranscript_count: 1\ningested_at: 2024-03-02T00:00:00+00:00\nentity_ids:\n"
+        "  outlook_event:\n    - e1\n    - e2\n---\n\n# Teams meetings + transcripts, 2024-03-01 to 2024-03-01\n\n"
+        "_2 meeting(s), 1 transcript(s) ingested via /ingest-outlook meetings. Transcripts are stored verbatim in "
+        "VTT format._\n"
+        "## 2024-03-01 09:00 Sync\n\n- **Start:** 2024-03-01 09:00\n- **End:** 2024-03-01 10:00\n"
+        "- **Organizer:** Ana <ana@x>\n- **Teams join:** https://teams.microsoft.com/x\n- **Event ID:** `e1`\n"
+        "- **Online meeting ID:** `om1`\n- **Transcripts available:** 1\n\n### Transcript 1 (2024-03-01 10:05)\n\n"
+        "- **Transcript ID:** `t1`\n\n```vtt\n" + vtt + "\n```\n\n"
+        "## 2024-03-01 11:00 Otra\n\n- **Start:** 2024-03-01 11:00\n- **End:** 2024-03-01 11:30\n"
+        "- **Organizer:** (unknown organizer)\n- **Event ID:** `e2`\n- **Transcripts available:** 0\n")
