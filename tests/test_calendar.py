@@ -48,3 +48,34 @@ def test_attendee_cap(spark):
     df = spark.createDataFrame([([f"p{i}" for i in range(12)],), (["a", "b"],)], "l array<string>")
     got = [r[0] for r in df.select(C.attendee_cap(F.col("l"))).collect()]
     assert got == ["p0, p1, p2, p3, p4, p5, p6, p7, p8, p9 (+2 more)", "a, b"]
+
+
+def test_day_document_exact_text(spark):
+    from comms_lake.functions import people as P
+    from comms_lake.operators import documents as DOC
+    att = "array<struct<type:string,emailAddress:struct<name:string,address:string>>>"
+    ev = spark.createDataFrame([(
+        "cal", 0, "e1", "Sync", dt.datetime(2024, 3, 1, 9), dt.datetime(2024, 3, 1, 10), False, True,
+        "https://teams.microsoft.com/x", True, "", "Ana", "Ana@x",
+        [{"type": "required", "emailAddress": {"name": "luis@x", "address": "luis@x"}},
+         {"type": "resource", "emailAddress": {"name": "Sala Norte", "address": "sala@x"}}], "Piso 3")],
+        "calendar string, profile bigint, id string, subject string, start_ts timestamp_ntz, end_ts timestamp_ntz, "
+        f"all_day boolean, cancelled boolean, join_url string, is_online boolean, provider string, org_name string, "
+        f"org_address string, attendees {att}, location string")
+    ev = C.with_people(ev).withColumns({
+        "place": P.event_place(F.col("location"), F.col("attendees")),
+        "teams": C.is_teams(F.col("join_url"), F.col("is_online"), F.col("provider")), "excerpt": F.lit("")})
+    d = C.event_days(ev.withColumn("block", DOC.event_block()))
+    empty = spark.createDataFrame([("cal", 0, dt.date(2024, 3, 2))], "calendar string, profile bigint, day date")
+    rows = d.unionByName(empty, allowMissingColumns=True).withColumns(
+        {"empresa": F.lit("acme"), "cuenta": F.lit("u@x")})
+    docs = {r["day"].isoformat(): r["content"] for r in
+            DOC.render_day(rows, ["calendar", "profile"], "2024-03-02T00:00:00+00:00").collect()}
+    assert docs["2024-03-01"] == (
+        '---\nfuente: calendario\nempresa: "acme"\ncuenta: "u@x"\nfecha: 2024-03-01T00:00:00+00:00\n'
+        'creationDate: 2024-03-01\nid_origen:\n  - "e1"\nparticipantes:\n  - "Ana <ana@x>"\n  - "<luis@x>"\n'
+        'asunto: "Agenda 2024-03-01"\nproyecto:\neventos: 1\ningestado: 2024-03-02T00:00:00+00:00\n---\n\n'
+        "## 09:00–10:00 · Sync\n- id_origen: e1\n- organizador: Ana <ana@x>\n- participantes: Ana <ana@x>; <luis@x>\n"
+        "- lugar: Piso 3; Sala Norte\n- teams: sí\n- estado: cancelado\n")
+    assert docs["2024-03-02"].endswith("id_origen: []\nparticipantes: []\nasunto: \"Agenda 2024-03-02\"\nproyecto:\n"
+                                       "eventos: 0\ningestado: 2024-03-02T00:00:00+00:00\n---\n\nSin eventos.\n")
