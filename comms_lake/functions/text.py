@@ -60,7 +60,7 @@ def neutralize_rules(col) -> Column:
     """A line that is ``---`` after trimming becomes ``\\---``."""
     return F.regexp_replace(
         s(col), "(?m)^" + WHITESPACE_CLASS.replace(r"\n", "") + "*---"
-        + WHITESPACE_CLASS.replace(r"\n", "") + "*$", r"\\\\---")
+        + WHITESPACE_CLASS.replace(r"\n", "") + "*$", r"\\---")   # Java replacement: one literal backslash
 
 
 def fence_text(col) -> Column:

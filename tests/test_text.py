@@ -64,3 +64,26 @@ def test_html_body_to_text(spark):
                                 ("<div>a &amp; b&nbsp;\n</div><script>var t='</p>'</script><!-- c -->",)], "v string")
     got = [r[0] for r in H.html_to_text(df, "v", "t").orderBy(F.length("v").desc()).select("t").collect()]
     assert sorted(got) == sorted(["Hola\nmundo\n\n- uno", "a & b"])
+
+
+def test_message_document_exact_text(spark):
+    from comms_lake.operators import documents as DOC
+    addr = "struct<emailAddress:struct<name:string,address:string>>"
+    df = spark.createDataFrame([(
+        "m1", "<m1@x>", 'Hola "mundo"', __import__("datetime").datetime(2024, 3, 1, 9, 5),
+        {"emailAddress": {"name": "Ana", "address": "ana@x"}}, {"emailAddress": {"name": "B", "address": "b@x"}},
+        [{"emailAddress": {"name": "Luis", "address": "LUIS@x"}}], [], "c1", "Entrada",
+        [{"name": "doc.pdf", "content_type": "application/pdf", "size": 1536}], False,
+        "text", "línea 1\r\n---\r\nfin\n\n", "", "acme", "yo@x", "I")],
+        f"id string, internet_id string, subject string, received timestamp_ntz, from_entry {addr}, "
+        f"sender_entry {addr}, to_entries array<{addr}>, cc_entries array<{addr}>, conversation_id string, "
+        "carpeta string, attachments array<struct<name:string,content_type:string,size:bigint>>, "
+        "attachments_error boolean, content_type string, content string, preview string, empresa string, "
+        "cuenta string, ingestado string")
+    got = DOC.render_mail(DOC.with_body_text(df)).first()["content"]
+    assert got == (
+        '---\nfuente: correo\nempresa: "acme"\ncuenta: "yo@x"\nfecha: 2024-03-01T09:05:00+00:00\n'
+        'creationDate: 2024-03-01\nid_origen: "m1"\nid_internet: "<m1@x>"\nparticipantes:\n'
+        '  - "Ana <ana@x>"\n  - "Luis <luis@x>"\nasunto: "Hola \\"mundo\\""\nproyecto:\ncarpeta: "Entrada"\n'
+        'hilo: "c1"\nadjuntos:\n  - "doc.pdf"\ningestado: I\n---\n\n## Adjuntos\n\n- doc.pdf (application/pdf, 2 KB)\n\n'
+        "## Cuerpo\n\nlínea 1\n\\---\nfin\n")
