@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,8 +29,6 @@ def main() -> None:
     from comms_lake.session import build_session
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app="comms_lake_bench")
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-ckpt-"))
     queries = catalog.queries()
     wanted = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q in queries]
     # warm-up: JIT and file listing on a cheap query

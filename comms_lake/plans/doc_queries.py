@@ -130,14 +130,13 @@ def q_digest_meetings(spark, sf_dir):
 def q_document_sink(spark, sf_dir):
     """K1: rendered message documents appended to the document store twice;
     the second append adds nothing (ids already stored)."""
-    import uuid
 
-    from ..session import scratch_path
+    from ..session import run_dir
     from ..sources.landed import append_documents
     r = _rendered(TestViews(spark, sf_dir))
     p = M.collision_paths(r, F.col("empresa")).select(
         "id", "path", "content", "empresa", F.date_format("received", "yyyy-MM-dd").alias("fecha_dia"))
-    store = scratch_path(spark, f"docs-{uuid.uuid4().hex}")
+    store = run_dir(spark, "docs")
     append_documents(p, store)
     stored = append_documents(p, store)
     return stored.select("id", "path", F.octet_length("content").cast("bigint").alias("n_bytes"),
@@ -162,9 +161,8 @@ def q_payload_scan(spark, sf_dir):
     """S9 + F12 + F14: mail digest payloads land as JSON lines (every third
     with a byte-order mark, every fifth without ``kind``) and are read back,
     validated and counted."""
-    import uuid
 
-    from ..session import scratch_path
+    from ..session import run_dir
     from ..sources.landed import read_payloads
     items = _digest_items(TestViews(spark, sf_dir))
     g = items.groupBy("profile", "scope", "target_date").agg(
@@ -178,7 +176,7 @@ def q_payload_scan(spark, sf_dir):
         F.col("scope").alias("folder_or_query"), F.date_format("target_date", "yyyy-MM-dd").alias("target_date"),
         F.lit(1).alias("days"), F.col("messages")))
     line = F.when(h % 3 == 0, F.concat(F.lit("\ufeff"), payload)).otherwise(payload)
-    path = scratch_path(spark, f"payloads-{uuid.uuid4().hex}")
+    path = run_dir(spark, "payloads")
     g.select(line.alias("value")).write.mode("overwrite").text(path)
     p = read_payloads(spark, path, PAYLOAD).withColumns({
         "has_vault_root": F.col("vault_root").isNotNull(), "has_folder_or_query": F.col("folder_or_query").isNotNull()})

@@ -5,13 +5,12 @@ shared checkpoint folder and read back through the source readers."""
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import ops as O
 from ..operators.ordered import prefix_sums
-from ..session import scratch_path
+from ..session import run_dir
 from ..sources import landed as L
 from ..sources.testdata import N_PROFILES, TestViews, sql_with
 
@@ -36,7 +35,7 @@ def _runs(v: TestViews):
 
 def q_run_summary(spark, sf_dir):
     v = TestViews(spark, sf_dir)
-    path = scratch_path(spark, f"runlog-{uuid.uuid4().hex}")
+    path = run_dir(spark, "runlog")
     _runs(v).select(L.run_log_line(_runs(v)).alias("value")).write.mode("overwrite").text(path)   # K6
     return O.run_rollup(L.read_run_log(spark, path))                                            # S11 + A7/A8
 
@@ -49,7 +48,7 @@ def q_audit_by_action(spark, sf_dir):
         F.lit("0.6.0").alias("version"), F.create_map(F.lit("k"), F.col("k").cast("string")).alias("summary"),
         F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("result_id")))
     broken = F.col("event_id") % 50 == 0
-    path = scratch_path(spark, f"audit-{uuid.uuid4().hex}")
+    path = run_dir(spark, "audit")
     e.select(F.when(broken, F.left(line, F.char_length(line) - 5)).otherwise(line).alias("value")) \
         .write.mode("overwrite").text(path)
     return O.audit_counts(L.read_json_log(spark, path))
@@ -69,7 +68,7 @@ def q_capped_scans(spark, sf_dir):
                      F.when(F.col("page") < F.col("last_page"),
                             F.concat(F.lit("https://graph.example/next?page="), (F.col("page") + 1).cast("string")))
                      .alias("@odata.nextLink")))
-    path = scratch_path(spark, f"pages-{uuid.uuid4().hex}")
+    path = run_dir(spark, "pages")
     pages.write.mode("overwrite").json(path)
     got = L.read_pages(spark, path, L.EVENT)                     # S1
     return L.scan_caps(got, CALENDAR_MAX_PAGES).select("scan", "pages_read", "items_read", "capped")
@@ -138,7 +137,7 @@ def q_index_scan(spark, sf_dir):
     and repeated appends included) and the tab-separated skip list, read
     back as tables."""
     v = TestViews(spark, sf_dir)
-    root = scratch_path(spark, f"index-{uuid.uuid4().hex}")
+    root = run_dir(spark, "index")
     v.index_ids.select(F.explode(F.array(F.col("id"), F.lit(""), F.concat(F.lit("  "), F.col("id")))).alias("value")) \
         .write.mode("overwrite").text(os.path.join(root, "ids"))
     v.skipped.select(F.concat_ws("\t", F.col("id"), F.lit("2024-02-01T00:00:00+00:00"), F.lit("write failed 3 times"))

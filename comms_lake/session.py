@@ -51,25 +51,34 @@ def ensure_defaults(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder.
+    """Shared folder for tables that cut lineage.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; we read it from the session. Only when it is unset (local tests)
-    do we create a scratch folder and register it.
+    reach; it is read from the session and never changed. Only a local
+    session (one JVM, as in tests) may go without: its context then gets a
+    scratch folder. On a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
         return configured
-    local = tempfile.mkdtemp(prefix="comms-lake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    sc = spark.sparkContext
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="comms-lake-"))
+    return sc.getCheckpointDir()
+
+
+def run_dir(spark: SparkSession, name: str) -> str:
+    """A new sub-folder of the shared folder for one run. It is deleted when
+    the application ends (a lazy result may be read until then)."""
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hpath)
+    fs.deleteOnExit(hpath)
+    return path
 
 
 def materialize(df, name: str = "stage"):
@@ -81,10 +90,9 @@ def materialize(df, name: str = "stage"):
     lineage. One write job; the re-read carries file statistics for AQE and
     supports column pruning. Never a local checkpoint.
     """
-    spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(run_dir(df.sparkSession, name), "table")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str):
