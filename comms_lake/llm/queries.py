@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, langid, simhash
+from . import bpe, decontam, exact_dedup, html_extract, langid, licences, pii, quality, sharding, simhash
 from .common import table
 
 
@@ -34,6 +34,21 @@ FROM t WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    model = quality.learn(spark, docs, labels.where(fold(F.col("doc_id"), 5) != 0))
+    return quality.score(spark, docs, model).select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(spark, table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontam.contamination(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -68,6 +83,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.Tokenizer(spark))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.spans(docs, pii.model(spark)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(F.concat_ws(",", "base"), 256).alias("base_sha256"), F.concat_ws(",", "spans").alias("spans"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.identify(spark, docs.select("doc_id", "text"), langid.learn(spark, language_rows(docs)))
@@ -80,12 +102,28 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("component").alias("component_id"))
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = licences.scan(spark, docs, licences.learn(spark, docs))
+    return out.select(F.col("id").alias("doc_id"), F.concat_ws(",", "families").alias("families"),
+                      F.concat_ws(",", "lines").alias("lines"), "n_confirmed", "n_unconfirmed", "score")
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality": op2_quality,
+    "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
+    "op6_pii": op6_pii,
     "op7_language": op7_language,
     "op8_simhash": op8_simhash,
+    "op9_licences": op9_licences,
+    "op10_html": op10_html,
 }
 
 ORACLE = {
