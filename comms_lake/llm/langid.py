@@ -4,8 +4,10 @@ A text is a vector of hashed n-grams (one to four bytes of the lower-cased
 text in UTF-8, any run of other than letters being one space): counts damped
 by 1 + log, weighted by inverse document frequency, of length one. Each
 language has several centroids, found by spherical k-means over its sample. A
-text gets the language of the centroid with the greatest cosine and is
-rejected where that cosine is under the distance that the sample keeps.
+text gets the language of the centroid with the greatest cosine. It is
+rejected where that cosine is under half of the least that sampled texts of
+like length have with their own language (short texts are further from any
+centroid, so pieces of the sampled texts of many lengths set that floor).
 
 Learning reads a bounded sample: ``sample_rows`` documents of each of at most
 ``MAX_LANGUAGES`` languages, taken by a hash of their text. Vectors are built
@@ -22,6 +24,7 @@ learnable row every result is ``und``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import numpy as np
 import regex
@@ -32,11 +35,12 @@ from ..session import run_dir
 from .common import drop_rows, located, map_texts, stored
 
 DIMENSIONS = 8192
-SAMPLE_ROWS = 800
+SAMPLE_ROWS = 500
 MAX_LANGUAGES = 64
 CENTROIDS = 4
-# A text is rejected under this share of the least cosine that its language's sample has but for its lowest 1 %.
-REJECT_SHARE = 0.5
+# A text is rejected under this share of the least cosine of sampled texts with as many bytes (to a power of two),
+# if there are so many of them.
+REJECT_SHARE, REJECT_LEAST = 0.5, 20
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -68,21 +72,32 @@ def unit(x: np.ndarray) -> np.ndarray:
 class Model:
     """Weights and centroids; a few hundred vectors at most, so it is broadcast whole."""
 
-    def __init__(self, langs: list[str], counted: np.ndarray, k: int = CENTROIDS, seed: int = 7):
+    def __init__(self, langs: list[str], counted: np.ndarray, pieces: np.ndarray, k: int = CENTROIDS, seed: int = 7):
         self.names = sorted(set(langs))
         present = (counted > 0).sum(axis=0)
         self.idf = np.log((1 + len(counted)) / (1 + present)).astype(np.float32) + np.float32(0.05)
         vectors = self.vectors(counted)
-        rows, owner, floor = [], [], []
+        rows, owner = [], []
         at = np.array(langs)
         for number, name in enumerate(self.names):
-            own = vectors[at == name]
-            centres = _kmeans(own, min(k, len(own)), np.random.default_rng(seed))
+            centres = _kmeans(vectors[at == name], min(k, int((at == name).sum())), np.random.default_rng(seed))
             rows.append(centres)
             owner += [number] * len(centres)
-            floor.append(REJECT_SHARE * float(np.quantile((own @ centres.T).max(axis=1), 0.01)))
         self.centres = np.concatenate(rows) if rows else np.zeros((0, DIMENSIONS), np.float32)
-        self.owner, self.floor = np.array(owner, np.int64), np.array(floor)
+        self.owner = np.array(owner, np.int64)
+        self.floor = np.zeros(64)
+        least: dict[int, list[float]] = {}
+        for group, found in ((counted, vectors), (pieces, self.vectors(pieces) if len(pieces) else pieces)):
+            for name, c, v in zip(langs, group, found):
+                own = self.centres[self.owner == self.names.index(name)]
+                least.setdefault(self.size(c), []).append(float((own @ v).max()))
+        for size, found in least.items():
+            if len(found) >= REJECT_LEAST:
+                self.floor[size] = REJECT_SHARE * min(found)
+
+    @staticmethod
+    def size(counted: np.ndarray) -> int:
+        return int(counted.sum()).bit_length()
 
     def vectors(self, counted: np.ndarray) -> np.ndarray:
         damped = np.where(counted > 0, 1 + np.log(np.maximum(counted, 1)), 0).astype(np.float32)
@@ -94,12 +109,13 @@ class Model:
         if index and len(self.owner):
             for at in range(0, len(index), 64):
                 part = index[at:at + 64]
-                cosine = self.vectors(np.stack([counts(texts[i]) for i in part])) @ self.centres.T
-                best = cosine.argmax(axis=1)
-                for i, b, score in zip(part, best, cosine[np.arange(len(part)), best]):
-                    names[i] = self.names[self.owner[b]]
-                    scores[i] = float(min(1.0, max(0.0, score)))
-                    rejected[i] = bool(score < self.floor[self.owner[b]] or score <= 0)
+                counted = np.stack([counts(texts[i]) for i in part])
+                cosine = self.vectors(counted) @ self.centres.T
+                for i, c, x in zip(part, counted, cosine):
+                    score = float(x.max())
+                    names[i] = self.names[self.owner[x.argmax()]]
+                    scores[i] = min(1.0, max(0.0, score))
+                    rejected[i] = score < self.floor[self.size(c)] or score <= 0
         return [names, scores, rejected]
 
 
@@ -135,14 +151,26 @@ def learn(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
         part = hashes.where(F.col("lang") == r.lang).orderBy("h").limit(sample_rows)
         keys = part if keys is None else keys.union(part)
     if keys is None:
-        return Model([], np.zeros((0, DIMENSIONS), np.int64))
+        return Model([], *np.zeros((2, 0, DIMENSIONS), np.uint16))
     picked = rows.join(F.broadcast(keys), ["lang", "h"]).dropDuplicates(["lang", "h"]).drop("h")
 
     def make() -> Callable:
-        return lambda texts: [[counts(t).astype(np.float32).tobytes() for t in texts]]
-    found = map_texts(picked, make, "counted binary").orderBy("lang", "counted").toArrow()
-    counted = np.stack([np.frombuffer(x, np.float32) for x in found.column("counted").to_pylist()])
-    return Model(found.column("lang").to_pylist(), counted)
+        def run(texts: list) -> list[list]:
+            pack = lambda t: np.minimum(counts(t), 65_535).astype(np.uint16).tobytes()
+            return [[pack(t) for t in texts], [pack(piece(t)) for t in texts]]
+        return run
+    found = map_texts(picked, make, "counted binary, piece binary").orderBy("lang", "counted").toArrow()
+    counted, pieces = (np.stack([np.frombuffer(x.as_buffer(), np.uint16) for x in found.column(c)])
+                       for c in ("counted", "piece"))
+    return Model(found.column("lang").to_pylist(), counted, pieces)
+
+
+def piece(text: str) -> str:
+    """Some words from the middle of a text, 1 to 512 of them by the text's checksum."""
+    words = text.split()
+    n = min(len(words), 1 << crc32(text.encode("utf-8", "surrogatepass")) % 10)
+    at = (len(words) - n) // 2
+    return " ".join(words[at:at + n])
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
