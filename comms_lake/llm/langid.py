@@ -100,8 +100,11 @@ class Model:
         return int(counted.sum()).bit_length()
 
     def vectors(self, counted: np.ndarray) -> np.ndarray:
-        damped = np.where(counted > 0, 1 + np.log(np.maximum(counted, 1)), 0).astype(np.float32)
-        return unit(damped * self.idf)
+        out = np.empty(counted.shape, np.float32)
+        for at in range(0, len(counted), 256):  # some at a time: the sample's temporaries stay small
+            part = np.maximum(counted[at:at + 256], 1).astype(np.float32)
+            out[at:at + 256] = unit((1 + np.log(part)) * (counted[at:at + 256] > 0) * self.idf)
+        return out
 
     def predict(self, texts: list) -> list[list]:
         names, scores, rejected = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
@@ -160,8 +163,10 @@ def learn(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
             return [[pack(t) for t in texts], [pack(piece(t)) for t in texts]]
         return run
     found = map_texts(picked, make, "counted binary, piece binary").orderBy("lang", "counted").toArrow()
-    counted, pieces = (np.stack([np.frombuffer(x.as_buffer(), np.uint16) for x in found.column(c)])
-                       for c in ("counted", "piece"))
+    counted, pieces = np.empty((2, found.num_rows, DIMENSIONS), np.uint16)
+    for matrix, name in ((counted, "counted"), (pieces, "piece")):
+        for i, x in enumerate(found.column(name)):
+            matrix[i] = np.frombuffer(x.as_buffer(), np.uint16)
     return Model(found.column("lang").to_pylist(), counted, pieces)
 
 
