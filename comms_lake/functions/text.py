@@ -28,8 +28,6 @@ RESERVED_NAMES = ["con", "prn", "aux", "nul"] + [f"com{i}" for i in range(1, 10)
 SLUG_MAX_CHARS = 60
 SLUG_FALLBACK = "sin-asunto"
 PLAIN_SLUG_FALLBACK = "unknown"
-MAIL_BODY_MAX_BYTES = 100 * 1024
-MAIL_TRUNCATED_MARKER = "[...truncado a 100 KB]"
 DIGEST_TRUNCATE_MARKER = "\n\n[...truncated]"
 # Quote escapes beyond the short ones: C0 controls, DEL..U+009F, line and
 # paragraph separators, BOM and the two non-characters U+FFFE/U+FFFF.
@@ -69,10 +67,18 @@ def fence_text(col) -> Column:
     return F.when(c == "", F.lit("_(empty)_")).otherwise(F.replace(c, F.lit("```"), F.lit("` ` `")))
 
 
-def truncate_chars(col, limit: int, marker: str = DIGEST_TRUNCATE_MARKER) -> Column:
-    """Digest excerpt: fences neutralized, ``limit`` characters plus marker."""
+def truncated_marker(max_bytes: int) -> str:
+    """What a cut body ends with."""
+    return f"[...truncado a {max_bytes // 1024} KB]"
+
+
+def truncate_chars(col, limit: int | None = None, marker: str = DIGEST_TRUNCATE_MARKER) -> Column:
+    """Digest excerpt: fences neutralized, ``limit`` characters plus marker
+    (X9), or the whole body."""
     c = s(col)
     cleaned = F.replace(c, F.lit("```"), F.lit("` ` `"))
+    if limit is None:
+        return F.when(c == "", F.lit("_(body unavailable)_")).otherwise(cleaned)
     return (F.when(c == "", F.lit("_(body unavailable)_"))
             .when(F.char_length(cleaned) <= limit, cleaned)
             .otherwise(F.concat(F.substring(cleaned, 1, limit), F.lit(marker))))
@@ -85,14 +91,17 @@ def utf8_bytes(col) -> Column:
 def truncate_utf8(col, max_bytes: int) -> Column:
     """Longest prefix that fits in ``max_bytes`` UTF-8 bytes.
 
-    Cuts the encoded bytes, repairs the possibly split last character into
-    U+FFFD and drops that trailing replacement run.
+    Cuts the encoded bytes before the character that the limit would split:
+    at most three continuation bytes (10xxxxxx) lie before its first byte.
     """
     c = s(col)
-    head = F.substring(F.encode(c, "UTF-8"), 1, max_bytes).cast("string")
-    repaired = F.call_function("make_valid_utf8", head)
-    return F.when(F.octet_length(c) <= max_bytes, c).otherwise(
-        F.regexp_replace(repaired, "\uFFFD+$", ""))
+    raw = F.encode(c, "UTF-8")
+    byte = lambda at: F.conv(F.hex(F.substring(raw, at, 1)), 16, 10).cast("int")
+    cut = F.lit(0)
+    for back in (3, 2, 1, 0):  # the byte after the cut must begin a character
+        at = F.lit(max_bytes - back)
+        cut = F.when((at >= 0) & (F.shiftright(byte(at + 1), 6) != 2), at).otherwise(cut)
+    return F.when(F.octet_length(c) <= max_bytes, c).otherwise(F.decode(F.substring(raw, F.lit(1), cut), "UTF-8"))
 
 
 def sha_hex(col, n: int) -> Column:

@@ -30,9 +30,10 @@ def parse_graph_ts(col) -> Column:
 
 
 def _ltz_to_utc_ntz(ltz: Column) -> Column:
-    """Instant to its UTC wall time as NTZ, independent of the session zone."""
-    return F.to_timestamp_ntz(F.date_format(F.to_utc_timestamp(ltz, F.current_timezone()),
-                                            "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    """Instant to its UTC wall time as NTZ: microseconds added to the epoch,
+    so no session zone (or its DST gaps) takes part."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ltz), epoch).cast("timestamp_ntz")
 
 
 def to_local(ts_utc_ntz, zone: str = UTC) -> Column:
@@ -52,23 +53,29 @@ def offset_text(utc_ntz: Column, local_ntz: Column) -> Column:
                     F.lpad((am % 60).cast("string"), 2, "0"))
 
 
+def wall(ntz: Column) -> Column:
+    """``YYYY-MM-DD HH:MM:SS`` of wall time. The text of the NTZ value itself:
+    ``date_format`` would read it in the session zone, which may skip it."""
+    return F.left(ntz.cast("timestamp_ntz").cast("string"), F.lit(19))
+
+
 def iso_z(ts_utc_ntz) -> Column:
     """``YYYY-MM-DDTHH:MM:SSZ``."""
     c = F.col(ts_utc_ntz) if isinstance(ts_utc_ntz, str) else ts_utc_ntz
-    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.concat(F.replace(wall(c), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def local_iso(ts_utc_ntz, zone: str = UTC) -> Column:
     """Local ISO time with offset, seconds precision."""
     c = F.col(ts_utc_ntz) if isinstance(ts_utc_ntz, str) else ts_utc_ntz
     loc = to_local(c, zone)
-    return F.concat(F.date_format(loc, "yyyy-MM-dd'T'HH:mm:ss"),
+    return F.concat(F.replace(wall(loc), F.lit(" "), F.lit("T")),
                     offset_text(F.date_trunc("second", c), F.date_trunc("second", loc)))
 
 
 def hhmm(ts_utc_ntz, zone: str = UTC) -> Column:
     c = F.col(ts_utc_ntz) if isinstance(ts_utc_ntz, str) else ts_utc_ntz
-    return F.date_format(to_local(c, zone), "HHmm")
+    return F.replace(F.substring(wall(to_local(c, zone)), 12, 5), F.lit(":"), F.lit(""))
 
 
 def local_date(ts_utc_ntz, zone: str = UTC) -> Column:
@@ -76,10 +83,15 @@ def local_date(ts_utc_ntz, zone: str = UTC) -> Column:
     return F.to_date(to_local(c, zone))
 
 
-def digest_local(ts_utc_ntz, zone: str = UTC) -> Column:
-    """Digest rendering ``YYYY-MM-DD HH:MM``."""
+def digest_local(ts_utc_ntz, zone: str = UTC, event_zone: Column | None = None) -> Column:
+    """Digest rendering ``YYYY-MM-DD HH:MM`` (X15). A time whose own zone name
+    (``event_zone``) is neither blank nor UTC is wall time already and is
+    shown as it is."""
     c = F.col(ts_utc_ntz) if isinstance(ts_utc_ntz, str) else ts_utc_ntz
-    return F.date_format(to_local(c, zone), "yyyy-MM-dd HH:mm")
+    local = to_local(c, zone)
+    if event_zone is not None:
+        local = F.when(F.lower(F.trim(s(event_zone))).isin("", "utc"), local).otherwise(c)
+    return F.left(wall(local), F.lit(16))
 
 
 def date_range_text(target_date: Column, days: Column) -> Column:

@@ -1,9 +1,10 @@
 """Calendar days.
 
 Events are expanded onto the local days they touch with
-``explode(sequence(first, last))`` (at most 61 days per event, so the
-expansion is bounded per row); day documents are per (calendar, profile,
-day) groups, which are small by nature (one person's agenda for one day).
+``explode(sequence(first, last))``. A day's agenda is one group of
+(calendar, profile, day): the event-days are shuffled once, carrying each
+event's people, and ordering and first-sighting are array work inside the
+group.
 """
 
 from __future__ import annotations
@@ -16,19 +17,16 @@ from ..functions import text as X
 from ..functions import times as TM
 
 # --- fixed values (reference constants) -----------------------------------
-MAX_EXTRA_DAYS = 60          # first day + at most 60 more
-CALENDAR_EXCERPT_CHARS = 400
-ATTENDEES_SHOWN = 10
 TEAMS_PROVIDER = "teamsforbusiness"
 TEAMS_HOST_TEXT = "teams.microsoft"
 
 
-def event_day_bounds(df: DataFrame, zone: str = TM.UTC) -> DataFrame:
+def event_day_bounds(df: DataFrame, zone: str = TM.UTC, max_extra_days: int | None = None) -> DataFrame:
     """Add ``first_day``/``last_day``.
 
     All-day: dates taken literally, end exclusive. Timed: local start day to
     the local day of (end - 1 microsecond); a missing or backward end gives
-    one day. Capped at first + 60 days.
+    one day. ``max_extra_days`` caps an event at its first day and so many more.
     """
     start, end = F.col("start_ts"), F.col("end_ts")
     allday_first = F.to_date(start)
@@ -40,14 +38,15 @@ def event_day_bounds(df: DataFrame, zone: str = TM.UTC) -> DataFrame:
                         F.to_date(TM.to_local(end, zone) - F.expr("INTERVAL 1 MICROSECOND"))).otherwise(timed_first)
     first = F.when(F.col("all_day"), allday_first).otherwise(timed_first)
     last = F.when(F.col("all_day"), allday_last).otherwise(timed_last)
-    last = F.when(F.datediff(last, first) > MAX_EXTRA_DAYS, F.date_add(first, MAX_EXTRA_DAYS)).otherwise(last)
+    if max_extra_days is not None:
+        last = F.least(last, F.date_add(first, max_extra_days))
     return (df.withColumn("first_day", F.when(start.isNotNull(), first))
             .withColumn("last_day", F.when(start.isNotNull(), last)))
 
 
-def event_days(df: DataFrame, zone: str = TM.UTC) -> DataFrame:
+def event_days(df: DataFrame, zone: str = TM.UTC, max_extra_days: int | None = None) -> DataFrame:
     """One row per (event, local day)."""
-    b = event_day_bounds(df, zone)
+    b = event_day_bounds(df, zone, max_extra_days)
     return (b.filter(F.col("first_day").isNotNull())
             .withColumn("day", F.explode(F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY")))))
 
@@ -97,22 +96,35 @@ def day_rollup(days: DataFrame, keys: list[str]) -> DataFrame:
             .withColumn("ids", F.transform("__k", lambda k: F.substring(k, width + 1, 1 << 20))).drop("__k"))
 
 
-def day_people(days: DataFrame, keys: list[str]) -> DataFrame:
-    """A3: participants of a day's ordered events, first seen wins.
+def first_seen(labels: Column, emails: Column) -> Column:
+    """A3 inside one day: labels in order, one per email (the first), without empty ones."""
+    seen = F.transform(labels, lambda x, i: F.struct(x.alias("label"), (F.array_position(emails, F.get(emails, i)) == i + 1)
+                                                     .alias("first")))
+    return F.transform(F.filter(seen, lambda x: x["first"] & (x["label"] != "")), lambda x: x["label"])
+
+
+def day_agenda(days: DataFrame, keys: list[str], carry: list[str] | None = None) -> DataFrame:
+    """A3 + A4 in one shuffle of the event-days: per day ``n_events``, ``ids``,
+    ``people`` (participants of the ordered events, first seen wins) and an
+    ordered array for each column of ``carry``.
 
     Needs ``people`` and ``people_keys`` (see ``with_people``), computed once
-    per event before the day expansion. Flat (day, person) rows are reduced
-    to the first sighting per (day, email) by a grouped ``min`` (hash
-    aggregation, merged map-side), then each day's survivors (one per
-    distinct person) are ordered by that first sighting.
+    per event before the day expansion.
     """
-    exp = days.select(*keys, "day", _k(days).alias("k"),
-                      F.posexplode(F.arrays_zip(F.col("people").alias("label"), F.col("people_keys").alias("email")))
-                      .alias("pos", "p"))
-    first = (exp.groupBy(*keys, "day", F.col("p.email").alias("email"))
-             .agg(F.min(F.struct("k", "pos", F.col("p.label").alias("label"))).alias("m")))
-    return (first.groupBy(*keys, "day").agg(F.array_sort(F.collect_list("m")).alias("__p"))
-            .select(*keys, "day", F.filter(F.transform("__p", lambda m: m["label"]), lambda x: x != "").alias("people")))
+    carry = carry or []
+    # the key begins the struct: it orders the events, whatever else is carried
+    g = (days.groupBy(*keys, "day")
+         .agg(F.array_sort(F.collect_list(F.struct(_k(days).alias("k"), "id", "people", "people_keys", *carry)))
+              .alias("__e")))
+    part = lambda c: F.transform("__e", lambda e: e[c])
+    return g.select(*keys, "day", F.size("__e").cast("bigint").alias("n_events"), part("id").alias("ids"),
+                    first_seen(F.flatten(part("people")), F.flatten(part("people_keys"))).alias("people"),
+                    *[part(c).alias(c) for c in carry])
+
+
+def day_people(days: DataFrame, keys: list[str]) -> DataFrame:
+    """A3: participants of a day's ordered events, first seen wins."""
+    return day_agenda(days, keys).filter(F.size("people") > 0).select(*keys, "day", "people")
 
 
 def with_people(events: DataFrame) -> DataFrame:
@@ -122,8 +134,10 @@ def with_people(events: DataFrame) -> DataFrame:
                          .withColumn("people_keys", F.transform("people", P.person_key)))
 
 
-def attendee_cap(labels: Column, shown: int = ATTENDEES_SHOWN) -> Column:
-    """First ``shown`` labels, then `` (+N more)``."""
+def attendee_cap(labels: Column, shown: int | None = None) -> Column:
+    """All labels, or the first ``shown`` and then `` (+N more)``."""
+    if shown is None:
+        return F.array_join(labels, ", ")
     head = F.array_join(F.slice(labels, 1, shown), ", ")
     return F.when(F.size(labels) > shown,
                   F.concat(head, F.lit(" (+"), (F.size(labels) - shown).cast("string"), F.lit(" more)"))
@@ -138,22 +152,11 @@ def is_teams(join_url: Column, is_online: Column, provider: Column) -> Column:
                         | F.contains(j, F.lit(TEAMS_HOST_TEXT)))
 
 
-def day_content_hash(rollup: DataFrame, people: DataFrame, keys: list[str]) -> DataFrame:
-    """J13 helper: hash of what a day document shows, without ingest time."""
-    j = rollup.join(people, [*keys, "day"], "full")
-    content = F.concat_ws("\n", F.coalesce(F.col("n_events"), F.lit(0)).cast("string"),
-                          F.array_join(F.coalesce("ids", F.array()), ","),
-                          F.array_join(F.coalesce("people", F.array()), "; "))
-    return j.select(*keys, "day", F.sha1(F.encode(content, "UTF-8")).alias("content_hash"))
-
-
-def changed_days(new_hash: DataFrame, old_hash: DataFrame, spine: DataFrame, keys: list[str]) -> DataFrame:
-    """Spine days whose content differs from the stored day (null-safe),
-    labelled ``new`` when nothing was stored."""
-    empty = F.sha1(F.encode(F.lit("0\n\n"), "UTF-8"))
-    n = spine.join(new_hash, [*keys, "day"], "left").withColumn(
-        "h_new", F.coalesce("content_hash", empty)).drop("content_hash")
-    o = old_hash.withColumnRenamed("content_hash", "h_old")
-    j = n.join(o, [*keys, "day"], "left")
-    return (j.filter(~F.col("h_old").eqNullSafe(F.col("h_new")))
-            .withColumn("change", F.when(F.col("h_old").isNull(), F.lit("new")).otherwise(F.lit("changed"))))
+def changed_days(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
+    """Days of ``new`` (rendered days with their ``content_hash``) whose
+    hash differs from the stored one in ``old``, labelled ``new`` when nothing
+    was stored."""
+    stored = old.select(*keys, "day", F.col("content_hash").alias("__old"))
+    j = new.join(stored, [*keys, "day"], "left")
+    return (j.filter(~F.col("__old").eqNullSafe(F.col("content_hash")))
+            .withColumn("change", F.when(F.col("__old").isNull(), F.lit("new")).otherwise(F.lit("changed"))).drop("__old"))

@@ -20,7 +20,6 @@ from ..functions.vtt import html_unescape
 NO_NAME = "(sin nombre)"
 UNKNOWN_KIND = "tipo desconocido"
 ATTACHMENTS_FAILED = "- (no se pudo leer la lista de adjuntos)"
-FRONTMATTER_MAX_LINES = 200
 
 
 def with_body_text(df: DataFrame) -> DataFrame:
@@ -42,8 +41,9 @@ def attachment_lines(atts: Column) -> Column:
         F.lit(", "), X.size_label(a["size"]), F.lit(")")))
 
 
-def render_mail(df: DataFrame, zone: str = TM.UTC) -> DataFrame:
-    """The message document in column ``content``.
+def render_mail(df: DataFrame, zone: str = TM.UTC, max_bytes: int | None = None) -> DataFrame:
+    """The message document in column ``content``; ``max_bytes`` cuts the
+    body (X8) and says so.
 
     Expects id, internet_id, subject, received (UTC NTZ), from_entry,
     sender_entry, to_entries, cc_entries, conversation_id, carpeta,
@@ -61,8 +61,8 @@ def render_mail(df: DataFrame, zone: str = TM.UTC) -> DataFrame:
     has_atts = F.size(F.coalesce("attachments", F.array())) > 0
     err = F.coalesce(F.col("attachments_error"), F.lit(False))
     body = X.neutralize_rules(F.regexp_replace(F.col("body_text"), "^\n+|\n+$", ""))
-    cut = X.truncate_utf8(body, X.MAIL_BODY_MAX_BYTES)
-    truncated = X.utf8_bytes(body) > X.MAIL_BODY_MAX_BYTES
+    cut = body if max_bytes is None else X.truncate_utf8(body, max_bytes)
+    truncated = F.lit(False) if max_bytes is None else X.utf8_bytes(body) > max_bytes
     text = F.regexp_replace(cut, X.WHITESPACE_CLASS + "+$", "")
     att_block = (F.when(has_atts, F.concat_ws("\n", F.lit("## Adjuntos"), F.lit(""),
                                               F.array_join(attachment_lines(F.col("attachments")), "\n"), F.lit("")))
@@ -87,26 +87,37 @@ def render_mail(df: DataFrame, zone: str = TM.UTC) -> DataFrame:
         F.lit("---"), F.lit(""),
         att_block,
         F.lit("## Cuerpo"), F.lit(""), text,
-        F.when(truncated, F.concat(F.lit("\n"), F.lit(X.MAIL_TRUNCATED_MARKER))))
+        F.when(truncated, F.concat(F.lit("\n"), F.lit(X.truncated_marker(max_bytes or 0)))))
     return df.withColumn("content", F.concat(F.regexp_replace(doc, "\n+$", ""), F.lit("\n")))
 
 
-def parse_frontmatter(df: DataFrame, content_col: str = "content") -> DataFrame:
-    """(key, value) rows of the frontmatter; at most 200 header lines;
-    quoted scalars are JSON strings; list items are skipped."""
+def parse_frontmatter(df: DataFrame, content_col: str = "content", max_lines: int | None = None) -> DataFrame:
+    """(key, value, items) rows of the frontmatter; quoted scalars are
+    JSON strings; ``items`` holds the values of a list's ``- `` lines.
+    ``max_lines`` bounds the header."""
     lines = F.split(F.col(content_col), "\n")
-    head = F.slice(lines, 2, FRONTMATTER_MAX_LINES)
+    head = F.slice(lines, 2, max_lines if max_lines is not None else F.size(lines))
     end = F.array_position(F.transform(head, lambda x: F.trim(x) == "---"), True).cast("int")
     ok = (F.trim(F.element_at(lines, 1)) == "---")
     body = F.when(ok & (end > 0), F.slice(head, 1, end - 1))
-    e = df.select("*", F.posexplode(body).alias("line_no", "line"))
+
+    def scalar(raw: Column) -> Column:
+        decoded = F.from_json(F.concat(F.lit('{"v":'), raw, F.lit("}")), "v string")["v"]
+        return F.when(raw.startswith('"'), F.coalesce(decoded, F.regexp_replace(raw, '^"+|"+$', ""))).otherwise(raw)
+    e = df.select("*", F.posexplode(body).alias("line_no", "line"), body.alias("__head"))
     e = e.filter(F.col("line").rlike("^[A-Za-z_][A-Za-z0-9_]*:"))
     key = F.regexp_extract("line", "^([A-Za-z_][A-Za-z0-9_]*):", 1)
     raw = F.trim(F.regexp_replace("line", "^[A-Za-z_][A-Za-z0-9_]*:", ""))
-    quoted = raw.startswith('"')
-    decoded = F.from_json(F.concat(F.lit('{"v":'), raw, F.lit("}")), "v string")["v"]
-    value = F.when(quoted, F.coalesce(decoded, F.regexp_replace(raw, '^"+|"+$', ""))).otherwise(raw)
-    return e.withColumns({"key": key, "value": value})
+    # a list's items are the "- " lines up to the next other line, read as one JSON array
+    rest = F.slice("__head", F.col("line_no") + 2, F.size("__head"))
+    stop = F.array_position(F.transform(rest, lambda x: ~x.rlike("^\\s*- ")), True).cast("int")
+    own = F.transform(F.when(stop > 0, F.slice(rest, 1, stop - 1)).otherwise(rest),
+                      lambda x: F.trim(F.regexp_replace(x, "^\\s*- ", "")))
+    plain = lambda x: F.concat(F.lit('"'), F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")),
+                                                     F.lit('"'), F.lit('\\"')), F.lit('"'))
+    array = F.array_join(F.transform(own, lambda x: F.when(x.startswith('"'), x).otherwise(plain(x))), ",")
+    items = F.from_json(F.concat(F.lit("["), array, F.lit("]")), "array<string>")
+    return e.withColumns({"key": key, "value": scalar(raw), "items": items}).drop("__head")
 
 
 # --- fixed values: day document labels -------------------------------------
@@ -120,7 +131,7 @@ def event_block(zone: str = TM.UTC) -> Column:
     expansion). Needs subject, all_day, start_ts, end_ts, id, org_*,
     people, place, teams, cancelled, excerpt."""
     subject = F.when(X.one_line("subject") == "", F.lit(NO_SUBJECT)).otherwise(X.one_line("subject"))
-    hm = lambda c: F.coalesce(F.date_format(TM.to_local(c, zone), "HH:mm"), F.lit("??:??"))
+    hm = lambda c: F.coalesce(F.substring(TM.wall(TM.to_local(F.col(c), zone)), 12, 5), F.lit("??:??"))
     header = F.when(F.col("all_day"), F.concat(F.lit(f"## {ALL_DAY} · "), subject)).otherwise(
         F.concat(F.lit("## "), hm("start_ts"), F.lit("–"), hm("end_ts"), F.lit(" · "), subject))
     org = P.person_label(F.col("org_name"), F.col("org_address"))
@@ -139,47 +150,46 @@ def render_day(days: DataFrame, keys: list[str], ingestado: str, zone: str = TM.
     """One day document per (keys, day): frontmatter with the ordered
     ids and participants, then the ordered event blocks (or ``Sin
     eventos.``). ``days`` has one row per (event, day) with ``k`` (L3 key),
-    ``block``, ``people``, ``people_keys``; spine days arrive with a null id."""
-    ev = days.filter(F.col("id").isNotNull())
-    g = (ev.groupBy(*keys, "day").agg(
-        F.array_sort(F.collect_list(F.struct("k", "id", "block"))).alias("__e"), F.count("*").alias("n")))
-    from ..operators.calendar import day_people
-    ppl = day_people(ev, keys)
-    spine = days.select(*keys, "day", "empresa", "cuenta").distinct()
-    j = spine.join(g, [*keys, "day"], "left").join(ppl, [*keys, "day"], "left")
-    ids = F.coalesce(F.transform("__e", lambda e: e["id"]), F.array().cast("array<string>"))
-    blocks = F.coalesce(F.transform("__e", lambda e: e["block"]), F.array().cast("array<string>"))
+    ``block``, ``people``, ``people_keys``; spine days arrive with a null id.
+    ``content_hash`` leaves the ingest line out, so it changes exactly when
+    the day's text does (J13)."""
+    from ..operators.calendar import first_seen
+    # one shuffle: a spine row adds an empty entry to its day's group, and drops out of the array
+    entry = F.when(F.col("id").isNotNull(), F.struct("k", "id", "block", "people", "people_keys"))
+    j = days.groupBy(*keys, "day", "empresa", "cuenta").agg(F.array_sort(F.collect_list(entry)).alias("__e"))
+    part = lambda c: F.transform("__e", lambda e: e[c])
+    people = first_seen(F.flatten(part("people")), F.flatten(part("people_keys")))
     d = F.date_format("day", "yyyy-MM-dd")
-    doc = F.concat_ws(
-        "\n", F.lit("---"), F.lit("fuente: calendario"),
-        F.concat(F.lit("empresa: "), X.yaml_quote("empresa")), F.concat(F.lit("cuenta: "), X.yaml_quote("cuenta")),
-        F.concat(F.lit("fecha: "), d, F.lit("T00:00:00+00:00") if zone == TM.UTC else TM.local_iso(F.to_timestamp_ntz(d), zone)),
-        F.concat(F.lit("creationDate: "), d),
-        X.yaml_list("id_origen", ids),
-        X.yaml_list("participantes", F.coalesce("people", F.array().cast("array<string>"))),
-        F.concat(F.lit("asunto: "), X.yaml_quote(F.concat(F.lit("Agenda "), d))),
-        F.lit("proyecto:"), F.concat(F.lit("eventos: "), F.coalesce("n", F.lit(0)).cast("string")),
-        F.lit(f"ingestado: {ingestado}"), F.lit("---"), F.lit(""),
-        F.when(F.size(blocks) == 0, F.lit(NO_EVENTS)).otherwise(F.array_join(blocks, "\n\n")))
-    return j.select(*keys, "day", F.concat(F.regexp_replace(doc, "\n+$", ""), F.lit("\n")).alias("content"))
+    head = [F.lit("---"), F.lit("fuente: calendario"),
+            F.concat(F.lit("empresa: "), X.yaml_quote("empresa")), F.concat(F.lit("cuenta: "), X.yaml_quote("cuenta")),
+            F.concat(F.lit("fecha: "), d, F.lit("T00:00:00+00:00") if zone == TM.UTC else TM.local_iso(F.to_timestamp_ntz(d), zone)),
+            F.concat(F.lit("creationDate: "), d),
+            X.yaml_list("id_origen", part("id")), X.yaml_list("participantes", people),
+            F.concat(F.lit("asunto: "), X.yaml_quote(F.concat(F.lit("Agenda "), d))),
+            F.lit("proyecto:"), F.concat(F.lit("eventos: "), F.size("__e").cast("string"))]
+    body = F.when(F.size("__e") == 0, F.lit(NO_EVENTS)).otherwise(F.array_join(part("block"), "\n\n"))
+    done = j.select(*keys, "day", F.concat_ws("\n", *head).alias("__head"),
+                    F.concat(F.regexp_replace(body, "\n+$", ""), F.lit("\n")).alias("__body"))
+    text = lambda line: F.concat(F.col("__head"), F.lit(f"\n{line}\n---\n\n"), F.col("__body"))
+    return done.select(*keys, "day", text(f"ingestado: {ingestado}").alias("content"),
+                       F.sha1(F.encode(text(""), "UTF-8")).alias("content_hash"))
 
 
 NO_TRANSCRIPT = "(transcripción vacía)"
 
 
 def meeting_paths(rows: DataFrame, empresa: Column, zone: str = TM.UTC) -> DataFrame:
-    """K3 + W6: ``reuniones/<empresa>/<date>-<slug>.md`` with collision
-    suffixes by transcript id, and the VTT sidecar name next to it."""
-    d = rows.withColumns({
-        "dir": F.concat(F.lit("reuniones/"), empresa),
-        "stem": F.concat(F.date_format(TM.to_local("started", zone), "yyyy-MM-dd"), F.lit("-"),
-                         X.slug_ascii("subject", "reunion"))})
-    from pyspark.sql import Window
-    w = Window.partitionBy("dir", F.lower("stem")).orderBy("started", "transcript_id")
-    d = d.withColumns({"arrival": F.row_number().over(w), "h6": X.sha_hex("transcript_id", 6)})
-    name = F.when(F.col("arrival") == 1, F.col("stem")).otherwise(F.concat_ws("-", "stem", "h6"))
-    return d.withColumns({"path": F.concat(F.col("dir"), F.lit("/"), name, F.lit(".md")),
-                          "vtt_name": F.concat(name, F.lit(".vtt"))})
+    """K3 + W6: ``reuniones/<empresa>/<date>-<slug>.md`` with the collision
+    suffixes of ``collision_names`` by transcript id, fitted to the path
+    limit (X18), and the VTT sidecar name next to it."""
+    from .mail import collision_names
+    d = rows.withColumn("dir", F.concat(F.lit("reuniones/"), empresa))
+    stem = F.concat(F.date_format(TM.to_local("started", zone), "yyyy-MM-dd"), F.lit("-"), X.slug_ascii("subject", "reunion"))
+    d = d.withColumn("stem", X.fit_path_stem(F.col("dir"), stem, ".md"))
+    d = collision_names(d, ["started", "transcript_id"], "transcript_id")
+    return d.withColumns({"path": F.concat(F.col("dir"), F.lit("/"), F.col("name"), F.lit(".md")),
+                          "vtt_name": F.concat("name", F.lit(".vtt")),
+                          "vtt_path": F.concat(F.col("dir"), F.lit("/"), F.col("name"), F.lit(".vtt"))})
 
 
 def render_meeting(meetings: DataFrame, cue_lines: DataFrame, ingestado: str, zone: str = TM.UTC) -> DataFrame:

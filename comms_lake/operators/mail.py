@@ -15,43 +15,45 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
-
 from ..functions import text as X
 from ..functions import times as TM
-from ..session import literal_table, with_params
+from ..session import bounded, literal_table, materialize, with_params
 from .ordered import prefix_sums
 
 # --- fixed values (reference constants) -----------------------------------
 MAX_CONSECUTIVE_WRITE_ERRORS = 5
 WRITE_FAILURES_BEFORE_SKIP = 3
-CLOSURE_MAX_DEPTH = 10
 PAGE_SIZE = 50
 MAX_PAGE_TOP = 1000
 
 
 # -- folders ------------------------------------------------------------------
 
-def folder_closure(folders: DataFrame, max_depth: int = CLOSURE_MAX_DEPTH) -> DataFrame:
-    """(folder_id, ancestor_id, depth) for every folder and its ancestors
-    up to ``max_depth - 1`` steps, stopping at a missing or self parent (J2).
+def folder_closure(folders: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """(folder_id, ancestor_id, depth) for every folder and its ancestors,
+    stopping at a missing or self parent (J2); ``max_depth`` limits the
+    folders of a chain (None: no limit).
 
-    A parent chain: level d is one left join of level d-1's ancestor column
-    with the folder dimension, so the plan is linear in the depth and the
-    work is depth x folders; messages are never recursed over.
+    One step joins the chain ends of the last step with the folder dimension;
+    each step is a written table, so plans stay short, and the loop ends with
+    the deepest chain. A pair seen before ends its chain, so a cycle of
+    parents ends as well. The work is depth x folders; messages are never
+    recursed over.
     """
-    dim = folders.select("folder_id", "parent_id")
-    chain = folders.select("folder_id", F.col("folder_id").alias("a0"))
-    for d in range(1, max_depth):
-        step = dim.select(F.col("folder_id").alias(f"a{d - 1}"), F.col("parent_id").alias(f"__p{d}"))
-        chain = chain.join(step, f"a{d - 1}", "left").withColumn(
-            f"a{d}", F.when(F.col(f"__p{d}").isNotNull() & (F.col(f"__p{d}") != "")
-                            & (F.col(f"__p{d}") != F.col(f"a{d - 1}")), F.col(f"__p{d}"))).drop(f"__p{d}")
-    levels = F.array(*[F.struct(F.col(f"a{d}").alias("ancestor_id"), F.lit(d).alias("depth"))
-                       for d in range(max_depth)])
-    # a null level ends the chain; later levels are null too (left joins on null)
-    return (chain.select("folder_id", F.inline(levels))
-            .filter(F.col("ancestor_id").isNotNull()))
+    dim = folders.select(F.col("folder_id").alias("ancestor_id"), F.col("parent_id").alias("next")).filter(
+        F.col("next").isNotNull() & (F.col("next") != "") & (F.col("next") != F.col("ancestor_id")))
+    # a parent that is not listed is an ancestor, and the end of its chain
+    ends = folders.select("folder_id", F.col("folder_id").alias("ancestor_id"), F.lit(0).alias("depth"))
+    found, depth = ends, 0
+    while max_depth is None or depth + 1 < max_depth:
+        depth += 1
+        step = (ends.join(dim, "ancestor_id").select("folder_id", F.col("next").alias("ancestor_id"), F.lit(depth).alias("depth"))
+                .join(found, ["folder_id", "ancestor_id"], "left_anti"))
+        ends = materialize(step, "closure")
+        if ends.isEmpty():
+            break
+        found = found.unionByName(ends)
+    return found
 
 
 def excluded_folder_ids(folders: DataFrame, exclude_names: list[str]) -> DataFrame:
@@ -95,75 +97,97 @@ def first_occurrence(df: DataFrame) -> DataFrame:
             .select("profile", "id", *[F.col(f"__m.c_{c}").alias(c) for c in cols]))
 
 
+def candidates(messages: DataFrame, marks: DataFrame, overlap_minutes: int) -> DataFrame:
+    """rows from each profile's mark minus the overlap on. The least mark
+    of all profiles, a scalar subquery, prunes the scan; the per-profile mark
+    arrives by a join whose side is one row a profile. Rows without a time
+    stay (they become ``skipped``, F9)."""
+    back = F.make_dt_interval(mins=F.lit(overlap_minutes))
+    least = marks.agg(F.min("mark").alias("least"))
+    rows = messages.filter(F.col("received").isNull() | (F.col("received") >= least.scalar() - back))
+    return (rows.join(bounded(marks.select("profile", "mark")), "profile")
+            .filter(F.col("received").isNull() | (F.col("received") >= F.col("mark") - back)))
+
+
 def classify(messages: DataFrame, marks: DataFrame, index_ids: DataFrame, internet_index: DataFrame,
              skipped: DataFrame, excluded_folders: DataFrame, failures: DataFrame,
              overlap_minutes: int, remembered: DataFrame | None = None) -> DataFrame:
     """Cursor filter (F1), first occurrence (W1) and per-row flags.
 
-    known: id written or skipped before, or non-empty internet id recorded
-    (J4, J5); excluded: folder in an excluded subtree (J3); failing and
-    strike3 from this run's write outcome (W5); free: known, or an id the
-    exclusion memory holds (re-evaluated, but it never uses the cap).
+    known: id written or skipped before, or non-empty internet id recorded by
+    an earlier run (J4, J5) or by a row of this run that comes first in
+    (received, id) order and is written; excluded: folder in an excluded
+    subtree (J3); failing and strike3 from this run's write outcome (W5);
+    free: known, or an id the exclusion memory holds, which is re-evaluated
+    without using the cap. alias_only (J6): known by the internet id alone
+    and not in the id index (an id in the skip list is not in the index).
     """
-    cand = (messages.join(marks.select("profile", "mark"), "profile")
-            .filter(F.col("received") >= F.col("mark") - F.make_dt_interval(mins=F.lit(overlap_minutes))))
-    firsts = first_occurrence(cand.filter(F.col("id").isNotNull() & (F.col("id") != "")))
-    known_ids = index_ids.unionByName(skipped).distinct().withColumn("__known_id", F.lit(True))
-    inet = internet_index.distinct().withColumn("__known_inet", F.lit(True))
-    excl = excluded_folders.withColumn("__excluded", F.lit(True))
-    fl = failures.select("profile", "id", "prior_strikes").withColumn("__fails", F.lit(True))
+    firsts = first_occurrence(candidates(messages, marks, overlap_minutes)
+                              .filter(F.col("id").isNotNull() & (F.col("id") != "")))
+    flag = lambda df, name: df.distinct().withColumn(name, F.lit(True))
+    joined = (firsts.join(flag(index_ids.select("profile", "id"), "__index"), ["profile", "id"], "left")
+              .join(flag(skipped.select("profile", "id"), "__skip"), ["profile", "id"], "left")
+              .join(flag(internet_index.select("profile", "internet_id"), "__inet"), ["profile", "internet_id"], "left")
+              .join(flag(excluded_folders, "__excluded"), "folder_id", "left")
+              .join(flag(failures.select("profile", "id", "prior_strikes"), "__fails"), ["profile", "id"], "left"))
     if remembered is not None:
-        firsts = firsts.join(remembered.select("profile", "id").distinct().withColumn("__mem", F.lit(True)),
-                             ["profile", "id"], "left")
+        joined = joined.join(flag(remembered.select("profile", "id"), "__mem"), ["profile", "id"], "left")
     else:
-        firsts = firsts.withColumn("__mem", F.lit(False))
-    joined = (firsts.join(known_ids, ["profile", "id"], "left")
-              .join(inet, ["profile", "internet_id"], "left")
-              .join(excl, "folder_id", "left")
-              .join(fl, ["profile", "id"], "left"))
-    known = F.coalesce("__known_id", F.lit(False)) | (
-        (F.col("internet_id") != "") & F.coalesce("__known_inet", F.lit(False)))
-    excluded = ~known & F.coalesce("__excluded", F.lit(False))
+        joined = joined.withColumn("__mem", F.lit(False))
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    named = X.s("internet_id") != ""
+    mem, indexed = yes("__mem"), yes("__index")
+    inet = named & yes("__inet")
+    known = ~mem & (indexed | yes("__skip") | inet)
+    excluded = ~known & yes("__excluded")
     valid = F.col("received").isNotNull()
-    failing = ~known & ~excluded & valid & F.coalesce("__fails", F.lit(False))
+    failing = ~known & ~excluded & valid & yes("__fails")
+    rows = joined.withColumns({"__mem": mem, "__index": indexed, "__inet": inet, "known": known,
+                               "excluded": excluded, "failing": failing, "__key": F.struct("received", "id")})
+    # the second key inside the run: who writes an internet id first; later rows find it recorded
+    writes = named & ~F.col("known") & ~F.col("excluded") & valid & ~F.col("failing")
+    writers = rows.filter(writes).groupBy("profile", "internet_id").agg(F.min("__key").alias("__writer"))
+    rows = rows.join(writers, ["profile", "internet_id"], "left")
+    recorded = F.col("__inet") | yes(F.col("__key") > F.col("__writer"))
+    repeat = ~F.col("__mem") & yes(F.col("__key") > F.col("__writer"))
+    known = F.col("known") | repeat
+    excluded, failing = F.col("excluded") & ~repeat, F.col("failing") & ~repeat
     strike3 = failing & (F.coalesce("prior_strikes", F.lit(0)) + 1 >= WRITE_FAILURES_BEFORE_SKIP)
-    alias_only = (F.coalesce("__known_inet", F.lit(False)) & ~F.coalesce("__known_id", F.lit(False))
-                  & (F.col("internet_id") != ""))
-    free = known | F.coalesce("__mem", F.lit(False))
-    return (joined.withColumns({"known": known, "free": free, "excluded": excluded, "failing": failing,
-                                "strike3": strike3, "alias_only": alias_only})
-            .drop("__known_id", "__known_inet", "__excluded", "__fails", "__mem"))
+    return (rows.withColumns({"known": known, "free": known | F.col("__mem"), "excluded": excluded, "failing": failing,
+                              "strike3": strike3, "alias_only": ~F.col("__mem") & ~F.col("__index") & recorded})
+            .drop("__index", "__skip", "__inet", "__excluded", "__fails", "__mem", "__key", "__writer"))
 
 
-def run_mail(flags: DataFrame, cap: int) -> DataFrame:
-    """Apply the cap (W2) and the five-failures stop (W4); add ``processed``,
-    ``outcome`` and the ordering key.
+def run_mail(flags: DataFrame, cap: int | None = None) -> DataFrame:
+    """Apply the cap (W2; None: no cap) and the five-failures stop (W4); add
+    ``processed``, ``outcome`` and the ordering key.
 
     counted rows use the cap: unknown rows that do not fail, plus strike-3
     rows. The run stops before the first unknown row met after ``cap``
     counted rows, and after the fifth consecutive failure (a strike-3 row
     extends a failure run but never triggers the stop itself).
     """
-    key = F.struct("received", "id")
     counted = ~F.col("free") & ~(F.col("failing") & ~F.col("strike3"))
-    reset = ~F.col("failing")
-    seq = prefix_sums(flags.withColumns({"key": key}), ["profile"], ["received", "id"],
-                      F.date_trunc("day", F.col("received")),
-                      {"counted_cum": counted, "resets_cum": reset})
-    # three branches read the sequence (cap stop, error stop, rows): keep it
-    # once; a lost block is recomputed from the short lineage
-    seq = seq.withColumn("counted_before", F.col("counted_cum") - counted.cast("bigint")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-
-    cap_stop = (seq.filter(~F.col("free") & (F.col("counted_before") >= cap))
-                .groupBy("profile").agg(F.min("key").alias("cap_stop_key")))
-    # failure runs: the resets counted so far name the run a failure belongs to
-    in_run = Window.partitionBy("profile", "resets_cum").orderBy("received", "id")
-    fails = seq.filter(F.col("failing")).withColumn("run_len", F.row_number().over(in_run))
-    err_stop = (fails.filter(~F.col("strike3") & (F.col("run_len") >= MAX_CONSECUTIVE_WRITE_ERRORS))
+    flags = flags.withColumn("key", F.struct("received", "id"))
+    first_day = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")  # rows without a time come first
+    seq = prefix_sums(flags, ["profile"], ["received", "id"],
+                      F.coalesce(F.date_trunc("day", F.col("received")).cast("timestamp_ntz"), first_day),
+                      {"counted_cum": counted, "resets_cum": ~F.col("failing"), "fails_cum": F.col("failing")})
+    # three branches read the sequence (cap stop, error stop, rows): one written table
+    seq = materialize(seq.withColumn("counted_before", F.col("counted_cum") - counted.cast("bigint")), "mail-run")
+
+    cap_rows = seq.filter(~F.col("free") & (F.col("counted_before") >= cap)) if cap is not None else seq.limit(0)
+    cap_stop = cap_rows.groupBy("profile").agg(F.min("key").alias("cap_stop_key"))
+    # the resets counted so far name the run a failure belongs to; its length so far is the failures
+    # counted since the run's first, so a long outage needs no window over its rows
+    fails = seq.filter(F.col("failing"))
+    runs = (fails.groupBy("profile", "resets_cum").agg(F.min("fails_cum").alias("start"), F.count("*").alias("n"))
+            .filter(F.col("n") >= MAX_CONSECUTIVE_WRITE_ERRORS).drop("n"))
+    err_stop = (fails.join(bounded(runs), ["profile", "resets_cum"])
+                .filter(~F.col("strike3") & (F.col("fails_cum") - F.col("start") + 1 >= MAX_CONSECUTIVE_WRITE_ERRORS))
                 .groupBy("profile").agg(F.min("key").alias("err_stop_key")))
-    stops = cap_stop.join(err_stop, "profile", "full")
-    out = seq.join(stops, "profile", "left")
+    stops = materialize(cap_stop.join(err_stop, "profile", "full"), "mail-stops")
+    out = seq.join(bounded(stops), "profile", "left")
     processed = ((F.col("cap_stop_key").isNull() | (F.col("key") < F.col("cap_stop_key")))
                  & (F.col("err_stop_key").isNull() | (F.col("key") <= F.col("err_stop_key"))))
     outcome = (F.when(F.col("known"), F.lit("known"))
@@ -172,16 +196,16 @@ def run_mail(flags: DataFrame, cap: int) -> DataFrame:
                .when(F.col("strike3"), F.lit("skipped"))
                .when(F.col("failing"), F.lit("failed"))
                .otherwise(F.lit("written")))
-    return out.withColumns({"processed": processed, "outcome": outcome})
+    return out.withColumns({"processed": processed, "outcome": outcome}).drop("fails_cum")
 
 
-def run_summary(run: DataFrame, marks: DataFrame, cap: int) -> DataFrame:
+def run_summary(run: DataFrame, marks: DataFrame) -> DataFrame:
     """Per profile: old and new mark (W3), counts, stop reason, status."""
     p = run.filter("processed")
     first_fail = (p.filter(F.col("failing") & ~F.col("strike3"))
                   .groupBy("profile").agg(F.min("key").alias("first_fail_key")))
     stops = run.select("profile", "cap_stop_key", "err_stop_key").distinct()
-    agg = (p.join(first_fail, "profile", "left")
+    agg = (p.join(bounded(first_fail), "profile", "left")
            .groupBy("profile").agg(
                F.max(F.when(F.col("first_fail_key").isNull() | (F.col("key") < F.col("first_fail_key")),
                             F.col("received"))).alias("advanced_to"),
@@ -230,25 +254,29 @@ def strikes(run: DataFrame) -> DataFrame:
                     F.col("strike3").alias("to_skip_list"))
 
 
-def collision_paths(rows: DataFrame, empresa: Column, zone: str = TM.UTC) -> DataFrame:
-    """Immutable document path with collision suffixes.
+def collision_names(d: DataFrame, order: list[str], id_col: str) -> DataFrame:
+    """File ``name`` per row of (dir, stem). The first arrival in
+    ``order`` keeps the stem; later ones take ``-sha6(id)``; an equal sha6
+    under the same stem adds ``-2``, ``-3``... Windows are partitioned by
+    (directory, stem): one minute, or day, of one subject."""
+    w = Window.partitionBy("dir", F.lower("stem")).orderBy(*order)
+    d = d.withColumn("arrival", F.row_number().over(w)).withColumn("h6", X.sha_hex(id_col, 6))
+    later = Window.partitionBy("dir", F.lower("stem"), "h6", F.col("arrival") > 1).orderBy(*order)
+    d = d.withColumn("h_rank", F.when(F.col("arrival") > 1, F.row_number().over(later)))
+    return d.withColumn("name", F.when(F.col("arrival") == 1, F.col("stem"))
+                        .when(F.col("h_rank") == 1, F.concat_ws("-", "stem", "h6"))
+                        .otherwise(F.concat_ws("-", F.col("stem"), F.col("h6"), F.col("h_rank").cast("string"))))
 
-    The first arrival (received, id) keeps ``HHmm-slug``; later ones take
-    ``-sha6(id)``; an equal sha6 under the same stem adds ``-2``, ``-3``...
-    Windows are partitioned by (directory, stem): one minute of one subject.
-    """
+
+def collision_paths(rows: DataFrame, empresa: Column, zone: str = TM.UTC) -> DataFrame:
+    """Immutable document path ``correo/<empresa>/<day>/HHmm-slug.md``, fitted
+    to the path limit (X18), with the collision suffixes of W6."""
     d = rows.withColumn("dir", F.concat(F.lit("correo/"), empresa, F.lit("/"),
                                         F.date_format(TM.to_local("received", zone), "yyyy-MM-dd")))
     d = d.withColumn("stem0", F.concat(TM.hhmm("received", zone), F.lit("-"), X.slug_ascii("subject")))
     d = d.withColumn("stem", X.fit_path_stem(F.col("dir"), F.col("stem0"), ".md"))
-    w = Window.partitionBy("dir", F.lower("stem")).orderBy("received", "id")
-    d = d.withColumn("arrival", F.row_number().over(w)).withColumn("h6", X.sha_hex("id", 6))
-    later = Window.partitionBy("dir", F.lower("stem"), "h6", F.col("arrival") > 1).orderBy("received", "id")
-    d = d.withColumn("h_rank", F.when(F.col("arrival") > 1, F.row_number().over(later)))
-    name = (F.when(F.col("arrival") == 1, F.col("stem"))
-            .when(F.col("h_rank") == 1, F.concat_ws("-", "stem", "h6"))
-            .otherwise(F.concat_ws("-", F.col("stem"), F.col("h6"), F.col("h_rank").cast("string"))))
-    return d.withColumn("path", F.concat(F.col("dir"), F.lit("/"), name, F.lit(".md")))
+    d = collision_names(d, ["received", "id"], "id")
+    return d.withColumn("path", F.concat(F.col("dir"), F.lit("/"), F.col("name"), F.lit(".md")))
 
 
 def plan_against_existing(rows: DataFrame, existing: DataFrame, empresa: Column, zone: str = TM.UTC) -> DataFrame:
@@ -258,8 +286,8 @@ def plan_against_existing(rows: DataFrame, existing: DataFrame, empresa: Column,
     An id already stored under one of its own candidate names is
     ``already`` (an earlier run wrote it but may have stopped before the
     index). Otherwise the bare name goes to the first new arrival unless a
-    stored file holds it, and a hashed name skips the numbered variants
-    stored files hold. All joins are on (directory, stem) keys.
+    stored file holds it, and a hashed name skips the numbers that stored
+    files hold, filling gaps. All joins are on (directory, stem) keys.
     """
     d = rows.withColumn("dir", F.concat(F.lit("correo/"), empresa, F.lit("/"),
                                         F.date_format(TM.to_local("received", zone), "yyyy-MM-dd")))
@@ -272,9 +300,12 @@ def plan_against_existing(rows: DataFrame, existing: DataFrame, empresa: Column,
                       F.regexp_extract("ex_path", "^(.*)/[^/]*$", 1).alias("dir_l"),
                       F.regexp_extract("ex_path", "/([^/]*)\\.md$", 1).alias("name"))
     bare = parts.select("dir_l", F.col("name").alias("stem_l"), F.lit(True).alias("bare_taken")).distinct()
+    # suffix numbers that stored files hold: none is 1, then -2, -3, ... (one stem and hash: a few)
     hashed = (parts.filter(F.col("name").rlike("-[0-9a-f]{6}(-\\d+)?$"))
-              .select("dir_l", F.regexp_extract("name", "^(.*-[0-9a-f]{6})(-\\d+)?$", 1).alias("h_l"))
-              .groupBy("dir_l", "h_l").agg(F.count("*").alias("h_taken")))
+              .select("dir_l", F.regexp_extract("name", "^(.*-[0-9a-f]{6})(-\\d+)?$", 1).alias("h_l"),
+                      F.coalesce(F.expr("try_cast(regexp_extract(name, '-[0-9a-f]{6}-([0-9]+)$', 1) AS bigint)"), F.lit(1))
+                      .alias("number"))
+              .groupBy("dir_l", "h_l").agg(F.collect_set("number").alias("h_taken")))
     mine = d.join(ex, F.col("ex_id") == F.col("id"), "left_semi")
     fresh = d.join(ex, F.col("ex_id") == F.col("id"), "left_anti")
     fresh = (fresh.join(bare, (F.lower("dir") == F.col("dir_l")) & (F.lower("stem") == F.col("stem_l")), "left")
@@ -285,8 +316,11 @@ def plan_against_existing(rows: DataFrame, existing: DataFrame, empresa: Column,
     fresh = (fresh.join(hashed, (F.lower("dir") == F.col("dir_l"))
                         & (F.lower(F.concat_ws("-", "stem", "h6")) == F.col("h_l")), "left").drop("dir_l", "h_l"))
     later = Window.partitionBy("dir", F.lower("stem"), "h6", F.col("arrival") > 1).orderBy("received", "id")
-    fresh = fresh.withColumn("h_rank", F.when(F.col("arrival") > 1, F.row_number().over(later)
-                                              + F.coalesce("h_taken", F.lit(0))))
+    # the n-th later arrival takes the n-th number that no stored file holds
+    taken = F.coalesce("h_taken", F.array().cast("array<bigint>"))
+    fresh = fresh.withColumn("__n", F.row_number().over(later).cast("bigint"))
+    free = F.array_except(F.sequence(F.lit(1).cast("bigint"), F.col("__n") + F.size(taken)), taken)
+    fresh = fresh.withColumn("h_rank", F.when(F.col("arrival") > 1, F.element_at(free, F.col("__n").cast("int")))).drop("__n")
     name = (F.when(F.col("arrival") == 1, F.col("stem"))
             .when(F.col("h_rank") == 1, F.concat_ws("-", "stem", "h6"))
             .otherwise(F.concat_ws("-", F.col("stem"), F.col("h6"), F.col("h_rank").cast("string"))))
@@ -307,25 +341,65 @@ def tie_groups(messages: DataFrame, bucket: Column) -> DataFrame:
                     (F.col("n") > MAX_PAGE_TOP).alias("skips_second")))
 
 
-def alias_backfill(flags: DataFrame) -> DataFrame:
-    """Ids not in the id index whose internet id is known; they join the
-    index and produce no document."""
-    return flags.filter("alias_only").select("profile", "id", "internet_id")
+def alias_backfill(run: DataFrame) -> DataFrame:
+    """Handled ids not in the id index whose internet id is recorded, by
+    earlier runs or in this one; they join the index and produce no document."""
+    return run.filter("processed AND alias_only").select("profile", "id", "internet_id")
 
 
 def phrase_search(docs: DataFrame, phrase: str, since: Column | None = None) -> DataFrame:
-    """F5 + F3: phrase match (case-insensitive) over subject and body,
-    then the since filter."""
+    """F5 + F3: phrase match (case-insensitive) over subject, body and, where
+    there is one, sender, then the since filter."""
     p = phrase.lower()
-    hit = F.contains(F.lower(X.s("subject")), F.lit(p)) | F.contains(F.lower(X.s("body")), F.lit(p))
+    hit = F.lit(False)
+    for c in ("subject", "body", "sender"):
+        if c in docs.columns:
+            hit = hit | F.contains(F.lower(X.s(c)), F.lit(p))
     out = docs.filter(hit)
     if since is not None:
         out = out.filter(since)
     return out
 
 
-def newest(messages: DataFrame, keys: list[str], n: int) -> DataFrame:
-    """L2: newest ``n`` per key. ``row_number <= n`` lets Spark insert a
-    partial per-partition group limit before the shuffle."""
+def newest(messages: DataFrame, keys: list[str], n: int | None = None) -> DataFrame:
+    """L2: rows ranked from the newest per key; with ``n``, the newest ``n``
+    (``rank <= n`` lets Spark insert a partial per-partition group limit
+    before the shuffle)."""
     w = Window.partitionBy(*keys).orderBy(F.col("received").desc(), F.col("id").desc())
-    return messages.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    ranked = messages.withColumn("rank", F.row_number().over(w))
+    return ranked if n is None else ranked.filter(F.col("rank") <= n)
+
+
+def recheck_excluded(memory: DataFrame, snapshot: DataFrame, excluded_folders: DataFrame, run_at: DataFrame,
+                     per_run: int | None = None, keep_days: int | None = None, keep_max: int | None = None) -> DataFrame:
+    """J14 + W8 + W7: remembered excluded messages against the mailbox as it
+    is now.
+
+    ``memory``: profile, id, desde, revisado, new (first seen excluded this
+    run: not re-checked); ``snapshot``: profile, id, folder_id. The ``per_run``
+    least recently checked (all by default) are looked up: one that is gone
+    is ``forgotten``, one still in an excluded folder is ``rechecked``, any
+    other is ``rescued``. Then what stays is pruned: ``pruned`` are entries
+    older than ``keep_days`` and those beyond the ``keep_max`` newest of a
+    profile; the rest is ``kept``.
+    """
+    old = ~F.coalesce("new", F.lit(False))
+    m = memory.withColumn("__check", old)
+    if per_run is not None:
+        least = Window.partitionBy("profile", "__check").orderBy("revisado", "id")
+        m = m.withColumn("__check", old & (F.row_number().over(least) <= per_run))
+    now = snapshot.select("profile", "id", F.col("folder_id").alias("__folder"), F.lit(True).alias("__there"))
+    bad = excluded_folders.select(F.col("folder_id").alias("__folder"), F.lit(True).alias("__bad"))
+    m = m.join(now, ["profile", "id"], "left").join(bounded(bad), "__folder", "left")
+    action = (F.when(~F.col("__check"), F.lit("kept")).when(F.col("__there").isNull(), F.lit("forgotten"))
+              .when(F.col("__bad"), F.lit("rechecked")).otherwise(F.lit("rescued")))
+    m = with_params(m.withColumn("action", action), run_at)
+    stays = F.col("action").isin("kept", "rechecked")
+    if keep_days is not None:
+        aged = F.col("desde") < F.col("run_at") - F.make_dt_interval(days=F.lit(keep_days))
+        m = m.withColumn("action", F.when(stays & aged, F.lit("pruned")).otherwise(F.col("action")))
+    if keep_max is not None:
+        newest = Window.partitionBy("profile", stays).orderBy(F.col("desde").desc(), F.col("id").desc())
+        over = F.row_number().over(newest) > keep_max
+        m = m.withColumn("__over", over).withColumn("action", F.when(stays & F.col("__over"), F.lit("pruned")).otherwise(F.col("action")))
+    return m.select("profile", "id", "action")

@@ -31,26 +31,38 @@ def with_meeting_id(cands: DataFrame, online_meetings: DataFrame) -> DataFrame:
     return cands.join(resolve(online_meetings), "join_url", "left")
 
 
+def with_refusals(df: DataFrame, refusals: DataFrame) -> DataFrame:
+    """The service's refusal (``motive``) per join URL, null where the meeting may be read."""
+    return df.join(refusals.select("join_url", "motive").dropDuplicates(["join_url"]), "join_url", "left")
+
+
 def first_event_per_meeting(df: DataFrame) -> DataFrame:
-    """One event per meeting id, the earliest (start, id)."""
-    w = Window.partitionBy("meeting_id").orderBy("start_ts", "id")
+    """One event per profile and meeting id, the earliest (start, id); refused meetings are out."""
+    w = Window.partitionBy("profile", "meeting_id").orderBy("start_ts", "id")
+    if "motive" in df.columns:
+        df = df.filter(F.col("motive").isNull())
     return (df.filter(F.col("meeting_id").isNotNull())
             .withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn"))
 
 
 def new_transcripts(meetings: DataFrame, transcripts: DataFrame, seen: DataFrame,
                     window_start: Column) -> DataFrame:
-    """J10 + F10: transcripts of the meetings minus indexed ids; created
-    before the lookback is dropped, unknown creation time kept."""
-    t = transcripts.join(seen, "transcript_id", "left_anti")
-    return (meetings.join(t, "meeting_id")
+    """J10 + F10: transcripts of a profile's meetings minus those in its
+    index (``seen``: profile, transcript_id); created before the lookback is
+    dropped, unknown creation time kept."""
+    return (meetings.join(transcripts, "meeting_id")
+            .join(seen, ["profile", "transcript_id"], "left_anti")
             .filter(F.col("created").isNull() | (F.col("created") >= window_start)))
 
 
 def meeting_notes(with_ids: DataFrame) -> DataFrame:
-    """A9 (unmatched part): candidates and those without Teams data, per
-    profile, with the run-log note."""
-    agg = with_ids.groupBy("profile").agg(F.count("*").alias("candidates"),
-                                          F.count_if(F.col("meeting_id").isNull()).alias("unmatched"))
-    return agg.withColumn("note", F.when(F.col("unmatched") > 0, F.concat(
-        F.col("unmatched").cast("string"), F.lit(" sin datos de Teams"))).otherwise(F.lit("")))
+    """Per profile the candidates, those without Teams data, and the
+    run-log note: the first refusal's reason (in start order), then the
+    number without data."""
+    motive = F.col("motive") if "motive" in with_ids.columns else F.lit(None).cast("string")
+    agg = with_ids.groupBy("profile").agg(
+        F.count("*").alias("candidates"), F.count_if(motive.isNull() & F.col("meeting_id").isNull()).alias("unmatched"),
+        F.min(F.when(motive.isNotNull(), F.struct("start_ts", "id", motive.alias("motive")))).alias("__first"))
+    refused = F.concat(F.lit("sin acceso: "), F.col("__first.motive"))
+    missing = F.when(F.col("unmatched") > 0, F.concat(F.col("unmatched").cast("string"), F.lit(" sin datos de Teams")))
+    return agg.withColumn("note", F.concat_ws("; ", refused, missing)).drop("__first")

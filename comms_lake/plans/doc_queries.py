@@ -8,10 +8,12 @@ from ..functions import text as X
 from ..operators import digest as D
 from ..operators import documents as DOC
 from ..operators import mail as M
+from ..session import run_dir
+from ..sources.landed import append_documents, read_payloads, write_digests
 from ..sources.testdata import TestViews, sql_with
 from . import mail_queries as MQ
 from . import sqlfn as Q
-from .text_queries import _cut_sql, _slug_tail, _yaml_quote_sql
+from .text_queries import _slug_tail, _yaml_quote_sql
 
 INGESTED_AT = "2024-02-01T00:00:00+00:00"
 
@@ -33,7 +35,8 @@ def q_mail_documents(spark, sf_dir):
 
 def q_frontmatter_roundtrip(spark, sf_dir):
     r = _rendered(TestViews(spark, sf_dir))
-    return DOC.parse_frontmatter(r).select("id", "key", "value")
+    return DOC.parse_frontmatter(r.select("id", "content")).select(
+        "id", "key", "value", F.array_join("items", "|").alias("items"))
 
 
 def q_dry_run_plan(spark, sf_dir):
@@ -58,7 +61,7 @@ def _digest_items(v: TestViews):
         "subject", F.concat(F.lit("Mensaje "), F.col("event_id").cast("string"), F.lit(": k="), F.col("k").cast("string"))
         .alias("body_text"),
         F.when(F.col("event_id") % 3 == 0, F.array(F.lit("Rojo"))).otherwise(F.array().cast("array<string>")).alias("categories"))
-    return D.newest_per_scope(items, ["profile", "scope", "target_date"])
+    return items
 
 
 def q_digest_mail(spark, sf_dir):
@@ -66,6 +69,18 @@ def q_digest_mail(spark, sf_dir):
     return d.select("profile", "path", F.col("message_count").cast("bigint"), _sha(F.col("content")).alias("sha1"))
 
 
+def q_digest_sink(spark, sf_dir):
+    """K9: a first run stores the mail digests of half of the messages, a
+    second those of all: one digest a kind, scope and date stays."""
+    items = _digest_items(TestViews(spark, sf_dir))
+    store = run_dir(spark, "digests") + "/store"
+    for part in (items.filter(F.crc32("id") % 2 == 0), items):
+        d = D.mail_digest(part, ["profile"], INGESTED_AT)
+        stored = write_digests(d.select(F.lit("mail").alias("kind"), "target_date", F.concat_ws(
+            "/", F.col("profile").cast("string"), "path").alias("path"), "content"), store)
+    return stored.select("kind", "target_date", "path", _sha(F.col("content")).alias("sha1"))
+
+
 def q_payload_quarantine(spark, sf_dir):
     e = TestViews(spark, sf_dir).events
     eid = F.col("event_id")
@@ -87,9 +102,9 @@ def _addr_txt(name, address):
 
 def _digest_events(v: TestViews, teams_only: bool = False):
     """Events of each target day (F6 digest window: the day's midnight to
-    23:59:59) projected to digest rows (F14), first 200 by start (cap)."""
+    23:59:59) projected to digest rows (F14)."""
     from ..operators import calendar as C
-    ev = v.timed
+    ev = v.timed.unionByName(v.spans)
     if teams_only:
         ev = ev.filter(C.is_teams(F.col("join_url"), F.col("is_online"), F.col("provider")))
     d = C.event_days(ev)
@@ -102,12 +117,12 @@ def _digest_events(v: TestViews, teams_only: bool = False):
                                                                                a["emailAddress"]["address"])),
                                   lambda x: x != ""),
         "body_text": F.lit(""), "target_date": F.col("day"), "days": F.lit(1)})
-    return D.earliest_per_scope(d, ["profile", "target_date"])
+    return d
 
 
 def q_digest_calendar(spark, sf_dir):
-    d = D.calendar_digest(_digest_events(TestViews(spark, sf_dir)), ["profile"], INGESTED_AT)
-    return d.select("profile", "path", F.col("event_count").cast("bigint"), _sha(F.col("content")).alias("sha1"))
+    d = D.calendar_digest(_digest_events(TestViews(spark, sf_dir)), ["calendar", "profile"], INGESTED_AT)
+    return d.select("calendar", "profile", "path", F.col("event_count").cast("bigint"), _sha(F.col("content")).alias("sha1"))
 
 
 def q_digest_meetings(spark, sf_dir):
@@ -122,21 +137,18 @@ def q_digest_meetings(spark, sf_dir):
         .select("meeting_id", F.transform("__t", lambda x: F.struct(x["transcript_id"].alias("transcript_id"),
                                                                     x["created"].alias("created"),
                                                                     x["vtt"].alias("vtt"))).alias("transcripts")))
-    d = D.meetings_digest(m.join(ts, "meeting_id", "left"), ["profile"], INGESTED_AT)
-    return d.select("profile", "path", F.col("meeting_count").cast("bigint"), "transcript_count",
+    d = D.meetings_digest(m.join(ts, "meeting_id", "left"), ["calendar", "profile"], INGESTED_AT)
+    return d.select("calendar", "profile", "path", F.col("meeting_count").cast("bigint"), "transcript_count",
                     _sha(F.col("content")).alias("sha1"))
 
 
 def q_document_sink(spark, sf_dir):
     """K1: rendered message documents appended to the document store twice;
     the second append adds nothing (ids already stored)."""
-
-    from ..session import run_dir
-    from ..sources.landed import append_documents
     r = _rendered(TestViews(spark, sf_dir))
     p = M.collision_paths(r, F.col("empresa")).select(
         "id", "path", "content", "empresa", F.date_format("received", "yyyy-MM-dd").alias("fecha_dia"))
-    store = run_dir(spark, "docs")
+    store = run_dir(spark, "docs") + "/store"
     append_documents(p, store)
     stored = append_documents(p, store)
     return stored.select("id", "path", F.octet_length("content").cast("bigint").alias("n_bytes"),
@@ -161,9 +173,6 @@ def q_payload_scan(spark, sf_dir):
     """S9 + F12 + F14: mail digest payloads land as JSON lines (every third
     with a byte-order mark, every fifth without ``kind``) and are read back,
     validated and counted."""
-
-    from ..session import run_dir
-    from ..sources.landed import read_payloads
     items = _digest_items(TestViews(spark, sf_dir))
     g = items.groupBy("profile", "scope", "target_date").agg(
         F.array_sort(F.collect_list(F.struct(F.col("id"), F.date_format("received", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -195,6 +204,7 @@ QUERIES = {
     "frontmatter_roundtrip": q_frontmatter_roundtrip,
     "dry_run_plan": q_dry_run_plan,
     "digest_mail": q_digest_mail,
+    "digest_sink": q_digest_sink,
     "payload_quarantine": q_payload_quarantine,
 }
 
@@ -227,18 +237,12 @@ _att_lines = (f"array_to_string(list_transform(attachments, lambda a: '- ' || CA
               f"THEN 'tipo desconocido' ELSE {Q.one_line('a.content_type')} END || ', ' || CASE WHEN a.size IS NULL "
               f"THEN 'tamaño desconocido' ELSE CAST(greatest(1, CAST(round_even(a.size / 1024.0, 0) AS BIGINT)) AS VARCHAR) "
               f"|| ' KB' END || ')'), {NL})")
-_CUT_N = X.MAIL_BODY_MAX_BYTES
 _doc_ctes = {
     "dm": f"""
         SELECT *, regexp_replace(regexp_replace(replace(replace(body_text, chr(13) || chr(10), {NL}), chr(13), {NL}),
                   '^\\n+|\\n+$', '', 'g'), '(?m)^{WS_NO_NL}*---{WS_NO_NL}*$', '\\\\---', 'g') AS body
         FROM v_docmail""",
 }
-_cut = {k.replace("c", "dc", 1): v.replace("FROM v_docs", "FROM dm").replace("FROM c", "FROM dc")
-        .replace("body", "body") for k, v in _cut_sql(_CUT_N).items()}
-_cut["dc0"] = f"SELECT id, body, 0 AS lo, least(length(coalesce(body, '')), {_CUT_N}) AS hi FROM dm"
-_last = f"dc{len(_cut) - 1}"
-_doc_ctes.update(_cut)
 _doc_ctes["rendered"] = f"""
     SELECT m.*, concat_ws({NL},
         '---', 'fuente: correo', 'empresa: ' || {_yaml_quote_sql('empresa')}, 'cuenta: ' || {_yaml_quote_sql('cuenta')},
@@ -252,11 +256,9 @@ _doc_ctes["rendered"] = f"""
         'ingestado: ' || ingestado, '---', '',
         CASE WHEN len(attachments) > 0 THEN concat_ws({NL}, '## Adjuntos', '', {_att_lines}, '')
              WHEN attachments_error THEN concat_ws({NL}, '## Adjuntos', '', '- (no se pudo leer la lista de adjuntos)', '') END,
-        '## Cuerpo', '', regexp_replace(left(coalesce(m.body, ''), c.lo), '{X.WHITESPACE_CLASS}+$', '', 'g'),
-        CASE WHEN strlen(coalesce(m.body, '')) > {_CUT_N} THEN {NL} || '{X.MAIL_TRUNCATED_MARKER}' END) AS doc
-    FROM dm m JOIN {_last} c USING (id)"""
-_doc_deps = {"dm": ["v_docmail"], "rendered": ["dm", _last]}
-_doc_deps.update({f"dc{i}": [f"dc{i - 1}"] if i else ["dm"] for i in range(len(_cut))})
+        '## Cuerpo', '', regexp_replace(coalesce(m.body, ''), '{X.WHITESPACE_CLASS}+$', '', 'g')) AS doc
+    FROM dm m"""
+_doc_deps = {"dm": ["v_docmail"], "rendered": ["dm"]}
 
 _slug_sql = _slug_tail("regexp_replace(lower(regexp_replace(strip_accents(coalesce(subject, '')), '[^\\x00-\\x7f]', '', 'g')), "
                        "'[^a-z0-9]+', '-', 'g')", X.SLUG_FALLBACK, X.SLUG_MAX_CHARS)
@@ -280,7 +282,7 @@ def _cal_digest_sql(meetings: bool) -> str:
             "WHEN coalesce({n}, '') <> '' THEN {n} ELSE coalesce({a}, '') END")
     att = (f"list_filter(list_transform(attendees, lambda a: {addr.format(n='a.name', a='a.address')}), "
            "lambda x: x <> '')")
-    cap = "CASE WHEN len(l) > 10 THEN array_to_string(l[1:10], ', ') || ' (+' || (len(l) - 10) || ' more)' ELSE array_to_string(l, ', ') END"
+    cap = "array_to_string(l, ', ')"
     s, e = "coalesce(strftime(start_ts, '%Y-%m-%d %H:%M'), '')", "coalesce(strftime(end_ts, '%Y-%m-%d %H:%M'), '')"
     org = addr.format(n="org_name", a="org_address")
     teams = ("coalesce(join_url, '') <> '' AND (coalesce(is_online, false) OR lower(coalesce(provider, '')) = "
@@ -305,25 +307,23 @@ def _cal_digest_sql(meetings: bool) -> str:
         rest = ["CASE WHEN coalesce(location, '') <> '' THEN '- **Location:** ' || location END",
                 "CASE WHEN coalesce(join_url, '') <> '' THEN '- **Teams join:** ' || join_url END",
                 "CASE WHEN coalesce(id, '') <> '' THEN '- **Event ID:** `' || id || '`' END",
-                "''", "'### Body excerpt (max 400 chars)'", "''", "'_(body unavailable)_'", "''"]
+                "''", "'### Body excerpt'", "''", "'_(body unavailable)_'", "''"]
     sec = "concat_ws(chr(10), " + ", ".join(head + rest) + ")"
     kind = "meetings" if meetings else "calendar"
     counts = ("'meeting_count: ' || n, 'transcript_count: ' || nt" if meetings else "'event_count: ' || n")
     title = ("'# Teams meetings + transcripts, ' || d || ' to ' || d" if meetings else "'# Outlook calendar, ' || d || ' to ' || d")
-    note = ("'_' || n || ' meeting(s), ' || nt || ' transcript(s) ingested via /ingest-outlook meetings. Transcripts "
-            "are stored verbatim in VTT format._'" if meetings else
-            "'_' || n || ' event(s) ingested via /ingest-outlook calendar. Body excerpts truncated to 400 chars to limit bulk PII._'")
+    note = ("'_Meetings in this digest: ' || n || ', transcripts: ' || nt || ' (whole, as WebVTT)._'" if meetings else
+            "'_Events in this digest: ' || n || '._'")
     folder = "Meetings" if meetings else "Calendar"
     extra_cols = ", nt AS transcript_count" if meetings else ""
     count_name = "meeting_count" if meetings else "event_count"
-    ctes = dict(_cal_ctes("g_", "WHERE calendar = 'timed'"))
+    ctes = dict(_cal_ctes("g_"))
     deps = {"g_ev": ["v_timed", "v_spans"], "g_b": ["g_ev"], "g_days": ["g_b"]}
     ctes = {k: ctes[k] for k in ("g_ev", "g_b", "g_days")}
-    filt = f"WHERE {teams}" if meetings else ""
+    filt = f"AND {teams}" if meetings else ""
     ctes["win"] = f"""
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile, day ORDER BY start_ts NULLS FIRST, id) AS rn
-                       FROM g_days WHERE start_ts < CAST(day AS TIMESTAMP) + INTERVAL 86399 SECOND
-                         AND coalesce(end_ts, start_ts) > CAST(day AS TIMESTAMP)) {filt.replace('WHERE', 'WHERE rn <= 200 AND') if meetings else 'WHERE rn <= 200'}"""
+        SELECT * FROM g_days WHERE start_ts < CAST(day AS TIMESTAMP) + INTERVAL 86399 SECOND
+          AND coalesce(end_ts, start_ts) > CAST(day AS TIMESTAMP) {filt}"""
     deps["win"] = ["g_days"]
     if meetings:
         ctes["res"] = "SELECT join_url, min(meeting_id) AS meeting_id FROM v_online GROUP BY join_url"
@@ -337,15 +337,15 @@ def _cal_digest_sql(meetings: bool) -> str:
         src_rows = "win"
         ntexpr = "0"
     body = f"""
-        SELECT profile, 'External Inputs/Outlook/{folder}/' || d || '.md' AS path, CAST(n AS BIGINT) AS {count_name}{extra_cols},
+        SELECT calendar, profile, 'External Inputs/Outlook/{folder}/' || d || '.md' AS path, CAST(n AS BIGINT) AS {count_name}{extra_cols},
           sha1(concat_ws(chr(10), '---', 'type: external-input', 'source: outlook', 'kind: {kind}', 'date_range: ' || d || '..' || d,
                {counts}, 'ingested_at: {INGESTED_AT}', 'entity_ids:', '  outlook_event:', ids, '---', '', {title}, '', {note}, '')
                || regexp_replace(secs, '{X.WHITESPACE_CLASS}+$', '', 'g') || chr(10)) AS sha1
-        FROM (SELECT profile, strftime(day, '%Y-%m-%d') AS d, count(*) AS n, CAST({ntexpr} AS BIGINT) AS nt,
+        FROM (SELECT calendar, profile, strftime(day, '%Y-%m-%d') AS d, count(*) AS n, CAST({ntexpr} AS BIGINT) AS nt,
                 array_to_string(list('    - ' || id ORDER BY start_ts NULLS FIRST, id), chr(10)) AS ids,
                 string_agg(sec, chr(10) ORDER BY start_ts NULLS FIRST, id) AS secs
               FROM (SELECT *, {sec} AS sec FROM (SELECT *, {att} AS l FROM {src_rows}))
-              GROUP BY profile, day)"""
+              GROUP BY calendar, profile, day)"""
     return sql_with(body, extra=ctes, extra_deps=deps)
 
 
@@ -357,21 +357,21 @@ ORACLE = {
                                .replace("strlen(doc) AS", "strlen(doc2) AS"),
                                extra=_doc_ctes, extra_deps=_doc_deps),
     "frontmatter_roundtrip": sql_with(f"""
-        SELECT id, key, value FROM (
+        SELECT id, key, value, items FROM (
           SELECT id, unnest([
-            struct_pack(key := 'fuente', value := 'correo'),
-            struct_pack(key := 'empresa', value := empresa), struct_pack(key := 'cuenta', value := cuenta),
-            struct_pack(key := 'fecha', value := strftime(received, '%Y-%m-%dT%H:%M:%S') || '+00:00'),
-            struct_pack(key := 'creationDate', value := strftime(received, '%Y-%m-%d')),
-            struct_pack(key := 'id_origen', value := id), struct_pack(key := 'id_internet', value := internet_id),
-            struct_pack(key := 'participantes', value := ''),
-            struct_pack(key := 'asunto', value := coalesce(subject, '')), struct_pack(key := 'proyecto', value := ''),
-            struct_pack(key := 'carpeta', value := carpeta), struct_pack(key := 'hilo', value := conversation_id),
-            struct_pack(key := 'adjuntos', value := CASE WHEN len(attachments) = 0 THEN '[]' ELSE '' END),
-            struct_pack(key := 'ingestado', value := ingestado)]
-            || CASE WHEN attachments_error THEN [struct_pack(key := 'adjuntos_error', value := 'true')] ELSE [] END) AS kv
+            struct_pack(key := 'fuente', value := 'correo', items := ''),
+            struct_pack(key := 'empresa', value := empresa, items := ''), struct_pack(key := 'cuenta', value := cuenta, items := ''),
+            struct_pack(key := 'fecha', value := strftime(received, '%Y-%m-%dT%H:%M:%S') || '+00:00', items := ''),
+            struct_pack(key := 'creationDate', value := strftime(received, '%Y-%m-%d'), items := ''),
+            struct_pack(key := 'id_origen', value := id, items := ''), struct_pack(key := 'id_internet', value := internet_id, items := ''),
+            struct_pack(key := 'participantes', value := '', items := array_to_string({_people}, '|')),
+            struct_pack(key := 'asunto', value := coalesce(subject, ''), items := ''), struct_pack(key := 'proyecto', value := '', items := ''),
+            struct_pack(key := 'carpeta', value := carpeta, items := ''), struct_pack(key := 'hilo', value := conversation_id, items := ''),
+            struct_pack(key := 'adjuntos', value := CASE WHEN len(attachments) = 0 THEN '[]' ELSE '' END, items := array_to_string({_names}, '|')),
+            struct_pack(key := 'ingestado', value := ingestado, items := '')]
+            || CASE WHEN attachments_error THEN [struct_pack(key := 'adjuntos_error', value := 'true', items := '')] ELSE [] END) AS kv
           FROM v_docmail) x(id, kv)
-        CROSS JOIN LATERAL (SELECT kv.key AS key, kv.value AS value)""", "v_docmail"),
+        CROSS JOIN LATERAL (SELECT kv.key AS key, kv.value AS value, kv.items AS items)""", "v_docmail"),
     "dry_run_plan": MQ._mail_sql(f"""
         SELECT profile, id, 'correo' AS what, path
         FROM ({_paths_sql("(SELECT * FROM run WHERE processed AND outcome = 'written')", "'acme-' || profile")})"""),
@@ -396,7 +396,7 @@ ORACLE = {
             'folder_or_query: ' || esc, 'scope_kind: ' || kind, 'date_range: ' || d || '..' || d,
             'message_count: ' || n, 'ingested_at: {INGESTED_AT}', 'entity_ids:', '  outlook:', ids, '---', '',
             '# Outlook mail ' || kind || ' ' || scope || ', ' || d || ' to ' || d, '',
-            '_' || n || ' message(s) ingested via /ingest-outlook mail. Bodies truncated to 500 chars to limit bulk PII._',
+            '_Messages in this digest: ' || n || '._',
             '') || body) AS sha1
         FROM (
           SELECT profile, scope, strftime(target_date, '%Y-%m-%d') AS d, count(*) AS n,
@@ -411,12 +411,9 @@ ORACLE = {
                 '- **Subject:** ' || CASE WHEN coalesce(subject, '') = '' THEN '(no subject)' ELSE subject END,
                 CASE WHEN to_s <> '' THEN '- **To:** ' || to_s END, CASE WHEN cc_s <> '' THEN '- **Cc:** ' || cc_s END,
                 CASE WHEN cats <> '' THEN '- **Categories:** ' || cats END,
-                '- **Outlook message ID:** `' || id || '`', '', '### Body excerpt (max 500 chars)', '',
-                CASE WHEN length(body_text) <= 500 THEN body_text ELSE left(body_text, 500) || {NL} || {NL} || '[...truncated]' END,
+                '- **Outlook message ID:** `' || id || '`', '', '### Body excerpt', '', body_text,
                 '') AS sec
             FROM (
-              SELECT *, row_number() OVER (PARTITION BY profile, scope, target_date ORDER BY received DESC, id DESC) AS rn
-              FROM (
                 SELECT profile, folder_id AS scope, CAST(received AS DATE) AS target_date, received, id, subject,
                   'Usuario ' || user_id || ' <u' || user_id || '@example.com>' AS sender,
                   'Usuario ' || (user_id + 1) || ' <u' || (user_id + 1) || '@example.com>' AS to_s,
@@ -426,7 +423,6 @@ ORACLE = {
                   'Mensaje ' || event_id || ': k=' || k AS body_text
                 FROM (SELECT * EXCLUDE (rn0) FROM (SELECT *, row_number() OVER (
                         PARTITION BY profile, id ORDER BY received, pos) AS rn0 FROM v_messages) WHERE rn0 = 1)))
-            WHERE rn <= 200)
           GROUP BY profile, scope, target_date)""", upto="marks"),
     "path_collisions": sql_with(f"""
         SELECT profile, id, path FROM ({_paths_sql(
@@ -449,7 +445,8 @@ ORACLE["path_plan_existing"] = sql_with(f"""
     "parts": """SELECT id AS ex_id, lower(path) AS ex_path, regexp_extract(lower(path), '^(.*)/[^/]*$', 1) AS dir_l,
                        regexp_extract(lower(path), '/([^/]*)\\.md$', 1) AS name FROM p1""",
     "bare": "SELECT DISTINCT dir_l, name AS stem_l FROM parts",
-    "hashed": """SELECT dir_l, regexp_extract(name, '^(.*-[0-9a-f]{6})(-\\d+)?$', 1) AS h_l, count(*) AS h_taken
+    "hashed": """SELECT dir_l, regexp_extract(name, '^(.*-[0-9a-f]{6})(-\\d+)?$', 1) AS h_l,
+                        list(coalesce(try_cast(regexp_extract(name, '-[0-9a-f]{6}-(\\d+)$', 1) AS BIGINT), 1)) AS h_taken
                  FROM parts WHERE regexp_matches(name, '-[0-9a-f]{6}(-\\d+)?$') GROUP BY 1, 2""",
     "d": f"""SELECT *, 'correo/acme-' || profile || '/' || strftime(received, '%Y-%m-%d') AS dir,
                     strftime(received, '%H%M') || '-' || {_slug_sql} AS stem, left(sha1(id), 6) AS h6 FROM firsts""",
@@ -458,16 +455,20 @@ ORACLE["path_plan_existing"] = sql_with(f"""
                 WHERE d.id NOT IN (SELECT ex_id FROM parts)""",
     "f2": """SELECT *, row_number() OVER (PARTITION BY dir, lower(stem) ORDER BY received, id)
                     + CASE WHEN bare_taken THEN 1 ELSE 0 END AS arrival FROM fresh""",
-    "f3": """SELECT f2.*, coalesce(h.h_taken, 0) AS h_taken FROM f2
+    "f3": """SELECT f2.*, coalesce(h.h_taken, []) AS h_taken FROM f2
              LEFT JOIN hashed h ON lower(f2.dir) = h.dir_l AND lower(f2.stem || '-' || f2.h6) = h.h_l""",
-    "f4": """SELECT *, CASE WHEN arrival > 1 THEN row_number() OVER (
-                 PARTITION BY dir, lower(stem), h6, arrival > 1 ORDER BY received, id) + h_taken END AS h_rank FROM f3""",
+    "f4": """SELECT *, CASE WHEN arrival > 1 THEN list_filter(range(1, nth + len(h_taken) + 1),
+                    lambda x: NOT list_contains(h_taken, x))[nth] END AS h_rank
+             FROM (SELECT *, row_number() OVER (PARTITION BY dir, lower(stem), h6, arrival > 1 ORDER BY received, id) AS nth
+                   FROM f3)""",
 }, extra_deps={"firsts": ["v_messages"], "p1": ["firsts"], "parts": ["p1"], "bare": ["parts"], "hashed": ["parts"],
                "d": ["firsts"], "fresh": ["d", "bare", "parts"], "f2": ["fresh"], "f3": ["f2", "hashed"], "f4": ["f3"]})
 ORACLE["payload_scan"] = MQ._mail_sql("""
     SELECT '/vaults/' || profile AS vault_root, folder_id AS folder_or_query, strftime(CAST(received AS DATE), '%Y-%m-%d') AS target_date,
            'mail' AS kind_effective, '' AS error_code, CAST(count(*) AS BIGINT) AS n_messages
-    FROM (SELECT *, row_number() OVER (PARTITION BY profile, folder_id, CAST(received AS DATE) ORDER BY received DESC, id DESC) AS rn
-          FROM (SELECT * EXCLUDE (rn0) FROM (SELECT *, row_number() OVER (PARTITION BY profile, id ORDER BY received, pos) AS rn0
-                FROM v_messages) WHERE rn0 = 1))
-    WHERE rn <= 200 GROUP BY profile, folder_id, CAST(received AS DATE)""", upto="marks")
+    FROM (SELECT * EXCLUDE (rn0) FROM (SELECT *, row_number() OVER (PARTITION BY profile, id ORDER BY received, pos) AS rn0
+                FROM v_messages) WHERE rn0 = 1)
+    GROUP BY profile, folder_id, CAST(received AS DATE)""", upto="marks")
+ORACLE["digest_sink"] = ORACLE["digest_mail"].replace(
+    "SELECT profile, 'External Inputs/Outlook/Mail/' || slug || '/' || d || '.md' AS path,\n          CAST(n AS BIGINT) AS message_count,",
+    "SELECT 'mail' AS kind, d AS target_date, profile || '/External Inputs/Outlook/Mail/' || slug || '/' || d || '.md' AS path,")

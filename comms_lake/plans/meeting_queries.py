@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import vtt as V
+from ..operators import calendar as C
+from ..operators import documents as DOC
 from ..operators import meetings as MT
-from ..session import with_params
+from ..session import run_dir, with_params
+from ..sources.landed import append_documents
 from ..sources.testdata import MEETINGS_LOOKBACK_DAYS, TestViews, sql_with
 from . import sqlfn as Q
 
@@ -24,6 +27,10 @@ def _candidates(v: TestViews):
     return MT.candidates(with_params(v.timed, _window(v)), F.col("window_start"), F.col("now"))
 
 
+def _resolved(v: TestViews):
+    return MT.with_refusals(MT.with_meeting_id(_candidates(v), v.online_meetings), v.refusals)
+
+
 def q_meeting_candidates(spark, sf_dir):
     c = _candidates(TestViews(spark, sf_dir))
     return c.select("profile", "id", "join_url")
@@ -31,14 +38,14 @@ def q_meeting_candidates(spark, sf_dir):
 
 def q_meeting_transcripts(spark, sf_dir):
     v = TestViews(spark, sf_dir)
-    firsts = MT.first_event_per_meeting(MT.with_meeting_id(_candidates(v), v.online_meetings))
+    firsts = MT.first_event_per_meeting(_resolved(v))
     t = MT.new_transcripts(firsts, v.transcripts, v.seen_transcripts, F.col("window_start"))
     return t.select("profile", "id", "meeting_id", "transcript_id")
 
 
 def q_unmatched_meetings(spark, sf_dir):
     v = TestViews(spark, sf_dir)
-    return MT.meeting_notes(MT.with_meeting_id(_candidates(v), v.online_meetings))
+    return MT.meeting_notes(_resolved(v))
 
 
 def q_cue_table(spark, sf_dir):
@@ -72,13 +79,10 @@ def q_cue_roundtrip(spark, sf_dir):
 INGESTADO = "2024-02-01T00:00:00+00:00"
 
 
-def q_meeting_documents(spark, sf_dir):
-    """K3 + W10: one document per new transcript (first event per meeting),
-    its cue lines in order, and the VTT sidecar name."""
-    from ..operators import calendar as C
-    from ..operators import documents as DOC
-    v = TestViews(spark, sf_dir)
-    firsts = MT.first_event_per_meeting(MT.with_meeting_id(_candidates(v), v.online_meetings))
+def _documents(v: TestViews):
+    """K3 + W10: one document per profile and new transcript (first event per
+    meeting), its cue lines in order, and the VTT sidecar's path."""
+    firsts = MT.first_event_per_meeting(_resolved(v))
     t = MT.new_transcripts(C.with_people(firsts), v.transcripts, v.seen_transcripts, F.col("window_start"))
     t = t.withColumns({"started": F.coalesce("created", "start_ts"),
                        "empresa": F.concat(F.lit("acme-"), F.col("profile").cast("string")),
@@ -88,13 +92,31 @@ def q_meeting_documents(spark, sf_dir):
                       F.col("attributed"))
     lines = cues.select("transcript_id", "block_pos", "voice_pos",
                         V.cue_line(F.col("start"), F.col("speaker"), F.col("text")).alias("line"))
-    docs = DOC.render_meeting(t, lines, INGESTADO)
-    return docs.select("transcript_id", "path", F.octet_length("content").cast("bigint").alias("n_bytes"),
-                       F.sha1(F.encode("content", "UTF-8")).alias("sha1"))
+    return DOC.render_meeting(t, lines, INGESTADO)
+
+
+def q_meeting_documents(spark, sf_dir):
+    return _documents(TestViews(spark, sf_dir)).select(
+        "profile", "transcript_id", "path", F.octet_length("content").cast("bigint").alias("n_bytes"),
+        F.sha1(F.encode("content", "UTF-8")).alias("sha1"))
+
+
+def q_transcript_sink(spark, sf_dir):
+    """K3: documents and their verbatim VTT sidecars, stored twice (the second
+    append adds nothing) and read back."""
+    docs = _documents(TestViews(spark, sf_dir)).select(
+        F.concat_ws("/", F.col("profile").cast("string"), "transcript_id").alias("id"), "path", "content", "vtt_path", "vtt",
+        "empresa", F.date_format("started", "yyyy-MM-dd").alias("fecha_dia"))
+    store = run_dir(spark, "transcripts") + "/store"
+    append_documents(docs, store)
+    stored = append_documents(docs, store)
+    return stored.select("id", "path", "vtt_path", F.sha1(F.encode("content", "UTF-8")).alias("sha1"),
+                         F.sha1(F.encode("vtt", "UTF-8")).alias("vtt_sha1"))
 
 
 QUERIES = {
     "meeting_documents": q_meeting_documents,
+    "transcript_sink": q_transcript_sink,
     "meeting_candidates": q_meeting_candidates,
     "meeting_transcripts": q_meeting_transcripts,
     "unmatched_meetings": q_unmatched_meetings,
@@ -115,12 +137,14 @@ _M_CTES = {
           AND NOT coalesce(cancelled, false) AND start_ts IS NOT NULL AND start_ts >= w.window_start
           AND coalesce(end_ts, start_ts) <= w.now""",
     "resolved": "SELECT join_url, min(meeting_id) AS meeting_id FROM v_online GROUP BY join_url",
-    "withid": "SELECT c.*, r.meeting_id FROM cands c LEFT JOIN resolved r USING (join_url)",
+    "withid": """SELECT c.*, r.meeting_id, x.motive FROM cands c LEFT JOIN resolved r USING (join_url)
+                 LEFT JOIN v_refusals x USING (join_url)""",
 }
-_M_DEPS = {"win": ["v_run"], "cands": ["v_timed", "win"], "resolved": ["v_online"], "withid": ["cands", "resolved"]}
+_M_DEPS = {"win": ["v_run"], "cands": ["v_timed", "win"], "resolved": ["v_online"],
+           "withid": ["cands", "resolved", "v_refusals"]}
 
-TIMING = r"^\s*(\d+(?::\d+){1,2}(?:[.,]\d+)?)\s+-->\s+"
-VOICE_CLOSED = r"(?s)<v(?:\.[^\s>]*)?(?:\s+([^>]*))?>(.*?)</v>"
+TIMING = V.TIMING_RE
+VOICE_CLOSED = r"(?s)" + V.VOICE_OPEN_RE + r"(.*?)</v>"
 _WS = Q.WS
 
 
@@ -193,17 +217,18 @@ ORACLE = {
     "meeting_candidates": _msql("SELECT profile, id, join_url FROM cands", _M_CTES, _M_DEPS),
     "meeting_transcripts": _msql("""
         SELECT profile, id, meeting_id, transcript_id FROM (
-          SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY start_ts, id) AS rn
-          FROM withid WHERE meeting_id IS NOT NULL) f
+          SELECT *, row_number() OVER (PARTITION BY profile, meeting_id ORDER BY start_ts, id) AS rn
+          FROM withid WHERE meeting_id IS NOT NULL AND motive IS NULL) f
         JOIN v_transcripts t USING (meeting_id)
-        WHERE rn = 1 AND transcript_id NOT IN (SELECT transcript_id FROM v_seen_transcripts)
+        WHERE rn = 1 AND (profile, transcript_id) NOT IN (SELECT (profile, transcript_id) FROM v_seen_transcripts)
           AND (t.created IS NULL OR t.created >= f.window_start)""",
                                  {**_M_CTES, "x": "SELECT 1"},
                                  {**_M_DEPS, "x": ["withid", "v_transcripts", "v_seen_transcripts"]}),
     "unmatched_meetings": _msql("""
-        SELECT profile, count(*) AS candidates, count(*) FILTER (WHERE meeting_id IS NULL) AS unmatched,
-          CASE WHEN count(*) FILTER (WHERE meeting_id IS NULL) > 0
-               THEN count(*) FILTER (WHERE meeting_id IS NULL) || ' sin datos de Teams' ELSE '' END AS note
+        SELECT profile, count(*) AS candidates, count(*) FILTER (WHERE meeting_id IS NULL AND motive IS NULL) AS unmatched,
+          concat_ws('; ', 'sin acceso: ' || arg_min(motive, struct_pack(s := start_ts, i := id)) FILTER (WHERE motive IS NOT NULL),
+                    CASE WHEN count(*) FILTER (WHERE meeting_id IS NULL AND motive IS NULL) > 0 THEN
+                      count(*) FILTER (WHERE meeting_id IS NULL AND motive IS NULL) || ' sin datos de Teams' END) AS note
         FROM withid GROUP BY profile""", _M_CTES, _M_DEPS),
     "cue_table": _msql("SELECT * FROM cues WHERE text <> ''", _CUE_CTES, _CUE_DEPS),
     "cue_roundtrip": _msql(f"""
@@ -221,7 +246,7 @@ ORACLE = {
                    FROM cues) p ON e.transcript_id = p.transcript_id AND e.pos = p.pos
         GROUP BY coalesce(e.transcript_id, p.transcript_id)""", _CUE_CTES, _CUE_DEPS),
     "meeting_documents": _msql(f"""
-        SELECT transcript_id, dir || '/' || nm || '.md' AS path, CAST(strlen(doc) AS BIGINT) AS n_bytes, sha1(doc) AS sha1
+        SELECT profile, transcript_id, dir || '/' || nm || '.md' AS path, CAST(strlen(doc) AS BIGINT) AS n_bytes, sha1(doc) AS sha1
         FROM (SELECT p.*, regexp_replace(concat_ws(chr(10), '---', 'fuente: reunion',
                 'empresa: "acme-' || profile || '"', 'cuenta: "u' || profile || '@example.com"',
                 'fecha: ' || strftime(started, '%Y-%m-%dT%H:%M:%S') || '+00:00',
@@ -236,16 +261,19 @@ ORACLE = {
                 || chr(10) AS doc
               FROM paths p LEFT JOIN lines l USING (transcript_id))""",
                                 {**_M_CTES, **_CUE_CTES, **{
-        "firsts": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meeting_id ORDER BY start_ts, id) AS rn
-                     FROM withid WHERE meeting_id IS NOT NULL) WHERE rn = 1""",
-        "nt": """SELECT f.*, t.transcript_id, t.created, t.attributed, coalesce(t.created, f.start_ts) AS started
+        "firsts": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile, meeting_id ORDER BY start_ts, id) AS rn
+                     FROM withid WHERE meeting_id IS NOT NULL AND motive IS NULL) WHERE rn = 1""",
+        "nt": """SELECT f.*, t.transcript_id, t.created, t.attributed, t.vtt, coalesce(t.created, f.start_ts) AS started
                  FROM firsts f JOIN v_transcripts t USING (meeting_id)
-                 WHERE t.transcript_id NOT IN (SELECT transcript_id FROM v_seen_transcripts)
+                 WHERE (f.profile, t.transcript_id) NOT IN (SELECT (profile, transcript_id) FROM v_seen_transcripts)
                    AND (t.created IS NULL OR t.created >= f.window_start)""",
-        "paths": f"""SELECT *, CASE WHEN arrival = 1 THEN stem ELSE stem || '-' || left(sha1(transcript_id), 6) END AS nm
+        "paths": f"""SELECT *, CASE WHEN arrival = 1 THEN stem WHEN later = 1 THEN stem || '-' || h6
+                                     ELSE stem || '-' || h6 || '-' || later END AS nm
+                 FROM (SELECT *, left(sha1(transcript_id), 6) AS h6, CASE WHEN arrival > 1 THEN row_number() OVER (
+                         PARTITION BY dir, lower(stem), left(sha1(transcript_id), 6), arrival > 1 ORDER BY started, transcript_id) END AS later
                  FROM (SELECT *, row_number() OVER (PARTITION BY dir, lower(stem) ORDER BY started, transcript_id) AS arrival
                        FROM (SELECT *, 'reuniones/acme-' || profile AS dir,
-                                    strftime(started, '%Y-%m-%d') || '-' || {_slug_meeting()} AS stem FROM nt))""",
+                                    strftime(started, '%Y-%m-%d') || '-' || {_slug_meeting()} AS stem FROM nt)))""",
         "lines": """SELECT transcript_id, string_agg('[' || start || '] ' || speaker || ': ' || text, chr(10)
                                                  ORDER BY block_pos, voice_pos) AS body
                     FROM cues WHERE text <> '' GROUP BY transcript_id"""}},
@@ -254,3 +282,7 @@ ORACLE = {
                                  "lines": ["cues"]}),
 }
 
+ORACLE["transcript_sink"] = ORACLE["meeting_documents"].replace(
+    "SELECT profile, transcript_id, dir || '/' || nm || '.md' AS path, CAST(strlen(doc) AS BIGINT) AS n_bytes, sha1(doc) AS sha1",
+    "SELECT profile || '/' || transcript_id AS id, dir || '/' || nm || '.md' AS path, dir || '/' || nm || '.vtt' AS vtt_path, "
+    "sha1(doc) AS sha1, sha1(vtt) AS vtt_sha1")

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import calendar as C
 from ..operators import mail as M
 from ..operators import ops as O
-from ..session import literal_table
-from ..sources.testdata import MAX_MESSAGES_PER_RUN, N_PROFILES, TestViews, sql_with
+from ..sources.testdata import TestViews, sql_with
 
 PAST_DAYS, AHEAD_DAYS = 1, 14
 SCOPE_FOLDER = "Compras"
@@ -45,14 +44,14 @@ def q_empresa_check(spark, sf_dir):
     return c.select("c_custkey", emp.alias("empresa"), O.valid_slug_key(emp).alias("valid"))
 
 
-SETTINGS = [(p, f"perfil-{p}", f"acme-{p}", 30, MAX_MESSAGES_PER_RUN, p == 0) for p in range(N_PROFILES)]
-
-
 def q_settings_join(spark, sf_dir):
-    """Rows to their profile settings (equi-join on profile)."""
+    """Rows to their profile settings (equi-join on profile; both sides
+    are one row a profile by then)."""
     v = TestViews(spark, sf_dir)
-    s = literal_table(spark, SETTINGS, "profile bigint, slug string, empresa string, backfill_days int, "
-                                       "max_messages_per_run int, teams boolean")
+    p = F.col("user_id").cast("string")
+    s = v.events.select("user_id").distinct().select(
+        F.col("user_id").alias("profile"), F.concat(F.lit("perfil-"), p).alias("slug"), F.concat(F.lit("acme-"), p).alias("empresa"),
+        (F.lit(500) + F.col("user_id") % 3 * 500).alias("max_messages_per_run"), (F.col("user_id") % 2 == 0).alias("teams"))
     n = v.messages.groupBy("profile").agg(F.count("*").alias("messages"))
     return n.join(s, "profile").select("profile", "slug", "empresa", "max_messages_per_run", "teams", "messages")
 
@@ -110,9 +109,9 @@ ORACLE = {
         FROM (SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN '{"x" * 33}' WHEN c_custkey % 11 = 0 THEN ''
                                      WHEN c_custkey % 7 = 0 THEN 'con' WHEN c_custkey % 5 = 0 THEN c_mktsegment
                                      ELSE lower(c_mktsegment) END AS empresa FROM customer)""",
-    "settings_join": sql_with(f"""
-        SELECT profile, 'perfil-' || profile AS slug, 'acme-' || profile AS empresa, {MAX_MESSAGES_PER_RUN} AS max_messages_per_run,
-               profile = 0 AS teams, count(*) AS messages
+    "settings_join": sql_with("""
+        SELECT profile, 'perfil-' || profile AS slug, 'acme-' || profile AS empresa, 500 + profile % 3 * 500 AS max_messages_per_run,
+               profile % 2 = 0 AS teams, count(*) AS messages
         FROM v_messages GROUP BY profile""", "v_messages"),
     "graph_time_hint": """
         SELECT event_id, CASE WHEN zone IN ('', 'utc') AND NOT regexp_matches(t, '([zZ]|[+-]\\d{2}:?\\d{2})$')

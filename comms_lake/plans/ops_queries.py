@@ -12,10 +12,9 @@ from ..operators import ops as O
 from ..operators.ordered import prefix_sums
 from ..session import run_dir
 from ..sources import landed as L
-from ..sources.testdata import N_PROFILES, TestViews, sql_with
+from ..sources.testdata import TestViews, sql_with
 
 PAGE_SIZE = 50
-CALENDAR_MAX_PAGES = 40
 
 
 def _runs(v: TestViews):
@@ -54,24 +53,83 @@ def q_audit_by_action(spark, sf_dir):
     return O.audit_counts(L.read_json_log(spark, path))
 
 
-def q_capped_scans(spark, sf_dir):
-    e = TestViews(spark, sf_dir).events.withColumn("scan", F.concat(F.lit("cal-"), (F.col("user_id") % N_PROFILES).cast("string")))
-    pos = prefix_sums(e, ["scan"], ["ts", "event_id"], F.date_trunc("day", "ts"), {"n": F.lit(1)})
+def _land_pages(spark, rows, item, name):
+    """Land each profile's rows, in time order, as paged envelopes (JSON
+    lines, ``PAGE_SIZE`` items and a link to the next page)."""
+    pos = prefix_sums(rows.withColumn("scan", F.col("profile").cast("string")), ["scan"], ["ts", "event_id"],
+                      F.date_trunc("day", "ts"), {"n": F.lit(1)})
     paged = pos.withColumn("page", F.expr(f"(n - 1) div {PAGE_SIZE}"))
     last = paged.groupBy("scan").agg(F.max("page").alias("last_page"))
-    item = F.struct(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"),
-                    F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS0").alias("dateTime"),
-                             F.lit("UTC").alias("timeZone")).alias("start"))
     pages = (paged.groupBy("scan", "page").agg(F.array_sort(F.collect_list(F.struct("n", item.alias("it")))).alias("__v"))
              .join(last, "scan")
              .select("scan", "page", F.transform("__v", lambda x: x["it"]).alias("value"),
                      F.when(F.col("page") < F.col("last_page"),
-                            F.concat(F.lit("https://graph.example/next?page="), (F.col("page") + 1).cast("string")))
+                            F.concat(F.lit("https://service.example/next?page="), (F.col("page") + 1).cast("string")))
                      .alias("@odata.nextLink")))
-    path = run_dir(spark, "pages")
+    path = run_dir(spark, name)
     pages.write.mode("overwrite").json(path)
-    got = L.read_pages(spark, path, L.EVENT)                     # S1
-    return L.scan_caps(got, CALENDAR_MAX_PAGES).select("scan", "pages_read", "items_read", "capped")
+    return path
+
+
+def q_capped_scans(spark, sf_dir):
+    """S1 + A15: events land as paged envelopes and are counted per scan."""
+    e = TestViews(spark, sf_dir).events.withColumn("profile", F.col("user_id"))
+    item = F.struct(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"),
+                    F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS0").alias("dateTime"),
+                             F.lit("UTC").alias("timeZone")).alias("start"))
+    got = L.read_pages(spark, _land_pages(spark, e, item, "pages"), L.EVENT)
+    return L.scan_caps(got).select("scan", "pages_read", "items_read", "capped")
+
+
+def _entry(name, address):
+    return F.struct(F.struct(name.alias("name"), address.alias("address")).alias("emailAddress"))
+
+
+def q_landed_messages(spark, sf_dir):
+    """S1 + S2 + X10 + F9: messages land as objects in paged envelopes; they
+    are read back, concatenated and flattened. Some have no time, no id, an
+    address in ``sender`` only, or an HTML body."""
+    e = TestViews(spark, sf_dir).events.withColumn("profile", F.col("user_id"))
+    eid, u = F.col("event_id"), F.col("user_id").cast("string")
+    address = F.concat(F.lit("u"), u, F.lit("@example.com"))
+    html = eid % 4 == 0
+    item = F.struct(
+        F.when(eid % 29 == 0, F.lit("")).otherwise(F.concat(F.lit("m"), eid.cast("string"))).alias("id"),
+        F.concat(F.lit("<"), eid.cast("string"), F.lit("@mail.example>")).alias("internetMessageId"),
+        F.col("event_type").alias("parentFolderId"), F.concat(F.col("event_type"), F.lit(" "), u).alias("subject"),
+        F.when(eid % 31 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("receivedDateTime"),
+        _entry(F.concat(F.lit("Usuario "), u), F.when(eid % 6 == 0, F.lit("")).otherwise(address)).alias("from"),
+        _entry(F.lit(""), address).alias("sender"),
+        F.array(_entry(F.lit("Lista"), F.lit("lista@example.com")), _entry(F.lit(""), F.lit(""))).alias("toRecipients"),
+        F.struct(F.when(html, F.lit("HTML")).otherwise(F.lit("text")).alias("contentType"),
+                 F.when(eid % 9 == 0, F.lit("")).otherwise(F.concat(F.lit("<p>"), eid.cast("string"), F.lit("</p>")))
+                 .alias("content")).alias("body"),
+        F.when(eid % 8 == 0, F.lit("")).otherwise(F.concat(F.lit("vista "), eid.cast("string"))).alias("bodyPreview"))
+    got = L.flatten_messages(L.page_items(L.read_pages(spark, _land_pages(spark, e, item, "mail-pages"), L.MESSAGE)))
+    return got.select("scan", "id", "internet_id", "folder_id", "subject", "sender",
+                      F.date_format("received", "yyyy-MM-dd HH:mm:ss").alias("received"),
+                      F.array_join("to", "; ").alias("to"), "body_text")
+
+
+def q_landed_events(spark, sf_dir):
+    """S1 + S3 + F14 + X14: calendar objects land as paged envelopes and are
+    flattened to digest rows; naive UTC times become unambiguous."""
+    e = TestViews(spark, sf_dir).events.withColumn("profile", F.col("user_id"))
+    eid, u = F.col("event_id"), F.col("user_id").cast("string")
+    stamp = lambda t: F.struct(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS0").alias("dateTime"),
+                               F.when(eid % 5 == 0, F.lit("Pacific Standard Time")).otherwise(F.lit("UTC")).alias("timeZone"))
+    item = F.struct(
+        F.concat(F.lit("e"), eid.cast("string")).alias("id"), F.col("event_type").alias("subject"),
+        stamp(F.col("ts")).alias("start"), stamp(F.col("ts") + F.make_dt_interval(mins=F.lit(30))).alias("end"),
+        _entry(F.concat(F.lit("Usuario "), u), F.lit("")).alias("organizer"),
+        F.struct(F.when(eid % 3 == 0, F.lit("Sala 1")).alias("displayName")).alias("location"),
+        F.when(eid % 7 == 0, F.lit(True)).alias("isCancelled"),
+        F.struct(F.when(eid % 2 == 0, F.concat(F.lit("https://meet.example/"), eid.cast("string"))).alias("joinUrl"))
+        .alias("onlineMeeting"),
+        F.struct(F.lit("text").alias("contentType"), F.concat(F.lit("nota "), eid.cast("string")).alias("content")).alias("body"))
+    got = L.flatten_events(L.page_items(L.read_pages(spark, _land_pages(spark, e, item, "event-pages"), L.EVENT)))
+    return got.select("scan", "id", "subject", "start", "end", "timezone", "organizer", "location", "join_url", "cancelled",
+                      "body_text")
 
 
 def q_config_conflicts(spark, sf_dir):
@@ -87,7 +145,7 @@ def q_check_scorecard(spark, sf_dir):
     e = TestViews(spark, sf_dir).events
     status = (F.when(F.col("event_type") == "error", F.lit("FAIL")).when(F.col("event_type") == "signup", F.lit("WARN"))
               .otherwise(F.lit("PASS")))
-    return O.scorecard(e.select((F.col("user_id") % N_PROFILES).alias("profile"), status.alias("status")), ["profile"])
+    return O.scorecard(e.select(F.col("user_id").alias("profile"), status.alias("status")), ["profile"])
 
 
 _GRANTED = ["https://graph.microsoft.com/User.Read", "mail.read", " Mail.Send ", "Calendars.ReadWrite",
@@ -109,8 +167,8 @@ def q_scope_drift(spark, sf_dir):
 
 
 def _logs(v: TestViews):
-    e = v.events.filter(F.col("event_type") == "error")
-    codes = F.array(*[F.lit(c) for c, _, _ in O.AADSTS_CATALOGUE])
+    e = v.events
+    codes = F.array(*[F.lit(c) for c, _ in O.AADSTS_CATALOGUE])
     i = (F.col("k") % 16).cast("int")
     body = (F.when(i < len(O.AADSTS_CATALOGUE), F.concat(F.lit("HTTP 400 "), F.element_at(codes, i + 1), F.lit(": trace "),
                                                           F.col("event_id").cast("string")))
@@ -119,7 +177,7 @@ def _logs(v: TestViews):
 
 
 def q_error_triage(spark, sf_dir):
-    return O.error_triage(spark, _logs(TestViews(spark, sf_dir)))
+    return O.error_triage(_logs(TestViews(spark, sf_dir)))
 
 
 def q_calendar_list(spark, sf_dir):
@@ -152,6 +210,8 @@ QUERIES = {
     "run_summary": q_run_summary,
     "audit_by_action": q_audit_by_action,
     "capped_scans": q_capped_scans,
+    "landed_messages": q_landed_messages,
+    "landed_events": q_landed_events,
     "config_conflicts": q_config_conflicts,
     "check_scorecard": q_check_scorecard,
     "scope_drift": q_scope_drift,
@@ -159,8 +219,8 @@ QUERIES = {
     "calendar_list": q_calendar_list,
 }
 
-_cat_list = "[" + ", ".join(f"'{c}'" for c, _, _ in O.AADSTS_CATALOGUE) + "]"
-_cat_rows = ", ".join(f"({i}, '{c}', '{m.replace(chr(39), chr(39) * 2)}')" for i, (c, m, _) in enumerate(O.AADSTS_CATALOGUE))
+_cat_list = "[" + ", ".join(f"'{c}'" for c, _ in O.AADSTS_CATALOGUE) + "]"
+_cat_rows = ", ".join(f"({i}, '{c}', '{m.replace(chr(39), chr(39) * 2)}')" for i, (c, m) in enumerate(O.AADSTS_CATALOGUE))
 _granted_list = "[" + ", ".join(f"'{s}'" for s in _GRANTED) + "]"
 _required_rows = ", ".join(f"({i}, '{s}')" for i, s in enumerate(O.CORPORATE_SCOPES))
 
@@ -177,9 +237,31 @@ ORACLE = {
         SELECT CASE WHEN event_id % 50 = 0 THEN '(corrupt)' ELSE event_type END AS action, count(*) AS n
         FROM events GROUP BY 1""",
     "capped_scans": f"""
-        SELECT 'cal-' || (user_id % {N_PROFILES}) AS scan, least(CAST(ceil(count(*) / {PAGE_SIZE}) AS BIGINT), {CALENDAR_MAX_PAGES}) AS pages_read,
-               least(count(*), {PAGE_SIZE * CALENDAR_MAX_PAGES}) AS items_read, count(*) > {PAGE_SIZE * CALENDAR_MAX_PAGES} AS capped
+        SELECT CAST(user_id AS VARCHAR) AS scan, CAST(ceil(count(*) / {PAGE_SIZE}) AS BIGINT) AS pages_read,
+               count(*) AS items_read, false AS capped
         FROM events GROUP BY 1""",
+    "landed_messages": """
+        SELECT CAST(user_id AS VARCHAR) AS scan, CASE WHEN event_id % 29 = 0 THEN '' ELSE 'm' || event_id END AS id,
+          '<' || event_id || '@mail.example>' AS internet_id, event_type AS folder_id, event_type || ' ' || user_id AS subject,
+          CASE WHEN event_id % 6 = 0 THEN 'Usuario ' || user_id ELSE 'Usuario ' || user_id || ' <u' || user_id || '@example.com>' END AS sender,
+          CASE WHEN event_id % 31 <> 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') END AS received,
+          'Lista <lista@example.com>' AS "to",
+          CASE WHEN event_id % 4 = 0 THEN (CASE WHEN event_id % 8 <> 0 THEN 'vista ' || event_id
+                                                WHEN event_id % 9 = 0 THEN '' ELSE '<p>' || event_id || '</p>' END)
+               WHEN event_id % 9 <> 0 THEN '<p>' || event_id || '</p>'
+               WHEN event_id % 8 = 0 THEN '' ELSE 'vista ' || event_id END AS body_text
+        FROM events""",
+    "landed_events": """
+        SELECT CAST(user_id AS VARCHAR) AS scan, 'e' || event_id AS id, event_type AS subject,
+          CASE WHEN event_id % 5 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '0'
+               ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' END AS start,
+          CASE WHEN event_id % 5 = 0 THEN strftime(ts + INTERVAL 30 MINUTE, '%Y-%m-%dT%H:%M:%S.%f') || '0'
+               ELSE strftime(ts + INTERVAL 30 MINUTE, '%Y-%m-%dT%H:%M:%S') || 'Z' END AS "end",
+          CASE WHEN event_id % 5 = 0 THEN 'Pacific Standard Time' ELSE 'UTC' END AS timezone,
+          'Usuario ' || user_id AS organizer, CASE WHEN event_id % 3 = 0 THEN 'Sala 1' ELSE '' END AS location,
+          CASE WHEN event_id % 2 = 0 THEN 'https://meet.example/' || event_id ELSE '' END AS join_url,
+          event_id % 7 = 0 AS cancelled, 'nota ' || event_id AS body_text
+        FROM events""",
     "config_conflicts": """
         SELECT vault, count(DISTINCT lower(regexp_replace(replace(trim(lock_path), '\\', '/'), '^/+|/+$', '', 'g'))) AS n_lock_paths,
                count(*) AS n_profiles
@@ -188,7 +270,7 @@ ORACLE = {
                      ELSE 'locks\\main' END AS lock_path FROM customer)
         GROUP BY vault HAVING count(DISTINCT lower(regexp_replace(replace(trim(lock_path), '\\', '/'), '^/+|/+$', '', 'g'))) > 1""",
     "check_scorecard": f"""
-        SELECT user_id % {N_PROFILES} AS profile, count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS passed,
+        SELECT user_id AS profile, count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS passed,
                count(*) FILTER (WHERE event_type = 'signup') AS warned, count(*) FILTER (WHERE event_type = 'error') AS failed
         FROM events GROUP BY 1""",
     "scope_drift": f"""
@@ -209,7 +291,7 @@ ORACLE = {
           SELECT event_id AS log_id,
             CASE WHEN k % 16 < 14 THEN 'HTTP 400 ' || {_cat_list}[CAST(k % 16 AS INTEGER) + 1] || ': trace ' || event_id
                  WHEN k % 16 = 14 THEN 'HTTP 400 AADSTS5001131: unknown variant' ELSE 'timeout' END AS body
-          FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) WHERE event_type = 'error'),
+          FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)),
         cat AS (SELECT * FROM (VALUES {_cat_rows}) c(pos, code, meaning))
         SELECT l.log_id, arg_min(c.code, c.pos) AS code, arg_min(c.meaning, c.pos) AS meaning
         FROM logs l LEFT JOIN cat c ON contains(l.body, c.code) GROUP BY l.log_id""",

@@ -75,7 +75,7 @@ def q_person_labels(spark, sf_dir):
     d = TestViews(spark, sf_dir).table("documents")
     addr = F.when(F.col("doc_id") % 5 == 0, F.lit("")).otherwise(
         F.concat(F.lit(" <"), F.upper("lang"), F.lit("."), F.col("doc_id").cast("string"), F.lit("@Example.COM> ")))
-    name = F.concat(F.lit('"'), F.left("text", F.lit(24)), F.lit('" '))
+    name = F.concat(F.lit('"'), F.col("text"), F.lit('" '))
     label = P.person_label(name, addr)
     return d.select("doc_id", label.alias("label"), P.person_key(label).alias("key"))
 
@@ -186,8 +186,8 @@ ORACLE = {
                strftime(ts, '%Y-%m-%d %H:%M') AS digest_local, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS parsed
         FROM events""",
     "person_labels": f"""
-        SELECT doc_id, {Q.person_label("'\"' || left(text, 24) || '\" '", "a")} AS label,
-               {Q.person_key(Q.person_label("'\"' || left(text, 24) || '\" '", "a"))} AS key
+        SELECT doc_id, {Q.person_label("'\"' || text || '\" '", "a")} AS label,
+               {Q.person_key(Q.person_label("'\"' || text || '\" '", "a"))} AS key
         FROM (SELECT *, CASE WHEN doc_id % 5 = 0 THEN '' ELSE ' <' || upper(lang) || '.' || doc_id || '@Example.COM> ' END AS a
               FROM documents)""",
     "quoted_scalars": sql_with(f"""

@@ -95,6 +95,19 @@ def materialize(df, name: str = "stage"):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A side joined by broadcast has at most this many rows of a few small
+# columns (about 100 bytes each in a hash relation, so some 20 MB); beyond it
+# the same join shuffles.
+BROADCAST_ROWS = 200_000
+
+
+def bounded(side, limit: int = BROADCAST_ROWS):
+    """``side`` with a broadcast hint if it has ``limit`` rows at most
+    (counted), else as it is."""
+    from pyspark.sql import functions as F
+    return F.broadcast(side) if side.limit(limit + 1).count() <= limit else side
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str):
     """Small fixed table as a local relation (with size statistics, so the
     planner can broadcast it), unlike ``createDataFrame`` on a list."""

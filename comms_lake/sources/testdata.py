@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 from ..session import literal_table
 
 # --- fixed values of the test mapping -------------------------------------
-N_PROFILES = 3                      # profile = user_id % 3
+CUSTOMERS_PER_CALENDAR = 10         # spans: one profile per ten customers; mail and timed: one per user
 EXCLUDE_FOLDERS = ["junkemail", "deleteditems", "drafts"]   # profile default
-MAX_MESSAGES_PER_RUN = 1000         # profile default
 MAIL_OVERLAP_MINUTES = 10
 BACKFILL_DAYS = 30
 MEETINGS_LOOKBACK_DAYS = 31         # settable per profile; covers the data
@@ -73,12 +72,18 @@ def _attendee(kind: Column, name: Column, address: Column) -> Column:
 class TestViews:
     """Spark views for one scale-factor directory (lazy, cached per object)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, streaming: bool = False):
+        """``streaming``: tables are read as file streams (for the row-wise views)."""
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.streaming = streaming
 
     def table(self, name: str) -> DataFrame:
-        return _tbl(self.spark, self.sf_dir, name)
+        batch = _tbl(self.spark, self.sf_dir, name)
+        if not self.streaming:
+            return batch
+        # a pattern, as a table may be one file or a folder of files
+        return self.spark.readStream.schema(batch.schema).parquet(f"{self.sf_dir}/{name}.parquet*")
 
     # -- mail ---------------------------------------------------------------
     @cached_property
@@ -90,13 +95,16 @@ class TestViews:
     @cached_property
     def messages(self) -> DataFrame:
         """One row per listed message; ids with event_id % 5 = 0 are listed a
-        second time (a re-read page, pos 1)."""
+        second time (a re-read page, pos 1). A user's messages of one day
+        share ten internet ids, so some come twice in one run."""
         e = self.events
+        day = F.date_format("ts", "yyyyMMdd")
         base = e.select(
-            (F.col("user_id") % N_PROFILES).alias("profile"),
+            F.col("user_id").alias("profile"),
             F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("id"),
-            F.when(F.col("event_id") % 11 == 0, F.lit("")).otherwise(
-                F.concat(F.lit("<"), F.expr("event_id div 2").cast("string"), F.lit("@mail.example>"))
+            F.when((F.col("event_id") % 11 == 0) | self.fails(F.col("ts")), F.lit("")).otherwise(
+                F.concat(F.lit("<"), F.expr("k div 10").cast("string"), F.lit("."), day, F.lit("."),
+                         F.col("user_id").cast("string"), F.lit("@mail.example>"))
             ).alias("internet_id"),
             F.col("ts").alias("received"),
             F.col("event_type").alias("folder_id"),
@@ -106,6 +114,14 @@ class TestViews:
             .alias("pos"))
         return base  # one scan; the re-read copy is a second generated row
 
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        """The mailbox at the time of the re-check: every third message has
+        moved to the inbox, every third is gone."""
+        e = self.events.filter(F.col("event_id") % 3 != 1)
+        return e.select(F.col("user_id").alias("profile"), F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("id"),
+                        F.when(F.col("event_id") % 3 == 0, F.lit("inbox")).otherwise(F.col("event_type")).alias("folder_id"))
+
     @cached_property
     def folders(self) -> DataFrame:
         return literal_table(self.spark, FOLDERS, "folder_id string, display_name string, parent_id string")
@@ -147,9 +163,13 @@ class TestViews:
     @cached_property
     def failures(self) -> DataFrame:
         """Writes that raise this run, with the strikes of earlier runs."""
-        m = self.first_listing
-        fails = ((F.hour("received") == 13) & (F.dayofmonth("received") % 4 == 1)) | (F.col("k") % 23 == 0)
-        return m.filter(fails).select("profile", "id", (F.col("event_id") % 3).alias("prior_strikes"))
+        m = self.first_listing.filter(self.fails(F.col("received")))
+        return m.select("profile", "id", (F.col("event_id") % 3).alias("prior_strikes"))
+
+    @staticmethod
+    def fails(ts: Column) -> Column:
+        """Scattered failures, and some users' outage of four days."""
+        return ((F.col("user_id") % 7 == 3) & F.dayofmonth(ts).between(20, 23)) | (F.col("k") % 23 == 0)
 
     @cached_property
     def run_at(self) -> DataFrame:
@@ -157,9 +177,9 @@ class TestViews:
 
     @cached_property
     def state(self) -> DataFrame:
-        """Saved high-water marks; the last profile has none (first run)."""
-        m = self.first_listing.filter(F.col("profile") < N_PROFILES - 1)
-        days = (F.lit(10) + F.col("profile") * 5).cast("int")
+        """Saved high-water marks; every third profile has none (first run)."""
+        m = self.first_listing.filter(F.col("profile") % 3 < 2)
+        days = (F.lit(3) + F.col("profile") % 3 * 5).cast("int")
         return (m.groupBy("profile").agg(F.min("received").alias("first_seen"))
                 .select("profile", (F.col("first_seen") + F.make_dt_interval(days=days)).alias("marca")))
 
@@ -186,7 +206,7 @@ class TestViews:
                 .when(F.col("event_type") == "view", F.concat(F.lit("https://meet.example.com/j/"), eid.cast("string")))
                 .otherwise(F.lit("")))
         return e.select(
-            F.lit("timed").alias("calendar"), (u % N_PROFILES).alias("profile"),
+            F.lit("timed").alias("calendar"), u.alias("profile"),
             F.concat(F.lit("e"), eid.cast("string")).alias("id"), "event_id",
             F.initcap("event_type").alias("subject"),
             start.alias("start_ts"), end.alias("end_ts"), all_day.alias("all_day"),
@@ -215,7 +235,7 @@ class TestViews:
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
         k = F.col("o_orderkey")
         return (o.join(cu, "o_custkey", "left").join(att, "o_orderkey", "left").select(
-            F.lit("spans").alias("calendar"), (F.col("o_custkey") % N_PROFILES).alias("profile"),
+            F.lit("spans").alias("calendar"), F.expr(f"o_custkey div {CUSTOMERS_PER_CALENDAR}").alias("profile"),
             F.concat(F.lit("o"), k.cast("string")).alias("id"), k.alias("event_id"),
             F.concat(F.lit("Pedido "), k.cast("string")).alias("subject"),
             F.col("o_orderdate").alias("start_ts"),
@@ -269,15 +289,24 @@ class TestViews:
 
     @cached_property
     def seen_transcripts(self) -> DataFrame:
-        return self.cues.filter(F.col("meeting") % 5 == 0).select(
-            F.concat(F.lit("t"), F.col("meeting").cast("string")).alias("transcript_id")).distinct()
+        """Transcript index of each profile: those of its meetings with a number divisible by five."""
+        t = self.timed.filter(F.col("join_url").contains("teams.microsoft") & (F.col("event_id") % 6 != 0))
+        return (t.select("profile", F.expr("event_id div 2").alias("n")).filter(F.col("n") % 5 == 0)
+                .select("profile", F.concat(F.lit("t"), F.col("n").cast("string")).alias("transcript_id")).distinct())
+
+    @cached_property
+    def refusals(self) -> DataFrame:
+        """Meetings that the service refuses to show, with its reason."""
+        t = self.timed.filter((F.col("event_id") % 17 == 0) & (F.col("join_url") != ""))
+        return t.select("join_url", F.when(F.col("event_id") % 2 == 0, F.lit("Graph 403 Forbidden"))
+                        .otherwise(F.lit("Graph 403 GraphAccessToTranscriptsDisabled")).alias("motive"))
 
     # -- documents, pages, cues ------------------------------------------------
     @cached_property
     def docs(self) -> DataFrame:
         return self.table("documents").select(
             F.col("doc_id"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
-            F.left(F.col("text"), F.lit(80)).alias("subject"), F.col("text").alias("body"),
+            F.col("text").alias("subject"), F.col("text").alias("body"),
             F.col("lang").alias("folder_id"), F.col("source").alias("profile"))
 
     @cached_property
@@ -303,7 +332,7 @@ class TestViews:
         ).select(
             "doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
             F.concat(F.lit("<d"), F.col("doc_id").cast("string"), F.lit("@docs>")).alias("internet_id"),
-            F.left("text", F.lit(80)).alias("subject"),
+            F.col("text").alias("subject"),
             (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
              + F.make_dt_interval(mins=(F.col("doc_id") * 7).cast("int"))).alias("received"),
             entry(F.concat(F.lit("Autor "), src),
@@ -338,21 +367,22 @@ class TestViews:
 # ---------------------------------------------------------------------------
 _FOLDER_ROWS = ", ".join(f"('{i}', '{n}', '{p}')" for i, n, p in FOLDERS)
 
+_FAILS = "((user_id % 7 = 3 AND day({ts}) BETWEEN 20 AND 23) OR k % 23 = 0)"
+_INET = (f"CASE WHEN event_id % 11 = 0 OR {_FAILS.format(ts='ts')} THEN '' "
+         "ELSE '<' || (k // 10) || '.' || strftime(ts, '%Y%m%d') || '.' || user_id || '@mail.example>' END")
+
 SQL_VIEWS: dict[str, str] = {
     "v_events": """
         SELECT event_id, ts, user_id, event_type, value,
                CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
     "v_messages": f"""
         SELECT * FROM (
-          SELECT user_id % {N_PROFILES} AS profile, 'm' || event_id AS id,
-                 CASE WHEN event_id % 11 = 0 THEN '' ELSE '<' || (event_id // 2) || '@mail.example>' END AS internet_id,
+          SELECT user_id AS profile, 'm' || event_id AS id, {_INET} AS internet_id,
                  ts AS received, event_type AS folder_id, event_type AS subject,
                  event_id, user_id, k, 0 AS pos
           FROM v_events) b
         UNION ALL
-        SELECT user_id % {N_PROFILES}, 'm' || event_id,
-               CASE WHEN event_id % 11 = 0 THEN '' ELSE '<' || (event_id // 2) || '@mail.example>' END,
-               ts, event_type, event_type, event_id, user_id, k, 1
+        SELECT user_id, 'm' || event_id, {_INET}, ts, event_type, event_type, event_id, user_id, k, 1
         FROM v_events WHERE event_id % 5 = 0""",
     "v_folders": f"SELECT * FROM (VALUES {_FOLDER_ROWS}) t(folder_id, display_name, parent_id)",
     "v_tree": """
@@ -364,15 +394,17 @@ SQL_VIEWS: dict[str, str] = {
     "v_index": "SELECT profile, id FROM v_first WHERE event_id % 7 = 0",
     "v_internet_index": "SELECT profile, internet_id FROM v_first WHERE event_id % 7 = 0 AND internet_id <> ''",
     "v_skip": "SELECT profile, id FROM v_first WHERE event_id % 97 = 0",
-    "v_fail": """
-        SELECT profile, id, event_id % 3 AS prior_strikes FROM v_first
-        WHERE (hour(received) = 13 AND day(received) % 4 = 1) OR k % 23 = 0""",
+    "v_snapshot": """
+        SELECT user_id AS profile, 'm' || event_id AS id, CASE WHEN event_id % 3 = 0 THEN 'inbox' ELSE event_type END AS folder_id
+        FROM events WHERE event_id % 3 <> 1""",
+    "v_fail": f"""
+        SELECT profile, id, event_id % 3 AS prior_strikes FROM v_first WHERE {_FAILS.format(ts='received')}""",
     "v_run": "SELECT max(ts) AS run_at FROM events",
-    "v_state": f"""
-        SELECT profile, min(received) + to_days(CAST(10 + profile * 5 AS INTEGER)) AS marca
-        FROM v_first WHERE profile < {N_PROFILES - 1} GROUP BY profile""",
+    "v_state": """
+        SELECT profile, min(received) + to_days(CAST(3 + profile % 3 * 5 AS INTEGER)) AS marca
+        FROM v_first WHERE profile % 3 < 2 GROUP BY profile""",
     "v_docs": """
-        SELECT doc_id, 'd' || doc_id AS id, left(text, 80) AS subject, text AS body,
+        SELECT doc_id, 'd' || doc_id AS id, text AS subject, text AS body,
                lang AS folder_id, source AS profile FROM documents""",
     "v_html": "SELECT page_id AS id, html AS body FROM pages",
     "v_atts": """
@@ -382,7 +414,7 @@ SQL_VIEWS: dict[str, str] = {
                            CAST(floor(l_extendedprice) AS BIGINT)) AS atts
         FROM lineitem GROUP BY l_orderkey""",
     "v_docmail": """
-        SELECT d.doc_id, 'd' || d.doc_id AS id, '<d' || d.doc_id || '@docs>' AS internet_id, left(d.text, 80) AS subject,
+        SELECT d.doc_id, 'd' || d.doc_id AS id, '<d' || d.doc_id || '@docs>' AS internet_id, d.text AS subject,
           TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(d.doc_id * 7 AS BIGINT)) AS received,
           'Autor ' || d.source AS from_name, CASE WHEN d.doc_id % 6 = 0 THEN '' ELSE d.source || '@example.com' END AS from_address,
           'Buzón ' || d.source AS sender_name, 'buzon.' || d.source || '@example.com' AS sender_address,
@@ -397,7 +429,7 @@ SQL_VIEWS: dict[str, str] = {
         FROM documents d LEFT JOIN v_atts a USING (doc_id) LEFT JOIN v_folders f ON f.folder_id = d.lang""",
     "v_cues": "SELECT conv_id AS meeting, turn AS pos, role AS speaker, text FROM conversations",
     "v_timed": f"""
-        SELECT 'timed' AS calendar, user_id % {N_PROFILES} AS profile, 'e' || event_id AS id, event_id,
+        SELECT 'timed' AS calendar, user_id AS profile, 'e' || event_id AS id, event_id,
           upper(left(event_type, 1)) || lower(substr(event_type, 2)) AS subject,
           CASE WHEN event_id % 10 = 0 THEN date_trunc('day', ts) ELSE ts END AS start_ts,
           CASE WHEN event_id % 10 = 0 THEN date_trunc('day', ts) + to_days(CAST(1 + event_id % 3 AS INTEGER))
@@ -449,9 +481,15 @@ SQL_VIEWS: dict[str, str] = {
                  WHEN speaker = 'assistant' THEN '<v.loud Asistente Virtual>' || text || '</v>'
                  ELSE text END AS block
           FROM v_cues) GROUP BY meeting""",
-    "v_seen_transcripts": "SELECT DISTINCT 't' || meeting AS transcript_id FROM v_cues WHERE meeting % 5 = 0",
+    "v_seen_transcripts": """
+        SELECT DISTINCT profile, 't' || (event_id // 2) AS transcript_id FROM v_timed
+        WHERE contains(join_url, 'teams.microsoft') AND event_id % 6 <> 0 AND (event_id // 2) % 5 = 0""",
+    "v_refusals": """
+        SELECT DISTINCT join_url, CASE WHEN event_id % 2 = 0 THEN 'Graph 403 Forbidden'
+                                       ELSE 'Graph 403 GraphAccessToTranscriptsDisabled' END AS motive
+        FROM v_timed WHERE event_id % 17 = 0 AND join_url <> ''""",
     "v_spans": f"""
-        SELECT 'spans' AS calendar, o_custkey % {N_PROFILES} AS profile, 'o' || o_orderkey AS id,
+        SELECT 'spans' AS calendar, o_custkey // {CUSTOMERS_PER_CALENDAR} AS profile, 'o' || o_orderkey AS id,
           o_orderkey AS event_id, 'Pedido ' || o_orderkey AS subject, o_orderdate AS start_ts,
           o_orderdate + to_days(CAST(o_orderkey % 70 AS INTEGER)) AS end_ts, o_orderkey % 2 = 0 AS all_day,
           o_orderstatus = 'F' AS cancelled, '' AS join_url, false AS is_online, '' AS provider,
@@ -465,7 +503,7 @@ SQL_DEPS: dict[str, list[str]] = {
     "v_messages": ["v_events"], "v_tree": ["v_folders"], "v_first": ["v_messages"],
     "v_index": ["v_first"], "v_internet_index": ["v_first"], "v_skip": ["v_first"],
     "v_fail": ["v_first"], "v_state": ["v_first"], "v_spans": ["v_span_att"], "v_docmail": ["v_atts", "v_folders"],
-    "v_online": ["v_timed"], "v_transcripts": ["v_cues"], "v_seen_transcripts": ["v_cues"],
+    "v_online": ["v_timed"], "v_transcripts": ["v_cues"], "v_seen_transcripts": ["v_timed"], "v_refusals": ["v_timed"],
 }
 
 

@@ -9,10 +9,10 @@ from comms_lake.operators import calendar as C
 EV = "id string, start_ts timestamp_ntz, end_ts timestamp_ntz, all_day boolean"
 
 
-def days_of(spark, rows, zone="UTC"):
+def days_of(spark, rows, zone="UTC", cap=None):
     df = spark.createDataFrame(rows, EV)
     return {r["id"]: sorted(d for d in r["d"]) for r in
-            C.event_days(df, zone).groupBy("id").agg(F.collect_list(F.date_format("day", "MM-dd")).alias("d")).collect()}
+            C.event_days(df, zone, cap).groupBy("id").agg(F.collect_list(F.date_format("day", "MM-dd")).alias("d")).collect()}
 
 
 def test_event_day_rules(spark):
@@ -27,7 +27,9 @@ def test_event_day_rules(spark):
     assert got["allday2"] == ["03-03", "03-04"]
     assert got["midnight"] == ["03-01"]
     assert got["noend"] == ["03-01"] and got["backward"] == ["03-01"]
-    assert len(got["long"]) == 61
+    assert len(got["long"]) == 92
+    capped = days_of(spark, [("long", d(2024, 3, 1), d(2024, 6, 1), True), ("short", d(2024, 3, 1), d(2024, 3, 3), True)], cap=60)
+    assert len(capped["long"]) == 61 and len(capped["short"]) == 2
 
 
 def test_zone_render_naive_utc(spark):
@@ -44,9 +46,34 @@ def test_parse_graph_timestamps(spark):
     assert got == ["20:00:00.123456", "20:00:00.000000", "20:00:00.000000", None, None]
 
 
+def test_time_parsing_ignores_the_session_zone(spark):
+    from comms_lake.operators import ops as O
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-10T02:30:00Z",), ("2024-03-10T02:30:00",), ("2024-11-03T01:30:00-04:00",)], "s string")
+        got = [r[0] for r in df.select(F.substring(TM.wall(TM.parse_graph_ts(F.col("s"))), 9, 8)).collect()]
+        assert got == ["10 02:30", "10 02:30", "03 05:30"]
+        hint = [r[0] for r in df.select(O.graph_time_hint(F.col("s"), F.lit("utc"))).collect()]
+        assert hint == ["2024-03-10T02:30:00Z", "2024-03-10T02:30:00Z", "2024-11-03T01:30:00-04:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    short = spark.createDataFrame([("2024-03-10",), ("2024-03-10T02:30",), ("2024-03-10 07",), ("2024-13-10",), ("x",)], "s string")
+    assert [r[0] for r in short.select(O.graph_time_hint(F.col("s"), F.lit(""))).collect()] == [
+        "2024-03-10T00:00:00Z", "2024-03-10T02:30:00Z", "2024-03-10T07:00:00Z", "2024-13-10", "x"]
+
+
+def test_digest_time_of_another_zone_is_wall_time(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 10, 20), "UTC"), (dt.datetime(2024, 1, 10, 20), ""),
+                                (dt.datetime(2024, 1, 10, 20), "Pacific Standard Time")], "ts timestamp_ntz, z string")
+    got = [r[0] for r in df.select(TM.digest_local("ts", "America/Bogota", F.col("z"))).collect()]
+    assert got == ["2024-01-10 15:00", "2024-01-10 15:00", "2024-01-10 20:00"]
+
+
 def test_attendee_cap(spark):
     df = spark.createDataFrame([([f"p{i}" for i in range(12)],), (["a", "b"],)], "l array<string>")
-    got = [r[0] for r in df.select(C.attendee_cap(F.col("l"))).collect()]
+    assert [r[0] for r in df.select(C.attendee_cap(F.col("l"))).collect()][1] == "a, b"
+    got = [r[0] for r in df.select(C.attendee_cap(F.col("l"), 10)).collect()]
     assert got == ["p0, p1, p2, p3, p4, p5, p6, p7, p8, p9 (+2 more)", "a, b"]
 
 
@@ -79,3 +106,64 @@ def test_day_document_exact_text(spark):
         "- lugar: Piso 3; Sala Norte\n- teams: sí\n- estado: cancelado\n")
     assert docs["2024-03-02"].endswith("id_origen: []\nparticipantes: []\nasunto: \"Agenda 2024-03-02\"\nproyecto:\n"
                                        "eventos: 0\ningestado: 2024-03-02T00:00:00+00:00\n---\n\nSin eventos.\n")
+
+
+DAY_COLS = ("calendar string, profile bigint, id string, subject string, start_ts timestamp_ntz, end_ts timestamp_ntz, "
+            "all_day boolean, cancelled boolean, org_name string, org_address string, location string, version bigint, "
+            "deleted boolean")
+
+
+def day_rows(spark, rows):
+    from comms_lake.operators import documents as DOC
+    df = spark.createDataFrame([("cal", 0, i, sub, a, b, False, can, "Ana", "ana@x", loc, v, gone)
+                                for i, sub, a, b, can, loc, v, gone in rows], DAY_COLS)
+    att = F.array().cast("array<struct<type:string,emailAddress:struct<name:string,address:string>>>")
+    df = C.with_people(df.withColumn("attendees", att)).withColumns(
+        {"place": F.col("location"), "teams": F.lit(False), "excerpt": F.lit("")})
+    return df.withColumn("block", DOC.event_block()).select(
+        "calendar", "profile", "id", "k", "people", "people_keys", "block", "start_ts", "end_ts", "all_day", "version", "deleted")
+
+
+def account(df):
+    return df.withColumns({"empresa": F.lit("acme"), "cuenta": F.lit("u@x")})
+
+
+def test_day_upsert_sees_edits_moves_deletions_and_replays(spark, tmp_path):
+    from comms_lake.streaming.jobs import DayUpsertStream
+    d = dt.datetime
+
+    def row(i, sub="Sync", day=1, can=False, loc="", v=0, gone=False):
+        return (i, sub, d(2024, 3, day, 9), d(2024, 3, day, 10), can, loc, v, gone)
+    s = DayUpsertStream(spark, str(tmp_path), account, "I")
+
+    def land(batch, *rows):
+        s.process(day_rows(spark, rows), batch)
+        return {r.day.day: (r.content_hash, r.written_batch, r.content) for r in
+                spark.read.schema(s.DAYS).parquet(s.days_path).collect()}
+    first = land(0, row("a"), row("b", day=2), row("c", day=3), row("x", day=4))
+    assert sorted(first) == [1, 2, 3, 4] and all(v[1] == 0 for v in first.values())
+    for batch, change in enumerate([row("a", sub="Renamed", v=1), row("a", sub="Renamed", loc="Piso 2", v=2),
+                                    row("a", sub="Renamed", loc="Piso 2", can=True, v=3)], 1):
+        before, after = first, land(batch, change)
+        assert after[1][0] != before[1][0] and after[1][1] == batch
+        assert all(after[k] == before[k] for k in (2, 3, 4))      # byte for byte, as they were written
+        first = after
+    moved = land(4, row("b", day=5, v=1))                         # leaves day 2, comes to day 5
+    assert "Sin eventos." in moved[2][2] and "- id_origen: b" in moved[5][2] and moved[3] == first[3]
+    gone = land(5, row("c", day=3, v=1, gone=True))
+    assert "eventos: 0" in gone[3][2] and gone[3][1] == 5
+    same = land(6, row("x", day=4))                               # redelivered unchanged: nothing is rewritten
+    assert same == gone
+    # a crash after the events were written and before the marker: the replay changes nothing
+    import shutil
+    shutil.copytree(tmp_path / "events" / "batch=6", tmp_path / "events" / "batch=7")
+    replayed = land(7, row("x", day=4))
+    assert replayed == gone and "eventos: 1" in replayed[4][2]
+
+
+def test_changed_days_labels(spark):
+    cols = "calendar string, profile bigint, day date, content_hash string"
+    new = spark.createDataFrame([("c", 0, dt.date(2024, 3, k), h) for k, h in ((1, "a"), (2, "b"), (3, "c"))], cols)
+    old = spark.createDataFrame([("c", 0, dt.date(2024, 3, 1), "a"), ("c", 0, dt.date(2024, 3, 2), "z")], cols)
+    got = {r.day.day: r.change for r in C.changed_days(new, old, ["calendar", "profile"]).collect()}
+    assert got == {2: "changed", 3: "new"}

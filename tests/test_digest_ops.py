@@ -15,13 +15,13 @@ ITEMS = ("profile bigint, scope string, target_date date, days int, received tim
 def test_mail_digest_exact_text(spark):
     items = spark.createDataFrame([(0, "Inbox", dt.date(2024, 3, 1), 1, dt.datetime(2024, 3, 1, 9, 0), "m1",
                                     "Ana <ana@x>", ["Luis <luis@x>"], [], "Hola", "cuerpo", [])], ITEMS)
-    r = D.mail_digest(items, ["profile"], "2024-03-02T00:00:00+00:00").first()
+    r = D.mail_digest(items, ["profile"], "2024-03-02T00:00:00+00:00", excerpt_chars=500).first()
     assert r["path"] == "External Inputs/Outlook/Mail/inbox/2024-03-01.md"
     assert r["content"] == (
         "---\ntype: external-input\nsource: outlook\nkind: mail\nfolder_or_query: Inbox\nscope_kind: folder\n"
         "date_range: 2024-03-01..2024-03-01\nmessage_count: 1\ningested_at: 2024-03-02T00:00:00+00:00\n"
         "entity_ids:\n  outlook:\n    - m1\n---\n\n# Outlook mail folder Inbox, 2024-03-01 to 2024-03-01\n\n"
-        "_1 message(s) ingested via /ingest-outlook mail. Bodies truncated to 500 chars to limit bulk PII._\n"
+        "_Messages in this digest: 1._\n"
         "## 2024-03-01 09:00 Ana <ana@x>\n\n- **Subject:** Hola\n- **To:** Luis <luis@x>\n"
         "- **Outlook message ID:** `m1`\n\n### Body excerpt (max 500 chars)\n\ncuerpo\n")
 
@@ -36,7 +36,7 @@ def test_query_scope_kind_and_slug(spark):
 def test_error_triage_longer_code_first(spark):
     logs = spark.createDataFrame([(1, "x AADSTS500113: no reply"), (2, "AADSTS5001131 odd"), (3, "AADSTS50011 uri"),
                                   (4, "timeout")], "log_id bigint, body string")
-    got = {r["log_id"]: r["code"] for r in O.error_triage(spark, logs).collect()}
+    got = {r["log_id"]: r["code"] for r in O.error_triage(logs).collect()}
     assert got == {1: "AADSTS500113", 2: "AADSTS500113", 3: "AADSTS50011", 4: None}
 
 
@@ -73,13 +73,13 @@ def test_calendar_digest_exact_text(spark):
     ev = spark.createDataFrame([(0, dt.date(2024, 3, 1), 1, dt.datetime(2024, 3, 1, 9), dt.datetime(2024, 3, 1, 10),
                                  "e1", "Reunión", True, "Ana <ana@x>", [f"p{i}" for i in range(12)], "Sala 1", "", "")],
                                schema)
-    r = D.calendar_digest(ev, ["profile"], "2024-03-02T00:00:00+00:00").first()
+    r = D.calendar_digest(ev, ["profile"], "2024-03-02T00:00:00+00:00", excerpt_chars=400, shown=10).first()
     assert r["path"] == "External Inputs/Outlook/Calendar/2024-03-01.md"
     assert r["content"] == (
         "---\ntype: external-input\nsource: outlook\nkind: calendar\ndate_range: 2024-03-01..2024-03-01\n"
         "event_count: 1\ningested_at: 2024-03-02T00:00:00+00:00\nentity_ids:\n  outlook_event:\n    - e1\n---\n\n"
         "# Outlook calendar, 2024-03-01 to 2024-03-01\n\n"
-        "_1 event(s) ingested via /ingest-outlook calendar. Body excerpts truncated to 400 chars to limit bulk PII._\n"
+        "_Events in this digest: 1._\n"
         "## 2024-03-01 09:00 Reunión (cancelled)\n\n- **Start:** 2024-03-01 09:00\n- **End:** 2024-03-01 10:00\n"
         "- **Organizer:** Ana <ana@x>\n- **Attendees:** p0, p1, p2, p3, p4, p5, p6, p7, p8, p9 (+2 more)\n"
         "- **Location:** Sala 1\n- **Event ID:** `e1`\n\n### Body excerpt (max 400 chars)\n\n_(body unavailable)_\n")
@@ -101,11 +101,82 @@ def test_meetings_digest_exact_text(spark):
         "---\ntype: external-input\nsource: outlook\nkind: meetings\ndate_range: 2024-03-01..2024-03-01\n"
         "meeting_count: 2\ntranscript_count: 1\ningested_at: 2024-03-02T00:00:00+00:00\nentity_ids:\n"
         "  outlook_event:\n    - e1\n    - e2\n---\n\n# Teams meetings + transcripts, 2024-03-01 to 2024-03-01\n\n"
-        "_2 meeting(s), 1 transcript(s) ingested via /ingest-outlook meetings. Transcripts are stored verbatim in "
-        "VTT format._\n"
+        "_Meetings in this digest: 2, transcripts: 1 (whole, as WebVTT)._\n"
         "## 2024-03-01 09:00 Sync\n\n- **Start:** 2024-03-01 09:00\n- **End:** 2024-03-01 10:00\n"
         "- **Organizer:** Ana <ana@x>\n- **Teams join:** https://teams.microsoft.com/x\n- **Event ID:** `e1`\n"
         "- **Online meeting ID:** `om1`\n- **Transcripts available:** 1\n\n### Transcript 1 (2024-03-01 10:05)\n\n"
         "- **Transcript ID:** `t1`\n\n```vtt\n" + vtt + "\n```\n\n"
         "## 2024-03-01 11:00 Otra\n\n- **Start:** 2024-03-01 11:00\n- **End:** 2024-03-01 11:30\n"
         "- **Organizer:** (unknown organizer)\n- **Event ID:** `e2`\n- **Transcripts available:** 0\n")
+
+
+def test_excerpts_and_caps_are_parameters(spark):
+    long = "x" * 700
+    items = spark.createDataFrame([(0, "Inbox", dt.date(2024, 3, 1), 1, dt.datetime(2024, 3, 1, 9, i), f"m{i}", "", [], [], "", long, [])
+                                   for i in range(3)], ITEMS)
+    whole = D.mail_digest(items, ["profile"], "I").first()["content"]
+    assert whole.count(long) == 3 and "### Body excerpt\n" in whole and "[...truncated]" not in whole
+    cut = D.mail_digest(D.newest_per_scope(items, ["profile", "scope"], 2), ["profile"], "I", excerpt_chars=500).first()
+    assert cut["message_count"] == 2 and cut["content"].count("[...truncated]") == 2 and "m0" not in cut["content"]
+    ev = spark.createDataFrame([(0, i, dt.datetime(2024, 3, 1, 9 + i)) for i in range(3)], "profile bigint, id int, start_ts timestamp_ntz")
+    assert {r["id"] for r in D.earliest_per_scope(ev, ["profile"], 2).collect()} == {0, 1}
+    assert D.earliest_per_scope(ev, ["profile"]).count() == 3
+
+
+def test_digest_store_overwrites_one_scope_and_date(spark, tmp_path):
+    cols = "kind string, target_date string, path string, content string"
+    first = spark.createDataFrame([("mail", "2024-03-01", "a.md", "1"), ("mail", "2024-03-01", "b.md", "1"),
+                                   ("mail", "2024-03-02", "a.md", "1"), ("calendar", "2024-03-01", "a.md", "1")], cols)
+    L.write_digests(first, str(tmp_path / "s"))
+    again = spark.createDataFrame([("mail", "2024-03-01", "a.md", "2")], cols)
+    got = {(r.kind, r.target_date, r.path): r.content for r in L.write_digests(again, str(tmp_path / "s")).collect()}
+    assert got == {("mail", "2024-03-01", "a.md"): "2", ("mail", "2024-03-01", "b.md"): "1",
+                   ("mail", "2024-03-02", "a.md"): "1", ("calendar", "2024-03-01", "a.md"): "1"}
+
+
+def test_page_budget_marks_cut_scans(spark, tmp_path):
+    rows = ['{"scan":"s","page":%d,"value":[{"id":"e%d"}]%s}' % (p, p, ',"@odata.nextLink":"n"' if p < 2 else "") for p in range(3)]
+    spark.createDataFrame([(r,) for r in rows], "value string").write.text(str(tmp_path / "p"))
+    pages = L.read_pages(spark, str(tmp_path / "p"), L.EVENT)
+    whole, cut = L.scan_caps(pages).first(), L.scan_caps(pages, 2).first()
+    assert (whole.pages_read, whole.items_read, whole.capped) == (3, 3, False)
+    assert (cut.pages_read, cut.items_read, cut.capped) == (2, 2, True)
+    assert {r.item.id for r in L.page_items(pages).collect()} == {"e0", "e1", "e2"}
+
+
+def test_frontmatter_lists_and_line_limit(spark):
+    from comms_lake.operators import documents as DOC
+    text = '---\na: "x\\ty"\nl:\n  - "one"\n  - two "b" \\ c\nempty: []\nz: plain\n---\nbody: no\n'
+    df = spark.createDataFrame([(text,), ("no header\n",)], "content string")
+    got = {r.key: (r.value, r["items"]) for r in DOC.parse_frontmatter(df).collect()}
+    assert got == {"a": ("x\ty", []), "l": ("", ["one", 'two "b" \\ c']), "empty": ("[]", []), "z": ("plain", [])}
+    assert DOC.parse_frontmatter(df, max_lines=2).count() == 0
+
+
+def test_write_scopes_are_split_off(spark):
+    df = spark.createDataFrame([(["User.Read", "Mail.Send", "https://graph.microsoft.com/Calendars.ReadWrite"],)], "s array<string>")
+    r = df.select(O.read_only_split(F.col("s")).alias("r")).first()["r"]
+    assert r["kept"] == ["User.Read"] and len(r["discarded"]) == 2
+
+
+def test_meeting_notes_and_profiles(spark):
+    from comms_lake.operators import meetings as MT
+    c = spark.createDataFrame([(0, "e1", dt.datetime(2024, 3, 1, 9), "m1", None), (0, "e2", dt.datetime(2024, 3, 1, 8), "m1", None),
+                               (1, "e3", dt.datetime(2024, 3, 1, 10), "m1", None), (1, "e4", dt.datetime(2024, 3, 1, 11), None, "late"),
+                               (1, "e5", dt.datetime(2024, 3, 1, 7), "m2", "early"), (1, "e6", dt.datetime(2024, 3, 1, 7), None, None)],
+                              "profile bigint, id string, start_ts timestamp_ntz, meeting_id string, motive string")
+    assert {(r.profile, r.id) for r in MT.first_event_per_meeting(c).collect()} == {(0, "e2"), (1, "e3")}
+    notes = {r.profile: r.note for r in MT.meeting_notes(c).collect()}
+    assert notes == {0: "", 1: "sin acceso: early; 1 sin datos de Teams"}
+    t = spark.createDataFrame([("m1", "t1", None)], "meeting_id string, transcript_id string, created timestamp_ntz")
+    seen = spark.createDataFrame([(0, "t1")], "profile bigint, transcript_id string")
+    left = MT.new_transcripts(MT.first_event_per_meeting(c), t, seen, F.lit(dt.datetime(2024, 2, 1)))
+    assert [(r.profile, r.transcript_id) for r in left.collect()] == [(1, "t1")]   # each profile has its own index
+
+
+def test_meeting_paths_chain(spark):
+    from comms_lake.operators import documents as DOC
+    rows = spark.createDataFrame([(f"t{i}", dt.datetime(2024, 3, 1, 9, i), "Sync") for i in range(3)] + [("t0", dt.datetime(2024, 3, 1, 9, 5), "Sync"),
+                                  ("t0", dt.datetime(2024, 3, 1, 9, 6), "Sync")], "transcript_id string, started timestamp_ntz, subject string")
+    paths = sorted(r.path for r in DOC.meeting_paths(rows, F.lit("acme")).collect())
+    assert len(set(paths)) == 5 and sum(p.endswith("-2.md") for p in paths) == 1 and "reuniones/acme/2024-03-01-sync.md" in paths

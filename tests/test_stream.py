@@ -2,8 +2,9 @@
 list, and a replay of a finished stream writes nothing new (T1, T4, T6)."""
 import datetime as dt
 import os
-import tempfile
+import time
 
+import pytest
 
 from comms_lake.streaming import jobs as J
 
@@ -11,38 +12,89 @@ COLS = "profile bigint, id string, internet_id string, received timestamp_ntz, f
        "event_id bigint, user_id bigint, k bigint, pos int"
 
 
-def test_stream_runs_are_idempotent(spark):
-    root = tempfile.mkdtemp(prefix="stream-test-")
-    t0 = dt.datetime(2024, 3, 1, 9)
-    rows = []
+FOLDERS = [("root", "r", "root"), ("inbox", "i", "root"), ("junkemail", "j", "root")]
+
+
+def stream(spark, root, fails, files, **options):
+    folders = spark.createDataFrame(FOLDERS, "folder_id string, display_name string, parent_id string")
+    f = spark.createDataFrame(fails, "profile bigint, id string, prior_strikes bigint")
+    start = spark.createDataFrame([(dt.datetime(2024, 2, 1),)], "backfill_start timestamp_ntz")
+    s = J.MailStream(spark, os.path.join(root, "state"), folders, ["junkemail"], f, 10, start, **options)
+    s.run(spark.readStream.schema(COLS).option("maxFilesPerTrigger", files).parquet(os.path.join(root, "landing")))
+    return s
+
+
+def land(spark, root, rows, days):
+    """One file a day, landed in time order."""
+    for day in sorted({r[3].date() for r in rows}):
+        part = [r for r in rows if r[3].date() == day]
+        spark.createDataFrame(part, COLS).coalesce(1).write.mode("append").parquet(os.path.join(root, "landing"))
+        time.sleep(0.05)
+
+
+def messages():
+    t0, rows = dt.datetime(2024, 3, 1, 9), []
     for day in range(3):
-        for i in range(6):
-            n = day * 10 + i
+        for i in range(12):
+            n = day * 100 + i
             folder = "junkemail" if i == 5 else "inbox"
-            rows.append((0, f"m{n}", f"<m{n}>", t0 + dt.timedelta(days=day, minutes=i), folder, "s", n, 1, 1, 0))
-    msgs = spark.createDataFrame(rows, COLS)
-    landing = os.path.join(root, "landing")
-    J.land_by_day(msgs, landing, "received", files_per_day=1)   # 6 rows a day: one file each
-    folders = spark.createDataFrame([("root", "r", "root"), ("inbox", "i", "root"), ("junkemail", "j", "root")],
-                                    "folder_id string, display_name string, parent_id string")
-    fails = spark.createDataFrame([(0, "m2", 0)], "profile bigint, id string, prior_strikes bigint")
-    start = spark.createDataFrame([(t0 - dt.timedelta(days=1),)], "backfill_start timestamp_ntz")
-    schema = spark.read.parquet(landing).schema
-
-    def run():
-        s = J.MailStream(spark, os.path.join(root, "state"), folders, ["junkemail"], fails, 100, 10, start)
-        s.run(landing, schema, max_files=1)   # one day per run
-        return s
-
-    s = run()
-    final = {r["id"]: r["outcome"] for r in s.final_outcomes().collect()}
-    assert len(final) == 18
-    assert final["m2"] == "skipped"                     # fails in runs 1, 2 and 3: third strike
-    assert sum(v == "excluded" for v in final.values()) == 3
-    assert sum(v == "written" for v in final.values()) == 14
-    index = spark.read.parquet(os.path.join(root, "state", "index"))
-    assert index.count() == index.select("id").distinct().count() == 14
+            inet = f"<same{day}>" if i in (3, 4) else "" if i >= 6 else f"<m{n}>"
+            rows.append((n % 2, f"m{n}", inet, t0 + dt.timedelta(days=day, minutes=i), folder, "s", n, 1, 1, 0))
+    rows.append((1, "again", "<m1>", t0 + dt.timedelta(days=2, hours=3), "inbox", "s", 1, 1, 1, 0))  # a copy two days later
+    return rows
+
+
+@pytest.mark.parametrize("files", [1, 2, 99])
+def test_every_id_gets_an_outcome_for_any_split_into_batches(spark, tmp_path, files):
+    rows = messages()
+    land(spark, str(tmp_path), rows, 3)
+    # profile 0 fails for a whole day: more than five in a row, so the run stops and goes on in the next
+    fails = [(0, f"m{100 + i}", 0) for i in range(0, 12, 2) if i not in (4,)] + [(1, "m7", 1)]
+    s = stream(spark, str(tmp_path), fails, files)
+    got = {r["id"]: r["outcome"] for r in s.final_outcomes().collect()}
+    want = {}
+    written = {}
+    for p, i, inet, at, folder, *_ in sorted(rows, key=lambda r: (r[0], r[3], r[1])):
+        bad = (p, i) in {(a, b) for a, b, _ in fails}
+        if inet and (p, inet) in written:
+            want[i] = "known"
+        elif folder == "junkemail":
+            want[i] = "excluded"
+        elif bad:
+            want[i] = "skipped"
+        else:
+            want[i] = "written"
+            written[p, inet] = i
+    assert got == want
+    index = spark.read.parquet(os.path.join(s.root, "index"))
+    assert index.count() == index.select("profile", "id").distinct().count()
     before = s.outcomes().count()
-    s2 = run()                                          # same checkpoint: nothing left to do
+    s2 = stream(spark, str(tmp_path), fails, files)                 # same checkpoint: nothing left to do
     assert s2.outcomes().count() == before
-    assert spark.read.parquet(os.path.join(root, "state", "index")).count() == 14
+
+
+def test_a_replayed_batch_writes_the_same_state(spark, tmp_path):
+    batch = spark.createDataFrame(messages(), COLS)
+    folders = spark.createDataFrame(FOLDERS, "folder_id string, display_name string, parent_id string")
+    none = spark.createDataFrame([], "profile bigint, id string, prior_strikes bigint")
+    start = spark.createDataFrame([(dt.datetime(2024, 2, 1),)], "backfill_start timestamp_ntz")
+    s = J.MailStream(spark, str(tmp_path / "state"), folders, ["junkemail"], none, 10, start, cap=5)
+    s.process(batch, 0)                                             # several capped runs in one batch
+    assert s.outcomes().select("run").distinct().count() > 1
+    first = sorted(map(tuple, s.outcomes().collect()))
+    (tmp_path / "state" / "done" / "batch=0").rename(tmp_path / "marker")   # as after a crash before the commit
+    s.process(batch, 0)
+    assert sorted(map(tuple, s.outcomes().collect())) == first
+    assert {r["outcome"] for r in s.final_outcomes().collect()} == {"written", "excluded", "known"}
+
+
+def test_one_failing_source_leaves_the_others(spark):
+    profiles = spark.createDataFrame([(0,), (1,)], "profile bigint")
+
+    def broken():
+        raise OSError("secret detail")
+    out = J.run_isolated(spark, profiles, {"mail": lambda: spark.createDataFrame([(0, 3)], "profile bigint, n bigint"),
+                                           "calendar": broken}, describe=lambda e: type(e).__name__)
+    assert {(r.profile, r.source): (r.status, r.n) for r in out.collect()} == {
+        (0, "mail"): ("ok", 3), (1, "mail"): ("error: sin datos", 0),
+        (0, "calendar"): ("error: OSError", 0), (1, "calendar"): ("error: OSError", 0)}

@@ -15,7 +15,7 @@ def col1(spark, value, fn):
 
 
 def test_slug_ascii_cases(spark):
-    assert col1(spark, 'RE: Revisión "Q3" — café', X.slug_ascii) == "re-revision-q3-cafe"
+    assert col1(spark, "Año Nuevo: ¿qué «plan»?", X.slug_ascii) == "ano-nuevo-que-plan"
     assert col1(spark, "", X.slug_ascii) == "sin-asunto"
     assert col1(spark, "con", X.slug_ascii) == "item-con"
     assert col1(spark, "Straße", X.slug_ascii) == "strae"      # sharp s has no ASCII base: dropped
@@ -30,7 +30,7 @@ def test_slug_plain_turns_accents_into_dashes(spark):
 
 
 def test_yaml_quote_survives_hostile_subjects(spark):
-    hostile = 'RE: Factura: #12 "urgente"\n---\nlínea\u2028sep\x85nel\x07bell \\ fin'
+    hostile = "Sí: [x]\t'y' \"z\"\n---\nfin\u2028más\x85otra\x07voz \\ ya"
     quoted = col1(spark, hostile, X.yaml_quote)
     assert "\n" not in quoted
     assert json.loads(quoted) == hostile
@@ -42,11 +42,16 @@ def test_one_line_collapses_unicode_whitespace(spark):
 
 
 def test_truncate_utf8_keeps_whole_characters(spark):
-    out = col1(spark, "ñ" * 60_000, lambda c: X.truncate_utf8(c, X.MAIL_BODY_MAX_BYTES))
-    assert len(out.encode("utf-8")) <= X.MAIL_BODY_MAX_BYTES
-    assert out == "ñ" * (X.MAIL_BODY_MAX_BYTES // 2)
+    limit = 100 * 1024
+    out = col1(spark, "ñ" * 60_000, lambda c: X.truncate_utf8(c, limit))
+    assert len(out.encode("utf-8")) <= limit
+    assert out == "ñ" * (limit // 2)
     odd = col1(spark, "a" + "€" * 10, lambda c: X.truncate_utf8(c, 6))   # 1 + 3 + (2 of 3) bytes
     assert odd == "a€"
+    for n in range(12):  # every cut of characters of 1 to 4 bytes; a genuine U+FFFD stays
+        text = "a€\ufffdñ😀b"
+        want = text.encode()[:n].decode("utf-8", "ignore")
+        assert col1(spark, text, lambda c: X.truncate_utf8(c, n)) == want, n
 
 
 def test_size_label_rounds_half_even(spark):
@@ -87,3 +92,17 @@ def test_message_document_exact_text(spark):
         '  - "Ana <ana@x>"\n  - "Luis <luis@x>"\nasunto: "Hola \\"mundo\\""\nproyecto:\ncarpeta: "Entrada"\n'
         'hilo: "c1"\nadjuntos:\n  - "doc.pdf"\ningestado: I\n---\n\n## Adjuntos\n\n- doc.pdf (application/pdf, 2 KB)\n\n'
         "## Cuerpo\n\nlínea 1\n\\---\nfin\n")
+
+
+def test_message_body_limit_is_a_parameter(spark):
+    from comms_lake.operators import documents as DOC
+    addr = "struct<emailAddress:struct<name:string,address:string>>"
+    df = spark.createDataFrame([("m", "", "s", __import__("datetime").datetime(2024, 3, 1), None, None, [], [], "", "", [], False,
+                                 "é" * 3000, "e", "c", "I")],
+                               f"id string, internet_id string, subject string, received timestamp_ntz, from_entry {addr}, "
+                               f"sender_entry {addr}, to_entries array<{addr}>, cc_entries array<{addr}>, conversation_id string, "
+                               "carpeta string, attachments array<struct<name:string,content_type:string,size:bigint>>, "
+                               "attachments_error boolean, body_text string, empresa string, cuenta string, ingestado string")
+    assert "é" * 3000 in DOC.render_mail(df).first()["content"]
+    cut = DOC.render_mail(df, max_bytes=2049).first()["content"]
+    assert cut.endswith("é" * 1024 + "\n\n[...truncado a 2 KB]\n") and "é" * 1025 not in cut
