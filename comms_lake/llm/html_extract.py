@@ -38,7 +38,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 BOILER_TAGS = {"nav", "footer", "aside", "form", "menu"}
 BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert",
                 "alertdialog", "menu", "menubar", "toolbar"}
-BOILER_WORDS = set("""ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs byline
+BOILER_WORDS = set("""ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs
     comment comments commentlist consent cookie cookies copyright disclaimer disqus footer footnav gdpr infobar login
     masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination
     paywall popup promo promoted promotion recommended related replies reply respond rss search share shares sharing
@@ -65,6 +65,9 @@ _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTR = re.compile(r"""([a-zA-Z_:][-a-zA-Z0-9_:.]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
 _WORDS = re.compile(r"[^\W_]++")
 _PARTS = re.compile(r"[A-Z]?[a-z]++|[A-Z]++(?![a-z])")
+# A class that says what a wrapper has or lacks, not what it is.
+_STATE = re.compile(r"(?:no|not|has|have|with|without|is|hide|show)[-_]|.*[-_](?:open|opened|closed|enabled|disabled|on|off)$")
+_SENTENCE = re.compile(r"""[.!?…:;]["'”’»)\]]*$""")
 
 
 class Block:
@@ -93,9 +96,10 @@ def _boiler(name: str, attributes: str, inside: bool) -> bool:
         if key == "role" and value.lower() in BOILER_ROLES and not (inside and value.lower() == "banner"):
             return True
         if key in ("class", "id"):
-            words = {w.lower() for w in _PARTS.findall(value)}
-            if name == "article":
-                words &= {"comment", "comments", "reply", "ad", "ads", "advert", "promo", "sponsored", "related"}
+            names = [v for v in value.split() if not _STATE.match(v.lower())]
+            if name == "article":  # the text itself, unless the whole class says otherwise
+                names = [v for v in names if v.lower() in BOILER_WORDS]
+            words = {w.lower() for v in names for w in _PARTS.findall(v)}
             if words & BOILER_WORDS or not inside and words & HEADER_WORDS:
                 return True
     return False
@@ -107,7 +111,7 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, tuple[bool, int]]] = []
     opened: dict[str, int] = {}
     place, articles, hidden = (False, 0), 0, 0
-    block, heading, item, in_link = None, False, False, False
+    block, heading, item, in_link, own_bad = None, False, False, False, False
     at, n = 0, len(html)
     while at < n:
         begin = html.find("<", at)
@@ -130,7 +134,7 @@ def blocks(html: str) -> list[Block]:
         piece = html[at:begin if begin == n or tag or ahead in "!?/" or ahead.isalpha() else end]
         if piece and not hidden:
             if block is None and not piece.isspace():
-                block = Block(place, heading, item)
+                block = Block((place[0] or own_bad, place[1]), heading, item)
                 out.append(block)
             if block is not None:
                 block.parts.append(piece)
@@ -153,10 +157,11 @@ def blocks(html: str) -> list[Block]:
             continue
         if name not in BLOCK:
             continue
-        block, in_link = None, False
+        block, in_link, own_bad = None, False, False
         heading = not closing and name[0] == "h" and name[1:].isdigit()
         item = not closing and name in ("li", "dt", "dd", "option")
         if name not in SCOPE or name in VOID:
+            own_bad = not closing and bool(tag[3]) and _boiler(name, tag[3], place[1] > 0)
             continue
         if closing:
             if opened.get(name, 0):  # ends all that is open inside as well
@@ -242,8 +247,10 @@ def extract(html: str | None) -> str:
             keep = labels[0] == "good"
         elif b.label == "near" or b.heading and flow[q].label == "good":
             keep = True
-        else:  # one neighbour of each kind: the nearer decides
-            keep = flow[p if i - p <= q - i else q].label == "good"
+        elif i - p != q - i:  # one neighbour of each kind: the nearer decides
+            keep = flow[p if i - p < q - i else q].label == "good"
+        else:
+            keep = bool(_SENTENCE.search(b.text))
         settled.append(keep)
     return "\n".join(b.text for b, keep in zip(flow, settled) if keep)
 
