@@ -27,7 +27,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import literal_table
 from .common import located
 from .licence_rows import NOTICES, ORDINARY
 
@@ -47,12 +46,15 @@ def grams(paragraph: str) -> set[str]:
 
 
 def gram_column(paragraph: Column) -> Column:
+    """The word two- and three-grams of a paragraph, repeats included."""
+    def join(words: Column) -> Column:
+        rest = lambda n: F.slice(words, n, F.size(words))
+        two = F.zip_with(words, rest(2), lambda a, b: F.concat(a, F.lit(" "), b))  # null where there is no second
+        three = F.zip_with(two, rest(3), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.concat(two, three)
     words = F.filter(F.split(F.lower(paragraph), _BREAK), lambda w: w != "")
-    two = F.transform(words, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
-    three = F.transform(words, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)))
-    n = F.size(words)
-    return F.array_distinct(F.concat(F.slice(two, 1, F.greatest(n - 1, F.lit(0))),
-                                     F.slice(three, 1, F.greatest(n - 2, F.lit(0)))))
+    # an array of one element binds the words once; as an expression they would be split again at each use
+    return F.get(F.transform(F.array(words), join), F.lit(0))
 
 
 class Model:
@@ -105,8 +107,8 @@ class Model:
 
     def table(self, spark: SparkSession) -> DataFrame:
         """(gram, w: weight per family), a few hundred rows."""
-        return literal_table(spark, [(g, [float(v) for v in w]) for g, w in zip(self.names, self.weights)],
-                             "gram string, w array<double>")
+        return spark.createDataFrame([(g, [float(v) for v in w]) for g, w in zip(self.names, self.weights)],
+                                     "gram string, w array<double>")
 
 
 def learn(spark: SparkSession, docs: DataFrame, text_col: str = "text", notices: list[tuple[str, str]] = NOTICES,
@@ -133,9 +135,11 @@ def paragraphs(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
                         F.posexplode(F.split(F.col(f"`{text_col}`").cast("string"), "\n")).alias("line", "paragraph"))
     found = (keyed.select("doc", "line", F.explode(gram_column(F.col("paragraph"))).alias("gram"))
              .join(F.broadcast(model.table(spark)), "gram"))
-    sums = found.groupBy("doc", "line").agg(
-        F.collect_set("gram").alias("grams"), *[F.sum(F.col("w")[i]).alias(f"z{i}") for i in range(k)])
-    z = [(F.col(f"z{i}") + F.lit(float(model.intercepts[i]))) / F.lit(float(model.temperature)) for i in range(k)]
+    sums = (found.groupBy("doc", "line").agg(F.collect_set(F.struct("gram", "w")).alias("found"))
+            .select("doc", "line", F.transform("found", lambda x: x["gram"]).alias("grams"),
+                    F.aggregate("found", F.array(*[F.lit(0.0)] * k),
+                                lambda a, x: F.zip_with(a, x["w"], lambda u, v: u + v)).alias("sum")))
+    z = [(F.get("sum", F.lit(i)) + F.lit(float(model.intercepts[i]))) / F.lit(float(model.temperature)) for i in range(k)]
     top = F.greatest(*z)
     scored = sums.select("doc", "line", "grams", F.array(*[F.exp(x - top) for x in z]).alias("e"))
     scored = scored.withColumn("total", F.aggregate("e", F.lit(0.0), lambda a, x: a + x))
