@@ -35,11 +35,11 @@ from ..session import run_dir
 from .common import drop_rows, located, map_texts, stored
 
 DIMENSIONS = 8192
-SAMPLE_ROWS = 500
+SAMPLE_ROWS = 300
 MAX_LANGUAGES = 64
 CENTROIDS = 4
-# A text is rejected under this share of the least cosine of sampled texts with as many bytes (to a power of two),
-# if there are so many of them.
+# A text is rejected under this share of the least cosine of sampled texts with as many bytes (to a power of two);
+# where those are fewer than so many, of the next shorter ones.
 REJECT_SHARE, REJECT_LEAST = 0.5, 20
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
@@ -83,17 +83,20 @@ class Model:
             centres = _kmeans(vectors[at == name], min(k, int((at == name).sum())), np.random.default_rng(seed))
             rows.append(centres)
             owner += [number] * len(centres)
+        del vectors
         self.centres = np.concatenate(rows) if rows else np.zeros((0, DIMENSIONS), np.float32)
         self.owner = np.array(owner, np.int64)
         self.floor = np.zeros(64)
         least: dict[int, list[float]] = {}
-        for group, found in ((counted, vectors), (pieces, self.vectors(pieces) if len(pieces) else pieces)):
-            for name, c, v in zip(langs, group, found):
-                own = self.centres[self.owner == self.names.index(name)]
-                least.setdefault(self.size(c), []).append(float((own @ v).max()))
-        for size, found in least.items():
-            if len(found) >= REJECT_LEAST:
-                self.floor[size] = REJECT_SHARE * min(found)
+        for group in (counted, pieces):
+            for first in range(0, len(group), 128):  # some at a time, for memory
+                part = group[first:first + 128]
+                for name, c, cosine in zip(langs[first:first + 128], part, self.vectors(part) @ self.centres.T):
+                    own = cosine[self.owner == self.names.index(name)]
+                    least.setdefault(self.size(c), []).append(float(own.max()))
+        for size in range(1, len(self.floor)):  # a longer text is no further away than a shorter one
+            found = least.get(size, [])
+            self.floor[size] = REJECT_SHARE * min(found) if len(found) >= REJECT_LEAST else self.floor[size - 1]
 
     @staticmethod
     def size(counted: np.ndarray) -> int:
@@ -167,7 +170,9 @@ def learn(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
     for matrix, name in ((counted, "counted"), (pieces, "piece")):
         for i, x in enumerate(found.column(name)):
             matrix[i] = np.frombuffer(x.as_buffer(), np.uint16)
-    return Model(found.column("lang").to_pylist(), counted, pieces)
+    langs = found.column("lang").to_pylist()
+    del found
+    return Model(langs, counted, pieces)
 
 
 def piece(text: str) -> str:
