@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding (operator 5).
 
-Text is split by the vocabulary's pattern; each match is merged on its own.
-The merge loop holds candidate pairs in one bucket per merge rank. A
+Text is split by the vocabulary's pattern; no merge crosses a match. The merge
+loop, over all new matches of some texts at once, holds candidate pairs in one
+bucket per merge rank. A
 hierarchical bitmap over the ranks (256 bits a word, two levels) finds the next
 rank by find-first-set; a bucket holds linked-list positions, taken smallest
 first, so equal ranks merge from the left. An entry whose pair has changed
@@ -16,10 +17,12 @@ result; ids that are not in the vocabulary are an error when decoding.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import unicodedata
-from collections.abc import Callable
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import pandas as pd
@@ -31,8 +34,10 @@ from pyspark.sql import functions as F
 from .common import map_texts
 
 MULTI_50K = "byte_bpe_multi_50k.tiktoken"
-# Encoded matches kept per Python worker: so many of so many characters at most.
-CACHE_ENTRIES, CACHE_CHARS = 800_000, 40
+# Encoded matches kept between the texts of a task: so many of so many characters at most.
+CACHE_ENTRIES, CACHE_CHARS = 500_000, 40
+TOGETHER = 2000  # matches merged at once: their lists stay in the processor's cache
+STOP = 1 << 19  # no rank is as great
 
 
 def narrow_pattern(pattern: str) -> Callable[[str], list[str]] | None:
@@ -48,24 +53,6 @@ def narrow_pattern(pattern: str) -> Callable[[str], list[str]] | None:
     return None if re.search(r"\\[pPsSwWdDbB]", out) or "(?i" in out else re.compile(out).findall
 
 
-class Matches(dict):
-    """Ids by match: a bounded cache of short matches; others are merged anew."""
-
-    def __init__(self, codec: Codec):
-        super().__init__()
-        self.codec = codec
-
-    def __missing__(self, match: str) -> tuple[int, ...]:
-        data = match.encode()
-        whole = self.codec.ranks.get(data)
-        ids = (whole,) if whole is not None else tuple(self.codec.merge(data))
-        if len(match) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[match] = ids
-        return ids
-
-
 class Codec:
     """Encoder and decoder for one rank file and one split pattern."""
 
@@ -73,7 +60,7 @@ class Codec:
         self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.any, self.narrow = regex.compile(pattern).findall, narrow_pattern(pattern)
-        self.cache = Matches(self)
+        self.cache: dict[str, tuple[int, ...]] = {}
         # Rank of the token that two tokens make, by both their ranks.
         get = self.ranks.get
         self.pairs = {}
@@ -85,26 +72,34 @@ class Codec:
         self.low = [0] * ((max(self.ranks.values(), default=0) >> 8) + 1)
         self.bit = [1 << k for k in range(max(256, len(self.low)))]
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Token ids of one match. ``top`` has a bit for each word of ``low``
-        that is not zero, ``low`` a bit for each rank with a bucket; all of
-        ``low`` is zero again at the end."""
-        get, low, bit, single, n = self.pairs.get, self.low, self.bit, self.bytes, len(piece)
-        token = [single[x] for x in piece]  # by position; None where merged into the one before
+    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+        """Token ids of each match. All of them stand in one linked list, a stop
+        between neighbours that no pair crosses, and share one queue: ``top``
+        has a bit for each word of ``low`` that is not zero, ``low`` a bit for
+        each rank with a bucket; all of ``low`` is zero again at the end."""
+        get, low, bit, single = self.pairs.get, self.low, self.bit, self.bytes
+        token: list[int | None] = []  # by position; None where merged into the one before
+        starts = []
+        for piece in pieces:
+            starts.append(len(token))
+            token += [single[x] for x in piece]
+            token.append(STOP)
+        n = len(token)
         after = list(range(1, n + 1))  # where the token at a position ends and the next begins
         before = list(range(-1, n))
         pair = [get(x << 20 | y) for x, y in zip(token, token[1:])]  # rank of the pair that begins at a position
         pair.append(None)
         buckets: dict[int, list[int]] = {}
-        top = 0
         for i, rank in enumerate(pair):
             if rank is not None:
                 if rank in buckets:
                     buckets[rank].append(i)
                 else:
                     buckets[rank] = [i]
-                    low[rank >> 8] |= bit[rank & 255]
-                    top |= bit[rank >> 8]
+        top = 0
+        for rank in buckets:
+            low[rank >> 8] |= bit[rank & 255]
+            top |= bit[rank >> 8]
         while top:
             word = (top & -top).bit_length() - 1
             bits = low[word]
@@ -115,42 +110,54 @@ class Codec:
             bucket = buckets.pop(rank)
             if len(bucket) > 1:
                 bucket.sort()
-            for k, i in enumerate(bucket):
+            waiting: set[int] = set()  # matches in which a lower rank has come up: their rest of the bucket waits
+            later = []
+            for i in bucket:
                 if pair[i] != rank:
                     continue  # stale: this pair has grown or gone
+                if waiting and bisect_right(starts, i) in waiting:
+                    later.append(i)
+                    continue
                 gone = after[i]
                 end = after[i] = after[gone]
                 token[i], token[gone], pair[gone] = rank, None, None
                 before[end] = i
-                lowest = rank
-                pair[i] = new = get(rank << 20 | token[end]) if end < n else None
+                pair[i] = new = get(rank << 20 | token[end])
                 if new is not None:
-                    if new < lowest:
-                        lowest = new
                     if new in buckets:
                         buckets[new].append(i)
                     else:
                         buckets[new] = [i]
-                        low[new >> 8] |= bit[new & 255]
-                        top |= bit[new >> 8]
+                        place = new >> 8
+                        low[place] |= bit[new & 255]
+                        top |= bit[place]
+                    if new < rank:
+                        waiting.add(bisect_right(starts, i))
                 left = before[i]
                 if left >= 0:
                     pair[left] = new = get(token[left] << 20 | rank)
                     if new is not None:
-                        if new < lowest:
-                            lowest = new
                         if new in buckets:
                             buckets[new].append(left)
                         else:
                             buckets[new] = [left]
-                            low[new >> 8] |= bit[new & 255]
-                            top |= bit[new >> 8]
-                if lowest < rank and k + 1 < len(bucket):  # a lower rank has come up: the rest waits
-                    buckets[rank] = bucket[k + 1:]
-                    low[word] |= bit[rank & 255]
-                    top |= bit[word]
-                    break
-        return [x for x in token if x is not None]
+                            place = new >> 8
+                            low[place] |= bit[new & 255]
+                            top |= bit[place]
+                        if new < rank:
+                            waiting.add(bisect_right(starts, i))
+            if later:
+                buckets[rank] = later
+                low[word] |= bit[rank & 255]
+                top |= bit[word]
+        out, ids = [], []
+        for x in token:
+            if x == STOP:
+                out.append(ids)
+                ids = []
+            elif x is not None:
+                ids.append(x)
+        return out
 
     def split(self, text: str) -> list[str]:
         """The pattern's matches."""
@@ -162,8 +169,27 @@ class Codec:
                 pass
         return self.any(text)
 
+    def encode_all(self, texts: list) -> Iterator[list[int]]:
+        """Token ids of each text, in order; matches that no text had before are merged together."""
+        cache, split = self.cache, [self.split(t or "") for t in texts]
+        new = list(set().union(*split).difference(cache))
+        data = [m.encode() for m in new]
+        whole = self.ranks.get
+        rest = [k for k, d in enumerate(data) if whole(d) is None]
+        cache.update((m, (whole(d),)) for m, d in zip(new, data) if whole(d) is not None)
+        for at in range(0, len(rest), TOGETHER):
+            part = rest[at:at + TOGETHER]
+            cache.update((new[k], tuple(ids)) for k, ids in zip(part, self.merge([data[k] for k in part])))
+        for matches in split:
+            yield list(chain.from_iterable(map(cache.__getitem__, matches)))
+        for m in new:
+            if len(m) > CACHE_CHARS:
+                del cache[m]
+        if len(cache) > CACHE_ENTRIES:
+            cache.clear()
+
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(map(self.cache.__getitem__, self.split(text or ""))))
+        return list(self.encode_all([text]))[0]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -190,11 +216,12 @@ class Tokenizer:
         return _CODECS[key]
 
 
+
 def encode_documents(docs: DataFrame, tokenizer: Tokenizer, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the token ids of each whole text as array<int>."""
     @F.pandas_udf("array<int>")
     def encode(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: tokenizer.codec().encode(t))
+        return pd.Series(list(tokenizer.codec().encode_all(texts.tolist())), dtype=object)
     return docs.withColumn(out, encode(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
 
 
@@ -211,14 +238,18 @@ def digests(docs: DataFrame, tokenizer: Tokenizer, id_col: str = "doc_id", text_
     decodes a text at a time, so only digests travel back to the JVM."""
     def make():
         codec = tokenizer.codec()
+        gc.disable()  # nothing below makes cycles; the collector would walk the cache again and again
 
         def digest(texts: list) -> list[list]:
             rows = []
-            for text in texts:
-                ids = codec.encode(text)
+            for ids in codec.encode_all(texts):
                 rows.append((len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
                              hashlib.sha256(codec.decode(ids)).hexdigest()))
             return [list(c) for c in zip(*rows)]
+        def close() -> None:
+            codec.cache.clear()
+            gc.enable()
+        digest.close = close
         return digest
     return map_texts(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")),
                      make, "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -11,13 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from ..session import materialize
-
-# A side joined by broadcast has at most this many rows of a few fixed-size
-# columns (about 100 bytes each in a hash relation, so some 20 MB); beyond it
-# the same join shuffles.
-BROADCAST_ROWS = 200_000
-
+from ..session import bounded, materialize
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,11 +48,6 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(side: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``side`` with a broadcast hint if it has ``limit`` rows at most (counted), else as it is."""
-    return F.broadcast(side) if side.limit(limit + 1).count() <= limit else side
-
-
 def drop_rows(docs: DataFrame, file: Column, row: Column, dropped: DataFrame) -> DataFrame:
     """``docs`` (from ``located``) without the rows whose (file, row) ``dropped`` lists; all columns stay."""
     f, r = fresh(docs, "at_file"), fresh(docs, "at_row")
@@ -74,7 +63,8 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[..., list[list]]], sche
     ``state``, and those of ``schema``, computed per text in Arrow batches.
     ``make()`` runs once per task and returns a function from some texts
     (strings; null gives None) and their ``state`` columns to a list of
-    columns. Texts are handled ``slice_rows`` at a time, so Python holds only
+    columns; its attribute ``close``, if any, is called at the task's end.
+    Texts are handled ``slice_rows`` at a time, so Python holds only
     those.
     """
     text = F.col(f"`{text_col}`").cast("string").alias(text_col)
@@ -95,5 +85,7 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[..., list[list]]], sche
                     [part.column(i) for i in range(keep)]
                     + [pa.array(c, type=f.type) for c, f in zip(columns, types)],
                     names=[f.name for f in out.fields])
+        if hasattr(fn, "close"):
+            fn.close()
 
     return df.mapInArrow(run, out)

@@ -37,8 +37,11 @@ def test_very_long_match_and_cache_limit(monkeypatch):
     assert CODEC.decode(ids) == text.encode() and not any(CODEC.low)
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
     codec = bpe.Codec(LINES, public_tokenizers.PATTERN)
-    text = "some words that are more than the cache holds, words and words"
-    assert codec.encode(text) == WANT.encode_ordinary(text) and len(codec.cache) <= 3
+    texts = ["some words that are more than the cache holds, words and words", None, "", "x" * 50 + " some"] * 2
+    assert list(codec.encode_all(texts)) == [WANT.encode_ordinary(t or "") for t in texts] and len(codec.cache) <= 3
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 1000)
+    codec.encode("x" * 41 + " short")
+    assert " short" in codec.cache and "x" * 41 not in codec.cache
 
 
 def test_lower_rank_comes_up_inside_a_bucket():
@@ -46,8 +49,8 @@ def test_lower_rank_comes_up_inside_a_bucket():
     tokens = [b"a", b"b", b"c", b"abab", b"ab", b"bc", b"abc"]
     codec = bpe.Codec([base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens)], r"\w+")
     own = tiktoken.Encoding("t", pat_str=r"\w+", mergeable_ranks=codec.ranks, special_tokens={})
-    for text in ("abababab", "abcabab", "ababcab", "cabababc"):
-        assert codec.encode(text) == own.encode_ordinary(text)
+    texts = ["".join(random.Random(k).choices("abc", k=k % 23 + 1)) for k in range(300)] + ["abababab", "abcabab", "cabababc"]
+    assert list(codec.encode_all(texts)) == [own.encode_ordinary(t) for t in texts]
 
 
 def test_query_and_operators(spark, docs_of):
