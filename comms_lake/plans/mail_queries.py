@@ -80,11 +80,17 @@ def q_tie_groups(spark, sf_dir):
 
 
 PHRASE = "und die"
+SINCE = "2024-01-01 12:00:00"
 
 
 def q_phrase_search(spark, sf_dir):
-    v = TestViews(spark, sf_dir)
-    return M.phrase_search(v.docs, PHRASE).select("id", "folder_id", "profile")
+    """F5 + F3: subject, body and sender of the documents as messages, since a time."""
+    m = TestViews(spark, sf_dir).doc_messages
+    sender = F.concat_ws(" ", F.col("from_entry.emailAddress.name"), F.col("from_entry.emailAddress.address"))
+    docs = m.select("id", F.col("lang").alias("folder_id"), "cuenta", "subject", F.col("content").alias("body"),
+                    sender.alias("sender"), "received")
+    since = F.col("received") >= F.lit(SINCE).cast("timestamp_ntz")
+    return M.phrase_search(docs, PHRASE, since).select("id", "folder_id", "cuenta")
 
 
 def q_newest(spark, sf_dir):
@@ -260,9 +266,10 @@ ORACLE = {
                count(*) > 50 AS grows_page, count(*) > 1000 AS skips_second
         FROM v_messages GROUP BY profile, date_trunc('hour', received) HAVING count(*) > 1""", "v_messages"),
     "phrase_search": sql_with(f"""
-        SELECT id, folder_id, profile FROM v_docs
-        WHERE contains(lower(coalesce(subject, '')), '{PHRASE}') OR contains(lower(coalesce(body, '')), '{PHRASE}')""",
-                              "v_docs"),
+        SELECT id, lang AS folder_id, cuenta FROM v_docmail
+        WHERE received >= TIMESTAMP '{SINCE}' AND (contains(lower(coalesce(subject, '')), '{PHRASE}')
+              OR contains(lower(coalesce(body_text, '')), '{PHRASE}')
+              OR contains(lower(concat_ws(' ', from_name, from_address)), '{PHRASE}'))""", "v_docmail"),
     "newest_per_folder": _mail_sql("""
         SELECT profile, folder_id, id, rank FROM (
           SELECT profile, folder_id, id, row_number() OVER (
