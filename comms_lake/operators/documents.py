@@ -33,6 +33,25 @@ def with_body_text(df: DataFrame) -> DataFrame:
     return df.withColumn("body_text", X.normalize_newlines(body))
 
 
+def with_folder_name(messages: DataFrame, folders: DataFrame, key: str = "folder_id") -> DataFrame:
+    """The display name of each message's folder as ``carpeta`` ('' where the folder is unknown)."""
+    names = folders.select(F.col("folder_id").alias(key), F.col("display_name").alias("__name")).dropDuplicates([key])
+    return messages.join(names, key, "left").withColumn("carpeta", F.coalesce("__name", F.lit(""))).drop("__name")
+
+
+def with_attachments(messages: DataFrame, attachments: DataFrame, failed: Column, key: str = "id") -> DataFrame:
+    """J7 + S5: each message's attachments (``attachments``: key, pos, name,
+    content_type, size) as an array in ``pos`` order; a message whose listing
+    ``failed`` has none and says so. A group is one message's attachments."""
+    item = F.struct("pos", "name", "content_type", "size")
+    lists = (attachments.groupBy(key).agg(F.array_sort(F.collect_list(item)).alias("__a"))
+             .withColumn("__a", F.transform("__a", lambda x: F.struct(x["name"].alias("name"), x["content_type"].alias("content_type"),
+                                                                      x["size"].alias("size")))))
+    none = F.array().cast("array<struct<name:string,content_type:string,size:bigint>>")
+    return messages.join(lists, key, "left").withColumns({
+        "attachments": F.when(failed, none).otherwise(F.coalesce("__a", none)), "attachments_error": failed}).drop("__a")
+
+
 def attachment_lines(atts: Column) -> Column:
     """A5 + X19: ``- name (kind, N KB)`` per attachment."""
     return F.transform(atts, lambda a: F.concat(

@@ -166,6 +166,13 @@ def q_scope_drift(spark, sf_dir):
     return O.scope_check(_grants(TestViews(spark, sf_dir)), O.CORPORATE_SCOPES)
 
 
+def q_scope_split(spark, sf_dir):
+    """U3 + X24: what a read-only run keeps and discards of each user's granted scopes."""
+    g = _grants(TestViews(spark, sf_dir)).groupBy("user_id").agg(F.array_sort(F.collect_list("scope")).alias("scopes"))
+    split = O.read_only_split(F.col("scopes"))
+    return g.select("user_id", F.array_join(split["kept"], ",").alias("kept"), F.array_join(split["discarded"], ",").alias("discarded"))
+
+
 def _logs(v: TestViews):
     e = v.events
     codes = F.array(*[F.lit(c) for c, _ in O.AADSTS_CATALOGUE])
@@ -215,6 +222,7 @@ QUERIES = {
     "config_conflicts": q_config_conflicts,
     "check_scorecard": q_check_scorecard,
     "scope_drift": q_scope_drift,
+    "scope_split": q_scope_split,
     "error_triage": q_error_triage,
     "calendar_list": q_calendar_list,
 }
@@ -286,6 +294,14 @@ ORACLE = {
                  WHERE c.n > 0 AND NOT EXISTS (SELECT 1 FROM gn WHERE gn.user_id = c.user_id AND gn.norm = lower(r.scope)))
         SELECT c.user_id, coalesce(m.s, '') = '' AS ok, coalesce(m.s, '') AS missing
         FROM cnt c LEFT JOIN (SELECT user_id, string_agg(scope, ',' ORDER BY pos) AS s FROM miss GROUP BY user_id) m USING (user_id)""",
+    "scope_split": f"""
+        WITH users AS (SELECT DISTINCT user_id FROM events),
+        g AS (SELECT user_id, CASE WHEN ((user_id % 4 <> 1) OR (i - 1 <> user_id % 7)) AND user_id % 10 <> 0 THEN s END AS scope
+              FROM (SELECT user_id, unnest({_granted_list}) AS s, unnest(range(1, {len(_GRANTED) + 1})) AS i FROM users)),
+        w AS (SELECT *, contains(lower(scope), 'readwrite') OR contains(lower(scope), '.send') AS writes FROM g)
+        SELECT user_id, coalesce(string_agg(scope, ',' ORDER BY scope) FILTER (WHERE NOT writes), '') AS kept,
+               coalesce(string_agg(scope, ',' ORDER BY scope) FILTER (WHERE writes), '') AS discarded
+        FROM w GROUP BY user_id""",
     "error_triage": f"""
         WITH logs AS (
           SELECT event_id AS log_id,

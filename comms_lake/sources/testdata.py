@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.documents import with_attachments, with_folder_name
 from ..session import literal_table
 
 # --- fixed values of the test mapping -------------------------------------
@@ -315,21 +316,15 @@ class TestViews:
         received = 2024-01-01 + 7 min x doc_id; ``from`` has no address when
         doc_id % 6 = 0 (sender fallback); attachments are the line items whose
         l_orderkey equals doc_id; the listing fails when doc_id % 50 = 0."""
-        d = self.table("documents")
-        li = self.table("lineitem")
-        atts = (li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
-            "l_linenumber", F.concat(F.lit("pieza-"), F.col("l_partkey").cast("string"), F.lit(".pdf")).alias("name"),
-            F.lit("application/pdf").alias("content_type"),
-            F.floor("l_extendedprice").cast("bigint").alias("size")))).alias("__a"))
-            .select(F.col("l_orderkey").alias("doc_id"),
-                    F.transform("__a", lambda x: F.struct(x["name"].alias("name"), x["content_type"].alias("content_type"),
-                                                          x["size"].alias("size"))).alias("atts")))
+        atts = self.table("lineitem").select(
+            F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("pos"),
+            F.concat(F.lit("pieza-"), F.col("l_partkey").cast("string"), F.lit(".pdf")).alias("name"),
+            F.lit("application/pdf").alias("content_type"), F.floor("l_extendedprice").cast("bigint").alias("size"))
+        d = with_attachments(self.table("documents"), atts, F.col("doc_id") % 50 == 0, "doc_id")
+        d = with_folder_name(d, self.folders, "lang")
         src = F.col("source")
         entry = lambda n, a: F.struct(F.struct(n.alias("name"), a.alias("address")).alias("emailAddress"))
-        fail = F.col("doc_id") % 50 == 0
-        return d.join(atts, "doc_id", "left").join(
-            self.folders.select(F.col("folder_id").alias("lang"), F.col("display_name").alias("carpeta")), "lang", "left"
-        ).select(
+        return d.select(
             "doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"),
             F.concat(F.lit("<d"), F.col("doc_id").cast("string"), F.lit("@docs>")).alias("internet_id"),
             F.col("text").alias("subject"),
@@ -343,10 +338,7 @@ class TestViews:
             F.when(F.col("doc_id") % 4 == 0, F.array(entry(F.lit("Copia"), F.lit("copia@example.com")))).otherwise(
                 F.array().cast("array<struct<emailAddress:struct<name:string,address:string>>>")).alias("cc_entries"),
             F.concat(F.lit("conv-"), F.expr("doc_id div 3").cast("string")).alias("conversation_id"),
-            F.coalesce("carpeta", F.lit("")).alias("carpeta"),
-            F.when(fail, F.array().cast("array<struct<name:string,content_type:string,size:bigint>>")).otherwise(
-                F.coalesce("atts", F.array().cast("array<struct<name:string,content_type:string,size:bigint>>"))).alias("attachments"),
-            fail.alias("attachments_error"),
+            "carpeta", "attachments", "attachments_error",
             F.lit("text").alias("content_type"), F.col("text").alias("content"), F.lit("").alias("preview"),
             F.lit("acme").alias("empresa"), F.concat(src, F.lit("@example.com")).alias("cuenta"),
             F.lit("2024-02-01T00:00:00+00:00").alias("ingestado"), F.col("lang"))

@@ -70,6 +70,12 @@ def test_digest_time_of_another_zone_is_wall_time(spark):
     assert got == ["2024-01-10 15:00", "2024-01-10 15:00", "2024-01-10 20:00"]
 
 
+def test_date_range_of_several_days(spark):
+    df = spark.createDataFrame([(dt.date(2024, 3, 1), 1), (dt.date(2024, 3, 1), 3), (dt.date(2024, 3, 1), 0)], "d date, n int")
+    assert [r[0] for r in df.select(TM.date_range_text(F.col("d"), F.col("n"))).collect()] == [
+        "2024-03-01..2024-03-01", "2024-02-28..2024-03-01", "2024-03-01..2024-03-01"]
+
+
 def test_attendee_cap(spark):
     df = spark.createDataFrame([([f"p{i}" for i in range(12)],), (["a", "b"],)], "l array<string>")
     assert [r[0] for r in df.select(C.attendee_cap(F.col("l"))).collect()][1] == "a, b"
