@@ -34,26 +34,25 @@ def folder_closure(folders: DataFrame, max_depth: int | None = None) -> DataFram
     stopping at a missing or self parent (J2); ``max_depth`` limits the
     folders of a chain (None: no limit).
 
-    One step joins the chain ends of the last step with the folder dimension;
-    each step is a written table, so plans stay short, and the loop ends with
-    the deepest chain. A pair seen before ends its chain, so a cycle of
-    parents ends as well. The work is depth x folders; messages are never
-    recursed over.
+    Each round joins the pairs found so far with themselves, which doubles
+    the length of the chains covered, and is a written table; it ends when no
+    pair is new, so rounds grow with the logarithm of the depth and a cycle of
+    parents ends as well. Messages are never recursed over.
     """
-    dim = folders.select(F.col("folder_id").alias("ancestor_id"), F.col("parent_id").alias("next")).filter(
-        F.col("next").isNotNull() & (F.col("next") != "") & (F.col("next") != F.col("ancestor_id")))
-    # a parent that is not listed is an ancestor, and the end of its chain
-    ends = folders.select("folder_id", F.col("folder_id").alias("ancestor_id"), F.lit(0).alias("depth"))
-    found, depth = ends, 0
-    while max_depth is None or depth + 1 < max_depth:
-        depth += 1
-        step = (ends.join(dim, "ancestor_id").select("folder_id", F.col("next").alias("ancestor_id"), F.lit(depth).alias("depth"))
-                .join(found, ["folder_id", "ancestor_id"], "left_anti"))
-        ends = materialize(step, "closure")
-        if ends.isEmpty():
-            break
-        found = found.unionByName(ends)
-    return found
+    own = folders.select("folder_id", F.col("folder_id").alias("ancestor_id"), F.lit(0).alias("depth"))
+    parent = folders.filter(F.col("parent_id").isNotNull() & (F.col("parent_id") != "") & (F.col("parent_id") != F.col("folder_id")))
+    pairs = materialize(own.unionByName(parent.select("folder_id", F.col("parent_id").alias("ancestor_id"),
+                                                      F.lit(1).alias("depth"))), "closure")
+    count = pairs.count()
+    while True:
+        above = pairs.select(F.col("folder_id").alias("ancestor_id"), F.col("ancestor_id").alias("__top"),
+                             F.col("depth").alias("__more"))
+        longer = pairs.join(above, "ancestor_id").select("folder_id", F.col("__top").alias("ancestor_id"),
+                                                         (F.col("depth") + F.col("__more")).alias("depth"))
+        pairs = materialize(pairs.unionByName(longer).groupBy("folder_id", "ancestor_id").agg(F.min("depth").alias("depth")), "closure")
+        before, count = count, pairs.count()
+        if count == before:
+            return pairs if max_depth is None else pairs.filter(F.col("depth") < max_depth)
 
 
 def excluded_folder_ids(folders: DataFrame, exclude_names: list[str]) -> DataFrame:
