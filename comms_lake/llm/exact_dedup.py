@@ -24,13 +24,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import run_dir
-from .common import bounded, drop_rows, located, stored
+from ..session import bounded, run_dir
+from .common import drop_rows, located, stored
 
 # The white space that equality ignores (fixed by the contract).
 WHITE = " \t\n\x0b\x0c\r"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The stream's own settings: state on disk, and no disk space set aside ahead
+# (some MB in each state partition, however small).
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 # Rows of one group that one task compares with the group's retained row.
 PART_ROWS = 256
 
@@ -59,13 +64,15 @@ def _state(spark: SparkSession, arrivals: str, schema, root: str, bytes_per_trig
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
         batches.append(number)
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         query = (state.writeStream.outputMode("update").foreachBatch(land).trigger(availableNow=True)
                  .option("checkpointLocation", f"{root}/checkpoint").start())
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     query.awaitTermination()
     if not batches:
         return spark.createDataFrame([], state.schema)
