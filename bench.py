@@ -19,7 +19,7 @@ HEADLINE = [
     "mail_incremental", "high_water_mark", "path_collisions", "folder_closure",
     "event_days", "day_rollup", "day_people", "changed_days",
     "meeting_transcripts", "cue_table", "html_text", "slug_ascii", "utf8_cut", "time_formats",
-    "mail_documents", "digest_mail", "digest_calendar", "stream_incremental", "stream_dedup",
+    "mail_documents", "digest_mail", "stream_incremental", "stream_dedup",
 ]
 
 
