@@ -9,8 +9,9 @@ rejected where that cosine is under half of the least that sampled texts of
 like length have with their own language (short texts are further from any
 centroid, so pieces of the sampled texts of many lengths set that floor).
 
-Learning reads a bounded sample: ``sample_rows`` documents of each of at most
-``MAX_LANGUAGES`` languages, taken by a hash of their text. Vectors are built
+Learning reads a bounded sample: ``sample_rows`` distinct texts of each of at
+most ``MAX_LANGUAGES`` languages (all, where it has fewer), taken by a hash of
+the text. Vectors are built
 on the executors (``DIMENSIONS`` floats a document), the centroids on the
 driver; whole texts are used in learning and prediction alike.
 
@@ -142,7 +143,9 @@ def learn(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
     """A model from labelled rows (rows without language or letters are left out)."""
     rows = rows.select(F.col(f"`{text_col}`").cast("string").alias("text"),
                        F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    sizes = (rows.where("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    usable = rows.withColumn("h", F.xxhash64("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # About how many distinct usable texts a language has: copies, null texts and those without letters do not count.
+    sizes = (usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
     # The sample is the least hashes of each language: first all under a bound that leaves four times
     # the sample, as a narrow table, then the least of those.
@@ -150,7 +153,7 @@ def learn(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
     for r in sizes:
         bound = int(-2**63 + 2**64 * min(1, 4 * sample_rows / r.n)) - 1
         under |= (F.col("lang") == r.lang) & (F.col("h") <= F.lit(bound).cast("long"))
-    rows = rows.withColumn("h", F.xxhash64("text")).where(under & F.col("text").rlike(r"\p{L}"))
+    rows = usable.where(under)
     hashes = stored(rows.select("lang", "h").distinct(), f"{run_dir(spark, 'langid')}/hashes")
     keys = None
     for r in sizes:

@@ -263,6 +263,18 @@ def test_language_accuracy_rejection_and_cases(spark, docs_of):
     assert langid.keep_known(spark, docs.where("doc_id > 9999"), model).isEmpty()
 
 
+def test_language_of_many_copies_is_learned(spark, docs_of):
+    rng = random.Random(5)
+    make = lambda lang: " ".join(rng.choices(SAMPLES[lang].split(), k=rng.randint(5, 60)))
+    rows = [(i, make("de"), "de") for i in range(60)] + [(1000 + i, make("fr"), "fr") for i in range(60)]
+    docs = docs_of(rows).unionByName(spark.range(60_000).select(  # 99.9 % copies, nulls and texts without letters
+        (F.col("id") + 5000).alias("doc_id"), F.expr("CASE id % 3 WHEN 0 THEN 'das ist es' WHEN 1 THEN NULL ELSE '123' END").alias("text"),
+        F.lit("de").alias("lang"), F.lit("src0").alias("source"), F.lit(9).cast("long").alias("n_chars")))
+    model = langid.learn(spark, docs, sample_rows=20)
+    assert model.names == ["de", "fr"]
+    assert model.predict([make("de") for _ in range(30)])[0].count("de") >= 28
+
+
 # --- sharding ------------------------------------------------------------------------------------
 def shard_rows():
     rng = random.Random(8)
