@@ -5,9 +5,11 @@ text in UTF-8, any run of other than letters being one space): counts damped
 by 1 + log, weighted by inverse document frequency, of length one. Each
 language has several centroids, found by spherical k-means over its sample. A
 text gets the language of the centroid with the greatest cosine. It is
-rejected where that cosine is under half of the least that sampled texts of
-like length have with their own language (short texts are further from any
-centroid, so pieces of the sampled texts of many lengths set that floor).
+rejected where that cosine is under a floor: ``REJECT_SHARE`` of a low quantile
+of those that sampled texts with as many distinct n-grams have with their own
+language, over that language or over all, whichever is lower. Distinct n-grams count, not length: texts of few are further from any
+centroid, a line repeated a thousand times as far as one line. Pieces of the
+sampled texts of many lengths set the floor for short ones.
 
 Learning reads a bounded sample: ``sample_rows`` distinct texts of each of at
 most ``MAX_LANGUAGES`` languages (all, where it has fewer), taken by a hash of
@@ -39,9 +41,9 @@ DIMENSIONS = 8192
 SAMPLE_ROWS = 300
 MAX_LANGUAGES = 64
 CENTROIDS = 4
-# A text is rejected under this share of the least cosine of sampled texts with as many bytes (to a power of two);
-# where those are fewer than so many, of the next shorter ones.
-REJECT_SHARE, REJECT_LEAST = 0.5, 20
+# A text is rejected under this share of this quantile of the cosines of sampled texts with as many distinct n-grams (to
+# a power of two), its language's or all; where those are fewer than so many, of the next smaller size.
+REJECT_SHARE, REJECT_QUANTILE, REJECT_LEAST = 0.6, 0.01, 20
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 
@@ -87,21 +89,18 @@ class Model:
         del vectors
         self.centres = np.concatenate(rows) if rows else np.zeros((0, DIMENSIONS), np.float32)
         self.owner = np.array(owner, np.int64)
-        self.floor = np.zeros(64)
-        least: dict[int, list[float]] = {}
-        for group in (counted, pieces):
+        sizes, cosines = np.empty((2, len(langs)), np.int64), np.empty((2, len(langs)))
+        for g, group in enumerate((counted, pieces)):
             for first in range(0, len(group), 128):  # some at a time, for memory
                 part = group[first:first + 128]
-                for name, c, cosine in zip(langs[first:first + 128], part, self.vectors(part) @ self.centres.T):
-                    own = cosine[self.owner == self.names.index(name)]
-                    least.setdefault(self.size(c), []).append(float(own.max()))
-        for size in range(1, len(self.floor)):  # a longer text is no further away than a shorter one
-            found = least.get(size, [])
-            self.floor[size] = REJECT_SHARE * min(found) if len(found) >= REJECT_LEAST else self.floor[size - 1]
+                for i, (c, cosine) in enumerate(zip(part, self.vectors(part) @ self.centres.T), first):
+                    sizes[g, i] = self.size(c)
+                    cosines[g, i] = cosine[self.owner == self.names.index(langs[i])].max()
+        self.floor = floors([(sizes[:, at == name].ravel(), cosines[:, at == name].ravel()) for name in self.names])
 
     @staticmethod
     def size(counted: np.ndarray) -> int:
-        return int(counted.sum()).bit_length()
+        return int((counted > 0).sum()).bit_length()
 
     def vectors(self, counted: np.ndarray) -> np.ndarray:
         out = np.empty(counted.shape, np.float32)
@@ -120,12 +119,29 @@ class Model:
                 cosine = self.vectors(counted) @ self.centres.T
                 for i, c, x in zip(part, counted, cosine):
                     score = float(x.max())
-                    names[i] = self.names[self.owner[x.argmax()]]
+                    owner = self.owner[x.argmax()]
+                    names[i] = self.names[owner]
                     scores[i] = min(1.0, max(0.0, score))
-                    rejected[i] = score < self.floor[self.size(c)] or score <= 0
+                    rejected[i] = score < self.floor[owner, self.size(c)] or score <= 0
         return [names, scores, rejected]
 
 
+def floors(found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Least cosine by language and size, from each language's sizes and cosines."""
+    every = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0)] * 2
+
+    def least(sizes: np.ndarray, cosines: np.ndarray, size: int) -> float | None:
+        own = cosines[sizes == size]
+        return REJECT_SHARE * float(np.quantile(own, REJECT_QUANTILE)) if len(own) >= REJECT_LEAST else None
+    out = np.zeros((len(found), DIMENSIONS.bit_length() + 1))
+    for size in range(1, out.shape[1]):  # a text of more n-grams is no further away than one of fewer
+        shared = least(*every, size)
+        for row, own in zip(out, found):
+            known = [x for x in (least(*own, size), shared) if x is not None]
+            row[size] = min(known) if known else row[size - 1]
+    return out
+
+
 def _kmeans(own: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """Spherical k-means, started from points far from those picked before."""
     centres = own[rng.integers(len(own))][None]

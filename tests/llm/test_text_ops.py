@@ -275,6 +275,40 @@ def test_language_of_many_copies_is_learned(spark, docs_of):
     assert model.predict([make("de") for _ in range(30)])[0].count("de") >= 28
 
 
+REAL = {
+    "en": "the old man walked slowly through the forest while the sun went down behind the trees and he thought about his "
+          "youth and about the house where he had grown up with his brothers and sisters who used to sit by the fire and "
+          "tell each other stories about ships that never came back from the sea and about people who lived on the islands "
+          "where it was always summer and nobody had to work for more than a few hours each day before they could rest",
+    "de": "der alte mann ging langsam durch den wald während die sonne hinter den bäumen unterging und er dachte an seine "
+          "jugend und an das haus in dem er mit seinen brüdern und schwestern aufgewachsen war die am feuer saßen und sich "
+          "geschichten von schiffen erzählten die nie vom meer zurückkamen und von menschen die auf den inseln lebten wo es "
+          "immer sommer war und niemand mehr als ein paar stunden am tag arbeiten musste bevor er sich ausruhen konnte"}
+UNKNOWN = [
+    "il sole era ormai tramontato quando il vecchio pescatore tornò al porto con la sua barca carica di pesce fresco e tutti "
+    "gli abitanti del paese scesero sulla spiaggia per aiutarlo a scaricare le reti perché quella notte si annunciava una",
+    "vanha kalastaja palasi satamaan myöhään illalla kun aurinko oli jo laskenut ja kaikki kylän asukkaat tulivat rannalle "
+    "auttamaan häntä verkkojen purkamisessa koska sinä yönä oli luvattu kovaa myrskyä mereltä",
+    "yaşlı balıkçı güneş battıktan sonra limana döndü ve köyün bütün sakinleri ağları boşaltmasına yardım etmek için sahile "
+    "indiler çünkü o gece denizden büyük bir fırtına bekleniyordu ve acele etmek gerekiyordu"]
+
+
+def test_repeated_lines_are_kept_and_unknown_latin_languages_rejected(spark, docs_of):
+    rng = random.Random(11)
+    line = lambda lang, n: " ".join(rng.choices(REAL[lang].split(), k=n))
+    rows = []
+    for i in range(200):  # prose of all lengths; one poor text a language must not loosen the floor
+        lang = ["en", "de"][i % 2]
+        rows.append((i, UNKNOWN[0] if i < 2 else line(lang, rng.choice([8, 20, 80, 300, 1500])), lang))
+    model = langid.learn(spark, docs_of(rows))
+    for lang in REAL:
+        lines = [line(lang, n) for n in (9, 12, 16, 24) for _ in range(10)]
+        for texts in (lines, [(t + "\n") * 100 for t in lines]):
+            names, _, rejected = model.predict(texts)
+            assert names == [lang] * len(texts) and not any(rejected)
+    assert all(model.predict([x for t in UNKNOWN[1:] for x in (t, t[:100], (t + "\n") * 100)])[2])
+
+
 # --- sharding ------------------------------------------------------------------------------------
 def shard_rows():
     rng = random.Random(8)
