@@ -11,11 +11,12 @@ language, over that language or over all, whichever is lower. Distinct n-grams c
 centroid, a line repeated a thousand times as far as one line. Pieces of the
 sampled texts of many lengths set the floor for short ones.
 
-Learning reads a bounded sample: ``sample_rows`` distinct texts of each of at
-most ``MAX_LANGUAGES`` languages (all, where it has fewer), taken by a hash of
-the text. Vectors are built
-on the executors (``DIMENSIONS`` floats a document), the centroids on the
-driver; whole texts are used in learning and prediction alike.
+Learning reads a bounded sample: ``sample_rows`` distinct texts of each
+language (all, where it has fewer), taken by a hash of the text. Every label is
+learned. Vectors (``DIMENSIONS`` floats a document), document frequencies and
+centroids are made on the executors, one language in a group; the driver holds
+the centroids alone (128 KB a language). Whole texts are used in learning and
+prediction alike.
 
 Defined cases: a null text or one without letters is ``und`` with score 0 and
 rejected; texts of no sampled n-gram get score 0, the first language in
@@ -26,21 +27,22 @@ learnable row every result is ``und``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import run_dir
+from ..session import bounded, run_dir
 from .common import drop_rows, located, map_texts, stored
 
 DIMENSIONS = 8192
 SAMPLE_ROWS = 300
-MAX_LANGUAGES = 64
 CENTROIDS = 4
+SEED = 7
 # A text is rejected under this share of this quantile of the cosines of sampled texts with as many distinct n-grams (to
 # a power of two), its language's or all; where those are fewer than so many, of the next smaller size.
 REJECT_SHARE, REJECT_QUANTILE, REJECT_LEAST = 0.6, 0.01, 20
@@ -72,42 +74,29 @@ def unit(x: np.ndarray) -> np.ndarray:
     return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
 
 
+def vectors(counted: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    out = np.empty(counted.shape, np.float32)
+    for at in range(0, len(counted), 256):  # some at a time: the sample's temporaries stay small
+        part = np.maximum(counted[at:at + 256], 1).astype(np.float32)
+        out[at:at + 256] = unit((1 + np.log(part)) * (counted[at:at + 256] > 0) * idf)
+    return out
+
+
+def size(counted: np.ndarray) -> int:
+    return int((counted > 0).sum()).bit_length()
+
+
 class Model:
-    """Weights and centroids; a few hundred vectors at most, so it is broadcast whole."""
-
-    def __init__(self, langs: list[str], counted: np.ndarray, pieces: np.ndarray, k: int = CENTROIDS, seed: int = 7):
-        self.names = sorted(set(langs))
-        present = (counted > 0).sum(axis=0)
-        self.idf = np.log((1 + len(counted)) / (1 + present)).astype(np.float32) + np.float32(0.05)
-        vectors = self.vectors(counted)
-        rows, owner = [], []
-        at = np.array(langs)
-        for number, name in enumerate(self.names):
-            centres = _kmeans(vectors[at == name], min(k, int((at == name).sum())), np.random.default_rng(seed))
-            rows.append(centres)
-            owner += [number] * len(centres)
-        del vectors
-        self.centres = np.concatenate(rows) if rows else np.zeros((0, DIMENSIONS), np.float32)
-        self.owner = np.array(owner, np.int64)
-        sizes, cosines = np.empty((2, len(langs)), np.int64), np.empty((2, len(langs)))
-        for g, group in enumerate((counted, pieces)):
-            for first in range(0, len(group), 128):  # some at a time, for memory
-                part = group[first:first + 128]
-                for i, (c, cosine) in enumerate(zip(part, self.vectors(part) @ self.centres.T), first):
-                    sizes[g, i] = self.size(c)
-                    cosines[g, i] = cosine[self.owner == self.names.index(langs[i])].max()
-        self.floor = floors([(sizes[:, at == name].ravel(), cosines[:, at == name].ravel()) for name in self.names])
-
-    @staticmethod
-    def size(counted: np.ndarray) -> int:
-        return int((counted > 0).sum()).bit_length()
-
-    def vectors(self, counted: np.ndarray) -> np.ndarray:
-        out = np.empty(counted.shape, np.float32)
-        for at in range(0, len(counted), 256):  # some at a time: the sample's temporaries stay small
-            part = np.maximum(counted[at:at + 256], 1).astype(np.float32)
-            out[at:at + 256] = unit((1 + np.log(part)) * (counted[at:at + 256] > 0) * self.idf)
-        return out
+    """Weights and centroids; four vectors a language at most, so it is broadcast whole. ``learned``:
+    each language's name, centroids, and the sizes and cosines of its sampled texts."""
+
+    def __init__(self, idf: np.ndarray, learned: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]):
+        learned = sorted(learned, key=lambda x: x[0])
+        self.idf = idf
+        self.names = [name for name, *_ in learned]
+        self.centres = np.concatenate([np.zeros((0, DIMENSIONS), np.float32), *[c for _, c, *_ in learned]])
+        self.owner = np.repeat(np.arange(len(learned)), [len(c) for _, c, *_ in learned])
+        self.floor = floors([(sizes, cosines) for *_, sizes, cosines in learned])
 
     def predict(self, texts: list) -> list[list]:
         names, scores, rejected = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
@@ -116,13 +105,13 @@ class Model:
             for at in range(0, len(index), 64):
                 part = index[at:at + 64]
                 counted = np.stack([counts(texts[i]) for i in part])
-                cosine = self.vectors(counted) @ self.centres.T
+                cosine = vectors(counted, self.idf) @ self.centres.T
                 for i, c, x in zip(part, counted, cosine):
                     score = float(x.max())
                     owner = self.owner[x.argmax()]
                     names[i] = self.names[owner]
                     scores[i] = min(1.0, max(0.0, score))
-                    rejected[i] = score < self.floor[owner, self.size(c)] or score <= 0
+                    rejected[i] = score < self.floor[owner, size(c)] or score <= 0
         return [names, scores, rejected]
 
 
@@ -130,15 +119,15 @@ def floors(found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Least cosine by language and size, from each language's sizes and cosines."""
     every = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0)] * 2
 
-    def least(sizes: np.ndarray, cosines: np.ndarray, size: int) -> float | None:
-        own = cosines[sizes == size]
+    def least(sizes: np.ndarray, cosines: np.ndarray, at: int) -> float | None:
+        own = cosines[sizes == at]
         return REJECT_SHARE * float(np.quantile(own, REJECT_QUANTILE)) if len(own) >= REJECT_LEAST else None
     out = np.zeros((len(found), DIMENSIONS.bit_length() + 1))
-    for size in range(1, out.shape[1]):  # a text of more n-grams is no further away than one of fewer
-        shared = least(*every, size)
+    for at in range(1, out.shape[1]):  # a text of more n-grams is no further away than one of fewer
+        shared = least(*every, at)
         for row, own in zip(out, found):
-            known = [x for x in (least(*own, size), shared) if x is not None]
-            row[size] = min(known) if known else row[size - 1]
+            known = [x for x in (least(*own, at), shared) if x is not None]
+            row[at] = min(known) if known else row[at - 1]
     return out
 
 
@@ -160,38 +149,56 @@ def learn(spark: SparkSession, rows: DataFrame, text_col: str = "text", lang_col
     rows = rows.select(F.col(f"`{text_col}`").cast("string").alias("text"),
                        F.col(f"`{lang_col}`").cast("string").alias("lang"))
     usable = rows.withColumn("h", F.xxhash64("text")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # About how many distinct usable texts a language has: copies, null texts and those without letters do not count.
-    sizes = (usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
-    # The sample is the least hashes of each language: first all under a bound that leaves four times
-    # the sample, as a narrow table, then the least of those.
-    under = F.lit(False)
-    for r in sizes:
-        bound = int(-2**63 + 2**64 * min(1, 4 * sample_rows / r.n)) - 1
-        under |= (F.col("lang") == r.lang) & (F.col("h") <= F.lit(bound).cast("long"))
-    rows = usable.where(under)
-    hashes = stored(rows.select("lang", "h").distinct(), f"{run_dir(spark, 'langid')}/hashes")
-    keys = None
-    for r in sizes:
-        part = hashes.where(F.col("lang") == r.lang).orderBy("h").limit(sample_rows)
-        keys = part if keys is None else keys.union(part)
-    if keys is None:
-        return Model([], *np.zeros((2, 0, DIMENSIONS), np.uint16))
-    picked = rows.join(F.broadcast(keys), ["lang", "h"]).dropDuplicates(["lang", "h"]).drop("h")
+    # The sample is the least hashes of each language: first all under a bound that leaves four times the
+    # sample, as a narrow table, then the least of those. The bound follows from about how many distinct
+    # usable texts a language has: copies, null texts and those without letters do not count.
+    n = F.col("n").cast("double")
+    most = F.when(n <= 4 * sample_rows, F.lit(2**63 - 1)).otherwise(
+        (F.lit(2.0**64 * 4 * sample_rows) / n - F.lit(2.0**63)).cast("long"))
+    root = run_dir(spark, "langid")
+    bounds = stored(usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+                    .select("lang", most.alias("most")), f"{root}/bounds")
+    hashes = usable.join(bounded(bounds), "lang").where("h <= most").select("lang", "h").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    keys = stored(hashes.withColumn("rank", rank).where(F.col("rank") <= sample_rows).drop("rank"), f"{root}/keys")
+    picked = usable.join(bounded(keys), ["lang", "h"]).dropDuplicates(["lang", "h"]).drop("h")
 
     def make() -> Callable:
         def run(texts: list) -> list[list]:
             pack = lambda t: np.minimum(counts(t), 65_535).astype(np.uint16).tobytes()
             return [[pack(t) for t in texts], [pack(piece(t)) for t in texts]]
         return run
-    found = map_texts(picked, make, "counted binary, piece binary").orderBy("lang", "counted").toArrow()
-    counted, pieces = np.empty((2, found.num_rows, DIMENSIONS), np.uint16)
-    for matrix, name in ((counted, "counted"), (pieces, "piece")):
-        for i, x in enumerate(found.column(name)):
-            matrix[i] = np.frombuffer(x.as_buffer(), np.uint16)
-    langs = found.column("lang").to_pylist()
-    del found
-    return Model(langs, counted, pieces)
+    sample = stored(map_texts(picked, make, "counted binary, piece binary"), f"{root}/sample")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, present = 0, np.zeros(DIMENSIONS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                n, present = n + 1, present + (np.frombuffer(x.as_buffer(), np.uint16) > 0)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([present.tobytes()])], names=["n", "present"])
+    n, present = 0, np.zeros(DIMENSIONS, np.int64)
+    sums = stored(sample.select("counted").mapInArrow(add, "n long, present binary"), f"{root}/sums")
+    for r in sums.toLocalIterator():  # a task's sum at a time
+        n, present = n + r.n, present + np.frombuffer(r.present, np.int64)
+    idf = np.log((1 + n) / (1 + present)).astype(np.float32) + np.float32(0.05)
+    shared = spark.sparkContext.broadcast(idf)
+
+    def train(own: pa.Table) -> pa.Table:
+        own = own.sort_by("counted")  # the order of rows does not matter
+        counted, pieces = (np.stack([np.frombuffer(x.as_buffer(), np.uint16) for x in own.column(c)])
+                           for c in ("counted", "piece"))
+        at = vectors(counted, shared.value)
+        centres = _kmeans(at, min(CENTROIDS, len(at)), np.random.default_rng(SEED))
+        cosines = np.concatenate([(x @ centres.T).max(axis=1) for x in (at, vectors(pieces, shared.value))])
+        sizes = [size(c) for part in (counted, pieces) for c in part]
+        return pa.table({"lang": own.column("lang").slice(0, 1).combine_chunks(), "centres": pa.array([centres.tobytes()], pa.binary()),
+                         "sizes": pa.array([sizes], pa.list_(pa.int32())),
+                         "cosines": pa.array([cosines.tolist()], pa.list_(pa.float64()))})
+    learned = stored(sample.groupBy("lang").applyInArrow(
+        train, "lang string, centres binary, sizes array<int>, cosines array<double>"), f"{root}/learned")
+    return Model(idf, [(r.lang, np.frombuffer(r.centres, np.float32).reshape(-1, DIMENSIONS), np.array(r.sizes, np.int64),
+                        np.array(r.cosines)) for r in learned.toLocalIterator()])
 
 
 def piece(text: str) -> str:

@@ -309,6 +309,17 @@ def test_repeated_lines_are_kept_and_unknown_latin_languages_rejected(spark, doc
     assert all(model.predict([x for t in UNKNOWN[1:] for x in (t, t[:100], (t + "\n") * 100)])[2])
 
 
+def test_every_label_is_learned(spark, docs_of):
+    words = {f"l{k:02}": ["".join(random.Random(k * 50 + j).choices("abcdefghijklmnopqrstuvwxyz", k=7)) for j in range(12)]
+             for k in range(70)}
+    make = lambda lang, seed: " ".join(random.Random(seed).choices(words[lang], k=25))
+    rows = [(i, make(lang, i), lang) for i, lang in enumerate(lang for lang in words for _ in range(6 if lang > "l05" else 3))]
+    model = langid.learn(spark, docs_of(rows))
+    assert model.names == sorted(words)  # more than 64, the rarest too
+    names, _, rejected = model.predict([make(lang, 10_000 + i) for i, lang in enumerate(words)])
+    assert names == list(words) and not any(rejected)
+
+
 # --- sharding ------------------------------------------------------------------------------------
 def shard_rows():
     rng = random.Random(8)
