@@ -1,6 +1,7 @@
 """Licence scan by a trained paragraph classifier (operator 9), native.
 
-A paragraph is a line. Its word two- and three-grams are the features of a
+A paragraph is a line; a notice may also be wrapped over several (below). Its
+word two- and three-grams are the features of a
 multinomial logistic regression over licence families and ``none``. The model
 is fitted on a small labelled table and a bounded sample of the corpus's own
 ordinary paragraphs, with an L1 step, so it keeps few n-grams. Probabilities
@@ -8,6 +9,13 @@ are calibrated by a temperature and a threshold from the sample: a paragraph
 with licence evidence under the threshold is ``unknown``. A family is
 confirmed when a paragraph holds enough of one of the family's notices.
 
+A paragraph has one likely family, and a hard-wrapped notice has too little of
+itself in any line. So each notice is also sought by itself, in stretches of
+as many lines as it may be wrapped over (``WRAP_WORDS`` words a line; blank
+lines do not end a stretch): its family is confirmed as well where a stretch
+holds enough of the notice, and of what no other family's notices say, and the
+family's odds against ``none`` pass the threshold.
+
 Scanning is DataFrame work alone: paragraphs and n-grams are exploded, joined
 with the n-grams' weights (a broadcast table, at most ``MAX_GRAMS`` rows), and
 summed per paragraph. A paragraph without a kept n-gram is ``none`` by the
@@ -24,15 +32,18 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import located
+from ..session import run_dir
+from .common import located, stored
 from .licence_rows import NOTICES, ORDINARY
 
 SAMPLE_PARAGRAPHS = 1000
 MAX_GRAMS = 5000
 CONFIRM = 0.5  # share of a notice's n-grams that a paragraph must hold
+WRAP_WORDS = 4  # a wrapped notice has at least so many words a line
+STEPS = 720_720  # divisible by each number of lines up to 16
 NONE = "none"
 # Between words; what a version or a licence name joins stays one word.
 _BREAK = r"[^\p{L}\p{N}.+-]+|[.+-]+(?=[^\p{L}\p{N}.+-]|$)"
@@ -125,20 +136,26 @@ def learn(spark: SparkSession, docs: DataFrame, text_col: str = "text", notices:
     return Model(notices, ordinary + sample)
 
 
-def paragraphs(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """One row per paragraph with licence evidence: all columns of ``docs`` but the text, line (from 0),
-    family (``unknown`` under the threshold), score, held (greatest share of a notice of the
-    predicted family that the paragraph holds) and confirmed."""
+def evidence(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """One row per line that has a kept n-gram: doc (all columns of ``docs`` but the text), line (from 0),
+    grams and sum (weight per family)."""
     spark, k = docs.sparkSession, len(model.families)
     carried = [c for c in docs.columns if c != text_col]
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("doc"),
                         F.posexplode(F.split(F.col(f"`{text_col}`").cast("string"), "\n")).alias("line", "paragraph"))
     found = (keyed.select("doc", "line", F.explode(gram_column(F.col("paragraph"))).alias("gram"))
              .join(F.broadcast(model.table(spark)), "gram"))
-    sums = (found.groupBy("doc", "line").agg(F.collect_set(F.struct("gram", "w")).alias("found"))
+    return (found.groupBy("doc", "line").agg(F.collect_set(F.struct("gram", "w")).alias("found"))
             .select("doc", "line", F.transform("found", lambda x: x["gram"]).alias("grams"),
                     F.aggregate("found", F.array(*[F.lit(0.0)] * k),
                                 lambda a, x: F.zip_with(a, x["w"], lambda u, v: u + v)).alias("sum")))
+
+
+def paragraphs(sums: DataFrame, model: Model) -> DataFrame:
+    """One row per line of ``evidence`` that the classifier does not call none: all columns of ``docs`` but the
+    text, line, family (``unknown`` under the threshold), score, held (greatest share of a notice of the
+    predicted family that the line holds) and confirmed."""
+    k = len(model.families)
     z = [(F.get("sum", F.lit(i)) + F.lit(float(model.intercepts[i]))) / F.lit(float(model.temperature)) for i in range(k)]
     top = F.greatest(*z)
     scored = sums.select("doc", "line", "grams", F.array(*[F.exp(x - top) for x in z]).alias("e"))
@@ -164,22 +181,79 @@ def paragraphs(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
                     "score", "held", (sure & (F.col("held") >= CONFIRM)).alias("confirmed")))
 
 
+def notice_table(model: Model) -> list[tuple]:
+    """(gram, notice, family, lines, odds, n, own, n_own) per kept n-gram of each notice: the lines it may be wrapped
+    over, the n-gram's log odds against none, the notice's n-grams, and those that no other family's notices have."""
+    kept, rows = {g: i for i, g in enumerate(model.names)}, []
+    for number, (family, notice) in enumerate(model.notices):
+        held = sorted(grams(notice) & kept.keys())
+        others = set().union(*(grams(t) for f, t in model.notices if f != family))
+        at, n_own = model.families.index(family), len(set(held) - others)
+        lines = min(16, max(2, -(-len(notice.split()) // WRAP_WORDS)))
+        rows += [(g, number, family, lines, float(model.weights[kept[g], at] - model.weights[kept[g], -1]), len(held),
+                  int(g not in others), n_own) for g in held if n_own]
+    return rows
+
+
+def stretches(sums: DataFrame, model: Model) -> DataFrame:
+    """One row per stretch of lines that holds enough of a notice: doc, line, last, family and score. Of
+    stretches of a family that overlap, the one that holds most counts, then the first."""
+    spark = sums.sparkSession
+    notices = spark.createDataFrame(notice_table(model), "gram string, notice int, family string, lines int, odds double, "
+                                    "n int, own int, n_own int")
+    first = {f: float(model.intercepts[i] - model.intercepts[-1]) for i, f in enumerate(model.families)}
+    base = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
+    rows = sums.select("doc", "line", F.explode("grams").alias("gram")).join(F.broadcast(notices), "gram")
+    lines = (rows.groupBy("doc", "notice", "family", "lines", "n", "n_own", "line")
+             .agg(F.collect_set(F.struct("gram", "odds", "own")).alias("held"))
+             .withColumn("at", F.expr(f"line * {STEPS}L DIV lines")))
+    ahead = Window.partitionBy("doc", "notice").orderBy("at").rangeBetween(0, STEPS - 1)
+    found = (lines.withColumn("last", F.max("line").over(ahead))
+             .withColumn("held", F.array_distinct(F.flatten(F.collect_list("held").over(ahead))))
+             .withColumn("share", F.size("held") / F.col("n"))
+             .withColumn("own", F.aggregate("held", F.lit(0), lambda a, x: a + x["own"]))
+             .withColumn("odds", F.aggregate("held", base[F.col("family")],
+                                             lambda a, x: a + x["odds"]))
+             .withColumn("score", 1 / (1 + F.exp(-F.col("odds") / F.lit(float(model.temperature)))))
+             .where((F.col("share") >= CONFIRM) & (F.col("own") >= CONFIRM * F.col("n_own"))
+                    & (F.col("score") >= F.lit(float(model.threshold))))
+             .groupBy("doc", "family", "line").agg(F.max(F.struct("share", (-F.col("last")).alias("back"), "score")).alias("best"))
+             .select("doc", "family", "line", "best.share", (-F.col("best.back")).alias("last"), "best.score"))
+    near = Window.partitionBy("doc", "family").orderBy("line")
+    return (found.withColumn("before", F.max("share").over(near.rangeBetween(-15, -1)))
+            .withColumn("after", F.max("share").over(near.rangeBetween(1, 15)))
+            .where((F.col("share") > F.coalesce("before", F.lit(0.0))) & (F.col("share") >= F.coalesce("after", F.lit(0.0))))
+            .select("doc", "line", "last", "family", "score"))
+
+
 def scan(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, families (confirmed, sorted), lines (``line:family`` of each
-    confirmed paragraph), n_confirmed, n_unconfirmed (licence evidence that is not confirmed), score (the best)."""
+    confirmed paragraph, the first line of a wrapped one), n_confirmed, n_unconfirmed (lines of licence
+    evidence that are not confirmed and in no confirmed stretch), score (the best)."""
     docs, file, row = located(docs)
     rows = docs.select(file.alias("file"), row.alias("row"), F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").alias("text"))
-    marks = paragraphs(rows.select("file", "row", "text"), model)
+    lines = stored(evidence(rows.select("file", "row", "text"), model), f"{run_dir(spark, 'licences')}/evidence")
+    marks = paragraphs(lines, model).select("file", "row", "line", F.col("line").alias("last"), "family", "score",
+                                            "confirmed", F.lit(False).alias("stretch"))
+    marks = marks.unionByName(stretches(lines, model).select("doc.*", "line", "last", "family", "score",
+                                                             F.lit(True).alias("confirmed"), F.lit(True).alias("stretch")))
+    one = F.struct("line", "family", "last", "score")
     sums = marks.groupBy("file", "row").agg(
-        F.sort_array(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("families"),
-        F.sort_array(F.collect_list(F.when(F.col("confirmed"), F.struct("line", "family")))).alias("marks"),
-        F.count_if("confirmed").alias("n_confirmed"), F.count_if(~F.col("confirmed")).alias("n_unconfirmed"),
-        F.max("score").alias("score"))
+        F.sort_array(F.collect_list(F.when(F.col("confirmed") & ~F.col("stretch"), one))).alias("sure"),
+        F.sort_array(F.collect_list(F.when(F.col("stretch"), one))).alias("wide"),
+        F.collect_list(F.when(~F.col("confirmed"), F.col("line"))).alias("open"),
+        F.max(F.when(~F.col("stretch"), F.col("score"))).alias("score"))
+    # a stretch around a confirmed line of its family is that paragraph, not another
+    new = F.filter("wide", lambda x: ~F.exists("sure", lambda y: (y["family"] == x["family"]) & y["line"].between(x["line"], x["last"])))
+    sums = sums.withColumn("new", new).select(
+        "file", "row", F.sort_array(F.concat("sure", "new")).alias("marks"),
+        F.size(F.filter("open", lambda x: ~F.exists("wide", lambda y: x.between(y["line"], y["last"])))).alias("n_unconfirmed"),
+        F.greatest("score", F.array_max(F.transform("new", lambda x: x["score"]))).alias("score"))
     none = F.array().cast("array<string>")
     return (rows.select("file", "row", "id").join(sums, ["file", "row"], "left").select(
-        "id", F.coalesce("families", none).alias("families"),
+        "id", F.coalesce(F.array_sort(F.array_distinct(F.transform("marks", lambda m: m["family"]))), none).alias("families"),
         F.coalesce(F.transform("marks", lambda m: F.concat_ws(":", m["line"], m["family"])), none).alias("lines"),
-        F.coalesce("n_confirmed", F.lit(0)).cast("long").alias("n_confirmed"),
+        F.coalesce(F.size("marks"), F.lit(0)).cast("long").alias("n_confirmed"),
         F.coalesce("n_unconfirmed", F.lit(0)).cast("long").alias("n_unconfirmed"),
         F.coalesce("score", F.lit(0.0)).alias("score")))

@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -433,6 +434,20 @@ def test_other_wordings_and_learning_from_the_corpus(spark, docs_of):
     assert {t: model.families[k] for t, k in found.items()} == held
 
 
+def test_wrapped_and_dual_licences(spark, docs_of):
+    wrapped = [(f, textwrap.fill(t, width)) for f, t in licences.NOTICES for width in (36, 70, 76, 80) if len(t) > 100]
+    rows = [(i, "Some prose here.\n\n" + t.replace("\n", "\n# ") + "\n\nMore prose.") for i, (_, t) in enumerate(wrapped)]
+    both = {500: "Licensed under the MIT license or the Apache License, Version 2.0.",
+            501: "Released under the MIT License. Licensed under CC BY-SA 4.0."}
+    prose = "\n".join(licences.ORDINARY * 3)
+    out = {r.id: r for r in licences.scan(spark, docs_of(rows + list(both.items()) + [(600, prose)]), MODEL).collect()}
+    for i, (family, text) in enumerate(wrapped):
+        assert (out[i].families, out[i].n_confirmed, out[i].n_unconfirmed) == ([family], 1, 0), text
+    assert out[500].families == ["Apache", "MIT"] and out[500].lines == ["0:Apache", "0:MIT"]
+    assert out[501].families == ["CC-BY-SA", "MIT"]
+    assert out[600].families == []
+
+
 # --- HTML ----------------------------------------------------------------------------------------
 LONG = ("It was the best of times and it was the worst of times, and all of us were there when it had to be done with the "
         "old house by the river that my father had built for us in the years before the war came to the town.")
