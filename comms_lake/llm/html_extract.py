@@ -3,7 +3,9 @@
 The page is cut into blocks at block-level tags. The first pass classifies
 each block alone: by its place (navigation, footers, adverts, forms, comments
 are boilerplate, whatever they say), its link density, its length, and the
-density of function words. The second pass settles the blocks that are too
+density of function words, of which the list has those of four languages. Few
+of them alone make no block boilerplate (code, tables, names), and a page
+without them is judged by length and link density. The second pass settles the blocks that are too
 short or too plain to tell: they take the label of their nearest decided
 neighbours in page order. Where the page marks its article (``article`` or
 ``main``), only blocks inside are candidates, neighbours are sought there, and
@@ -58,7 +60,7 @@ STOP = set("""a about after all also an and are as at be been but by can could d
     ya""".split())
 
 SHORT, LONG = 70, 200
-LINKS, DENSE, THIN = 0.5, 0.30, 0.15
+LINKS, LINKED, DENSE, THIN = 0.5, 0.2, 0.30, 0.15
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -71,7 +73,7 @@ _SENTENCE = re.compile(r"""[.!?…:;]["'”’»)\]]*$""")
 
 
 class Block:
-    __slots__ = ("parts", "links", "place", "heading", "item", "text", "label")
+    __slots__ = ("parts", "links", "place", "heading", "item", "text", "label", "words", "stops")
 
     def __init__(self, place: tuple[bool, int], heading: bool, item: bool):
         self.parts: list[str] = []
@@ -185,24 +187,28 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def _alone(block: Block, marked: bool) -> str:
-    """First pass: good, bad, near (fair text of middling length) or open."""
+def _alone(block: Block, marked: bool, foreign: bool) -> str:
+    """First pass: good, bad, near (fair text of middling length) or open. ``foreign``:
+    function words say nothing on this page."""
     bad, article = block.place
     if bad or marked and not article:
         return "bad"
     n = len(block.text)
     links = block.links / n
-    words = _WORDS.findall(block.text.lower())
-    density = sum(w in STOP for w in words) / len(words) if words else 0.0
+    density = block.stops / block.words if block.words else 0.0
     if links > LINKS:
         return "open" if article and not block.item and density >= DENSE else "bad"
+    if foreign and links <= LINKED and block.words:
+        wide = n + sum(c >= "\u2e80" for c in block.text)  # a sign of Chinese or Japanese says as much as two letters
+        if wide >= SHORT:
+            return "good" if wide >= LONG else "near"
     if n < SHORT:
-        return "bad" if links > 0 and not article else "open"
+        return "open"
     if density >= DENSE:
         return "good" if n >= LONG else "near"
     if density >= THIN:
         return "near"
-    return "open" if article else "bad"
+    return "open" if article or links <= LINKED else "bad"
 
 
 def extract(html: str | None) -> str:
@@ -214,8 +220,14 @@ def extract(html: str | None) -> str:
         if b.text:
             found.append(b)
     marked = any(b.place[1] and not b.place[0] for b in found)
+    words = stops = 0
     for b in found:
-        b.label = _alone(b, marked)
+        own = _WORDS.findall(b.text.lower())
+        b.words, b.stops = len(own), sum(w in STOP for w in own)
+        if not b.place[0] and (b.place[1] or not marked) and len(b.text) >= SHORT // 2 and b.links <= LINKED * len(b.text):
+            words, stops = words + b.words, stops + b.stops
+    for b in found:
+        b.label = _alone(b, marked, stops < THIN * words)
     # What surrounds an undecided block: inside a marked article only its own candidates count.
     flow = [b for b in found if not marked or b.place[1] and not b.place[0]]
     n = len(flow)

@@ -471,6 +471,34 @@ def test_unmarked_page_uses_the_neighbours():
     assert html_extract.extract(page) == "\n".join(["Title", LONG, "Short one.", LONG])
 
 
+NAV = "<div><a href=x>Home</a> <a href=y>About</a></div>"
+LINKED = "<ul><li><a href=a>one thing</a></li><li><a href=b>another</a></li></ul><div>2024</div>"
+FOREIGN = [
+    "Stary rybak wrócił do portu późnym wieczorem, kiedy słońce już zaszło, a wszyscy mieszkańcy wioski zeszli na plażę, żeby "
+    "pomóc mu rozładować sieci, ponieważ tej nocy zapowiadano wielką burzę nad morzem i trzeba było się spieszyć.",
+    "Старый рыбак вернулся в порт поздно вечером, когда солнце уже зашло, и все жители деревни вышли на берег, чтобы помочь ему "
+    "разгрузить сети, потому что этой ночью обещали сильную бурю с моря и надо было торопиться.",
+    "Yaşlı balıkçı güneş battıktan sonra limana döndü ve köyün bütün sakinleri ağları boşaltmasına yardım etmek için sahile indiler, "
+    "çünkü o gece denizden büyük bir fırtına bekleniyordu ve acele etmek gerekiyordu.",
+    "老渔夫在太阳落山以后很晚才回到港口，村里所有的居民都来到海滩上帮助他卸下渔网，因为那天夜里预报海上会有很大的暴风雨，"
+    "大家必须赶快把船拖到岸上，然后回家关好门窗，等待风雨过去，第二天早上再去看看海边的情况怎么样了，孩子们都睡不着觉。"]
+
+
+@pytest.mark.parametrize("prose", FOREIGN)
+def test_unmarked_page_in_a_language_without_listed_words(prose):
+    page = f"{NAV}<h1>{prose[:19]}</h1><p>{prose}</p><p>{prose[:28]}</p><p>{prose}</p>{LINKED}"
+    assert html_extract.extract(page) == "\n".join([prose[:19].strip(), prose, prose[:28].strip(), prose])
+    assert html_extract.extract(f"<article><p>{prose}</p>{LINKED}<p>{prose}</p></article>").count(prose) == 2
+
+
+def test_unmarked_page_keeps_code_tables_and_short_blocks_with_a_link():
+    code = "for (int i = 0; i < rows.length; i++) { total += rows[i].value * factor(rows[i].kind); print(total); }".replace("<", "&lt;")
+    names = "Anderson, Baker, Carter, Dawson, Ellis, Foster, Grant, Hughes, Irving, Jackson, Keller, Lambert"
+    short = '<p>See <a href=z>this page</a> for more of it.</p>'
+    page = f"{NAV}<p>{LONG}</p><pre>{code}</pre><p>{names}</p>{short}<p>{LONG}</p>{LINKED}"
+    assert html_extract.extract(page) == "\n".join([LONG, code.replace("&lt;", "<"), names, "See this page for more of it.", LONG])
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("plain", ""), ("<p", ""), ("<article><p>a &am", "a &am"), ("<article>a <3 b</article>", "a <3 b"),
     ("<article><p>one<p>two<scr", "one\ntwo"), ("<article>x<script>never closed <p>y", "x"), ("<article>x<!-- y", "x"),
