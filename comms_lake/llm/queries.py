@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, exact_dedup, html_extract, langid, licences, pii, quality, sharding, simhash
+from . import (bpe, decontam, exact_dedup, html_extract, langid, lexical, licences, packing, pii, quality, sharding, simhash,
+               spelling)
 from .common import table
 
 
@@ -113,6 +114,42 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lexical.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+OP11_SQL = r"""
+WITH word AS (SELECT '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS p),
+lower_of AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), (SELECT a FROM lower_of), (SELECT b FROM lower_of)),
+             (SELECT p FROM word)) AS t FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), (SELECT a FROM lower_of),
+             (SELECT b FROM lower_of)), (SELECT p FROM word))) AS term FROM benchmark),
+stats AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS total FROM d WHERE len(t) > 0),
+held AS (SELECT doc_id, n, term, count(*) AS tf
+         FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY doc_id, n, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM held, stats GROUP BY term, n_docs),
+asked AS (SELECT item_id, term, count(*) AS repeats FROM q GROUP BY item_id, term),
+scored AS (SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * tf)
+                  // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // total))))) AS BIGINT) AS score
+           FROM asked JOIN w USING (term) JOIN held USING (term), stats GROUP BY item_id, doc_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(spark, table(spark, sf_dir, "documents"), packing.Tokenizer(spark), with_ids=False)
+    return out.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -124,9 +161,13 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_licences": op9_licences,
     "op10_html": op10_html,
+    "op11_lexical": op11_lexical,
+    "op12_spelling": op12_spelling,
+    "op13_packing": op13_packing,
 }
 
 ORACLE = {
     "op1_exact_dedup": OP1_SQL,
     "op4_decontamination": OP4_SQL,
+    "op11_lexical": OP11_SQL,
 }
