@@ -143,8 +143,6 @@ _M_CTES = {
 _M_DEPS = {"win": ["v_run"], "cands": ["v_timed", "win"], "resolved": ["v_online"],
            "withid": ["cands", "resolved", "v_refusals"]}
 
-TIMING = V.TIMING_RE
-VOICE_CLOSED = r"(?s)" + V.VOICE_OPEN_RE + r"(.*?)</v>"
 _WS = Q.WS
 
 
@@ -167,30 +165,42 @@ _CUE_CTES = {
     "timed_blocks": f"""
         SELECT * FROM (
           SELECT transcript_id, attributed, block_pos, lines,
-            list_position(list_transform(lines, lambda l: regexp_matches(l, '{TIMING}')), true) AS idx FROM blocks)
+            list_position(list_transform(lines, lambda l: contains(l, ' --> ') AND contains(split_part(l, ' --> ', 1), ':')
+              AND translate(trim(split_part(l, ' --> ', 1)), '0123456789:.,', '') = ''), true) AS idx FROM blocks)
         WHERE idx IS NOT NULL""",
     "payloads": f"""
         SELECT transcript_id, attributed, block_pos,
-          regexp_extract(lines[idx], '{TIMING}', 1) AS stamp,
+          trim(split_part(lines[idx], ' --> ', 1)) AS stamp,
           trim(array_to_string(list_slice(lines, idx + 1, len(lines)), ' ')) AS payload
         FROM timed_blocks""",
-    "voices": f"""
-        SELECT *, CASE WHEN len(sp) > 0 THEN list_transform(sp, lambda s, i: struct_pack(spk := s, txt := tx[i]))
-                       ELSE [struct_pack(spk := NULL::VARCHAR, txt := payload)] END AS v
-        FROM (SELECT *, regexp_extract_all(payload, '{VOICE_CLOSED}', 1) AS sp,
-                        regexp_extract_all(payload, '{VOICE_CLOSED}', 2) AS tx FROM payloads WHERE payload <> '')""",
+    # the payload in pieces: what stands before the first tag, then tag and text; a voice tag opens a span, its end tag closes it
+    "pieces": """
+        SELECT transcript_id, attributed, block_pos, stamp, i, CASE WHEN i > 1 THEN split_part(p, '>', 1) ELSE '' END AS tag,
+          CASE WHEN i > 1 THEN substr(p, length(split_part(p, '>', 1)) + 2) ELSE p END AS txt
+        FROM (SELECT * EXCLUDE payload, unnest(string_split(payload, '<')) AS p, generate_subscripts(string_split(payload, '<'), 1) AS i
+              FROM payloads WHERE payload <> '')""",
+    "opened": """
+        SELECT *, count(*) FILTER (WHERE tag = 'v' OR tag LIKE 'v.%' OR tag LIKE 'v %') OVER w AS span,
+          count(*) FILTER (WHERE tag = '/v') OVER w AS ended, max(tag = 'v' OR tag LIKE 'v.%' OR tag LIKE 'v %')
+            OVER (PARTITION BY transcript_id, block_pos) AS voiced
+        FROM pieces WINDOW w AS (PARTITION BY transcript_id, block_pos ORDER BY i)""",
+    "voices": """
+        SELECT transcript_id, attributed, block_pos, stamp, greatest(span, 1) AS vp,
+          CASE WHEN voiced THEN any_value(substr(tag, length(split_part(tag, ' ', 1)) + 1) ORDER BY i) END AS spk,
+          string_agg(txt, '' ORDER BY i) AS txt
+        FROM (SELECT *, min(ended) OVER (PARTITION BY transcript_id, block_pos, span) AS before FROM opened)
+        WHERE NOT voiced OR (span > 0 AND ended = before)
+        GROUP BY transcript_id, attributed, block_pos, stamp, voiced, greatest(span, 1)""",
     "cues": f"""
         SELECT transcript_id, CAST(block_pos AS BIGINT) AS block_pos, CAST(vp - 1 AS BIGINT) AS voice_pos,
           {_cue_start_sql('stamp')} AS start,
           CASE WHEN attributed AND {Q.normalize_name("coalesce(spk, '')")} <> ''
                THEN {Q.normalize_name("coalesce(spk, '')")} ELSE 'Desconocido' END AS speaker,
-          {Q.one_line("regexp_replace(txt, '</?[^>]+>', '', 'g')")} AS text
-        FROM (SELECT transcript_id, attributed, block_pos, stamp, u.spk AS spk, u.txt AS txt, u.vp AS vp
-              FROM (SELECT *, unnest(list_transform(v, lambda e, i: struct_pack(spk := e.spk, txt := e.txt, vp := i)))
-                    AS u FROM voices))""",
+          {Q.one_line("txt")} AS text
+        FROM voices""",
 }
 _CUE_DEPS = {"blocks": ["v_transcripts"], "timed_blocks": ["blocks"], "payloads": ["timed_blocks"],
-             "voices": ["payloads"], "cues": ["voices"]}
+             "pieces": ["payloads"], "opened": ["pieces"], "voices": ["opened"], "cues": ["voices"]}
 
 
 def _msql(body: str, ctes: dict[str, str], deps: dict[str, list[str]]) -> str:
