@@ -201,7 +201,7 @@ def check_packed(rows, docs, with_ids, longest=2048):
 def test_packing_matches_brute_force(spark, docs_of, tmp_path):
     rng = random.Random(6)
     docs = [(k, " ".join(rng.choices(["Word", "it's", "naïve", "\n\n", "日本", "<|endoftext|>", "12", "  x"], k=rng.randint(0, 900)))) for k in range(60)]
-    docs += [(None, "no id"), (3, docs[3][1]), (70, None), (71, ""), (72, "a" * 200_000), (73, "some words and more " * 20_000)]
+    docs += [(None, "no id"), (3, docs[3][1]), (70, None), (71, ""), (72, "a" * 200_000), (74, "x" + " " * 300_000 + "\n" * 3000 + "y"), (73, "some words and more " * 20_000)]
     clash = docs_of(docs).withColumns({c: F.lit(1) for c in ("start", "ids", "h", "range", "place", "length")})
     out = packing.pack(spark, clash, packing.Tokenizer(spark))
     check_packed(out.collect(), docs, True)
@@ -220,6 +220,17 @@ def test_stretches_keep_the_ids():
     assert sum((made.encode(c, add_special_tokens=False).ids for c in cut), []) == made.encode(text, add_special_tokens=False).ids
 
 
+def test_ranks_only_of_files_that_are_rank_tables():
+    import json
+    file = json.load(open(public_tokenizers.path("byte_bpe_50k.json")))
+    lines = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read().splitlines()
+    import base64
+    assert packing.rank_table(file) == {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    file["model"]["merges"][:2] = file["model"]["merges"][1::-1]
+    assert packing.rank_table(file) is None
+    assert packing.rank_table(json.load(open(public_tokenizers.path("word_bpe_49k.json")))) is None
+
+
 def test_registered_queries(spark, tables):  # noqa: F811
     docs = [(d, t) for d, t, _ in tables["documents"]]
     got = queries.op11_lexical(spark, SF)
