@@ -143,6 +143,7 @@ def classify(messages: DataFrame, marks: DataFrame, index_ids: DataFrame, intern
     failing = ~known & ~excluded & valid & yes("__fails")
     rows = joined.withColumns({"__mem": mem, "__index": indexed, "__inet": inet, "known": known,
                                "excluded": excluded, "failing": failing, "__key": F.struct("received", "id")})
+    rows = materialize(rows.drop("__skip", "__excluded", "__fails"), "mail-rows")  # read twice below: one scan and one set of joins
     # the second key inside the run: who writes an internet id first; later rows find it recorded
     writes = named & ~F.col("known") & ~F.col("excluded") & valid & ~F.col("failing")
     writers = rows.filter(writes).groupBy("profile", "internet_id").agg(F.min("__key").alias("__writer"))
@@ -154,7 +155,7 @@ def classify(messages: DataFrame, marks: DataFrame, index_ids: DataFrame, intern
     strike3 = failing & (F.coalesce("prior_strikes", F.lit(0)) + 1 >= WRITE_FAILURES_BEFORE_SKIP)
     return (rows.withColumns({"known": known, "free": known | F.col("__mem"), "excluded": excluded, "failing": failing,
                               "strike3": strike3, "alias_only": ~F.col("__mem") & ~F.col("__index") & recorded})
-            .drop("__index", "__skip", "__inet", "__excluded", "__fails", "__mem", "__key", "__writer"))
+            .drop("__index", "__inet", "__mem", "__key", "__writer"))
 
 
 def run_mail(flags: DataFrame, cap: int | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.times import parse_graph_ts
 from ..operators.ops import graph_time_hint
-from ..session import materialize
+from ..session import bounded, materialize
 
 ADDRESS = T.StructType([T.StructField("emailAddress", T.StructType([
     T.StructField("name", T.StringType()), T.StructField("address", T.StringType())]))])
@@ -190,7 +190,8 @@ def append_documents(docs: DataFrame, path: str) -> DataFrame:
     keys = ["empresa", "fecha_dia"]
     if path_exists(spark, path):
         stored = spark.read.parquet(path).select("id", *keys)
-        touched = stored.join(F.broadcast(docs.select(*keys).distinct()), keys, "left_semi")
+        docs = materialize(docs, "batch-docs")
+        touched = stored.join(bounded(materialize(docs.select(*keys).distinct(), "batch-days")), keys, "left_semi")
         docs = materialize(docs.join(touched, ["id", *keys], "left_anti"), "new-docs")
     docs.write.mode("append").partitionBy(*keys).parquet(path)
     return spark.read.parquet(path)

@@ -20,7 +20,7 @@ def stream(spark, root, fails, files, **options):
     f = spark.createDataFrame(fails, "profile bigint, id string, prior_strikes bigint")
     start = spark.createDataFrame([(dt.datetime(2024, 2, 1),)], "backfill_start timestamp_ntz")
     s = J.MailStream(spark, os.path.join(root, "state"), folders, ["junkemail"], f, 10, start, **options)
-    s.run(spark.readStream.schema(COLS).option("maxFilesPerTrigger", files).parquet(os.path.join(root, "landing")))
+    s.drain(spark.readStream.schema(COLS).option("maxFilesPerTrigger", files).parquet(os.path.join(root, "landing")))
     return s
 
 
@@ -79,15 +79,67 @@ def test_a_replayed_batch_writes_the_same_state(spark, tmp_path):
     none = spark.createDataFrame([], "profile bigint, id string, prior_strikes bigint")
     start = spark.createDataFrame([(dt.datetime(2024, 2, 1),)], "backfill_start timestamp_ntz")
     s = J.MailStream(spark, str(tmp_path / "state"), folders, ["junkemail"], none, 10, start, cap=5)
-    s.process(batch, 0)                                             # several capped runs in one batch
+    s.process(batch, 0)
+    while s.pending():                                              # several capped runs
+        s.process(None, s.runs())
     assert s.outcomes().select("run").distinct().count() > 1
     first = sorted(map(tuple, s.outcomes().collect()))
-    (tmp_path / "state" / "done" / "batch=0").rename(tmp_path / "marker")   # as after a crash before the commit
-    s.process(batch, 0)
+    last = s.runs() - 1
+    (tmp_path / "state" / "done" / f"batch={last}").rename(tmp_path / "marker")   # as after a crash before the commit
+    s.process(None, last)
     assert sorted(map(tuple, s.outcomes().collect())) == first
     assert {r["outcome"] for r in s.final_outcomes().collect()} == {"written", "excluded", "known"}
 
 
+def test_a_failure_that_clears_is_written_and_one_that_stays_is_dated(spark, tmp_path):
+    """One try a run: an outage over one run costs one strike, not three."""
+    land(spark, str(tmp_path), messages(), 3)
+    folders = spark.createDataFrame(FOLDERS, "folder_id string, display_name string, parent_id string")
+    start = spark.createDataFrame([(dt.datetime(2024, 2, 1),)], "backfill_start timestamp_ntz")
+
+    def fails(run):
+        rows = [(0, "m2", 0, "disk full")] + [(0, "m0", 0, "timeout"), (1, "m7", 0, "timeout")] * (run < 2)
+        return spark.createDataFrame(rows, "profile bigint, id string, prior_strikes bigint, reason string")
+    s = J.MailStream(spark, str(tmp_path / "state"), folders, ["junkemail"], fails, 10, start)
+    live = spark.readStream.schema(COLS).parquet(str(tmp_path / "landing"))
+    s.run(live)
+    got = {r.id: r.outcome for r in s.final_outcomes().collect()}
+    assert [got[i] for i in ("m0", "m7", "m2")] == ["failed"] * 3 and s.runs() == 1
+    s.run(live)
+    s.run(live)
+    got = {r.id: r.outcome for r in s.final_outcomes().collect()}
+    assert [got[i] for i in ("m0", "m7", "m2")] == ["written", "written", "skipped"] and not s.pending()
+    dead = s.skip_list().collect()
+    assert [(r.profile, r.id, r.reason) for r in dead] == [(0, "m2", "disk full")] and dead[0].at[:4] == str(dt.date.today().year)
+    s.run(live)
+    assert s.runs() == 3                                            # nothing landed, nothing left
+
+
+def test_a_late_older_version_of_an_event_changes_nothing(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from comms_lake.operators import calendar as C
+    from comms_lake.plans import calendar_queries as CQ
+    rows = [("e1", "New title", 2, 0), ("e1", "Old title", 1, 1), ("e2", "Only", 1, 1), ("e1", "Newest", 3, 2)]
+    sf = "/root/testdata/sf0.001"
+    from comms_lake.sources.testdata import TestViews
+    TestViews(spark, sf).timed.orderBy("id").limit(1).write.parquet(str(tmp_path / "event"))
+    event = spark.read.parquet(str(tmp_path / "event"))
+    s = J.DayUpsertStream(spark, str(tmp_path / "days"), CQ.account, CQ.INGESTADO)
+    seen = []
+    for number in range(3):
+        batch = None
+        for ident, subject, version, at in rows:
+            if at == number:
+                row = CQ.day_rows(C.with_people(event.withColumns({"id": F.lit(ident), "subject": F.lit(subject)})))
+                row = row.withColumn("version", F.lit(version).cast("bigint"))
+                batch = row if batch is None else batch.unionByName(row)
+        s.process(batch, number)
+        days = spark.read.schema(s.DAYS).parquet(s.days_path).collect()
+        seen.append({(t in d.content) for d in days for t in ("Old title",)} | {t for d in days for t in ("New title", "Newest", "Only") if t in d.content})
+    assert seen == [{False, "New title"}, {False, "New title", "Only"}, {False, "Newest", "Only"}]
+
+
 def test_one_failing_source_leaves_the_others(spark):
     profiles = spark.createDataFrame([(0,), (1,)], "profile bigint")
 
