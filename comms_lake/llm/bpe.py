@@ -58,6 +58,8 @@ class Codec:
 
     def __init__(self, lines: list[bytes], pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
+        if max(self.ranks.values(), default=0) >= STOP:
+            raise ValueError(f"ranks must be below {STOP}")
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.any, self.narrow = regex.compile(pattern).findall, narrow_pattern(pattern)
         self.cache: dict[str, tuple[int, ...]] = {}

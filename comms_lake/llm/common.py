@@ -49,9 +49,10 @@ def stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def drop_rows(docs: DataFrame, file: Column, row: Column, dropped: DataFrame) -> DataFrame:
-    """``docs`` (from ``located``) without the rows whose (file, row) ``dropped`` lists; all columns stay."""
+    """``docs`` (from ``located``) without the rows whose (file, row) ``dropped`` lists; all columns stay.
+    The list is written first, so it is computed once though it is counted and joined."""
     f, r = fresh(docs, "at_file"), fresh(docs, "at_row")
-    gone = bounded(dropped.select(F.col("file").alias(f), F.col("row").alias(r)))
+    gone = bounded(materialize(dropped.select(F.col("file").alias(f), F.col("row").alias(r)), "dropped"))
     return (docs.select("*", file.alias(f), row.alias(r))
             .join(gone, [f, r], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
@@ -60,7 +61,8 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[..., list[list]]], sche
               text_col: str = "text", state: tuple[str, ...] = (), keep_text: bool = False,
               slice_rows: int = 256) -> DataFrame:
     """All columns of ``df`` but ``text_col`` (unless ``keep_text``) and
-    ``state``, and those of ``schema``, computed per text in Arrow batches.
+    ``state``, and those of ``schema``, computed per text in Arrow batches;
+    a column of ``df`` with a name of ``schema`` (in any letter case) gives way to the computed one.
     ``make()`` runs once per task and returns a function from some texts
     (strings; null gives None) and their ``state`` columns to a list of
     columns; its attribute ``close``, if any, is called at the task's end.
@@ -68,10 +70,11 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[..., list[list]]], sche
     those.
     """
     text = F.col(f"`{text_col}`").cast("string").alias(text_col)
-    carried = [c for c in df.columns if c != text_col and c not in state]
+    added = _parse_datatype_string(schema)
+    taken = {f.name.lower() for f in added}
+    carried = [c for c in df.columns if c != text_col and c not in state and c.lower() not in taken]
     df = df.select(*[F.col(f"`{c}`") for c in carried], text, *state)
     keep = len(carried) + keep_text
-    added = _parse_datatype_string(schema)
     out = StructType(df.schema.fields[:keep] + added.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

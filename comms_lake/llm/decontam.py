@@ -18,6 +18,7 @@ give no hits or no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import drop_rows, fresh, located, map_texts
 
 WINDOW = 13
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 2 << 20  # of item text; a word begins a window, so patterns are some 13 times as much
 # UTF-8 bytes of words; A-Z become a-z and any other byte becomes a space.
 _WORD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -75,6 +76,17 @@ class Automaton:
         return spans, items
 
 
+_MACHINES: dict[str, Automaton] = {}
+
+
+def machine_of(key: str, items: list[tuple[str, bytes]], window: int) -> Automaton:
+    """A block's automaton, built once in each Python worker; the last one is kept."""
+    if key not in _MACHINES:
+        _MACHINES.clear()
+        _MACHINES[key] = Automaton(items, window)
+    return _MACHINES[key]
+
+
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Sorted, with overlapping and touching spans joined."""
     out: list[list[int]] = []
@@ -128,8 +140,8 @@ def contamination(spark: SparkSession, docs: DataFrame, bench: DataFrame, text_c
         shared, block = spark.sparkContext.broadcast(block), next(blocks, None)
         more = block is not None
 
-        def make(shared=shared, last=not more) -> Callable:
-            machine = Automaton(shared.value, window)
+        def make(shared=shared, last=not more, key=uuid.uuid4().hex) -> Callable:
+            machine = machine_of(key, shared.value, window)
 
             def scan(texts: list, before: list, found: list) -> list[list]:
                 rows = []

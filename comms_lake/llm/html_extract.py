@@ -30,7 +30,8 @@ from .common import map_texts
 
 # Element names and words.
 RAW = {"script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp", "template", "noscript"}
-HIDDEN = {"svg", "canvas", "audio", "video", "object", "select", "button", "datalist", "dialog", "math"}
+INLINE_HIDDEN = {"svg", "canvas", "audio", "video", "object", "select", "button", "datalist", "math"}  # end no block
+HIDDEN = INLINE_HIDDEN | {"dialog"}
 SCOPE = {"html", "body", "div", "section", "article", "main", "nav", "footer", "header", "aside", "form", "menu", "ul",
          "ol", "dl", "table", "tbody", "thead", "tfoot", "tr", "td", "th", "blockquote", "figure", "details", "fieldset",
          "center", "head", *HIDDEN}
@@ -41,10 +42,10 @@ BOILER_TAGS = {"nav", "footer", "aside", "form", "menu"}
 BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert",
                 "alertdialog", "menu", "menubar", "toolbar"}
 BOILER_WORDS = set("""ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs
-    comment comments commentlist consent cookie cookies copyright disclaimer disqus footer footnav gdpr infobar login
-    masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay pager pagination
+    comment comments commentlist consent cookie cookies copyright disclaimer discussion discussions disqus footer footnav gdpr infobar login
+    masthead menu modal nav navbar navigation newsletter notice notices notification opinions outbrain overlay pager pagination
     paywall popup promo promoted promotion recommended related replies reply respond rss search share shares sharing
-    sidebar sidenav signin signup skip social sponsor sponsored subscribe subscription taboola tagcloud toolbar topbar
+    sidebar sidenav signin signup skip social sponsor sponsored subscribe subscription taboola tagcloud teaser teasers thread toolbar topbar
     warning widget widgets""".split())
 HEADER_WORDS = {"header", "head", "hero"}
 STOP = set("""a about after all also an and are as at be been but by can could did do for from had has have he her his
@@ -149,8 +150,8 @@ def blocks(html: str) -> list[Block]:
         if name == "a":
             in_link = not closing
             continue
-        if name == "br" or name in ("img", "wbr", "input"):
-            if block is not None:
+        if name in ("br", "img", "wbr", "input"):
+            if block is not None and name == "br":
                 block.parts.append(" ")
             continue
         if not closing and name in RAW:
@@ -159,9 +160,10 @@ def blocks(html: str) -> list[Block]:
             continue
         if name not in BLOCK:
             continue
-        block, in_link, own_bad = None, False, False
-        heading = not closing and name[0] == "h" and name[1:].isdigit()
-        item = not closing and name in ("li", "dt", "dd", "option")
+        if name not in INLINE_HIDDEN:
+            block, in_link, own_bad = None, False, False
+            heading = not closing and name[0] == "h" and name[1:].isdigit()
+            item = not closing and name in ("li", "dt", "dd", "option")
         if name not in SCOPE or name in VOID:
             own_bad = not closing and bool(tag[3]) and _boiler(name, tag[3], place[1] > 0)
             continue
@@ -172,6 +174,8 @@ def blocks(html: str) -> list[Block]:
                     gone, place = stack.pop()
                     opened[gone] -= 1
                     hidden -= gone in HIDDEN
+                    if gone not in INLINE_HIDDEN:
+                        block = None
             continue
         if tag[3].endswith("/") and name in HIDDEN:
             continue
@@ -197,7 +201,7 @@ def _alone(block: Block, marked: bool, foreign: bool) -> str:
     links = block.links / n
     density = block.stops / block.words if block.words else 0.0
     if links > LINKS:
-        return "open" if article and not block.item and density >= DENSE else "bad"
+        return "open" if article and (block.item or density >= DENSE) else "bad"  # an author's list of sources
     if foreign and links <= LINKED and block.words:
         wide = n + sum(c >= "\u2e80" for c in block.text)  # a sign of Chinese or Japanese says as much as two letters
         if wide >= SHORT:
@@ -211,6 +215,22 @@ def _alone(block: Block, marked: bool, foreign: bool) -> str:
     return "open" if article or links <= LINKED else "bad"
 
 
+def _teasers(found: list[Block]) -> None:
+    """A marked article that is little more than a link, beside one several times as long, is a
+    card that leads to another page: its blocks count as boilerplate."""
+    size: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    for b in found:
+        if b.place[1] and not b.place[0]:
+            size[b.place[1]] = size.get(b.place[1], 0) + len(b.text)
+            linked[b.place[1]] = linked.get(b.place[1], 0) + b.links
+    longest = max(size.values(), default=0)
+    cards = {k for k, n in size.items() if linked[k] and 4 * n < longest and n < 2 * LONG}
+    for b in found:
+        if b.place[1] in cards:
+            b.place = (True, b.place[1])
+
+
 def extract(html: str | None) -> str:
     """The main text: blocks in page order, one line each."""
     found = []
@@ -219,6 +239,7 @@ def extract(html: str | None) -> str:
         b.text = " ".join((unescape(raw) if "&" in raw else raw).split())
         if b.text:
             found.append(b)
+    _teasers(found)
     marked = any(b.place[1] and not b.place[0] for b in found)
     words = stops = 0
     for b in found:

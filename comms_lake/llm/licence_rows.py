@@ -39,6 +39,49 @@ NOTICES = [
     ("ISC", "Licensed under the ISC License."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted"),
+    ("Boost", "Distributed under the Boost Software License, Version 1.0."),
+    ("Boost", "Use, modification and distribution are subject to the Boost Software License, Version 1.0."),
+    ("EPL", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("EPL", "Licensed under the Eclipse Public License, version 2.0."),
+    ("EUPL", "Licensed under the EUPL, Version 1.2."),
+    ("EUPL", "Licensed under the European Union Public Licence, version 1.2."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Released under the Unlicense."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty."),
+    ("zlib", "Released under the zlib License."),
+    ("GFDL", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation "
+             "License"),
+    ("GPL", "Dieses Programm ist Freie Software: Sie können es unter den Bedingungen der GNU General Public License weitergeben"),
+    ("GPL", "Ce programme est un logiciel libre ; vous pouvez le redistribuer suivant les termes de la Licence Publique Générale GNU"),
+    ("MIT", "Lizenziert unter der MIT-Lizenz."),
+    ("Apache", "Lizenziert unter der Apache-Lizenz, Version 2.0."),
+    ("CC-BY-SA", "Dieses Werk ist lizenziert unter einer Creative Commons Namensnennung - Weitergabe unter gleichen Bedingungen 4.0"),
+    ("MIT", "Publicado bajo la licencia MIT."),
+    ("Apache", "Publicado bajo la licencia Apache, versión 2.0."),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("Apache", "SPDX-License-Identifier: Apache-2.0"),
+    ("GPL", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("LGPL", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    ("LGPL", "SPDX-License-Identifier: LGPL-3.0-only"),
+    ("AGPL", "SPDX-License-Identifier: AGPL-3.0-only"),
+    ("AGPL", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("BSD", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("BSD", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("MPL", "SPDX-License-Identifier: MPL-2.0"),
+    ("CC0", "SPDX-License-Identifier: CC0-1.0"),
+    ("CC-BY", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("CC-BY-SA", "SPDX-License-Identifier: CC-BY-SA-4.0"),
+    ("CC-BY-NC", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("Boost", "SPDX-License-Identifier: BSL-1.0"),
+    ("EPL", "SPDX-License-Identifier: EPL-2.0"),
+    ("EUPL", "SPDX-License-Identifier: EUPL-1.2"),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
+    ("zlib", "SPDX-License-Identifier: Zlib"),
+    ("GFDL", "SPDX-License-Identifier: GFDL-1.3-or-later"),
     ("proprietary", "Copyright 2020 by the author. All rights reserved."),
     ("proprietary", "All rights reserved. No part of this publication may be reproduced without prior written permission."),
     ("proprietary", "Unauthorized copying of this file is strictly prohibited. Proprietary and confidential."),

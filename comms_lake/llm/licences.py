@@ -17,7 +17,7 @@ holds enough of the notice, and of what no other family's notices say, and the
 family's odds against ``none`` pass the threshold.
 
 Scanning is DataFrame work alone: paragraphs and n-grams are exploded, joined
-with the n-grams' weights (a broadcast table, at most ``MAX_GRAMS`` rows), and
+with the n-grams' weights (a table of the notices' n-grams, broadcast after a count), and
 summed per paragraph. A paragraph without a kept n-gram is ``none`` by the
 intercepts and needs no row.
 
@@ -35,15 +35,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import run_dir
+from ..session import bounded, run_dir
 from .common import located, stored
 from .licence_rows import NOTICES, ORDINARY
 
 SAMPLE_PARAGRAPHS = 1000
-MAX_GRAMS = 5000
+SAMPLE_CHARS = 4000  # longer paragraphs are not in the learned sample
 CONFIRM = 0.5  # share of a notice's n-grams that a paragraph must hold
 WRAP_WORDS = 4  # a wrapped notice has at least so many words a line
-STEPS = 720_720  # divisible by each number of lines up to 16
+STEPS = 720_720  # places of a line, so that notices of different lengths share one window
 NONE = "none"
 # Between words; what a version or a licence name joins stays one word.
 _BREAK = r"[^\p{L}\p{N}.+-]+|[.+-]+(?=[^\p{L}\p{N}.+-]|$)"
@@ -78,7 +78,7 @@ class Model:
         rows = [(grams(t), self.families.index(f)) for f, t in notices] + [(grams(t), len(self.families) - 1) for t in ordinary]
         held = [(g, y) for k, (g, y) in enumerate(rows) if y == len(self.families) - 1 and k % 4 == 3]
         rows = [r for r in rows if not any(r is h for h in held)]
-        names = sorted(set().union(*(g for g, y in rows if y < len(self.families) - 1)))[:MAX_GRAMS]
+        names = sorted(set().union(*(g for g, y in rows if y < len(self.families) - 1)))
         at = {g: i for i, g in enumerate(names)}
         x = np.zeros((len(rows), len(names)))
         for r, (g, _) in enumerate(rows):
@@ -129,9 +129,9 @@ def learn(spark: SparkSession, docs: DataFrame, text_col: str = "text", notices:
     picked = (docs.select(F.col(f"`{text_col}`").cast("string").alias("text")).where("length(text) > 0")
               .select(F.xxhash64("text").alias("h"), F.split("text", "\n").alias("p"))
               .select("h", F.element_at("p", (F.pmod("h", F.size("p")) + 1).cast("int")).alias("p"))
-              .orderBy("h", "p").limit(sample_paragraphs))
+              .where(F.length("p") <= SAMPLE_CHARS).orderBy("h", "p").limit(sample_paragraphs))
     known = [grams(t) for _, t in notices]
-    sample = [r.p for r in picked.select(F.substring("p", 1, 4000).alias("p")).distinct().collect()]
+    sample = [r.p for r in picked.select("p").distinct().collect()]
     sample = [p for p in sorted(sample) if not any(len(k & grams(p)) >= CONFIRM * len(k) for k in known)]
     return Model(notices, ordinary + sample)
 
@@ -144,7 +144,7 @@ def evidence(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("doc"),
                         F.posexplode(F.split(F.col(f"`{text_col}`").cast("string"), "\n")).alias("line", "paragraph"))
     found = (keyed.select("doc", "line", F.explode(gram_column(F.col("paragraph"))).alias("gram"))
-             .join(F.broadcast(model.table(spark)), "gram"))
+             .join(bounded(model.table(spark)), "gram"))
     return (found.groupBy("doc", "line").agg(F.collect_set(F.struct("gram", "w")).alias("found"))
             .select("doc", "line", F.transform("found", lambda x: x["gram"]).alias("grams"),
                     F.aggregate("found", F.array(*[F.lit(0.0)] * k),
@@ -189,7 +189,7 @@ def notice_table(model: Model) -> list[tuple]:
         held = sorted(grams(notice) & kept.keys())
         others = set().union(*(grams(t) for f, t in model.notices if f != family))
         at, n_own = model.families.index(family), len(set(held) - others)
-        lines = min(16, max(2, -(-len(notice.split()) // WRAP_WORDS)))
+        lines = max(2, -(-len(notice.split()) // WRAP_WORDS))
         rows += [(g, number, family, lines, float(model.weights[kept[g], at] - model.weights[kept[g], -1]), len(held),
                   int(g not in others), n_own) for g in held if n_own]
     return rows
@@ -203,10 +203,12 @@ def stretches(sums: DataFrame, model: Model) -> DataFrame:
                                     "n int, own int, n_own int")
     first = {f: float(model.intercepts[i] - model.intercepts[-1]) for i, f in enumerate(model.families)}
     base = F.create_map(*[F.lit(x) for pair in first.items() for x in pair])
-    rows = sums.select("doc", "line", F.explode("grams").alias("gram")).join(F.broadcast(notices), "gram")
+    reach = max([lines for _, _, _, lines, *_ in notice_table(model)], default=2) - 1
+    rows = sums.select("doc", "line", F.explode("grams").alias("gram")).join(bounded(notices), "gram")
     lines = (rows.groupBy("doc", "notice", "family", "lines", "n", "n_own", "line")
              .agg(F.collect_set(F.struct("gram", "odds", "own")).alias("held"))
              .withColumn("at", F.expr(f"line * {STEPS}L DIV lines")))
+    # lines less than ``lines`` ahead are less than STEPS ahead; a line of as many or more is STEPS ahead at least
     ahead = Window.partitionBy("doc", "notice").orderBy("at").rangeBetween(0, STEPS - 1)
     found = (lines.withColumn("last", F.max("line").over(ahead))
              .withColumn("held", F.array_distinct(F.flatten(F.collect_list("held").over(ahead))))
@@ -220,8 +222,8 @@ def stretches(sums: DataFrame, model: Model) -> DataFrame:
              .groupBy("doc", "family", "line").agg(F.max(F.struct("share", (-F.col("last")).alias("back"), "score")).alias("best"))
              .select("doc", "family", "line", "best.share", (-F.col("best.back")).alias("last"), "best.score"))
     near = Window.partitionBy("doc", "family").orderBy("line")
-    return (found.withColumn("before", F.max("share").over(near.rangeBetween(-15, -1)))
-            .withColumn("after", F.max("share").over(near.rangeBetween(1, 15)))
+    return (found.withColumn("before", F.max("share").over(near.rangeBetween(-reach, -1)))
+            .withColumn("after", F.max("share").over(near.rangeBetween(1, reach)))
             .where((F.col("share") > F.coalesce("before", F.lit(0.0))) & (F.col("share") >= F.coalesce("after", F.lit(0.0))))
             .select("doc", "line", "last", "family", "score"))
 

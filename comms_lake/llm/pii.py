@@ -7,8 +7,10 @@ token, its two neighbours on either side, and whether white space stands
 before it; its labels are begin and inside of each kind, and outside. It is
 trained by numpy gradient ascent on the exact likelihood of a small labelled
 table, and decodes lines by Viterbi in numpy batches. A found span is added if
-it overlaps no base span and passes its kind's check (a card's check digit, an
-IP address's parts, a telephone number's digits, an email's @).
+it overlaps no base span and, spelled plainly, passes its kind's check: a card's
+check digit behind any separators, an IPv4 address behind spaces or brackets or an
+IPv6 address, 7 to 15 digits of a telephone number, an email with "at" and
+"dot" for its signs. Names are no kind of its own.
 
 Defined cases: null text counts as empty; empty texts have no spans; offsets
 are code points, end exclusive; repeated rows give equal results; an empty
@@ -19,6 +21,7 @@ only make a batch smaller.
 
 from __future__ import annotations
 
+import ipaddress
 import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
@@ -42,6 +45,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
+_HINT = re.compile(r"[0-9@]|(?<![A-Za-z])[Aa][Tt](?![A-Za-z])")  # what a span that the field may find must have
 
 
 def luhn(digits: str) -> bool:
@@ -65,6 +69,27 @@ def valid(kind: str, span: str) -> bool:
     return True
 
 
+_AT_SIGN = re.compile(r"\s*[\[({]?\s*(?:@|\bat\b)\s*[\])}]?\s*", re.I)
+_DOT_SIGN = re.compile(r"\s*[\[({]\s*(?:\.|dot)\s*[\])}]\s*|\s+dot\s+|\s*\.\s*", re.I)
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+
+
+def plausible(kind: str, span: str) -> bool:
+    """Whether what the field found is of its kind once spelled plainly: spaces, brackets
+    and words that stand for signs replaced, separators left out."""
+    if kind == "email":
+        return _ADDRESS.fullmatch(_DOT_SIGN.sub(".", _AT_SIGN.sub("@", span))) is not None
+    if kind == "ip":
+        if span.count(":") > 1:
+            try:
+                return bool(ipaddress.IPv6Address(span))
+            except ValueError:
+                return False
+        return valid("ip", _DOT_SIGN.sub(".", span))
+    digits = sum(c in "0123456789" for c in span)
+    return 7 <= digits <= 15 if kind == "phone" else valid(kind, span)
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     at, least = text.find("@"), 0
     while at >= 0:
@@ -97,14 +122,16 @@ _CLASS[48:58] = _DIGIT
 _CLASS[65:91] = _CLASS[97:123] = _LETTER
 _DIGIT_BUCKET = np.array([0, 0, 1, 2, 3, 4, 4, 5, 5, 6, 6, 6, 7, 7, 7, 7, 8, 9, 9, 9, 10])
 _LETTER_BUCKET = np.array([0, 0, 1, 2, 3, 3, 4])
-SHAPES = 2 * (15 + 11 + 96) + 1  # letters by case and length, digits by length, marks; glued or not; none
+_AT, _DOT = 15 + 11 + 96, 15 + 11 + 96 + 1  # the words that stand for "@" and "." have a shape of their own
+SHAPES = 2 * (_DOT + 1) + 1  # letters by case and length, digits by length, marks, at, dot; glued or not; none
 
 
 def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, shape, free) of each token of a line: a run of letters, a run
     of digits or a mark. ``free``: it can be in a span. Tokens of a piece
     between white space that has neither digit nor "@" are outside by rule, but
-    for pieces of marks alone next to one that has."""
+    for pieces of marks alone next to one that has, and for those around a word
+    "at" that a piece with a "." or a word "dot" follows."""
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     if not len(code):
         empty = np.zeros(0, np.int64)
@@ -131,9 +158,20 @@ def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     shape = np.where(what == _LETTER, 5 * case + _LETTER_BUCKET[np.minimum(length, 6)],
                      np.where(what == _DIGIT, 15 + _DIGIT_BUCKET[np.minimum(length, 20)],
                               26 + np.clip(first.astype(np.int64) - 32, 0, 95)))
+    low = lambda k: code[np.minimum(start + k, len(code) - 1)] | 32
+    at = (what == _LETTER) & (length == 2) & (low(0) == 97) & (low(1) == 116)
+    dot = (what == _LETTER) & (length == 3) & (low(0) == 100) & (low(1) == 111) & (low(2) == 116)
+    shape = np.where(at, _AT, np.where(dot, _DOT, shape))
     piece = np.cumsum(~glued) - 1
     pieces = piece[-1] + 1
     live = np.bincount(piece, (what == _DIGIT) | (first == 64), pieces) > 0
+    if at.any():  # "name at host dot org": the host's piece has a "." in it, or "dot" follows it
+        within = np.append(glued[1:], False) & glued
+        ended = np.bincount(piece, dot | (first == 46) & within, pieces + 5) > 0
+        host = np.unique(piece[at])
+        host = host[ended[host] | ended[host + 1] | ended[host + 2]]
+        for step in range(-1, 6):
+            live[(host + step)[(host + step >= 0) & (host + step < pieces)]] = True
     plain = np.bincount(piece, what == _LETTER, pieces) == 0
     near = np.zeros(pieces, bool)
     near[1:] |= live[:-1]
@@ -250,10 +288,10 @@ class Field:
 def labelled(row: str) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of one marked line."""
     text, spans, last = "", [], 0
-    for m in re.finditer(r"\[(\w+)\|([^\]]*)\]", row):
-        text += row[last:m.start()]
-        spans.append((len(text), len(text) + len(m[2]), KINDS.index(m[1])))
-        text, last = text + m[2], m.end()
+    for m in re.finditer(r"\[(\w+)\|([^\]]*)\]|\{(\w+)\|([^}]*)\}", row):
+        text, kind, span = text + row[last:m.start()], m[1] or m[3], m[2] or m[4]
+        spans.append((len(text), len(text) + len(span), KINDS.index(kind)))
+        text, last = text + span, m.end()
     text += row[last:]
     start, end, shape, _ = tokens(text)
     y = np.zeros(len(start), np.int64)
@@ -281,8 +319,8 @@ def added(field: Field, texts: list[str], known: list[list[tuple]]) -> list[list
     found, lengths, opens, closes, where = [], [], [], [], []
     for number, text in enumerate(texts):
         at = 0
-        for line in text.split("\n") if "@" in text or _DIGITS.search(text) else ():
-            if "@" in line or _DIGITS.search(line):
+        for line in text.split("\n") if _HINT.search(text) else ():
+            if _HINT.search(line):
                 start, end, shape, free = tokens(line)
                 if free.any():
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], free, [0]])))
@@ -308,7 +346,7 @@ def added(field: Field, texts: list[str], known: list[list[tuple]]) -> list[list
             j += 1
         which, a, b = int(owner[i]), int(start[i]), int(end[j - 1])
         span = texts[which][a:b]
-        if KINDS[kind] == "email" and "@" not in span[1:-1] or not valid(KINDS[kind], span):
+        if not plausible(KINDS[kind], span):
             continue
         begins, ends = cover[which]
         before = bisect_left(begins, b)  # base spans that begin before this one's end

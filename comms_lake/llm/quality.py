@@ -21,7 +21,8 @@ result; without labels every score is 0.5.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -38,14 +39,13 @@ LONG_WORD = 64  # longer words are not cached
 _MARK, _REPEAT = b"\x00end", b"\x00repeat"
 
 
-def word_buckets(word: str) -> list[int]:
+def word_buckets(word: str) -> Iterator[int]:
     data = word.encode("utf-8", "surrogatepass")
-    out = [crc32(b"\x01" + data) % BUCKETS]
+    yield crc32(b"\x01" + data) % BUCKETS
     ended = f"<{word}>"
     for n in (3, 4):
         for i in range(len(ended) - n + 1):
-            out.append(crc32(ended[i:i + n].encode("utf-8", "surrogatepass")) % BUCKETS)
-    return out
+            yield crc32(ended[i:i + n].encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 _FIXED = [crc32(_MARK) % BUCKETS, crc32(_REPEAT) % BUCKETS]
@@ -111,10 +111,18 @@ class Model:
                 words = (text or "").split()
                 if len(cache) > CACHE_WORDS:
                     cache.restart()
+                n, total, features = repeats(words), 0.0, 0
+                if len(text or "") > LONG_WORD and any(len(w) > LONG_WORD for w in words):
+                    for word in words:
+                        if len(word) > LONG_WORD:
+                            buckets = word_buckets(word)
+                            while part := list(islice(buckets, 1 << 16)):
+                                total += float(weight[part].sum(dtype=np.float64))
+                                features += len(part)
+                    words = [w for w in words if len(w) <= LONG_WORD]
                 at = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
-                n = repeats(words)
-                total = float(cache.sums[at].sum()) + float(weight[_FIXED[0]]) + n * float(weight[_FIXED[1]])
-                features = int(cache.sizes[at].sum()) + 1 + n
+                total += float(cache.sums[at].sum()) + float(weight[_FIXED[0]]) + n * float(weight[_FIXED[1]])
+                features += int(cache.sizes[at].sum()) + 1 + n
                 out.append(float(1 / (1 + np.exp(-np.clip(total / features, -50, 50)))))
             return [out]
         return score
@@ -135,7 +143,7 @@ class _Words(dict):
         row = len(self)
         if row == len(self.sums):
             self.sums, self.sizes = np.resize(self.sums, 2 * row), np.resize(self.sizes, 2 * row)
-        buckets = word_buckets(word)
+        buckets = list(word_buckets(word))
         self.sums[row], self.sizes[row] = self.weight[buckets].sum(dtype=np.float64), len(buckets)
         self[word] = row
         return row

@@ -88,7 +88,8 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.spans(docs, pii.model(spark)).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone",
-        F.sha2(F.concat_ws(",", "base"), 256).alias("base_sha256"), F.concat_ws(",", "spans").alias("spans"))
+        F.sha2(F.concat_ws(",", "base"), 256).alias("base_sha256"), F.concat_ws(",", "spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

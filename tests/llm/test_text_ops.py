@@ -522,3 +522,70 @@ def test_pages_query(spark):
     assert len(out) == 4 and all(r.n_chars == len(r.text) for r in out)
     assert sum(r.text == html_extract.extract(PAGE) for r in out) == 2
     assert html_extract.extract_pages(pages.where("page_id > 5")).isEmpty()
+
+
+def test_the_field_adds_variants_that_the_patterns_miss(spark, docs_of):
+    """None of these spans is in the labelled table; the base patterns find none of them."""
+    want = {"please call 020 7946 0871 now": "phone:020 7946 0871", "ring 555-0149 please": "phone:555-0149",
+            "the host 192 . 0 . 2 . 44 is up": "ip:192 . 0 . 2 . 44", "block 198.51.100[.]77 now": "ip:198.51.100[.]77",
+            "write to eve.ray [at] mail.example.net today": "email:eve.ray [at] mail.example.net",
+            "mail joe at host dot net for details": "email:joe at host dot net",
+            "ask lee (at) mail (dot) example (dot) com": "email:lee (at) mail (dot) example (dot) com",
+            "see 2001:db8:85a3::8a2e:370:7334 there": "ip:2001:db8:85a3::8a2e:370:7334",
+            "card 5105.1051.0510.5100 was used": "card:5105.1051.0510.5100",
+            "in 2019, 45 people bought 1,250 items at noon": None, "pages 14-19 and 31-42": None, "version 1.4.3 at section 3.6": None,
+            "we looked at the dot on www.example.com at 10:45": None, "the total of 310 000 and 420 000": None}
+    texts = list(want)
+    assert not any(pii.base(t) for t in texts)
+    from comms_lake.llm import queries  # the thin query's model
+    out = pii.spans(docs_of(list(enumerate(texts))), pii.model(spark)).collect()
+    got = {}
+    for r in out:
+        text = texts[r.doc_id]
+        got[text] = [f"{k}:{text[int(a):int(b)]}" for k, a, b in (s.split(":") for s in r.spans)]
+    assert got == {t: [s] if s else [] for t, s in want.items()} and queries.op6_pii
+
+
+def test_clashing_names_give_way(spark, docs_of):
+    docs = docs_of([(1, "some words"), (2, None)]).withColumns({"Base": F.lit(1), "n_ip": F.lit("x"), "extra": F.lit(7)})
+    out = pii.spans(docs, pii.model(spark))
+    assert [c.lower() for c in out.columns].count("base") == 1 and out.select("n_ip", "base", "extra").count() == 2
+
+
+def test_html_inline_elements_and_authors_lists():
+    extract = html_extract.extract
+    para = "The committee met in the old town hall and agreed on what was to be done with the money that it had for the year."
+    page = "<html><body><article><p>{}</p>" + f"<p>{para}</p>" * 3 + "{}</article>{}</body></html>"
+    first = lambda html: extract(page.format(html, "", "")).split("\n")[0]
+    assert first(f"{para} <svg><path d='x'/></svg> It goes on.") == f"{para} It goes on."
+    assert first(f"{para} Press the <button>Start</button> key.") == f"{para} Press the key."
+    assert first(f"{para} A long<wbr>word and a pic<img src=x>ture.") == f"{para} A longword and a picture."
+    sources = "<h2>Sources</h2><ul><li><a href=/a>The first report of the committee</a></li><li><a href=/b>The second report</a></li></ul>"
+    assert extract(page.format("It was so.", sources, "")).split("\n")[-2:] == ["The first report of the committee", "The second report"]
+    card = "<article><h3><a href=/n>Another story of the day</a></h3><p>Read on about it.</p></article>"
+    assert "Another story" not in extract(page.format("It was so.", "", card))
+    thread = f"<div class='reader-opinions'><p>{para}</p><p>I do not agree with any of this, and I have said so before.</p></div>"
+    assert "agree with any" not in extract(page.format("It was so.", thread, thread))
+
+
+def test_licence_tags_and_other_languages(spark, docs_of):
+    lines = {"// SPDX-License-Identifier: MIT": ["MIT"], "# SPDX-License-Identifier: GPL-3.0-or-later": ["GPL"],
+             "SPDX-License-Identifier: Apache-2.0": ["Apache"], "Licensed under the EUPL, Version 1.2": ["EUPL"],
+             "Distributed under the Boost Software License, Version 1.0.": ["Boost"],
+             "Released under the Unlicense.": ["Unlicense"], "Lizenziert unter der Apache-Lizenz, Version 2.0.": ["Apache"],
+             "The committee met in the hall and read the law.": []}
+    docs = docs_of([(k, "some text here\n" + line) for k, line in enumerate(lines)])
+    model = licences.learn(spark, docs_of([(1, "plain words of a text")]))
+    got = {r.id: r.families for r in licences.scan(spark, docs, model).collect()}
+    assert got == {k: f for k, f in enumerate(lines.values())}
+
+
+def test_long_words_are_scored_without_the_cache():
+    import numpy as np
+    weight = np.random.default_rng(1).normal(size=quality.BUCKETS)
+    model = quality.Model(weight)
+    long = "x" * 50 + "y" * 200_000
+    got = model.scorer()([f"some {long} words {long} {long}"])[0][0]
+    buckets, counts = quality.document_counts(f"some {long} words {long} {long}")
+    want = 1 / (1 + np.exp(-(model.weight[buckets].astype(float) * counts).sum() / counts.sum()))
+    assert abs(got - want) < 1e-6 and long not in model.words and "some" in model.words
