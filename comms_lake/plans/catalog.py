@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_defaults
 
-from . import (calendar_queries, doc_queries, mail_queries, meeting_queries, misc_queries, ops_queries,
+from . import (calendar_queries, doc_queries, file_queries, mail_queries, meeting_queries, misc_queries, ops_queries,
                stream_queries, text_queries)
 
 _MODULES = [mail_queries, calendar_queries, meeting_queries, text_queries, doc_queries, ops_queries, stream_queries,
-            misc_queries]
+            misc_queries, file_queries]
 
 
 def _with_defaults(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

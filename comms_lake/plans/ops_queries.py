@@ -35,7 +35,9 @@ def _runs(v: TestViews):
 def q_run_summary(spark, sf_dir):
     v = TestViews(spark, sf_dir)
     path = run_dir(spark, "runlog")
-    _runs(v).select(L.run_log_line(_runs(v)).alias("value")).write.mode("overwrite").text(path)   # K6
+    runs = _runs(v)
+    for half in (runs.filter(F.col("reuniones") < 2), runs.filter(F.col("reuniones") >= 2)):   # K6: each run appends
+        L.append_run_log(half, path)
     return O.run_rollup(L.read_run_log(spark, path))                                            # S11 + A7/A8
 
 
@@ -237,7 +239,8 @@ ORACLE = {
                            "v_index", "v_skip"),
     "run_summary": """
         SELECT 'perfil-' || (user_id % 5) AS perfil, count(*) AS runs,
-               sum(CAST(floor(value) AS BIGINT) % 50) AS correo_nuevos, sum(event_id % 4) AS reuniones,
+               sum(CAST(floor(value) AS BIGINT) % 50) AS correo_nuevos, sum(16) AS calendario_dias, sum(event_id % 4) AS reuniones,
+               count(*) FILTER (WHERE event_id % 13 = 0) AS con_notas,
                count(*) FILTER (WHERE event_type = 'error') AS con_error,
                max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS exit_code
         FROM events GROUP BY 1""",

@@ -153,6 +153,11 @@ def run_log_line(r: DataFrame) -> Column:
                        meet, estado)
 
 
+def append_run_log(runs: DataFrame, path: str) -> None:
+    """K6: one line a profile and run, added to the log; lines that are there stay."""
+    runs.select(run_log_line(runs).alias("value")).write.mode("append").text(path)
+
+
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """Parse the pipe-delimited run log back into columns."""
     t = spark.read.text(path)
