@@ -93,6 +93,22 @@ def q_phrase_search(spark, sf_dir):
     return M.phrase_search(docs, PHRASE, since).select("id", "folder_id", "cuenta")
 
 
+def q_phrase_index(spark, sf_dir):
+    """F5 over a positional index that two batches built: the same messages as
+    the scan of subject, body and sender finds."""
+    from ..operators import search as S
+    from ..session import run_dir
+    m = TestViews(spark, sf_dir).doc_messages
+    sender = F.concat_ws(" ", F.col("from_entry.emailAddress.name"), F.col("from_entry.emailAddress.address"))
+    docs = m.select("id", "doc_id", F.col("lang").alias("folder_id"), "cuenta", "subject", F.col("content").alias("body"),
+                    sender.alias("sender"), "received")
+    path = run_dir(spark, "phrase-index")
+    for batch in (0, 1):
+        S.add_batch(docs.filter(F.col("doc_id") % 2 == batch), path, batch, ("subject", "body", "sender"))
+    since = F.col("received") >= F.lit(SINCE).cast("timestamp_ntz")
+    return S.search(docs, path, PHRASE).filter(since).select("id", "folder_id", "cuenta")
+
+
 def q_newest(spark, sf_dir):
     v = TestViews(spark, sf_dir)
     firsts = M.first_occurrence(v.messages)
@@ -112,6 +128,7 @@ QUERIES = {
     "path_collisions": q_path_collisions,
     "tie_groups": q_tie_groups,
     "phrase_search": q_phrase_search,
+    "phrase_index": q_phrase_index,
     "newest_per_folder": q_newest,
 }
 
@@ -277,3 +294,4 @@ ORACLE = {
                                      "(PARTITION BY profile, id ORDER BY received, pos) AS rn FROM v_messages) "
                                      "WHERE rn = 1)"), upto="marks"),
 }
+ORACLE["phrase_index"] = ORACLE["phrase_search"]
