@@ -66,7 +66,7 @@ def test_every_id_gets_an_outcome_for_any_split_into_batches(spark, tmp_path, fi
             want[i] = "written"
             written[p, inet] = i
     assert got == want
-    index = spark.read.parquet(os.path.join(s.root, "index"))
+    index = s.tables["index"].read()
     assert index.count() == index.select("profile", "id").distinct().count()
     before = s.outcomes().count()
     s2 = stream(spark, str(tmp_path), fails, files)                 # same checkpoint: nothing left to do
@@ -115,6 +115,27 @@ def test_a_failure_that_clears_is_written_and_one_that_stays_is_dated(spark, tmp
     assert s.runs() == 3                                            # nothing landed, nothing left
 
 
+def test_state_is_compacted(spark, tmp_path):
+    """What a run reads does not grow with the runs before it; a replayed run reads and writes the same."""
+    from pyspark.sql import functions as F
+
+    from comms_lake.sources.runs import RunTable
+    t = RunTable(spark, str(tmp_path / "ids"), "profile bigint, id string, run bigint, bucket int", every=4)
+    rows = lambda run: spark.range(6).select((F.col("id") % 3).alias("profile"), F.concat(F.lit(f"r{run}-"), F.col("id").cast("string")).alias("id"))
+    files = []
+    for run in range(19):
+        assert t.read(run).count() == 6 * run and t.read(run, [0]).where("bucket <> 0").isEmpty()
+        t.save(rows(run), run, (F.col("profile") % 2).cast("int"))
+        t.save(rows(run), run, (F.col("profile") % 2).cast("int"))  # a replay
+        t.compact(run)
+        files.append(len(t.read().inputFiles()))
+    assert max(files[-8:]) == max(files[4:12]) <= 10 and t.base() == 15
+    assert t.read().count() == t.read().distinct().count() == 114
+    assert sorted(t.read().where("run = 3").select("id").distinct().collect()) == sorted(rows(3).select("id").collect())
+    (spark.range(1).write.parquet(str(tmp_path / "ids" / "bases" / "upto=18")))  # a base without its pointer never counts
+    assert t.read().count() == 114
+
+
 def test_a_late_older_version_of_an_event_changes_nothing(spark, tmp_path):
     from pyspark.sql import functions as F
 
