@@ -55,21 +55,25 @@ def q_audit_by_action(spark, sf_dir):
     return O.audit_counts(L.read_json_log(spark, path))
 
 
-def _land_pages(spark, rows, item, name):
-    """Land each profile's rows, in time order, as paged envelopes (JSON
-    lines, ``PAGE_SIZE`` items and a link to the next page)."""
+def paged(rows, item):
+    """Each profile's rows, in time order, as paged envelopes (``PAGE_SIZE``
+    items and a link to the next page)."""
     pos = prefix_sums(rows.withColumn("scan", F.col("profile").cast("string")), ["scan"], ["ts", "event_id"],
                       F.date_trunc("day", "ts"), {"n": F.lit(1)})
-    paged = pos.withColumn("page", F.expr(f"(n - 1) div {PAGE_SIZE}"))
-    last = paged.groupBy("scan").agg(F.max("page").alias("last_page"))
-    pages = (paged.groupBy("scan", "page").agg(F.array_sort(F.collect_list(F.struct("n", item.alias("it")))).alias("__v"))
+    pages = pos.withColumn("page", F.expr(f"(n - 1) div {PAGE_SIZE}"))
+    last = pages.groupBy("scan").agg(F.max("page").alias("last_page"))
+    return (pages.groupBy("scan", "page").agg(F.array_sort(F.collect_list(F.struct("n", item.alias("it")))).alias("__v"))
              .join(last, "scan")
              .select("scan", "page", F.transform("__v", lambda x: x["it"]).alias("value"),
                      F.when(F.col("page") < F.col("last_page"),
                             F.concat(F.lit("https://service.example/next?page="), (F.col("page") + 1).cast("string")))
                      .alias("@odata.nextLink")))
+
+
+def _land_pages(spark, rows, item, name):
+    """Land paged envelopes as JSON lines."""
     path = run_dir(spark, name)
-    pages.write.mode("overwrite").json(path)
+    paged(rows, item).write.mode("overwrite").json(path)
     return path
 
 
