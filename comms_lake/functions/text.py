@@ -196,3 +196,11 @@ def fit_path_stem(directory: Column, stem: Column, suffix: str, max_chars: int =
     keep = F.greatest(F.lit(12), F.char_length(stem) - excess - 7)
     short = F.concat(F.regexp_replace(F.left(stem, keep), "-+$", ""), F.lit("-"), sha_hex(stem, 6))
     return F.when(full_len <= max_chars, stem).otherwise(short)
+
+
+def fit_path_slug(parent: Column, slug: Column, filename: Column, max_chars: int = 240) -> Column:
+    """Shorten a folder name so that ``parent/slug/filename`` fits in
+    ``max_chars``: its beginning and eight hex digits of its hash (X18, digests)."""
+    over = F.char_length(parent) + F.char_length(slug) + F.char_length(filename) + 2 - max_chars
+    head = F.left(slug, F.greatest(F.lit(8), F.char_length(slug) - over - 9))
+    return F.when(over <= 0, slug).otherwise(F.concat(F.regexp_replace(head, "-+$", ""), F.lit("-"), sha_hex(slug, 8)))

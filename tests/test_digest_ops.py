@@ -180,3 +180,22 @@ def test_meeting_paths_chain(spark):
                                   ("t0", dt.datetime(2024, 3, 1, 9, 6), "Sync")], "transcript_id string, started timestamp_ntz, subject string")
     paths = sorted(r.path for r in DOC.meeting_paths(rows, F.lit("acme")).collect())
     assert len(set(paths)) == 5 and sum(p.endswith("-2.md") for p in paths) == 1 and "reuniones/acme/2024-03-01-sync.md" in paths
+
+
+def test_a_long_scope_folder_is_shortened_to_fit(spark):
+    import datetime as dt
+    import hashlib
+
+    from comms_lake.operators import digest as D
+    scope = "-".join(f"carpeta{k}" for k in range(12))
+    rows = [(s, dt.date(2024, 3, 1), 1, dt.datetime(2024, 3, 1, 9), "m1", "a", ["b"], [], "s", "t", []) for s in (scope, "corta")]
+    items = spark.createDataFrame(rows, "scope string, target_date date, days int, received timestamp_ntz, id string, sender string, "
+                                  "to array<string>, cc array<string>, subject string, body_text string, categories array<string>")
+    root = "/vault/" + "x" * 120
+    got = {r.scope: r.path for r in D.mail_digest(items, [], "I", root=root).collect()}
+    slug = D.X.slug_plain  # the folder's whole name
+    whole = {r.scope: r.s for r in items.select("scope", slug("scope").alias("s")).collect()}[scope]
+    folder = got[scope].split("/")[-2]
+    assert len(f"{root}/{got[scope]}") <= 240 < len(f"{root}/{D.OUTPUT_DIR}/Mail/{whole}/2024-03-01.md")
+    assert folder.endswith("-" + hashlib.sha1(whole.encode()).hexdigest()[:8]) and whole.startswith(folder[:-9])
+    assert got["corta"].split("/")[-2] == "corta" and {r.path for r in D.mail_digest(items, [], "I").collect()} >= {got["corta"]}
