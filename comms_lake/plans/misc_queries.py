@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import calendar as C
 from ..operators import mail as M
 from ..operators import ops as O
+from ..session import bounded, materialize
 from ..sources.testdata import TestViews, sql_with
 
 PAST_DAYS, AHEAD_DAYS = 1, 14
@@ -23,7 +24,7 @@ def q_calendar_window(spark, sf_dir):
     w = today.select("calendar",
                      F.date_sub("today", PAST_DAYS).cast("timestamp_ntz").alias("win_start"),
                      F.date_add("today", AHEAD_DAYS + 1).cast("timestamp_ntz").alias("win_end"))
-    inwin = C.window_overlap(ev.join(w, "calendar"), F.col("win_start"), F.col("win_end"))
+    inwin = C.window_overlap(ev.join(bounded(materialize(w, "windows")), "calendar"), F.col("win_start"), F.col("win_end"))
     return inwin.select("calendar", "profile", "id")
 
 
