@@ -589,3 +589,76 @@ def test_long_words_are_scored_without_the_cache():
     buckets, counts = quality.document_counts(f"some {long} words {long} {long}")
     want = 1 / (1 + np.exp(-(model.weight[buckets].astype(float) * counts).sum() / counts.sum()))
     assert abs(got - want) < 1e-6 and long not in model.words and "some" in model.words
+
+
+class _PlainBlocks(__import__("html.parser", fromlist=["HTMLParser"]).HTMLParser):
+    """Text by block element, with Python's own parser: what the splitter must agree with."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.blocks, self.parts, self.hidden = [], [], 0
+
+    def flush(self):
+        text = " ".join("".join(self.parts).split())
+        self.blocks += [text] * bool(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style", "svg", "button")
+        if tag == "br" and not self.hidden:
+            self.parts.append(" ")
+        elif tag in ("p", "li", "ul", "h2", "div", "blockquote", "article", "td", "tr", "table"):
+            self.flush()
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style", "svg", "button")
+        if tag in ("p", "li", "ul", "h2", "div", "blockquote", "article", "td", "tr", "table"):
+            self.flush()
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.parts.append(data)
+
+
+def test_block_splitter_agrees_with_a_plain_parser():
+    rng = random.Random(12)
+    words = "the of and to a in that it was for on are as with his they at be this have from or one had by but not what all were we when".split()
+    inline = ["<b>{}</b>", "<em>{}</em>", "{}<br>", "<span class='x > y'>{}</span>", "<svg><path/></svg>{}", "<!-- note -->{}", "{}&amp;&nbsp;&#233;",
+              "<button>Go</button> {}", "{}<wbr>", "<script>var a = '<p>' + 1 < 2;</script>{}", "{} 3 < 5 ", "\n\t{}  "]
+
+    def run(n):
+        return " ".join(rng.choice(inline).format(rng.choice(words)) if rng.random() < 0.25 else rng.choice(words) for _ in range(n))
+    for _ in range(150):
+        body = ""
+        for _ in range(rng.randint(2, 9)):
+            kind = rng.choice(["p", "p", "p", "h2", "blockquote", "div", "ul", "table"])
+            inner = ("".join(f"<li>{run(rng.randint(8, 30))}</li>" for _ in range(3)) if kind == "ul" else
+                     f"<tr><td>{run(20)}</td><td>{run(20)}</td></tr>" if kind == "table" else run(rng.randint(20, 60)))
+            body += f"<{kind} id=k>{inner}</{kind}>"
+        plain = _PlainBlocks()
+        plain.feed(f"<article>{body}</article>")
+        plain.flush()
+        page = f"<html><head><title>t</title></head><body><nav><a href=/>home</a></nav><article>{body}</article><footer>the end of it all</footer></body></html>"
+        assert html_extract.extract(page).split("\n") == plain.blocks
+
+
+def test_languages_match_a_dense_nearest_centroid(spark, docs_of):
+    """Predictions are those of all cosines, computed one by one in double precision from the model's centroids."""
+    rng = random.Random(2)
+    words = {"aa": "uno dos tres gato perro casa", "bb": "one two three cat dog house", "cc": "eins zwei drei katze hund haus"}
+    docs = [(k, " ".join(rng.choices(words[lang].split(), k=rng.randint(3, 40))), lang) for k in range(240) for lang in [rng.choice(list(words))]]
+    model = langid.learn(spark, docs_of(docs))
+    texts = [t for _, t, _ in docs] + ["tres cat haus", "Zwei, drei!", "perro"]
+    names, scores, rejected = model.predict(texts)
+    for text, name, score, bad in zip(texts, names, scores, rejected):
+        count = langid.counts(text)
+        vector = np.where(count > 0, (1 + np.log(np.maximum(count, 1))) * model.idf.astype(float), 0)
+        cosines = [sum(vector * centre) / np.sqrt(sum(vector ** 2)) for centre in model.centres.astype(float)]
+        best = int(np.argmax(cosines))
+        others = [c for c, o in zip(cosines, model.owner) if o != model.owner[best]]
+        assert abs(score - max(cosines)) < 1e-4
+        assert name == model.names[model.owner[best]] or max(cosines) - max(others) < 1e-4
+        assert bad == (max(cosines) < model.floor[model.names.index(name), int((count > 0).sum()).bit_length()]) or abs(
+            max(cosines) - model.floor[model.names.index(name), int((count > 0).sum()).bit_length()]) < 1e-4
+    assert sum(n == lang for n, (_, _, lang) in zip(names, docs)) == len(docs)
+    assert model.predict(["", None, "123"])[0] == ["und"] * 3
