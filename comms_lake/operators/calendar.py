@@ -97,10 +97,13 @@ def day_rollup(days: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def first_seen(labels: Column, emails: Column) -> Column:
-    """A3 inside one day: labels in order, one per email (the first), without empty ones."""
+    """A3 inside one day: labels in order, one per email (the first), without
+    empty ones. Most days repeat nobody, which one hash pass shows. Both are
+    columns, so that a long expression is not computed at each use."""
     seen = F.transform(labels, lambda x, i: F.struct(x.alias("label"), (F.array_position(emails, F.get(emails, i)) == i + 1)
                                                      .alias("first")))
-    return F.transform(F.filter(seen, lambda x: x["first"] & (x["label"] != "")), lambda x: x["label"])
+    once = F.transform(F.filter(seen, lambda x: x["first"] & (x["label"] != "")), lambda x: x["label"])
+    return F.when(F.size(F.array_distinct(emails)) == F.size(emails), F.filter(labels, lambda x: x != "")).otherwise(once)
 
 
 def day_agenda(days: DataFrame, keys: list[str], carry: list[str] | None = None) -> DataFrame:
@@ -117,8 +120,9 @@ def day_agenda(days: DataFrame, keys: list[str], carry: list[str] | None = None)
          .agg(F.array_sort(F.collect_list(F.struct(_k(days).alias("k"), "id", "people", "people_keys", *carry)))
               .alias("__e")))
     part = lambda c: F.transform("__e", lambda e: e[c])
+    g = g.withColumns({"__labels": F.flatten(part("people")), "__emails": F.flatten(part("people_keys"))})
     return g.select(*keys, "day", F.size("__e").cast("bigint").alias("n_events"), part("id").alias("ids"),
-                    first_seen(F.flatten(part("people")), F.flatten(part("people_keys"))).alias("people"),
+                    first_seen(F.col("__labels"), F.col("__emails")).alias("people"),
                     *[part(c).alias(c) for c in carry])
 
 

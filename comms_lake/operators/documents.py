@@ -177,7 +177,8 @@ def render_day(days: DataFrame, keys: list[str], ingestado: str, zone: str = TM.
     entry = F.when(F.col("id").isNotNull(), F.struct("k", "id", "block", "people", "people_keys"))
     j = days.groupBy(*keys, "day", "empresa", "cuenta").agg(F.array_sort(F.collect_list(entry)).alias("__e"))
     part = lambda c: F.transform("__e", lambda e: e[c])
-    people = first_seen(F.flatten(part("people")), F.flatten(part("people_keys")))
+    j = j.withColumns({"__labels": F.flatten(part("people")), "__emails": F.flatten(part("people_keys"))})
+    people = first_seen(F.col("__labels"), F.col("__emails"))
     d = F.date_format("day", "yyyy-MM-dd")
     head = [F.lit("---"), F.lit("fuente: calendario"),
             F.concat(F.lit("empresa: "), X.yaml_quote("empresa")), F.concat(F.lit("cuenta: "), X.yaml_quote("cuenta")),
