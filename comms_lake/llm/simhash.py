@@ -45,7 +45,7 @@ from .common import drop_rows, located, map_texts, stored
 
 SEED, BITS, LEVELS, WIDTH = 42, 64, 8, 8
 SAMPLE = 2048  # fingerprints that vantage points are picked from
-LEAF_ROWS, CELLS = 65_536, 65_536  # a leaf is searched by descending further, in memory
+LEAF_ROWS, CELLS = 8192, 65_536  # a leaf is searched by descending further, in memory
 BLOCK = 1 << 22  # pairs compared at once in a leaf
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
