@@ -231,7 +231,10 @@ def components(spark: SparkSession, edges: DataFrame, root: str) -> DataFrame:
     to that label's label; rounds grow with the logarithm of the longest
     chain. Per-node minima are combined before the shuffle.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    # stored first: computed for each direction apart, a leaf's rows may come in another order and give other
+    # spanning links, and labels pass along links that go both ways only
+    edges = stored(edges.select("a", "b"), f"{root}/links")
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = stored(both, f"{root}/edges")
     labels = (both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
               .select("node", F.least("node", "least").alias("label"), F.lit(True).alias("changed")))
