@@ -132,3 +132,20 @@ def test_components_of_a_long_chain_and_a_star(spark, tmp_path):
     out = simhash.components(spark, spark.createDataFrame(edges, "a long, b long"), str(tmp_path))
     got = {r.node: r.label for r in out.collect()}
     assert got == {i: 0 if i < 500 else 1000 for e in edges for i in e}
+
+
+def test_components_of_links_that_differ_at_each_computation(spark, tmp_path):
+    """Spanning links of the same groups, others each time they are computed: labels must still meet."""
+    import pyarrow as pa
+
+    def spanning(batches):
+        import os
+        rng = random.Random(os.urandom(8))
+        for batch in batches:
+            for group in batch.column(0).to_pylist():
+                nodes = [group * 10 + k for k in range(8)]
+                rng.shuffle(nodes)
+                yield pa.RecordBatch.from_pydict({"a": nodes[1:], "b": [nodes[rng.randrange(k)] for k in range(1, 8)]})
+    edges = spark.range(40).mapInArrow(spanning, "a long, b long")
+    labels = simhash.components(spark, edges, str(tmp_path))
+    assert {(r.node, r.label) for r in labels.collect()} == {(g * 10 + k, g * 10) for g in range(40) for k in range(8)}
