@@ -48,6 +48,42 @@ def word_buckets(word: str) -> Iterator[int]:
             yield crc32(ended[i:i + n].encode("utf-8", "surrogatepass")) % BUCKETS
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> 1) ^ np.where(table & 1, np.uint32(0xEDB88320), np.uint32(0))
+    return table
+
+
+_CRC = _crc_table()
+
+
+def _crcs(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRC-32 of many short stretches of ``data``, a byte of each at a time."""
+    crc = np.full(len(begin), 0xFFFFFFFF, np.uint32)
+    for k in range(int(size.max(initial=0))):
+        at = np.flatnonzero(size > k)
+        now = crc[at]
+        crc[at] = _CRC[(now ^ data[begin[at] + k]) & 0xFF] ^ (now >> 8)
+    return ~crc
+
+
+def words_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``word_buckets`` of many short words, one after the other, and how many each has."""
+    data = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-8", "surrogatepass"), np.uint8)
+    edge = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where characters begin
+    length = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    sizes = 2 * length - 4
+    first, word = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(words)), length)
+    place = np.arange(len(word)) - (np.cumsum(length) - length)[word]
+    out = np.empty(int(sizes.sum()), np.int64)
+    out[first] = [crc32(b"\x01" + w.encode("utf-8", "surrogatepass")) for w in words]
+    for n, start in ((3, first + 1), (4, first + length - 1)):
+        at = np.flatnonzero(place <= length[word] - n)
+        out[start[word[at]] + place[at]] = _crcs(data, edge[at], edge[at + n] - edge[at])
+    return out % BUCKETS, sizes
+
+
 _FIXED = [crc32(_MARK) % BUCKETS, crc32(_REPEAT) % BUCKETS]
 
 
@@ -120,6 +156,7 @@ class Model:
                                 total += float(weight[part].sum(dtype=np.float64))
                                 features += len(part)
                     words = [w for w in words if len(w) <= LONG_WORD]
+                cache.add([w for w in set(words) if w not in cache])
                 at = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
                 total += float(cache.sums[at].sum()) + float(weight[_FIXED[0]]) + n * float(weight[_FIXED[1]])
                 features += int(cache.sizes[at].sum()) + 1 + n
@@ -139,14 +176,17 @@ class _Words(dict):
     def restart(self) -> None:
         self.clear()
 
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.sums):
-            self.sums, self.sizes = np.resize(self.sums, 2 * row), np.resize(self.sizes, 2 * row)
-        buckets = list(word_buckets(word))
-        self.sums[row], self.sizes[row] = self.weight[buckets].sum(dtype=np.float64), len(buckets)
-        self[word] = row
-        return row
+    def add(self, words: list[str]) -> None:
+        """New words, all at once."""
+        if not words:
+            return
+        first, end = len(self), len(self) + len(words)
+        while end > len(self.sums):
+            self.sums, self.sizes = np.resize(self.sums, 2 * len(self.sums)), np.resize(self.sizes, 2 * len(self.sizes))
+        buckets, sizes = words_buckets(words)
+        weights = self.weight[buckets].astype(np.float64)
+        self.sums[first:end], self.sizes[first:end] = np.add.reduceat(weights, np.cumsum(sizes) - sizes), sizes
+        self.update(zip(words, range(first, end)))
 
 
 def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

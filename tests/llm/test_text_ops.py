@@ -177,6 +177,14 @@ def quality_rows():
     return rows, labels
 
 
+def test_quality_buckets_of_many_words_at_once():
+    words = ["a", "the", "año", "ß", "日本語", "x" * 64, "e\u0301", "\ud800", "😀ok", "<>", "0"]
+    buckets, sizes = quality.words_buckets(words)
+    assert np.split(buckets, np.cumsum(sizes)[:-1])[3].tolist() == list(quality.word_buckets("ß"))
+    assert buckets.tolist() == [b for w in words for b in quality.word_buckets(w)]
+    assert sizes.tolist() == [len(list(quality.word_buckets(w))) for w in words]
+
+
 def test_quality_held_out_accuracy_and_cases(spark, docs_of):
     rows, labels = quality_rows()
     held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
