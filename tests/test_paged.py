@@ -36,3 +36,34 @@ def test_same_rows_for_any_trigger_size_and_restart_at_the_link(spark, tmp_path)
     land(tmp_path, "d", [[{"id": "d2"}]], first=1)
     got = P.drain_pages(spark, str(tmp_path / "in"), root, 1000, runs=2)
     assert items(got) == sorted(want + [("d", 0, 0, "d0"), ("d", 0, 1, "d1"), ("d", 1, 0, "d2")])
+
+
+def test_a_batch_logs_its_own_links_and_is_replayed_from_them(tmp_path):
+    for k in range(60):
+        land(tmp_path, f"s{k:02}", [[{"id": f"{k}-{p}-{i}"} for i in range(2)] for p in range(3)])
+    walk = P.PageWalk(str(tmp_path / "in"), 6, str(tmp_path / "links"))
+    at, rows, batches = walk.initialOffset(), [], []
+    while True:
+        got, end = walk.read(at)
+        if end == at:
+            break
+        batches.append((at, end, list(got)))
+        rows += batches[-1][2]
+        assert len(json.dumps(end)) < 30  # not a link a scan
+        at = end
+    assert len(batches) == 60 and len(set(rows)) == len(rows) == 360
+    logged = [len(json.loads((tmp_path / "links" / f"{n + 1}.json").read_text())["links"]) for n in range(60)]
+    assert sum(logged) <= 3 * 60  # grows with the pages, not with scans times batches
+    for start, end, want in batches:  # a new process
+        again = P.PageWalk(str(tmp_path / "in"), 6, str(tmp_path / "links"))
+        assert sorted(again.readBetweenOffsets(start, end)) == sorted(want)
+        assert again.read(end)[1] == ({"number": end["number"] + 1} if end != at else end)
+
+
+def test_one_query_drains_all_batches(spark, tmp_path, monkeypatch):
+    from pyspark.sql.streaming import DataStreamWriter
+    land(tmp_path, "a", [[{"id": f"a{k}"}] for k in range(5)])
+    starts, start = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **k: starts.append(1) or start(self, *a, **k))
+    got = P.drain_pages(spark, str(tmp_path / "in"), str(tmp_path / "out"), 1)
+    assert got.count() == 5 and got.select("batch").distinct().count() == 5 and len(starts) == 1
