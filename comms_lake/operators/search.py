@@ -13,7 +13,11 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +25,7 @@ from ..functions import text as X
 from ..session import bounded, materialize
 
 BUCKETS = 64
+WORDS = 1 << 20  # words that are grouped at once, beyond one text
 LISTED = 1000  # terms that a filter lists; more are joined
 POSTINGS = "term string, id string, field string, positions array<int>, batch int, bucket int"
 TERMS = "term string, batch int, bucket int"
@@ -32,14 +37,32 @@ def _bucket(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
+def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, field, words) as rows (term, id, field, positions): a text's own words are
+    grouped where the text is, some ``WORDS`` words at a time."""
+    for batch in batches:
+        ends = np.cumsum(pc.list_value_length(batch["words"]).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            until = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + WORDS, "right")))
+            part = batch.slice(first, until - first)
+            row = pc.list_parent_indices(part["words"])
+            starts = np.concatenate([[0], np.cumsum(pc.list_value_length(part["words"]).to_numpy(zero_copy_only=False))])
+            at = np.arange(len(row)) - starts[row.to_numpy(zero_copy_only=False)]
+            words = pa.table({"row": row, "term": pc.list_flatten(part["words"]), "position": pa.array(at, pa.int32())})
+            of = words.group_by(["row", "term"], use_threads=False).aggregate([("position", "list")])  # in order
+            yield from pa.table({"term": of["term"], "id": part["id"].take(of["row"].combine_chunks()),
+                                 "field": part["field"].take(of["row"].combine_chunks()), "positions": of["position_list"]}).to_batches()
+            first = until
+
+
 def add_batch(docs: DataFrame, path: str, batch: int, fields: tuple[str, ...] = ("subject", "body")) -> None:
     """Postings of the documents (``id`` and text ``fields``) of a batch; a
-    batch that is added again is replaced."""
+    batch that is added again is replaced. The one shuffle is that of whole postings to their folders."""
     text = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lower(X.s(f)).alias("text")) for f in fields]))
     words = docs.select(F.col("id").cast("string").alias("id"), text.alias("t")).select(
-        "id", "t.field", F.posexplode(F.filter(F.split("t.text", BETWEEN), lambda w: w != "")).alias("position", "term"))
-    # a group is one term in one field of one document
-    rows = (words.groupBy("term", "id", "field").agg(F.array_sort(F.collect_list("position")).alias("positions"))
+        "id", "t.field", F.filter(F.split("t.text", BETWEEN), lambda w: w != "").alias("words"))
+    rows = (words.mapInArrow(_positions, "term string, id string, field string, positions array<int>")
             .withColumn("bucket", _bucket(F.col("term"))))
     here = os.path.join(path, "postings", f"batch={batch}")
     (rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(here))
@@ -83,7 +106,8 @@ def search(docs: DataFrame, path: str, phrase: str) -> DataFrame:
     for at in range(len(words)):
         here = postings_of(spark, path, words, at)
         places = here if places is None else places.join(here, ["id", "field", "start"], "left_semi")
-    wanted = places.select("id", "field").distinct().groupBy("id").agg(F.collect_set("field").alias("__fields"))
+    places = materialize(places.select("id", "field").distinct(), "places")  # read twice
+    wanted = places.groupBy("id").agg(F.collect_set("field").alias("__fields"))
     fields = [r.field for r in places.select("field").distinct().collect()]  # the names of the indexed fields
     rows = docs.join(wanted.withColumnRenamed("id", "__id"), F.col("id").cast("string") == F.col("__id"))
     hit = F.lit(False)
