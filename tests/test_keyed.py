@@ -118,3 +118,54 @@ def test_lateness_is_judged_per_profile(spark, tmp_path):
     before = sorted(map(tuple, stream().events().collect()))
     stream()._land(spark.createDataFrame([(9, "x", early, "new")], K.LateFilter.SCHEMA), 1)  # a replayed run changes nothing
     assert sorted(map(tuple, stream().events().collect())) == before and not os.path.exists(f"{root}/marks/run-2")
+
+
+def test_state_is_a_call_a_bucket_and_not_a_call_an_id():
+    """10,000 ids of one bucket: a list is read once and written once a run."""
+    from types import SimpleNamespace as N
+
+    class State(list):
+        calls = 0
+
+        def get(self):
+            self.calls += 1
+            return iter(list(self))
+
+        def put(self, rows):
+            self.calls += 1
+            self[:] = rows
+
+        def appendList(self, rows):
+            self.calls += 1
+            self.extend(rows)
+
+        def clear(self):
+            self.calls += 1
+            del self[:]
+
+    state, timers = State(), []
+    handle = N(getListState=lambda name, schema, ttl=None: state, listTimers=lambda: iter(timers), registerTimer=timers.append)
+    at = lambda ms: N(getCurrentProcessingTimeInMs=lambda: ms)
+    late = K.LateFilter(dt.timedelta(minutes=10), keep_ms=1000)
+    late.init(handle)
+    day = dt.datetime(2024, 1, 1)
+    rows = [N(profile=k % 7, id=f"m{k}", received=day, mark=None) for k in range(10_000)]
+    assert len(list(late.handleInputRows((0,), iter(rows + rows), at(0)))) == 10_000 and state.calls == 2
+    assert list(late.handleInputRows((0,), iter(rows[:5]), at(900))) == []  # renewed: they end later than the others
+    ends = [r.id for r in late.handleInputRows((0,), iter(rows[:6]), at(1500))]
+    assert ends == ["m5"] and len(state) == 6 and state.calls == 6          # the ended ones left the list
+    for k in range(20):  # a list of renewals is rewritten
+        list(late.handleInputRows((0,), iter(rows[:6]), at(1501 + k)))
+    assert len(state) <= 12
+
+    state = State()
+    memory = K.ExclusionMemory(keep_ms=1000)
+    memory.init(handle)
+    rows = [N(profile=k % 7, id=f"m{k}", event="excluded") for k in range(10_000)]
+    assert len(list(memory.handleInputRows((0,), iter(rows), at(0)))) == 10_000 and state.calls == 2
+    asked = list(memory.handleExpiredTimer((0,), at(1), None))
+    assert len(asked) == 10_000 and state.calls == 3 and {r.action for r in asked} == {"recheck"}
+    answers = [N(profile=k % 7, id=f"m{k}", event=("normal", "gone", "still")[k % 3]) for k in range(9_999)]
+    said = [r.action for r in memory.handleInputRows((0,), iter(answers), at(2))]
+    assert [said.count(x) for x in ("rescued", "forgotten", "rechecked")] == [3333] * 3 and len(state) == 3334
+    assert list(memory.handleExpiredTimer((0,), at(1000), None)) == [] and state == []
